@@ -18,39 +18,42 @@ def dimension(rows: DataFrame, key: str, attributes: Sequence[str]) -> DataFrame
     return rows.select(key, *attributes).distinct()
 
 
-def one_row_per_key(
-    rows: DataFrame, keys: Sequence[str], newest_by: Sequence[str] = ()
-) -> DataFrame:
-    """One whole row per key, always the same one.
+def one_row_per_key(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """One whole row per key, always the same: the smallest by its other columns, nulls first.
 
-    It is the row with the greatest ``newest_by`` columns (the rest breaking ties), or by
-    default the smallest row; nulls sort first. Each task reduces its rows to one per key
-    before the shuffle, so a key that holds much of the data costs one row per task.
+    Each task reduces its rows to one per key before the shuffle, so a key that holds much of
+    the data costs one row per task.
     """
     rest = [name for name in rows.columns if name not in keys]
-    if newest_by:
-        ordered = [*newest_by, *(name for name in rest if name not in newest_by)]
-        chosen = F.max(F.struct(*ordered))
-    else:
-        chosen = F.min(F.struct(*rest))
-    picked = rows.groupBy(*keys).agg(chosen.alias("chosen"))
-    columns = [name if name in keys else f"chosen.{name}" for name in rows.columns]
-    return picked.select(*columns)
+    picked = rows.groupBy(*keys).agg(F.min(F.struct(*rest)).alias("smallest"))
+    return picked.select(
+        *(name if name in keys else f"smallest.{name}" for name in rows.columns)
+    )
 
 
 def versioned_input(
     rows: DataFrame,
     keys: Sequence[str],
     attributes: Sequence[str],
-    newest_by: Sequence[str] = (),
+    newest_by: str | None = None,
 ) -> DataFrame:
-    """Rows as a versioned dimension takes them: no null keys, one row per key."""
-    columns = [*keys, *attributes, *newest_by]
-    identified = rows.select(*dict.fromkeys(columns)).where(none_null(keys))
-    # Attributes repeat a lot; the hash-based distinct leaves little for the second step,
-    # which has to sort because a struct cannot be updated in place in a hash map.
-    reduced = one_row_per_key(identified.distinct(), keys, newest_by)
-    return reduced.select(*keys, *attributes)
+    """Rows as a versioned dimension takes them: no null keys, one set of attributes per key.
+
+    It is the set with the greatest ``newest_by`` (the attributes breaking ties), or by
+    default the smallest. The many rows are first reduced to the different sets, which a hash
+    map can do; choosing among structs has to sort, but then only has a few rows left. Plain
+    ``min`` in place of ``min_by`` would let Spark merge both steps into one big sort.
+    """
+    identified = rows.where(none_null(keys))
+    attribute_set = F.struct(*attributes)
+    if newest_by is None:
+        sets = identified.select(*keys, *attributes).distinct()
+        chosen = F.min_by(attribute_set, attribute_set)
+    else:
+        grouped = identified.groupBy(*keys, *attributes)
+        sets = grouped.agg(F.max(newest_by).alias("newest"))
+        chosen = F.max_by(attribute_set, F.struct("newest", *attributes))
+    return sets.groupBy(*keys).agg(chosen.alias("chosen")).select(*keys, "chosen.*")
 
 
 def rejected_keys(rows: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..schemas import FACT_COLUMNS
@@ -16,5 +16,9 @@ def sales_fact(clean: DataFrame, first_id: int = 0) -> DataFrame:
     return keyed.select("SalesID", *FACT_COLUMNS)
 
 
+def year_month(date_column: str) -> Column:
+    return F.date_format(date_column, "yyyy-MM").alias("yearmonth")
+
+
 def with_year_month(rows: DataFrame, date_column: str = "OrderDate") -> DataFrame:
-    return rows.withColumn("yearmonth", F.date_format(date_column, "yyyy-MM"))
+    return rows.withColumn("yearmonth", year_month(date_column))

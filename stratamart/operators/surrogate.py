@@ -29,10 +29,13 @@ def with_surrogate_key(df: DataFrame, name: str, order_by: str, start: int = 0)
         offsets = F.broadcast(offsets)
     within = F.row_number().over(Window.partitionBy("block").orderBy(order_by))
     numbered = df.withColumn("block", block).withColumn("within", within)
+    # An ordinary equality would make Spark filter both sides for nulls, in different places,
+    # and then compute df twice; the null-safe one lets them share its last shuffle.
+    same_block = F.col("block").eqNullSafe(F.col("offset_block"))
     position = F.col("preceding") + F.col("within") + F.lit(start - 1)
-    return numbered.join(offsets, "block").select(
-        *df.columns, position.cast("bigint").alias(name)
-    )
+    return numbered.join(
+        offsets.withColumnRenamed("block", "offset_block"), same_block
+    ).select(*df.columns, position.cast("bigint").alias(name))
 
 
 def _offsets(sizes: DataFrame, digits: int) -> DataFrame:

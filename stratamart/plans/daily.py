@@ -96,10 +96,9 @@ def record_versions(
     spark: SparkSession, warehouse: Warehouse, silver: DataFrame, run_date: datetime.date
 ) -> dict[str, dict[str, int]]:
     """Bring the versioned dimensions up to date, the latest order of a key telling its state."""
-    newest = ["OrderDate", "OrderID"]
     counts = {}
     for name, (keys, attributes) in VERSIONED_DIMENSIONS.items():
-        incoming = versioned_input(silver, keys, attributes, newest_by=newest)
+        incoming = versioned_input(silver, keys, attributes, newest_by="OrderDate")
         path = warehouse.gold(f"dim_{name}_scd2")
         store = VersionStore(spark, path, warehouse.file_format)
         counts[name] = store.apply(incoming, keys, attributes, run_date)

@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import exact_sum
-from ..operators import with_year_month
+from ..operators.facts import year_month
+
+
+def month_start() -> Column:
+    """The first day of a sale's month, to group by; only the groups are given its text."""
+    return F.trunc("OrderDate", "month").alias("month")
 
 
 def monthly_kpi(fact: DataFrame, one_row_per_order: bool = False) -> DataFrame:
@@ -17,18 +22,13 @@ def monthly_kpi(fact: DataFrame, one_row_per_order: bool = False) -> DataFrame:
     two distinct counts make it copy every row for each of them first.
     """
     orders = F.count("OrderID") if one_row_per_order else F.count_distinct("OrderID")
-    revenue = exact_sum("TotalPrice")
-    totals = (
-        with_year_month(fact)
-        .groupBy("yearmonth")
-        .agg(
-            revenue.alias("revenue"),
-            orders.alias("TotalOrders"),
-            F.count_distinct("CustomerID").alias("UniqueCustomers"),
-        )
+    totals = fact.groupBy(month_start()).agg(
+        exact_sum("TotalPrice").alias("revenue"),
+        orders.alias("TotalOrders"),
+        F.count_distinct("CustomerID").alias("UniqueCustomers"),
     )
     return totals.select(
-        "yearmonth",
+        year_month("month"),
         F.round("revenue").alias("TotalRevenue"),
         "TotalOrders",
         F.round(F.try_divide("revenue", "TotalOrders")).alias("AverageOrderValue"),
@@ -42,14 +42,12 @@ def regional_sales_trend(fact: DataFrame, stores: DataFrame) -> DataFrame:
     Sales are added up per store and month before they meet the store dimension, so the join
     sees a row per store and month instead of a row per sale, whichever store sells most.
     """
-    per_store = (
-        with_year_month(fact)
-        .groupBy("StoreID", "yearmonth")
-        .agg(exact_sum("TotalPrice").alias("TotalPrice"), F.sum("Quantity").alias("Quantity"))
+    per_store = fact.groupBy("StoreID", month_start()).agg(
+        exact_sum("TotalPrice").alias("TotalPrice"), F.sum("Quantity").alias("Quantity")
     )
     return (
         per_store.join(stores, "StoreID", "left")
-        .groupBy("StoreLocation", "yearmonth")
+        .groupBy("StoreLocation", year_month("month"))
         .agg(
             F.round(exact_sum("TotalPrice"), 2).alias("TotalRevenue"),
             F.sum("Quantity").alias("UnitsSold"),

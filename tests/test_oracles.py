@@ -1,0 +1,41 @@
+"""Every registered query against its SQL."""
+
+from __future__ import annotations
+
+import pytest
+
+from __spark_entry__ import entry, oracle_sql, queries
+from check import connect, differences
+
+
+@pytest.fixture(scope="module")
+def tables(sf_dir):
+    return connect(sf_dir)
+
+
+@pytest.mark.parametrize("name", queries())
+def test_query_equals_its_sql(spark, tables, sf_dir, name):
+    assert differences(spark, tables, sf_dir, name) == ""
+
+
+def test_every_query_has_sql():
+    assert set(queries()) == set(oracle_sql())
+
+
+def test_row_counts_of_the_survey(spark, sf_dir):
+    expected = {
+        "silver_typed": 60000,
+        "silver_dedupe": 14597,
+        "silver_clean": 13732,
+        "dim_date": 2396,
+        "dim_product": 1716,
+        "kpi_monthly": 80,
+        "scd2_apply": 2239,
+        "scd2_apply_compat": 2186,
+        "scd1_upsert": 1457,
+    }
+    assert {name: queries()[name](spark, sf_dir).count() for name in expected} == expected
+
+
+def test_entry(spark):
+    assert entry(spark).count() == 80
