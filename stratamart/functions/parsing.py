@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Date patterns of the feed, in the order in which they are tried.
-DATE_PATTERNS = ["yyyy-MM-dd", "dd-MM-yyyy"]
+# The two date patterns of the feed.
+YEAR_FIRST = "yyyy-MM-dd"
+DAY_FIRST = "dd-MM-yyyy"
 
 
 def whole_number(name: str) -> Column:
@@ -18,5 +19,10 @@ def decimal_number(name: str) -> Column:
 
 
 def order_date(name: str) -> Column:
-    attempts = [F.try_to_date(F.col(name), pattern) for pattern in DATE_PATTERNS]
-    return F.coalesce(*attempts).alias(name)
+    """The date in either pattern; the third character tells which one can match at all."""
+    text = F.col(name)
+    is_day_first = F.substring(text, 3, 1) == "-"
+    parsed = F.when(is_day_first, F.try_to_date(text, DAY_FIRST)).otherwise(
+        F.try_to_date(text, YEAR_FIRST)
+    )
+    return parsed.alias(name)

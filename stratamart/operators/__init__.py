@@ -1,6 +1,6 @@
 """Transformations from DataFrame to DataFrame. None of them runs a job or writes anything."""
 
-from .conform import conform, quarantine, type_rows, with_date_text
+from .conform import conform, judge, quarantine, type_rows, with_date_text
 from .dimensions import date_dimension, dimension, one_row_per_key, rejected_keys
 from .facts import sales_fact, with_year_month
 from .point_in_time import as_of_join
@@ -20,6 +20,7 @@ __all__ = [
     "conform",
     "date_dimension",
     "dimension",
+    "judge",
     "one_row_per_key",
     "quarantine",
     "rejected_keys",

@@ -68,8 +68,13 @@ def conform(raw: DataFrame) -> DataFrame:
     return with_date_text(valid)
 
 
+def judge(raw: DataFrame) -> DataFrame:
+    """All de-duplicated rows with the first rule they break, null if they break none."""
+    broken = [F.when(~holds, F.lit(rule)) for rule, holds in validity_rules().items()]
+    deduplicated = deduplicate(type_rows(raw))
+    return with_date_text(deduplicated.withColumn("failed_rule", F.coalesce(*broken)))
+
+
 def quarantine(raw: DataFrame) -> DataFrame:
     """The de-duplicated rows that ``conform`` leaves out, with the first rule they break."""
-    broken = [F.when(~holds, F.lit(rule)) for rule, holds in validity_rules().items()]
-    judged = deduplicate(type_rows(raw)).withColumn("failed_rule", F.coalesce(*broken))
-    return with_date_text(judged.where(F.col("failed_rule").isNotNull()))
+    return judge(raw).where(F.col("failed_rule").isNotNull())

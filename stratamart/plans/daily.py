@@ -6,14 +6,15 @@ import datetime
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from .. import storage
-from ..operators import conform, date_dimension, dimension, quarantine, sales_fact
-from ..operators.dimensions import rejected_keys, versioned_input
+from ..functions import none_null
+from ..operators import date_dimension, dimension, judge, sales_fact
+from ..operators.dimensions import versioned_input
 from ..schemas import VERSIONED_DIMENSIONS
 from ..sinks import VersionStore, publish, replace_months, replace_run
 from ..sources import read_run
-from ..streaming import ingest_available, read_bronze
+from ..streaming import has_bronze, ingest_available, read_bronze
 from .measures import monthly_kpi
 
 
@@ -24,7 +25,6 @@ class Warehouse:
     landing: str
     root: str
     archive: str | None = None
-    file_format: str = "parquet"
 
     @property
     def bronze(self) -> str:
@@ -38,10 +38,6 @@ class Warehouse:
     def silver(self) -> str:
         return f"{self.root}/silver"
 
-    @property
-    def rejects(self) -> str:
-        return f"{self.root}/rejects"
-
     def gold(self, table: str) -> str:
         return f"{self.root}/gold/{table}"
 
@@ -57,13 +53,32 @@ def star_schema(silver: DataFrame) -> dict[str, DataFrame]:
     }
 
 
+def write_silver(raw: DataFrame, path: str, run_date: datetime.date) -> None:
+    """Accepted and rejected rows of a day, apart but from one pass over the feed."""
+    accepted = F.col("failed_rule").isNull()
+    status = F.when(accepted, F.lit("accepted")).otherwise(F.lit("rejected"))
+    judged = judge(raw).withColumn("status", status)
+    replace_run(judged, path, run_date, partition_by=["status"])
+
+
+def read_silver(spark: SparkSession, path: str, run_date: datetime.date) -> DataFrame:
+    rows = read_run(spark, path, run_date).where("status = 'accepted'")
+    return rows.drop("run_date", "status", "failed_rule")
+
+
+def read_rejects(spark: SparkSession, path: str, run_date: datetime.date) -> DataFrame:
+    rows = read_run(spark, path, run_date).where("status = 'rejected'")
+    return rows.drop("run_date", "status")
+
+
 def run_daily(
     spark: SparkSession, warehouse: Warehouse, run_date: datetime.date
 ) -> dict[str, dict[str, int]]:
     """Run every step for one day; repeating a day leaves the same tables.
 
-    Returns the counts of each versioned dimension. A day without feed rows writes empty
-    silver and leaves the gold tables as they are.
+    The files of a day make up one extract: the star schema shows that extract, and the
+    months in it replace those of earlier extracts. Returns the counts of each versioned
+    dimension. A day without feed rows leaves the gold tables as they are.
     """
     ingest_available(
         spark,
@@ -73,34 +88,37 @@ def run_daily(
         run_date,
         archive=warehouse.archive,
     )
-    if not storage.exists(spark, warehouse.bronze):
+    if not has_bronze(spark, warehouse.bronze, run_date):
         return {}
-
     raw = read_bronze(spark, warehouse.bronze, run_date)
-    replace_run(conform(raw), warehouse.silver, run_date, warehouse.file_format)
-    replace_run(quarantine(raw), warehouse.rejects, run_date, warehouse.file_format)
+    write_silver(raw, warehouse.silver, run_date)
 
-    silver = read_run(spark, warehouse.silver, run_date).drop("run_date")
-    if silver.isEmpty():
-        return {}
+    silver = read_silver(spark, warehouse.silver, run_date)
     for name, table in star_schema(silver).items():
-        publish(table, warehouse.gold(name), file_format=warehouse.file_format)
-
-    fact = spark.read.format(warehouse.file_format).load(warehouse.gold("fact_sales"))
+        publish(table, warehouse.gold(name))
+    fact = spark.read.parquet(warehouse.gold("fact_sales"))
     kpi = monthly_kpi(fact, one_row_per_order=True)
-    replace_months(kpi, warehouse.gold("monthly_kpi"), warehouse.file_format)
+    replace_months(kpi, warehouse.gold("monthly_kpi"))
     return record_versions(spark, warehouse, silver, run_date)
 
 
 def record_versions(
     spark: SparkSession, warehouse: Warehouse, silver: DataFrame, run_date: datetime.date
 ) -> dict[str, dict[str, int]]:
-    """Bring the versioned dimensions up to date, the latest order of a key telling its state."""
+    """Bring the versioned dimensions up to date, the latest order of a key telling its state.
+
+    ``NullKeys`` counts the rows that could not take part.
+    """
+    null_keys = silver.agg(
+        *(
+            F.count_if(~none_null(keys)).alias(name)
+            for name, (keys, _) in VERSIONED_DIMENSIONS.items()
+        )
+    ).first()
     counts = {}
     for name, (keys, attributes) in VERSIONED_DIMENSIONS.items():
         incoming = versioned_input(silver, keys, attributes, newest_by="OrderDate")
-        path = warehouse.gold(f"dim_{name}_scd2")
-        store = VersionStore(spark, path, warehouse.file_format)
-        counts[name] = store.apply(incoming, keys, attributes, run_date)
-        counts[name]["NullKeys"] = rejected_keys(silver, keys).count()
+        store = VersionStore(spark, warehouse.gold(f"dim_{name}_scd2"))
+        changes = store.apply(incoming, keys, attributes, run_date)
+        counts[name] = {**changes, "NullKeys": null_keys[name]}
     return counts

@@ -1,33 +1,33 @@
-"""Tables written whole, by run day or by month.
-
-``file_format`` can name any installed source, ``delta`` for one.
-"""
+"""Tables written whole, by run day or by month."""
 
 from __future__ import annotations
 
 import datetime
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 
 
-def append_run(
-    df: DataFrame, path: str, run_date: datetime.date, file_format: str = "parquet"
-) -> None:
+def append_run(df: DataFrame, path: str, run_date: datetime.date) -> None:
     """Add rows to a run day."""
-    df.write.format(file_format).mode("append").save(f"{path}/run_date={run_date}")
+    df.write.mode("append").parquet(f"{path}/run_date={run_date}")
 
 
 def replace_run(
-    df: DataFrame, path: str, run_date: datetime.date, file_format: str = "parquet"
+    df: DataFrame, path: str, run_date: datetime.date, partition_by: Sequence[str] = ()
 ) -> None:
     """Make a run day hold exactly these rows, also if there are none; other days stay."""
-    df.write.format(file_format).mode("overwrite").save(f"{path}/run_date={run_date}")
+    folder = f"{path}/run_date={run_date}"
+    df.write.mode("overwrite").partitionBy(*partition_by).parquet(folder)
 
 
 def publish(
     df: DataFrame, path: str, table: str | None = None, file_format: str = "parquet"
 ) -> None:
-    """Create or replace a table at a path, and in the catalog if a name is given."""
+    """Create or replace a table at a path, and in the catalog if a name is given.
+
+    ``file_format`` can be any installed source, ``delta`` for one.
+    """
     writer = df.write.format(file_format).mode("overwrite")
     if table is None:
         writer.save(path)
@@ -35,18 +35,17 @@ def publish(
         writer.option("path", path).saveAsTable(table)
 
 
-def replace_months(df: DataFrame, path: str, file_format: str = "parquet") -> None:
+def replace_months(df: DataFrame, path: str) -> None:
     """Replace the months that occur in the rows and keep all others.
 
     Running it twice leaves the same table. A month is a handful of rows, hence one file.
     """
     (
         df.repartition("yearmonth")
-        .write.format(file_format)
-        .mode("overwrite")
+        .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("yearmonth")
-        .save(path)
+        .parquet(path)
     )
 
 

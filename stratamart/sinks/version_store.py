@@ -33,10 +33,9 @@ from ..schemas import VERSION_COLUMNS
 
 
 class VersionStore:
-    def __init__(self, spark: SparkSession, path: str, file_format: str = "parquet"):
+    def __init__(self, spark: SparkSession, path: str):
         self.spark = spark
         self.path = path.rstrip("/")
-        self.file_format = file_format
 
     def runs(self) -> list[datetime.date]:
         """Days of the finished runs, oldest first."""
@@ -117,13 +116,9 @@ class VersionStore:
         # table's, and no footers need to be merged.
         run_folder = f"{self.path}/run_date={last}"
         found = [folder for folder in folders if folder]
-        columns = self.spark.read.format(self.file_format).load(run_folder).schema
+        columns = self.spark.read.parquet(run_folder).schema
         columns = StructType([field for field in columns if field.name != "state"])
-        versions = (
-            self.spark.read.format(self.file_format)
-            .schema(columns)
-            .load(found or run_folder)
-        )
+        versions = self.spark.read.schema(columns).parquet(*(found or [run_folder]))
         names = [name for name in versions.columns if name not in VERSION_COLUMNS]
         return versions.select(*names, *VERSION_COLUMNS)
 
@@ -134,9 +129,8 @@ class VersionStore:
             tagged.observe(counts, *metric_columns())
             .withColumn("state", state)
             .drop("change")
-            .write.format(self.file_format)
-            .mode("overwrite")
+            .write.mode("overwrite")
             .partitionBy("state")
-            .save(f"{self.path}/run_date={run_date}")
+            .parquet(f"{self.path}/run_date={run_date}")
         )
         return counts.get

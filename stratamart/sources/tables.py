@@ -6,19 +6,19 @@ import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DateType, StructField, StructType
+from pyspark.sql.types import StructType
 
 from .. import storage
 
 
-def read_run(
-    spark: SparkSession, path: str, run_date: datetime.date, schema: StructType | None = None
-) -> DataFrame:
-    """One run day of a table that is partitioned by ``run_date``; other days are not opened."""
-    reader = spark.read
-    if schema is not None:
-        reader = reader.schema(StructType([*schema.fields, StructField("run_date", DateType())]))
-    return reader.parquet(path).where(F.col("run_date") == F.lit(run_date))
+def read_run(spark: SparkSession, path: str, run_date: datetime.date) -> DataFrame:
+    """One run day of a table that is partitioned by ``run_date``.
+
+    The folder is named instead of filtered for, so that the files of other days are not
+    even listed.
+    """
+    rows = spark.read.option("basePath", path).parquet(f"{path}/run_date={run_date}")
+    return rows.withColumn("run_date", F.col("run_date").cast("date"))
 
 
 def read_evolving(

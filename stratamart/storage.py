@@ -18,6 +18,12 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(target)
 
 
+def matches(spark: SparkSession, pattern: str) -> bool:
+    """Whether any path matches a glob pattern."""
+    fs, target = _resolve(spark, pattern)
+    return bool(fs.globStatus(target))
+
+
 def child_names(spark: SparkSession, path: str) -> list[str]:
     """Names directly below a folder, sorted; none if there is no such folder."""
     fs, target = _resolve(spark, path)

@@ -1,5 +1,5 @@
 """Incremental ingestion."""
 
-from .ingest import ingest_available, read_bronze
+from .ingest import has_bronze, ingest_available, read_bronze
 
-__all__ = ["ingest_available", "read_bronze"]
+__all__ = ["has_bronze", "ingest_available", "read_bronze"]

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, IntegerType, StructField, StructType
 
+from .. import storage
 from ..schemas import RAW_FEED
 from ..sources.feed import FEED_OPTIONS
 
@@ -57,15 +58,23 @@ def ingest_available(
     query.awaitTermination()
 
 
+def has_bronze(spark: SparkSession, bronze: str, run_date: datetime.date) -> bool:
+    """Whether any row was taken over on a run day."""
+    return storage.matches(spark, _day_folders(bronze, run_date))
+
+
 def read_bronze(
     spark: SparkSession,
     bronze: str,
     run_date: datetime.date | None = None,
     schema: StructType = RAW_FEED,
 ) -> DataFrame:
-    """The rows taken over so far, or only those of one run day."""
+    """The rows taken over so far, or only those of one run day, listing only its files."""
     folders = [StructField("batch_id", IntegerType()), StructField("run_date", DateType())]
-    rows = spark.read.schema(StructType([*schema.fields, *folders])).parquet(bronze)
-    if run_date is not None:
-        rows = rows.where(F.col("run_date") == F.lit(run_date))
-    return rows.select(*schema.names)
+    reader = spark.read.schema(StructType([*schema.fields, *folders]))
+    path = bronze if run_date is None else _day_folders(bronze, run_date)
+    return reader.option("basePath", bronze).parquet(path).select(*schema.names)
+
+
+def _day_folders(bronze: str, run_date: datetime.date) -> str:
+    return f"{bronze}/batch_id=*/run_date={run_date}"

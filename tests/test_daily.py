@@ -6,9 +6,9 @@ from helpers import rows_of
 from pyspark.sql import functions as F
 
 from __spark_entry__ import queries
-from stratamart.plans.daily import Warehouse, run_daily
+from stratamart.plans.daily import Warehouse, read_rejects, read_silver, run_daily
 from stratamart.sinks import VersionStore
-from stratamart.sources import read_run, retail_feed
+from stratamart.sources import retail_feed
 
 SMALL = "/root/testdata/sf0.001"
 D1, D2, D3 = (datetime.date(2024, 1, day) for day in (1, 2, 3))
@@ -26,9 +26,9 @@ def test_three_days(spark, folder):
 
     for name in tables:
         assert gold(name) == rows_of(queries()[name](spark, SMALL))
-    silver = read_run(spark, warehouse.silver, D1).drop("run_date")
+    silver = read_silver(spark, warehouse.silver, D1)
     assert rows_of(silver) == rows_of(queries()["silver_clean"](spark, SMALL))
-    rejects = read_run(spark, warehouse.rejects, D1).drop("run_date")
+    rejects = read_rejects(spark, warehouse.silver, D1)
     assert rows_of(rejects) == rows_of(queries()["silver_rejects"](spark, SMALL))
 
     schema = """TotalRevenue double, TotalOrders bigint, AverageOrderValue double,

@@ -7,7 +7,7 @@ import os
 from helpers import GOOD, rows_of
 
 from stratamart.schemas import RAW_COLUMNS
-from stratamart.streaming import ingest_available, read_bronze
+from stratamart.streaming import has_bronze, ingest_available, read_bronze
 
 D1, D2 = datetime.date(2024, 1, 1), datetime.date(2024, 1, 2)
 
@@ -85,6 +85,14 @@ def test_a_repeated_batch_counts_once(spark, folder):
     assert orders(spark, folder, D2) == ["2"]
 
 
+def test_days_without_files(spark, folder):
+    assert not has_bronze(spark, f"{folder}/bronze", D1)
+    drop(folder, "a", "1")
+    ingest(spark, folder, D1)
+    assert has_bronze(spark, f"{folder}/bronze", D1)
+    assert not has_bronze(spark, f"{folder}/bronze", D2)
+
+
 def test_all_columns_arrive(spark, folder):
     drop(folder, "a", "1")
     ingest(spark, folder, D1)

@@ -129,8 +129,8 @@ def test_the_newest_attributes_win(spark):
 
 
 def test_dimension_rows_are_reduced_in_a_hash_map_first(spark):
-    rows = frame(spark, (1, "a", "b"))
-    for newest in (None, "b"):
+    rows = frame(spark, (1, "a", "b")).withColumn("day", F.lit(D1))
+    for newest in (None, "day"):
         plan = plan_of(versioned_input(rows, ["k"], ["a"], newest_by=newest))
         steps = [line for line in plan.splitlines() if "Aggregate(" in line]
         assert "HashAggregate" in steps[-1] and "SortAggregate" in steps[0]
