@@ -10,8 +10,8 @@ YEAR_FIRST = "yyyy-MM-dd"
 DAY_FIRST = "dd-MM-yyyy"
 
 
-def whole_number(name: str) -> Column:
-    return F.col(name).try_cast("int").alias(name)
+def whole_number(name: str, kind: str = "int") -> Column:
+    return F.col(name).try_cast(kind).alias(name)
 
 
 def decimal_number(name: str) -> Column:

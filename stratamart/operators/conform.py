@@ -32,10 +32,14 @@ def validity_rules() -> dict[str, Column]:
     }
 
 
-def type_rows(raw: DataFrame) -> DataFrame:
-    """The 13 columns of the feed with their types."""
+def type_rows(raw: DataFrame, id_type: str = "int") -> DataFrame:
+    """The 13 columns of the feed with their types.
+
+    Order ids that do not fit ``id_type`` become null; a feed with more orders than an int
+    can number needs ``bigint``.
+    """
     return raw.select(
-        whole_number("OrderID"),
+        whole_number("OrderID", id_type),
         order_date("OrderDate"),
         "CustomerID",
         "CustomerName",
@@ -60,21 +64,21 @@ def deduplicate(typed: DataFrame) -> DataFrame:
     return one_row_per_key(typed, [ORDER_KEY])
 
 
-def conform(raw: DataFrame) -> DataFrame:
+def conform(raw: DataFrame, id_type: str = "int") -> DataFrame:
     """The rows that enter the warehouse."""
     # Rows without an order id cannot pass; leaving them out first spares their shuffle.
-    identified = type_rows(raw).where(F.col(ORDER_KEY).isNotNull())
+    identified = type_rows(raw, id_type).where(F.col(ORDER_KEY).isNotNull())
     valid = deduplicate(identified).where(reduce(and_, validity_rules().values()))
     return with_date_text(valid)
 
 
-def judge(raw: DataFrame) -> DataFrame:
+def judge(raw: DataFrame, id_type: str = "int") -> DataFrame:
     """All de-duplicated rows with the first rule they break, null if they break none."""
     broken = [F.when(~holds, F.lit(rule)) for rule, holds in validity_rules().items()]
-    deduplicated = deduplicate(type_rows(raw))
+    deduplicated = deduplicate(type_rows(raw, id_type))
     return with_date_text(deduplicated.withColumn("failed_rule", F.coalesce(*broken)))
 
 
-def quarantine(raw: DataFrame) -> DataFrame:
+def quarantine(raw: DataFrame, id_type: str = "int") -> DataFrame:
     """The de-duplicated rows that ``conform`` leaves out, with the first rule they break."""
-    return judge(raw).where(F.col("failed_rule").isNotNull())
+    return judge(raw, id_type).where(F.col("failed_rule").isNotNull())

@@ -25,6 +25,7 @@ class Warehouse:
     landing: str
     root: str
     archive: str | None = None
+    id_type: str = "int"
 
     @property
     def bronze(self) -> str:
@@ -53,12 +54,11 @@ def star_schema(silver: DataFrame) -> dict[str, DataFrame]:
     }
 
 
-def write_silver(raw: DataFrame, path: str, run_date: datetime.date) -> None:
+def write_silver(judged: DataFrame, path: str, run_date: datetime.date) -> None:
     """Accepted and rejected rows of a day, apart but from one pass over the feed."""
     accepted = F.col("failed_rule").isNull()
     status = F.when(accepted, F.lit("accepted")).otherwise(F.lit("rejected"))
-    judged = judge(raw).withColumn("status", status)
-    replace_run(judged, path, run_date, partition_by=["status"])
+    replace_run(judged.withColumn("status", status), path, run_date, partition_by=["status"])
 
 
 def read_silver(spark: SparkSession, path: str, run_date: datetime.date) -> DataFrame:
@@ -91,7 +91,7 @@ def run_daily(
     if not has_bronze(spark, warehouse.bronze, run_date):
         return {}
     raw = read_bronze(spark, warehouse.bronze, run_date)
-    write_silver(raw, warehouse.silver, run_date)
+    write_silver(judge(raw, warehouse.id_type), warehouse.silver, run_date)
 
     silver = read_silver(spark, warehouse.silver, run_date)
     for name, table in star_schema(silver).items():

@@ -7,7 +7,7 @@ import pytest
 from helpers import GOOD, raw_rows, rows_of
 from pyspark.sql import functions as F
 
-from stratamart.operators import conform, quarantine, type_rows
+from stratamart.operators import conform, quarantine, sales_fact, type_rows
 from stratamart.operators.conform import deduplicate
 from stratamart.operators.dimensions import one_row_per_key
 from stratamart.sources import retail_feed
@@ -30,6 +30,14 @@ def test_whole_numbers(spark):
     assert typed(spark, "OrderID", "X1", "12") == [None, 12]
 
 
+def test_more_orders_than_an_int_can_number(spark):
+    raw = raw_rows(spark, {"OrderID": "99999999999"}, {"OrderID": "-7"})
+    assert conform(raw).count() == 1
+    numbered = sales_fact(conform(raw, id_type="bigint")).select("SalesID", "OrderID")
+    assert rows_of(numbered) == [(0, -7), (1, 99999999999)]
+    assert quarantine(raw, id_type="bigint").count() == 0
+
+
 def test_decimal_numbers(spark):
     found = typed(spark, "UnitPrice", "1e3", "12d", "N/A", "NaN")
     assert found[:3] == [1000.0, 12.0, None] and math.isnan(found[3])

@@ -6,6 +6,7 @@ from helpers import rows_of
 from pyspark.sql import functions as F
 
 from __spark_entry__ import queries
+from stratamart.__main__ import main
 from stratamart.plans.daily import Warehouse, read_rejects, read_silver, run_daily
 from stratamart.sinks import VersionStore
 from stratamart.sources import retail_feed
@@ -14,6 +15,13 @@ SMALL = "/root/testdata/sf0.001"
 D1, D2, D3 = (datetime.date(2024, 1, day) for day in (1, 2, 3))
 
 
+def test_command_line(spark, folder):
+    retail_feed(spark, SMALL).write.option("header", True).csv(f"{folder}/landing")
+    main(["--run-date", "2024-01-01", f"{folder}/landing", f"{folder}/root"])
+    kpi = spark.read.parquet(f"{folder}/root/gold/monthly_kpi")
+    assert kpi.count() == queries()["kpi_monthly"](spark, SMALL).count()
+
+
 def test_three_days(spark, folder):
     warehouse = Warehouse(f"{folder}/landing", f"{folder}/root", archive=f"{folder}/archive")
     feed = retail_feed(spark, SMALL)

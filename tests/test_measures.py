@@ -78,6 +78,11 @@ def test_exact_sum_falls_back_to_doubles(spark):
     assert total(None, 2.5) == 2.5
     assert total(1 / 3, 1.0) == float(Fraction(1 / 3) + 1)
     assert total(1e300, 1.0) == 1e300
+    assert total(1e15, 0.25) == 1e15 + 0.25
+    assert total(-0.05, -12.34, 2.0) == -10.39
+    assert total(0.00001, 1.0) == 1.00001
+    assert total(9e14, 9e14, 0.01) == 1.8e15 + 0.01
+    assert math.isinf(total(math.inf, 1.0))
     assert math.isnan(total(math.nan, 1.0))
 
 
