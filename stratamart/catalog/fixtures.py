@@ -23,6 +23,12 @@ def clean(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conform(retail_feed(spark, sf_dir))
 
 
+def stored(spark: SparkSession, rows: DataFrame, path: str) -> DataFrame:
+    """The rows as read back from a table, for queries that use them more than once."""
+    rows.write.parquet(path)
+    return spark.read.parquet(path)
+
+
 def existing_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A versioned customer table: four of five customers, some with an older version."""
     customers = spark.read.parquet(f"{sf_dir}/customer.parquet").where("c_custkey % 5 <> 0")

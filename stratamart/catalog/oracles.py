@@ -217,8 +217,9 @@ SELECT StoreLocation, strftime(OrderDate, '%Y-%m') AS yearmonth,
 FROM (SELECT * EXCLUDE (StoreLocation) FROM clean)
 LEFT JOIN (SELECT DISTINCT StoreID, StoreLocation FROM clean) USING (StoreID) GROUP BY 1, 2""",
     "sink_append": f"{SILVER} SELECT *, {FIRST_DAY} AS run_date FROM typed",
-    "sink_overwrite_partition": f"""{SILVER} SELECT *, {FIRST_DAY} AS run_date FROM clean
-UNION ALL SELECT *, {SECOND_DAY} FROM clean""",
+    "sink_overwrite_partition": f"""{SILVER}
+SELECT *, {FIRST_DAY} AS run_date FROM typed WHERE (OrderDate >= {FIRST_DAY}) IS NOT TRUE
+UNION ALL SELECT *, {SECOND_DAY} FROM clean WHERE OrderDate >= {FIRST_DAY}""",
     "sink_overwrite_table": f"""{SILVER},
 fact AS ({FACT}), dates AS ({DATES})
 SELECT fact.*, CustomerName, ProductName, StoreLocation, dates.* EXCLUDE (OrderDateParsed)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import operators as ops
@@ -13,7 +13,14 @@ from ..operators.conform import deduplicate
 from ..plans.daily import star_schema
 from ..plans.measures import monthly_kpi, regional_sales_trend
 from ..schemas import FACT_COLUMNS, VERSIONED_DIMENSIONS
-from ..sinks import VersionStore, append_run, publish, replace_months, replace_run
+from ..sinks import (
+    VersionStore,
+    append_run,
+    publish,
+    replace_months,
+    replace_run,
+    replace_runs,
+)
 from ..sinks.tables import union_evolved
 from ..sources import (
     read_evolving,
@@ -34,6 +41,7 @@ from .fixtures import (
     dimension_days,
     existing_customers,
     incoming_customers,
+    stored,
     write_malformed,
 )
 
@@ -46,6 +54,12 @@ def query(function: Query) -> Query:
     return function
 
 
+def _run_day() -> Column:
+    """The run in which an order came in: the second one for orders from its start on."""
+    is_later = F.col("OrderDate") >= F.lit(FIRST_DAY)
+    return F.when(is_later, F.lit(SECOND_DAY)).otherwise(F.lit(FIRST_DAY))
+
+
 # Sources
 
 
@@ -67,16 +81,14 @@ def bronze_csv_infer(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def silver_partition_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = shared_folder(spark, "silver_partition_scan")
-    rows = clean(spark, sf_dir)
-    replace_run(rows.where(F.col("OrderDate") < F.lit(FIRST_DAY)), folder, FIRST_DAY)
-    replace_run(rows.where(F.col("OrderDate") >= F.lit(FIRST_DAY)), folder, SECOND_DAY)
+    replace_runs(clean(spark, sf_dir).withColumn("run_date", _run_day()), folder)
     return read_run(spark, folder, SECOND_DAY)
 
 
 @query
 def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = shared_folder(spark, "stream_ingest")
-    feed = retail_feed(spark, sf_dir)
+    feed = stored(spark, retail_feed(spark, sf_dir), f"{folder}/feed")
     for drop in range(3):
         part = feed.where(F.pmod(F.xxhash64("OrderID"), F.lit(3)) == drop)
         part.write.mode("append").option("header", True).csv(f"{folder}/landing")
@@ -184,11 +196,13 @@ def sink_append(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def sink_overwrite_partition(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two run days of typed rows, the second of which is then replaced by its clean rows."""
     folder = shared_folder(spark, "sink_overwrite_partition")
     raw = retail_feed(spark, sf_dir)
-    replace_run(ops.conform(raw), folder, FIRST_DAY)
-    replace_run(ops.with_date_text(ops.type_rows(raw)), folder, SECOND_DAY)
-    replace_run(ops.conform(raw), folder, SECOND_DAY)
+    typed = ops.with_date_text(ops.type_rows(raw))
+    replace_runs(typed.withColumn("run_date", _run_day()), folder)
+    later = ops.conform(raw).where(F.col("OrderDate") >= F.lit(FIRST_DAY))
+    replace_run(later, folder, SECOND_DAY)
     return spark.read.parquet(folder)
 
 
@@ -219,11 +233,12 @@ def sink_overwrite_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def sink_schema_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = shared_folder(spark, "sink_schema_merge")
-    rows = clean(spark, sf_dir)
-    replace_run(ops.dimension(rows, "ProductID", ["ProductName"]), folder, FIRST_DAY)
+    rows = stored(spark, clean(spark, sf_dir), f"{folder}/silver")
+    narrow = ops.dimension(rows, "ProductID", ["ProductName"])
+    replace_run(narrow, f"{folder}/products", FIRST_DAY)
     wider = ops.dimension(rows, "ProductID", ["ProductName", "Category"])
-    replace_run(wider, folder, SECOND_DAY)
-    return read_evolving(spark, folder)
+    replace_run(wider, f"{folder}/products", SECOND_DAY)
+    return read_evolving(spark, f"{folder}/products")
 
 
 @query
@@ -237,13 +252,13 @@ def union_schema_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
 def kpi_upsert_month(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Months written from every other order, then those from 1998 on again from all orders."""
     folder = shared_folder(spark, "kpi_upsert_month")
-    fact = clean(spark, sf_dir).select(*FACT_COLUMNS)
-    replace_months(monthly_kpi(fact.where("OrderID % 2 = 0"), one_row_per_order=True), folder)
-    later = fact.where(F.col("OrderDate") >= F.lit(FIRST_DAY))
-    replace_months(monthly_kpi(later, one_row_per_order=True), folder)
+    fact = stored(spark, clean(spark, sf_dir).select(*FACT_COLUMNS), f"{folder}/fact")
+    half, later = fact.where("OrderID % 2 = 0"), fact.where(F.col("OrderDate") >= F.lit(FIRST_DAY))
+    for sales in (half, later):
+        replace_months(monthly_kpi(sales, one_row_per_order=True), f"{folder}/kpi")
     columns = "TotalRevenue double, TotalOrders bigint, AverageOrderValue double"
     schema = f"{columns}, UniqueCustomers bigint, yearmonth string"
-    return spark.read.schema(schema).parquet(folder)
+    return spark.read.schema(schema).parquet(f"{folder}/kpi")
 
 
 # Versioned dimensions
@@ -340,26 +355,26 @@ def scd2_history_top20(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scd2_apply(spark, sf_dir).orderBy("CustomerID", newest_first).limit(20)
 
 
-def _two_days(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+def _two_days(rows: DataFrame, name: str) -> DataFrame:
     keys, attributes = VERSIONED_DIMENSIONS[name]
-    before, after = dimension_days(clean(spark, sf_dir), keys, attributes)
+    before, after = dimension_days(rows, keys, attributes)
     existing = ops.scd2_bootstrap(before, FIRST_DAY)
     return ops.scd2_apply(existing, after, keys, attributes, SECOND_DAY)
 
 
 @query
 def scd2_customer(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _two_days(spark, sf_dir, "customer")
+    return _two_days(clean(spark, sf_dir), "customer")
 
 
 @query
 def scd2_product(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _two_days(spark, sf_dir, "product")
+    return _two_days(clean(spark, sf_dir), "product")
 
 
 @query
 def scd2_store(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _two_days(spark, sf_dir, "store")
+    return _two_days(clean(spark, sf_dir), "store")
 
 
 @query
@@ -377,8 +392,10 @@ def scd2_composite_key(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def scd2_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = shared_folder(spark, "scd2_summary")
+    rows = stored(spark, clean(spark, sf_dir), folder)
     customer, product, store = (
-        ops.scd2_summary(_two_days(spark, sf_dir, name), name) for name in VERSIONED_DIMENSIONS
+        ops.scd2_summary(_two_days(rows, name), name) for name in VERSIONED_DIMENSIONS
     )
     return customer.unionByName(product).unionByName(store)
 

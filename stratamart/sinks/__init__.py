@@ -1,6 +1,6 @@
 """Writers."""
 
-from .tables import append_run, publish, replace_months, replace_run, union_evolved
+from .tables import append_run, publish, replace_months, replace_run, replace_runs, union_evolved
 from .version_store import VersionStore
 
 __all__ = [
@@ -9,5 +9,6 @@ __all__ = [
     "publish",
     "replace_months",
     "replace_run",
+    "replace_runs",
     "union_evolved",
 ]

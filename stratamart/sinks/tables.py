@@ -21,6 +21,11 @@ def replace_run(
     df.write.mode("overwrite").partitionBy(*partition_by).parquet(folder)
 
 
+def replace_runs(df: DataFrame, path: str) -> None:
+    """Replace the run days that occur in the ``run_date`` column, all in one job."""
+    _replace_partitions(df, path, "run_date")
+
+
 def publish(
     df: DataFrame, path: str, table: str | None = None, file_format: str = "parquet"
 ) -> None:
@@ -40,15 +45,14 @@ def replace_months(df: DataFrame, path: str) -> None:
 
     Running it twice leaves the same table. A month is a handful of rows, hence one file.
     """
-    (
-        df.repartition("yearmonth")
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("yearmonth")
-        .parquet(path)
-    )
+    _replace_partitions(df.repartition("yearmonth"), path, "yearmonth")
 
 
 def union_evolved(older: DataFrame, newer: DataFrame) -> DataFrame:
     """Both frames under the columns of either; a column that one lacks is null there."""
     return older.unionByName(newer, allowMissingColumns=True)
+
+
+def _replace_partitions(df: DataFrame, path: str, column: str) -> None:
+    writer = df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy(column).parquet(path)

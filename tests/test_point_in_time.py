@@ -56,3 +56,29 @@ def test_splits_spread_a_key(spark):
     _, _, facts, versions = inputs(spark)
     joined = as_of_join(facts.hint("merge"), versions, {"k": "k"}, "d", ["a"], splits=4)
     assert "fact_split" in plan_of(joined).split("Exchange hashpartitioning(")[1].split(")")[0]
+
+
+def test_adaptive_execution_splits_a_hot_key(spark):
+    low = {
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "10KB",
+    }
+    facts = spark.range(0, 60000, 1, 8).selectExpr(
+        "id", "if(id % 3 = 0, 7, cast(id % 1000 AS int)) AS k", "date'2024-01-05' AS d"
+    )
+    versions = spark.range(1000).selectExpr(
+        "cast(id AS int) AS k", "id AS a", "date'2024-01-01' AS valid_from",
+        "cast(null AS date) AS valid_to", "true AS is_current",
+    )
+    before = {name: spark.conf.get(name) for name in low}
+    for name, value in low.items():
+        spark.conf.set(name, value)
+    try:
+        joined = as_of_join(facts, versions.hint("merge"), {"k": "k"}, "d", ["a"])
+        assert len(joined.where("a = k").collect()) == 60000
+        joined.collect()
+        assert "skew=true" in plan_of(joined)
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)

@@ -7,10 +7,17 @@ from helpers import plan_of, rows_of
 from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
 from stratamart import storage
-from stratamart.sinks import append_run, publish, replace_months, replace_run, union_evolved
+from stratamart.sinks import (
+    append_run,
+    publish,
+    replace_months,
+    replace_run,
+    replace_runs,
+    union_evolved,
+)
 from stratamart.sources import read_evolving, read_run, table_exists
 
-D1, D2 = datetime.date(2024, 1, 1), datetime.date(2024, 1, 2)
+D1, D2, D3 = (datetime.date(2024, 1, day) for day in (1, 2, 3))
 
 
 def numbers(spark, *values):
@@ -29,6 +36,15 @@ def test_append_and_replace(spark, folder):
     assert rows_of(read_run(spark, folder, D2)) == [(3, D2)]
 
 
+def test_several_run_days_at_once(spark, folder):
+    def days(*rows):
+        return spark.createDataFrame(list(rows), "v int, run_date date")
+
+    replace_runs(days((1, D1), (2, D2)), folder)
+    replace_runs(days((20, D2), (30, D3)), folder)
+    assert rows_of(spark.read.parquet(folder)) == [(1, D1), (20, D2), (30, D3)]
+
+
 def test_other_run_days_are_not_listed(spark, folder):
     append_run(numbers(spark, 1), folder, D1)
     append_run(numbers(spark, 2), folder, D2)
