@@ -2,7 +2,8 @@
 
 The version in force has no ``valid_to`` and ``is_current`` set. An incoming frame has one
 row per key and no null keys (see ``versioned_input``); the existing frame has at most one
-current row per key. Keys that do not come in keep their current version.
+current row per key. Keys that do not come in keep their current version, and keys that have
+closed versions only are opened again when they come in.
 """
 
 from __future__ import annotations

@@ -17,12 +17,25 @@ def replace_run(
     df: DataFrame, path: str, run_date: datetime.date, partition_by: Sequence[str] = ()
 ) -> None:
     """Make a run day hold exactly these rows, also if there are none; other days stay."""
-    folder = f"{path}/run_date={run_date}"
-    df.write.mode("overwrite").partitionBy(*partition_by).parquet(folder)
+    replace_folder(df, f"{path}/run_date={run_date}", partition_by)
+
+
+def replace_folder(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
+    """Make a folder hold exactly these rows.
+
+    The mode is named since a session may default to the dynamic one, which would leave the
+    partitions in place that the new rows do not have.
+    """
+    writer = df.write.mode("overwrite").option("partitionOverwriteMode", "static")
+    writer.partitionBy(*partition_by).parquet(path)
 
 
 def replace_runs(df: DataFrame, path: str) -> None:
-    """Replace the run days that occur in the ``run_date`` column, all in one job."""
+    """Replace the run days that occur in the ``run_date`` column, all in one job.
+
+    Each task writes a file per day it has rows of; many days at once are better handed over
+    clustered, as by ``df.hint("rebalance", "run_date")``.
+    """
     _replace_partitions(df, path, "run_date")
 
 

@@ -30,6 +30,7 @@ from ..operators.versions import (
     scd2_step,
 )
 from ..schemas import VERSION_COLUMNS
+from .tables import replace_folder
 
 
 class VersionStore:
@@ -125,12 +126,6 @@ class VersionStore:
     def _write(self, tagged: DataFrame, run_date: datetime.date) -> dict[str, int]:
         state = F.when(F.col("is_current"), F.lit("open")).otherwise(F.lit("closed"))
         counts = Observation(f"versions {run_date}")
-        (
-            tagged.observe(counts, *metric_columns())
-            .withColumn("state", state)
-            .drop("change")
-            .write.mode("overwrite")
-            .partitionBy("state")
-            .parquet(f"{self.path}/run_date={run_date}")
-        )
+        rows = tagged.observe(counts, *metric_columns()).withColumn("state", state)
+        replace_folder(rows.drop("change"), f"{self.path}/run_date={run_date}", ["state"])
         return counts.get

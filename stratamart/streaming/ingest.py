@@ -10,6 +10,7 @@ from pyspark.sql.types import DateType, IntegerType, StructField, StructType
 
 from .. import storage
 from ..schemas import RAW_FEED
+from ..sinks.tables import replace_folder
 from ..sources.feed import FEED_OPTIONS
 
 
@@ -41,12 +42,8 @@ def ingest_available(
         reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive)
 
     def store(batch: DataFrame, batch_id: int) -> None:
-        (
-            batch.withColumn("run_date", F.lit(run_date))
-            .write.mode("overwrite")
-            .partitionBy("run_date")
-            .parquet(f"{bronze}/batch_id={batch_id}")
-        )
+        rows = batch.withColumn("run_date", F.lit(run_date))
+        replace_folder(rows, f"{bronze}/batch_id={batch_id}", ["run_date"])
 
     query = (
         reader.csv(landing)

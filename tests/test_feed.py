@@ -51,3 +51,10 @@ def test_inferred_scan_keeps_malformed_rows(spark, folder):
     feed = read_feed_inferred(spark, path)
     assert feed.dtypes == [("a", "int"), ("b", "double"), ("c", "string")]
     assert rows_of(feed) == [(1, 2.5, "x"), (2, 3.0, None), (3, 4.0, "y")]
+
+
+def test_empty_files_and_line_ends(spark, folder):
+    write(folder, "a.csv", "")
+    write(folder, "b.csv", "a,b,c\n")
+    write(folder, "c.csv", "a,b,c\r\n1,2,3\r\n")
+    assert rows_of(read_feed(spark, folder, ABC)) == [("1", "2", "3")]

@@ -36,6 +36,17 @@ def test_append_and_replace(spark, folder):
     assert rows_of(read_run(spark, folder, D2)) == [(3, D2)]
 
 
+def test_replacing_a_day_leaves_no_old_partition(spark, folder):
+    rows = spark.createDataFrame([(1, "x"), (2, "y")], "v int, s string")
+    replace_run(rows, folder, D1, partition_by=["s"])
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    try:
+        replace_run(rows.where("s = 'x'"), folder, D1, partition_by=["s"])
+    finally:
+        spark.conf.unset("spark.sql.sources.partitionOverwriteMode")
+    assert rows_of(read_run(spark, folder, D1)) == [(1, "x", D1)]
+
+
 def test_several_run_days_at_once(spark, folder):
     def days(*rows):
         return spark.createDataFrame(list(rows), "v int, run_date date")

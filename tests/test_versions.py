@@ -143,6 +143,12 @@ def test_same_day_rerun_changes_nothing(spark):
     assert rows_of(apply(versions(spark, *once), incoming, D2)) == once
 
 
+def test_a_closed_key_opens_again(spark):
+    closed = (1, "a", "b", D1, D2, False)
+    found = apply(versions(spark, closed), frame(spark, (1, "a", "b")), D3)
+    assert rows_of(found) == [closed, (1, "a", "b", D3, None, True)]
+
+
 def test_empty_sides(spark):
     row = (1, "a", "b")
     assert rows_of(apply(versions(spark), frame(spark, row), D2)) == [(*row, D2, None, True)]
