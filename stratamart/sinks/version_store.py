@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from .. import storage
+from ..functions import none_null
 from ..operators.versions import (
     HISTORY,
     NEW_KEY,
@@ -40,29 +41,28 @@ class VersionStore:
 
     def runs(self) -> list[datetime.date]:
         """Days of the finished runs, oldest first."""
-        days = []
-        for name in storage.child_names(self.spark, self.path):
-            field, _, value = name.partition("=")
-            if field == "run_date":
-                entries = storage.child_names(self.spark, f"{self.path}/{name}")
-                if "_SUCCESS" in entries and len(entries) > 1:
-                    days.append(datetime.date.fromisoformat(value))
-        return days
+        return [day for day in self._days() if self._is_finished(day)]
+
+    def latest(self, as_of: datetime.date | None = None) -> datetime.date | None:
+        """The last finished run up to a day. Looks into as few folders as possible."""
+        days = (day for day in reversed(self._days()) if as_of is None or day <= as_of)
+        return next((day for day in days if self._is_finished(day)), None)
 
     def read(self, as_of: datetime.date | None = None) -> DataFrame:
         """All versions as they were known after the last run up to ``as_of``."""
-        runs = self._runs_until(as_of)
-        closed = [folder for run in runs if (folder := self._folder(run, "closed"))]
-        return self._load([*closed, self._folder(runs[-1], "open")], runs[-1])
+        last = self._require(as_of)
+        runs = [run for run in self.runs() if run <= last]
+        closed = [self._folder(run, "closed") for run in runs]
+        return self._load([*closed, self._folder(last, "open")], last)
 
     def current(self, as_of: datetime.date | None = None) -> DataFrame:
         """The versions in force after the last run up to ``as_of``; history is not opened."""
-        last = self._runs_until(as_of)[-1]
+        last = self._require(as_of)
         return self._load([self._folder(last, "open")], last).where("is_current")
 
     def load(self, versions: DataFrame, run_date: datetime.date) -> dict[str, int]:
         """Start a store from an existing versioned table."""
-        if self.runs():
+        if self.latest():
             raise ValueError(f"{self.path} already has runs; a load would replace history")
         change = F.when(F.col("is_current"), F.lit(NEW_KEY)).otherwise(F.lit(HISTORY))
         return self._write(versions.withColumn("change", change), run_date)
@@ -81,16 +81,17 @@ class VersionStore:
         Runs go forward in time. To repeat a day in the past, set ``replay`` and then
         repeat the days after it too, in order, since each builds on the one before.
         """
-        runs = self.runs()
-        if runs and run_date < runs[-1] and not replay:
-            raise ValueError(f"{self.path} has a run of {runs[-1]}, later than {run_date}")
-        earlier = [run for run in runs if run < run_date]
-        if not earlier:
-            if runs and (run_date < runs[0] or self._was_loaded(runs[0])):
-                raise ValueError(f"{self.path} starts with its table of {runs[0]}")
-            first = scd2_bootstrap(incoming.select(*keys, *attributes), run_date)
+        last = self.latest()
+        if last and run_date < last and not replay:
+            raise ValueError(f"{self.path} has a run of {last}, later than {run_date}")
+        previous = self.latest(run_date - datetime.timedelta(days=1))
+        if previous is None:
+            if last and self._is_start_of_other_rows(run_date):
+                raise ValueError(f"{self.path} starts with its table of {self.runs()[0]}")
+            identified = incoming.select(*keys, *attributes).where(none_null(keys))
+            first = scd2_bootstrap(identified, run_date)
             return self._write(first.withColumn("change", F.lit(NEW_KEY)), run_date)
-        current = self.current(as_of=earlier[-1])
+        current = self.current(as_of=previous)
         for name in attributes:
             if name not in current.columns:
                 kind = incoming.schema[name].dataType
@@ -98,15 +99,28 @@ class VersionStore:
         stepped = scd2_step(current, incoming, keys, attributes, run_date, null_safe)
         return self._write(stepped, run_date)
 
-    def _runs_until(self, as_of: datetime.date | None) -> list[datetime.date]:
-        runs = [run for run in self.runs() if as_of is None or run <= as_of]
-        if not runs:
-            raise LookupError(f"{self.path} has no finished run up to {as_of or 'now'}")
-        return runs
+    def _days(self) -> list[datetime.date]:
+        names = storage.child_names(self.spark, self.path)
+        fields = (name.partition("=") for name in names)
+        return [datetime.date.fromisoformat(day) for key, _, day in fields if key == "run_date"]
 
-    def _was_loaded(self, first: datetime.date) -> bool:
-        older = self.current(as_of=first).where(F.col("valid_from") < F.lit(first))
-        return self._folder(first, "closed") is not None or not older.isEmpty()
+    def _is_finished(self, day: datetime.date) -> bool:
+        entries = storage.child_names(self.spark, f"{self.path}/run_date={day}")
+        return "_SUCCESS" in entries and len(entries) > 1
+
+    def _require(self, as_of: datetime.date | None) -> datetime.date:
+        last = self.latest(as_of)
+        if last is None:
+            raise LookupError(f"{self.path} has no finished run up to {as_of or 'now'}")
+        return last
+
+    def _is_start_of_other_rows(self, run_date: datetime.date) -> bool:
+        """Whether the first run is not simply a bootstrap on this day, to be done again."""
+        first = self.runs()[0]
+        if first != run_date or self._folder(first, "closed"):
+            return True
+        older = F.col("valid_from") < F.lit(first)
+        return not self.current(as_of=first).where(older).isEmpty()
 
     def _folder(self, run: datetime.date, state: str) -> str | None:
         folder = f"{self.path}/run_date={run}/state={state}"

@@ -66,10 +66,10 @@ def test_rules(spark, change, rule):
 def test_good_row(spark):
     raw = raw_rows(spark, {}, {"CustomerName": None, "StoreID": None, "OrderID": "2"})
     assert quarantine(raw).count() == 0
-    day = datetime.date(2024, 1, 5)
+    product, store = ("P1", "Pen", "Office"), ("S1", "Oslo", "Card", "05-01-2024")
     first = conform(raw).where("OrderID = 1").collect()
     assert [tuple(row) for row in first] == [
-        (1, day, "C1", "Ann", "P1", "Pen", "Office", 2, 1.5, 3.0, "S1", "Oslo", "Card", "05-01-2024")
+        (1, datetime.date(2024, 1, 5), "C1", "Ann", *product, 2, 1.5, 3.0, *store)
     ]
 
 

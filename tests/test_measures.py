@@ -12,7 +12,8 @@ from stratamart.functions import exact_sum
 from stratamart.operators import with_year_month
 from stratamart.plans.measures import monthly_kpi, regional_sales_trend
 
-FACT = "OrderID int, OrderDate date, CustomerID string, StoreID string, Quantity int, TotalPrice double"
+FACT = """OrderID int, OrderDate date, CustomerID string, StoreID string, Quantity int,
+    TotalPrice double"""
 
 
 def fact(spark, *rows):

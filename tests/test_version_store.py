@@ -139,6 +139,13 @@ def test_an_empty_run_is_no_start(spark, folder):
     assert store.current().count() == 3
 
 
+def test_null_keys_do_not_enter(spark, folder):
+    store = VersionStore(spark, folder)
+    for day in (D1, D2):
+        store.apply(frame(spark, [(None, "x"), (1, "a")]), ["k"], ["a"], day)
+        assert rows_of(store.read()) == [(1, "a", D1, None, True)]
+
+
 def test_attributes_can_be_added(spark, folder):
     store, _ = filled(spark, folder)
     wider = spark.createDataFrame([(1, "AA", 5), (6, "f", 6)], "k int, a string, b int")
