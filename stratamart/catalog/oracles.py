@@ -241,6 +241,7 @@ SELECT * FROM (SELECT DISTINCT ProductID, ProductName, Category FROM clean)""",
 SELECT * FROM ({_kpi("OrderID % 2 = 0")}) WHERE yearmonth < '1998-01'
 UNION ALL
 {_kpi(f"OrderDate >= {FIRST_DAY}")}""",
+    "daily_run": f"{SILVER} {_kpi()}",
     "scd2_expired": _by_change("expired"),
     "scd2_new_versions": _by_change("new version"),
     "scd2_new_keys": _by_change("new key"),

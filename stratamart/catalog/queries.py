@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from .. import operators as ops
 from ..operators import versions
 from ..operators.conform import deduplicate
-from ..plans.daily import star_schema
+from ..plans.daily import Warehouse, run_daily, star_schema
 from ..plans.measures import monthly_kpi, regional_sales_trend
 from ..schemas import FACT_COLUMNS, VERSIONED_DIMENSIONS
 from ..sinks import (
@@ -45,6 +45,10 @@ from .fixtures import (
     write_malformed,
 )
 
+# The columns of the stored monthly measures.
+KPI_COLUMNS = """TotalRevenue double, TotalOrders bigint, AverageOrderValue double,
+    UniqueCustomers bigint, yearmonth string"""
+
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
@@ -256,9 +260,18 @@ def kpi_upsert_month(spark: SparkSession, sf_dir: str) -> DataFrame:
     half, later = fact.where("OrderID % 2 = 0"), fact.where(F.col("OrderDate") >= F.lit(FIRST_DAY))
     for sales in (half, later):
         replace_months(monthly_kpi(sales, one_row_per_order=True), f"{folder}/kpi")
-    columns = "TotalRevenue double, TotalOrders bigint, AverageOrderValue double"
-    schema = f"{columns}, UniqueCustomers bigint, yearmonth string"
-    return spark.read.schema(schema).parquet(f"{folder}/kpi")
+    return spark.read.schema(KPI_COLUMNS).parquet(f"{folder}/kpi")
+
+
+@query
+def daily_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The monthly measures after feed files went through the whole day twice."""
+    folder = shared_folder(spark, "daily_run")
+    retail_feed(spark, sf_dir).write.option("header", True).csv(f"{folder}/landing")
+    warehouse = Warehouse(f"{folder}/landing", f"{folder}/warehouse")
+    for _ in range(2):
+        run_daily(spark, warehouse, SECOND_DAY)
+    return spark.read.schema(KPI_COLUMNS).parquet(warehouse.gold("monthly_kpi"))
 
 
 # Versioned dimensions

@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import none_null
@@ -54,11 +54,19 @@ def star_schema(silver: DataFrame) -> dict[str, DataFrame]:
     }
 
 
-def write_silver(judged: DataFrame, path: str, run_date: datetime.date) -> None:
-    """Accepted and rejected rows of a day, apart but from one pass over the feed."""
+def write_silver(judged: DataFrame, path: str, run_date: datetime.date) -> dict[str, int]:
+    """Accepted and rejected rows of a day, apart but from one pass over the feed.
+
+    Returns how many there are of each, counted while they are written.
+    """
     accepted = F.col("failed_rule").isNull()
     status = F.when(accepted, F.lit("accepted")).otherwise(F.lit("rejected"))
-    replace_run(judged.withColumn("status", status), path, run_date, partition_by=["status"])
+    counts = Observation(f"silver {run_date}")
+    observed = judged.observe(
+        counts, F.count_if(accepted).alias("Accepted"), F.count_if(~accepted).alias("Rejected")
+    )
+    replace_run(observed.withColumn("status", status), path, run_date, partition_by=["status"])
+    return counts.get
 
 
 def read_silver(spark: SparkSession, path: str, run_date: datetime.date) -> DataFrame:
@@ -77,8 +85,8 @@ def run_daily(
     """Run every step for one day; repeating a day leaves the same tables.
 
     The files of a day make up one extract: the star schema shows that extract, and the
-    months in it replace those of earlier extracts. Returns the counts of each versioned
-    dimension. A day without feed rows leaves the gold tables as they are.
+    months in it replace those of earlier extracts. Returns the counts of silver and of each
+    versioned dimension. A day without feed rows leaves the gold tables as they are.
     """
     ingest_available(
         spark,
@@ -91,7 +99,8 @@ def run_daily(
     if not has_bronze(spark, warehouse.bronze, run_date):
         return {}
     raw = read_bronze(spark, warehouse.bronze, run_date)
-    write_silver(judge(raw, warehouse.id_type), warehouse.silver, run_date)
+    judged = judge(raw, warehouse.id_type)
+    counts = {"silver": write_silver(judged, warehouse.silver, run_date)}
 
     silver = read_silver(spark, warehouse.silver, run_date)
     for name, table in star_schema(silver).items():
@@ -99,7 +108,7 @@ def run_daily(
     fact = spark.read.parquet(warehouse.gold("fact_sales"))
     kpi = monthly_kpi(fact, one_row_per_order=True)
     replace_months(kpi, warehouse.gold("monthly_kpi"))
-    return record_versions(spark, warehouse, silver, run_date)
+    return counts | record_versions(spark, warehouse, silver, run_date)
 
 
 def record_versions(

@@ -37,6 +37,7 @@ def test_three_days(spark, folder):
     silver = read_silver(spark, warehouse.silver, D1)
     assert rows_of(silver) == rows_of(queries()["silver_clean"](spark, SMALL))
     rejects = read_rejects(spark, warehouse.silver, D1)
+    assert counts["silver"] == {"Accepted": silver.count(), "Rejected": rejects.count()}
     assert rows_of(rejects) == rows_of(queries()["silver_rejects"](spark, SMALL))
 
     schema = """TotalRevenue double, TotalOrders bigint, AverageOrderValue double,
