@@ -19,7 +19,6 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
 from .. import storage
 from ..functions import none_null
@@ -53,17 +52,19 @@ class VersionStore:
         last = self._require(as_of)
         runs = [run for run in self.runs() if run <= last]
         closed = [self._folder(run, "closed") for run in runs]
-        return self._load([*closed, self._folder(last, "open")], last)
+        return self._load([*filter(None, closed), self._open_folder(last)], last)
 
     def current(self, as_of: datetime.date | None = None) -> DataFrame:
         """The versions in force after the last run up to ``as_of``; history is not opened."""
         last = self._require(as_of)
-        return self._load([self._folder(last, "open")], last).where("is_current")
+        return self._load([self._open_folder(last)], last)
 
     def load(self, versions: DataFrame, run_date: datetime.date) -> dict[str, int]:
         """Start a store from an existing versioned table."""
         if self.latest():
             raise ValueError(f"{self.path} already has runs; a load would replace history")
+        if versions.where("is_current").isEmpty():
+            raise ValueError("a table to load needs at least one version in force")
         change = F.when(F.col("is_current"), F.lit(NEW_KEY)).otherwise(F.lit(HISTORY))
         return self._write(versions.withColumn("change", change), run_date)
 
@@ -99,6 +100,19 @@ class VersionStore:
         stepped = scd2_step(current, incoming, keys, attributes, run_date, null_safe)
         return self._write(stepped, run_date)
 
+    def forget_snapshots(self, before: datetime.date) -> list[datetime.date]:
+        """Remove the open versions as they were after runs before a day; returns the days.
+
+        Those of the last run stay, and so does all history. What is lost is reading the
+        table as of these days, and repeating the days right after them.
+        """
+        last = self.latest()
+        old = [run for run in self.runs() if run < before and run != last]
+        forgotten = [run for run in old if self._folder(run, "open")]
+        for run in forgotten:
+            storage.remove(self.spark, f"{self.path}/run_date={run}/state=open")
+        return forgotten
+
     def _days(self) -> list[datetime.date]:
         names = storage.child_names(self.spark, self.path)
         fields = (name.partition("=") for name in names)
@@ -126,14 +140,17 @@ class VersionStore:
         folder = f"{self.path}/run_date={run}/state={state}"
         return folder if storage.exists(self.spark, folder) else None
 
-    def _load(self, folders: list[str | None], last: datetime.date) -> DataFrame:
+    def _open_folder(self, run: datetime.date) -> str:
+        folder = self._folder(run, "open")
+        if folder is None:
+            raise LookupError(f"{self.path} no longer holds the open versions of {run}")
+        return folder
+
+    def _load(self, folders: list[str], last: datetime.date) -> DataFrame:
         # Runs may have gained attributes; the last one has them all, so its columns are the
         # table's, and no footers need to be merged.
-        run_folder = f"{self.path}/run_date={last}"
-        found = [folder for folder in folders if folder]
-        columns = self.spark.read.parquet(run_folder).schema
-        columns = StructType([field for field in columns if field.name != "state"])
-        versions = self.spark.read.schema(columns).parquet(*(found or [run_folder]))
+        columns = self.spark.read.parquet(self._open_folder(last)).schema
+        versions = self.spark.read.schema(columns).parquet(*folders)
         names = [name for name in versions.columns if name not in VERSION_COLUMNS]
         return versions.select(*names, *VERSION_COLUMNS)
 

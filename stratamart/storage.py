@@ -18,6 +18,12 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(target)
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Remove a folder with everything in it."""
+    fs, target = _resolve(spark, path)
+    fs.delete(target, True)
+
+
 def matches(spark: SparkSession, pattern: str) -> bool:
     """Whether any path matches a glob pattern."""
     fs, target = _resolve(spark, pattern)

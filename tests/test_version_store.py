@@ -121,6 +121,27 @@ def test_loaded_history_is_kept(spark, folder):
     assert rows_of(store.read()) == in_memory(spark, D3)
 
 
+def test_a_table_without_open_versions_is_not_loaded(spark, folder):
+    table = scd2_bootstrap(frame(spark, DAYS[D1]), D1).where("NOT is_current")
+    with pytest.raises(ValueError, match="at least one"):
+        VersionStore(spark, folder).load(table, D1)
+
+
+def test_forgotten_snapshots(spark, folder):
+    store, _ = filled(spark, folder)
+    before = rows_of(store.read())
+    assert store.forget_snapshots(D3) == [D1, D2]
+    assert store.forget_snapshots(D4) == []
+    assert rows_of(store.read()) == before
+    for day in (D1, D2):
+        with pytest.raises(LookupError):
+            store.read(as_of=day)
+    with pytest.raises(LookupError):
+        store.apply(frame(spark, DAYS[D3]), ["k"], ["a"], D3)
+    store.apply(frame(spark, DAYS[D3]), ["k"], ["a"], D4)
+    assert rows_of(store.read()) == before
+
+
 def test_nothing_known_yet(spark, folder):
     with pytest.raises(LookupError):
         VersionStore(spark, f"{folder}/none").read()
