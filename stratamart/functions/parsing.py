@@ -10,8 +10,18 @@ YEAR_FIRST = "yyyy-MM-dd"
 DAY_FIRST = "dd-MM-yyyy"
 
 
+# What a cast to an integer type accepts, except for the range: padding, a sign, digits.
+WHOLE_NUMBER = r"^[\x00-\x20\x7F]*[+-]?[0-9]+[\x00-\x20\x7F]*$"
+
+
 def whole_number(name: str, kind: str = "int") -> Column:
-    return F.col(name).try_cast(kind).alias(name)
+    """The number, or null for other text.
+
+    A cast that fails raises and catches an error for each row, which takes as long as
+    parsing a hundred numbers; the pattern keeps columns with much unreadable text cheap.
+    """
+    text = F.col(name)
+    return F.when(text.rlike(WHOLE_NUMBER), text.try_cast(kind)).alias(name)
 
 
 def decimal_number(name: str) -> Column:

@@ -7,6 +7,7 @@ import pytest
 from helpers import GOOD, raw_rows, rows_of
 from pyspark.sql import functions as F
 
+from stratamart.functions import whole_number
 from stratamart.operators import conform, quarantine, sales_fact, type_rows
 from stratamart.operators.conform import deduplicate
 from stratamart.operators.dimensions import one_row_per_key
@@ -30,6 +31,16 @@ def test_whole_numbers(spark):
     assert typed(spark, "OrderID", "X1", "12") == [None, 12]
 
 
+def test_the_pattern_of_numbers_leaves_the_cast_as_it_is(spark):
+    pieces = ["", " ", "\t", "\x7f", "\u00a0", "\u2003", "+", "-", "7", "007", "1.0", "1e3", "x"]
+    pieces += ["\u0663", "2147483647", "2147483648", "_", "0x1", "\n"]
+    texts = [a + b + c for a in pieces for b in pieces for c in ("", " ", "\n", "x", "\r\n")]
+    frame = spark.createDataFrame([(text,) for text in texts], "t string")
+    for kind in ("int", "bigint"):
+        plain = F.col("t").try_cast(kind)
+        assert frame.where(~whole_number("t", kind).eqNullSafe(plain)).count() == 0
+
+
 def test_more_orders_than_an_int_can_number(spark):
     raw = raw_rows(spark, {"OrderID": "99999999999"}, {"OrderID": "-7"})
     assert conform(raw).count() == 1
