@@ -19,7 +19,7 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .shared import stored
+from .shared import stored, with_text_key
 
 # The characters that do not count.
 WHITE_SPACE = " \t\n\u000b\f\r"
@@ -30,10 +30,11 @@ def normalised(text: Column) -> Column:
 
 
 def digests(documents: DataFrame) -> DataFrame:
-    """``doc_id, n_points, digest`` of every row, written once and read by the steps after."""
+    """``doc_id, text_key, n_points, digest`` of every row, written once and read by the steps after."""
     return stored(
-        documents.select(
-            F.col("doc_id").cast("long").alias("doc_id"),
+        with_text_key(documents).select(
+            "doc_id",
+            "text_key",
             F.length(F.coalesce("text", F.lit(""))).cast("long").alias("n_points"),
             F.unhex(F.sha2(normalised(F.col("text")), 256)).alias("digest"),
         ),
@@ -80,10 +81,11 @@ class DigestIndex:
         rows.select("digest", "keep_id", "n_points").write.insertInto(self.table)
 
     def add(self, documents: DataFrame) -> DataFrame:
-        """``doc_id, keep_id, group_size, kept, text_sha256`` for every row of ``documents``.
+        """``doc_id, keep_id, group_size, kept, text_sha256, text_key`` for every row.
 
         ``group_size`` counts the equal rows that came in now. A text that an earlier call
-        brought in keeps its first ``keep_id``, so none of its rows is kept now.
+        brought in keeps its first ``keep_id``, so none of its rows is kept now. Rows that repeat
+        a doc_id and its text stay or go together.
         """
         rows = digests(documents)
         groups = stored(winners(rows), "digest_groups")
@@ -96,5 +98,5 @@ class DigestIndex:
         settled = groups.select("digest", "group_size").join(known, "digest").join(brought, "digest", "left")
         kept = F.col("new").isNotNull() & F.col("doc_id").eqNullSafe(F.col("keep_id"))
         return rows.join(settled, "digest").select(
-            "doc_id", "keep_id", "group_size", kept.alias("kept"), F.lower(F.hex("digest")).alias("text_sha256")
+            "doc_id", "keep_id", "group_size", kept.alias("kept"), F.lower(F.hex("digest")).alias("text_sha256"), "text_key"
         )

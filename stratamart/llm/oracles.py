@@ -15,7 +15,7 @@ def near_sql(length: int, documents: str = "documents") -> str:
     near_sets AS (
         SELECT DISTINCT doc_id, unnest(CASE
             WHEN len(ws) >= {length}
-            THEN list_transform(range(1, len(ws) - {length} + 2), i -> array_to_string(ws[i:i + {length} - 1], ' '))
+            THEN list_transform(range(1, len(ws) - {length} + 2), lambda i: array_to_string(ws[i:i + {length} - 1], ' '))
             WHEN len(ws) > 0 THEN [array_to_string(ws, ' ')] ELSE [] END) AS shingle
         FROM near_words),
     near_sizes AS (SELECT doc_id, count(*) AS n FROM near_sets GROUP BY doc_id),
@@ -51,5 +51,36 @@ def exact_sql(documents: str = "documents") -> str:
         FROM exact_rows JOIN exact_best USING (text_sha256))"""
 
 
+def contamination_sql(documents: str = "documents") -> str:
+    """CTEs ending in ``judged``."""
+    word = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+    return rf"""
+    item_words AS (SELECT item_id, regexp_extract_all({_LOWERED}, '{word}') AS ws FROM benchmark),
+    item_windows AS (
+        SELECT DISTINCT item_id, least(len(ws), 13) AS size, unnest(list_transform(
+            range(1, greatest(len(ws) - 13, 0) + 2), lambda i: array_to_string(ws[i:i + 12], ' '))) AS win
+        FROM item_words WHERE len(ws) > 0),
+    doc_words AS (SELECT doc_id, regexp_extract_all({_LOWERED}, '{word}') AS ws FROM {documents}),
+    doc_windows AS (
+        SELECT doc_id, size, unnest(range(1, len(ws) - size + 2)) AS place,
+            unnest(list_transform(range(1, len(ws) - size + 2), lambda i: array_to_string(ws[i:i + size - 1], ' '))) AS win
+        FROM doc_words, (SELECT DISTINCT size FROM item_windows) WHERE len(ws) >= size),
+    hits AS (
+        SELECT doc_id, place, w.size, item_id FROM doc_windows w
+        JOIN item_windows i ON w.size = i.size AND w.win = i.win),
+    hit_words AS (
+        SELECT doc_id, count(DISTINCT spot) AS n_hit
+        FROM (SELECT doc_id, unnest(range(place, place + size)) AS spot FROM hits) GROUP BY doc_id),
+    hit_items AS (
+        SELECT doc_id, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS items
+        FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS item_id FROM hits) GROUP BY doc_id),
+    judged AS (
+        SELECT doc_id, len(ws) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+            sha256(coalesce(items, '')) AS items_sha256,
+            coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(ws) AS contaminated
+        FROM doc_words LEFT JOIN hit_words USING (doc_id) LEFT JOIN hit_items USING (doc_id))"""
+
+
+ORACLES["op8_winnowing"] = f"WITH {contamination_sql()} SELECT * FROM judged"
 ORACLES["op7_minhash_near_dedup"] = f"WITH RECURSIVE {near_sql(4)} SELECT * FROM near"
 ORACLES["op10_exact_dedup"] = f"WITH {exact_sql()} SELECT * FROM exact"

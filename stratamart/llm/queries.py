@@ -4,12 +4,17 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import corpus_pipeline
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from ..storage import shared_folder
+from .byte_bpe import encode_documents
+from .decontaminate import contamination
 from .exact_dedup import DigestIndex
 from .near_dedup import near_duplicates
 from .oracles import ORACLES as ORACLES
+from .quality import quality_scores
 from .shared import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -29,4 +34,26 @@ def op7_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     index = DigestIndex(spark, shared_folder(spark, "digest_index"))
-    return index.add(table(spark, sf_dir, "documents"))
+    return index.add(table(spark, sf_dir, "documents")).drop("text_key")
+
+
+@query
+def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    return encode_documents(table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
+
+
+@query
+def op3_quality_additive(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).drop("text_key")
+
+
+@query
+def op8_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.drop("items", "text_key")
+
+
+@query
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return corpus_pipeline.run(spark, sf_dir)

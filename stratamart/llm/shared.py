@@ -7,6 +7,7 @@ import shutil
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..storage import shared_folder
 
@@ -35,3 +36,9 @@ def stored(df: DataFrame, name: str) -> DataFrame:
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def with_text_key(documents: DataFrame) -> DataFrame:
+    """``doc_id, text, text_key``: the key tells rows apart that repeat a doc_id with other text."""
+    rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    return rows.withColumn("text_key", F.xxhash64("doc_id", "text"))
