@@ -5,17 +5,19 @@ Texts are lower-cased in ASCII and split at ASCII white space. The set of a docu
 without words has none. Documents are linked when ``100 * intersection >= 80 * union``.
 
 1. One pass over the texts makes, for each document, the digest of its set, 96 minima of the
-   set, 24 band keys of four minima each, and the lowest four bits of every minimum, packed
-   into six 64-bit numbers. Documents with one digest form a class; only classes go on.
-2. A band bucket pairs every class with the smallest class of the bucket, which is one row per
-   class and band however large the bucket is. The packed bits estimate the similarity: two
-   sets agree in a minimum's bits with probability ``J + (1 - J) / 16``. Pairs far below the
-   bound are left out, and the rest are confirmed on full sets.
-3. Pairs of a bucket whose classes are not connected yet are then estimated with each other,
+   set and of these 24 band keys of four minima each. Documents with one digest form a class;
+   only classes go on.
+2. Classes that share a band with another get a b-bit signature: the lowest four bits of 512
+   minima, packed into 32 numbers. Two sets agree in a minimum's bits with probability
+   ``J + (1 - J) / 16``, so counting bits estimates their similarity.
+3. A band bucket pairs every class with the smallest class of the bucket, which is one row per
+   class and band however large the bucket is. Pairs estimated far below the bound are left
+   out, the rest are confirmed on full sets.
+4. Pairs of a bucket whose classes are not connected yet are then estimated with each other,
    each pair in the first band they share; those that can reach the bound are confirmed too.
    Pairs inside one component change nothing and are never formed.
 
-A link at 0.8 shares no band with probability below 4e-6 and is estimated below 0.62 with
+A link at 0.8 shares no band with probability below 4e-6 and is estimated below 0.719 with
 probability below 1e-5 (4.4 standard deviations); every other link of different texts is found.
 
 Null and empty texts have no shingles, are kept and linked with nothing. Rows repeating a
@@ -41,11 +43,10 @@ from .shared import ship_code, stored
 BOUND_PERCENT = 80
 BANDS, ROWS = 24, 4
 MINIMA = BANDS * ROWS
+SIGNATURE = 512
 BITS = 4
-PACKED = MINIMA * BITS // 64
-ESTIMATE_AT_LEAST = 0.62
-
-SKETCH = f"doc_id long, n_shingles long, digest binary, bands array<long>, {', '.join(f's{i} long' for i in range(PACKED))}"
+PACKED = [f"s{at}" for at in range(SIGNATURE * BITS // 64)]
+ESTIMATE_AT_LEAST = 0.719
 
 
 def shingle_sets(column: pa.Array, length: int) -> Iterator[np.ndarray]:
@@ -64,12 +65,12 @@ def shingle_sets(column: pa.Array, length: int) -> Iterator[np.ndarray]:
                 yield tx.run_hashes(hashes[a:b], b - a) if b > a else runs[:0]
 
 
-def minima(sets: list[np.ndarray]) -> np.ndarray:
+def minima(sets: list[np.ndarray], number: int) -> np.ndarray:
     """One row of 32-bit minima per set, which is not empty."""
     values = np.concatenate(sets)
     begins = np.cumsum([0, *map(len, sets[:-1])])
-    factors = tx.numbered(5000, MINIMA) | np.uint64(1)
-    out = np.empty((len(sets), MINIMA), np.uint64)
+    factors = tx.numbered(5000, number) | np.uint64(1)
+    out = np.empty((len(sets), number), np.uint64)
     for at, factor in enumerate(factors):
         out[:, at] = np.minimum.reduceat(values * factor, begins)
     return out >> np.uint64(32)
@@ -85,7 +86,7 @@ def band_keys(lowest: np.ndarray) -> np.ndarray:
 
 def packed_bits(lowest: np.ndarray) -> np.ndarray:
     per_number = 64 // BITS
-    low = (lowest & np.uint64((1 << BITS) - 1)).reshape(len(lowest), PACKED, per_number)
+    low = (lowest & np.uint64((1 << BITS) - 1)).reshape(len(lowest), len(PACKED), per_number)
     shifts = np.arange(per_number, dtype=np.uint64) * np.uint64(BITS)
     return np.bitwise_or.reduce(low << shifts, axis=2).view(np.int64)
 
@@ -96,22 +97,32 @@ def sketch(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.Record
             part = batch.slice(at, 500)
             sets = list(shingle_sets(part.column("text"), length))
             full = [i for i, found in enumerate(sets) if len(found)]
-            lowest = minima([sets[i] for i in full]) if full else np.zeros((0, MINIMA), np.uint64)
-            keys, packed = band_keys(lowest), packed_bits(lowest)
-            back = np.full(len(sets), -1)
-            back[full] = np.arange(len(full))
-            missing = back < 0
-            pick = np.where(missing, 0, back)
-            offsets = np.concatenate(([0], np.cumsum(np.where(missing, 0, BANDS))))
+            keys = band_keys(minima([sets[i] for i in full], MINIMA)) if full else np.zeros((0, BANDS), np.int64)
+            offsets = np.concatenate(([0], np.cumsum([BANDS * bool(len(found)) for found in sets])))
             yield pa.RecordBatch.from_arrays(
                 [
-                    part.column("doc_id").cast(pa.int64()),
+                    part.column("doc_id"),
                     pa.array([len(found) for found in sets], pa.int64()),
                     pa.array([hashlib.blake2b(f.tobytes(), digest_size=16).digest() if len(f) else None for f in sets], pa.binary()),
                     pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(keys.reshape(-1))),
-                    *(pa.array(packed[pick, i] if full else np.zeros(len(sets), np.int64), mask=missing) for i in range(PACKED)),
                 ],
-                names=["doc_id", "n_shingles", "digest", "bands", *(f"s{i}" for i in range(PACKED))],
+                names=["doc_id", "n_shingles", "digest", "bands"],
+            )
+
+
+def sign(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
+    """The packed signature of each text that has words."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, 500):
+            part = batch.slice(at, 500)
+            sets = list(shingle_sets(part.column("text"), length))
+            full = [i for i, found in enumerate(sets) if len(found)]
+            if not full:
+                continue
+            packed = packed_bits(minima([sets[i] for i in full], SIGNATURE))
+            sizes = pa.array([len(sets[i]) for i in full], pa.int64())
+            yield pa.RecordBatch.from_arrays(
+                [part.column("doc_id").take(pa.array(full)), sizes, *map(pa.array, packed.T.copy())], names=["node", "n_shingles", *PACKED]
             )
 
 
@@ -131,14 +142,14 @@ def confirm(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.Recor
 def estimate(left: str, right: str):
     """Similarity from the packed bits, corrected for bits that agree by chance."""
     differing = F.lit(0)
-    for i in range(PACKED):
-        bits = F.col(f"{left}.s{i}").bitwiseXOR(F.col(f"{right}.s{i}"))
+    for name in PACKED:
+        bits = F.col(f"{left}.{name}").bitwiseXOR(F.col(f"{right}.{name}"))
         # Fold the bits of each minimum onto its lowest one.
         for shift in (1, 2):
             bits = bits.bitwiseOR(F.shiftrightunsigned(bits, shift))
         differing += F.bit_count(bits.bitwiseAND(F.lit(0x1111111111111111)))
     chance = 1 / 2**BITS
-    return ((1 - differing / MINIMA) - chance) / (1 - chance)
+    return ((1 - differing / SIGNATURE) - chance) / (1 - chance)
 
 
 def similar_enough(left: str, right: str):
@@ -146,27 +157,24 @@ def similar_enough(left: str, right: str):
     return (100 * small >= BOUND_PERCENT * large) & (estimate(left, right) >= ESTIMATE_AT_LEAST)
 
 
-def _confirmed(pairs: DataFrame, docs: DataFrame, length: int) -> DataFrame:
-    nodes = pairs.select("a").union(pairs.select("b")).distinct().withColumnRenamed("a", "node")
-    picked = stored(docs.join(nodes, F.col("doc_id") == F.col("node"), "left_semi"), "near_texts")
-    left = picked.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a"))
-    right = picked.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b"))
-    texts = pairs.join(left, "a").join(right, "b").select("a", "b", "text_a", "text_b")
-    return stored(texts.mapInArrow(partial(confirm, length=length), "a long, b long"), "near_links")
+def _confirmed(pairs: DataFrame, texts: DataFrame, length: int) -> DataFrame:
+    left = texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a")).hint("merge")
+    right = texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b")).hint("merge")
+    both = pairs.join(left, "a").join(right, "b").select("a", "b", "text_a", "text_b")
+    return stored(both.mapInArrow(partial(confirm, length=length), "a long, b long"), "near_links")
 
 
 def near_duplicates(documents: DataFrame, length: int = 5) -> DataFrame:
     """``doc_id, n_shingles, component_id, kept`` for every row of ``documents``."""
     ship_code(documents.sparkSession)
     docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    sketches = stored(docs.mapInArrow(partial(sketch, length=length), SKETCH), "near_sketches")
+    schema = "doc_id long, n_shingles long, digest binary, bands array<long>"
+    sketches = stored(docs.mapInArrow(partial(sketch, length=length), schema), "near_sketches")
 
     named = sketches.where("doc_id IS NOT NULL AND digest IS NOT NULL")
     classes = stored(named.groupBy("digest").agg(F.min("doc_id").alias("node")), "near_classes")
-    packed = [f"s{i}" for i in range(PACKED)]
     nodes = stored(
-        named.join(classes, "digest").where("doc_id = node").select("node", "n_shingles", "bands", *packed).dropDuplicates(["node", "n_shingles", *packed]),
-        "near_nodes",
+        named.join(classes, "digest").where("doc_id = node").select("node", "bands").distinct(), "near_nodes"
     )
 
     bands = nodes.select("node", F.explode("bands").alias("band"))
@@ -175,23 +183,30 @@ def near_duplicates(documents: DataFrame, length: int = 5) -> DataFrame:
         "near_buckets",
     )
     members = stored(bands.join(buckets, "band"), "near_members")
+
+    # The joins with texts ask for a merge, so that small tables take the plan of large ones.
+    active = members.select(F.col("node").alias("doc_id")).distinct().hint("merge")
+    texts = stored(docs.join(active, "doc_id", "left_semi").distinct(), "near_texts")
+    schema = f"node long, n_shingles long, {', '.join(f'{name} long' for name in PACKED)}"
+    signed = stored(texts.mapInArrow(partial(sign, length=length), schema), "near_signed")
+
     stars = members.where("node <> pivot").select(F.col("pivot").alias("a"), F.col("node").alias("b")).distinct()
-    left, right = nodes.drop("bands").alias("l"), nodes.drop("bands").alias("r")
-    stars = stars.join(left, F.col("a") == F.col("l.node")).join(right, (F.col("b") == F.col("r.node")) & similar_enough("l", "r"))
+    stars = stars.join(signed.alias("l"), F.col("a") == F.col("l.node"))
+    stars = stars.join(signed.alias("r"), (F.col("b") == F.col("r.node")) & similar_enough("l", "r"))
     stars = stored(stars.select("a", "b").distinct(), "near_stars")
-    links = _confirmed(stars, docs, length)
+    links = _confirmed(stars, texts, length)
     labels = components(links)
 
     # What is left: pairs of different components within a bucket, each in its first band.
     placed = members.join(labels, "node", "left").select("band", "node", F.coalesce("component", "node").alias("component"))
     mixed = placed.groupBy("band").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("band")
-    rows = stored(placed.join(mixed, "band").join(nodes, "node"), "near_mixed")
+    rows = stored(placed.join(mixed, "band").join(nodes, "node").join(signed, "node"), "near_mixed")
     first_shared = F.array_position(F.zip_with("l.bands", "r.bands", lambda x, y: x == y), True)
     wanted = (F.col("l.component") != F.col("r.component")) & (F.col("l.node") < F.col("r.node")) & similar_enough("l", "r")
     wanted &= F.element_at("l.bands", first_shared.cast("int")) == F.col("l.band")
     rest = rows.alias("l").join(rows.alias("r"), (F.col("l.band") == F.col("r.band")) & wanted)
     rest = rest.select(F.col("l.node").alias("a"), F.col("r.node").alias("b")).join(stars, ["a", "b"], "left_anti")
-    more = _confirmed(stored(rest.distinct(), "near_rest"), docs, length)
+    more = _confirmed(stored(rest.distinct(), "near_rest"), texts, length)
     if not more.isEmpty():
         labels = components(links.unionByName(more))
 
