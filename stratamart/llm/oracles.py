@@ -81,6 +81,53 @@ def contamination_sql(documents: str = "documents") -> str:
         FROM doc_words LEFT JOIN hit_words USING (doc_id) LEFT JOIN hit_items USING (doc_id))"""
 
 
+BYTES_SQL = r"""
+    WITH input AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS hexed FROM documents),
+    windows AS (
+        SELECT doc_id, unnest(range(0, len(hexed) // 2 - 49)) AS place,
+            unnest(list_transform(range(0, len(hexed) // 2 - 49), lambda i: md5_number(hexed[2 * i + 1:2 * i + 100]))) AS win
+        FROM input WHERE len(hexed) >= 100),
+    firsts AS (SELECT win, min(doc_id) AS first_id FROM windows GROUP BY win HAVING min(doc_id) < max(doc_id)),
+    gone AS (
+        SELECT doc_id, place,
+            place > lag(place, 1, -51) OVER (PARTITION BY doc_id ORDER BY place) + 50 AS fresh
+        FROM windows JOIN firsts USING (win) WHERE doc_id > first_id),
+    numbered AS (
+        SELECT doc_id, place,
+            sum(fresh::INT) OVER (PARTITION BY doc_id ORDER BY place ROWS UNBOUNDED PRECEDING) AS span
+        FROM gone),
+    spans AS (SELECT doc_id, min(place) AS start, max(place) + 50 AS stop FROM numbered GROUP BY doc_id, span),
+    gaps AS (
+        SELECT doc_id, lag(stop, 1, 0) OVER (PARTITION BY doc_id ORDER BY start) AS start, start AS stop FROM spans
+        UNION ALL SELECT doc_id, max(stop), 1000000000 FROM spans GROUP BY doc_id),
+    kept AS (
+        SELECT doc_id, string_agg(hexed[2 * start + 1:2 * stop], '' ORDER BY start) AS kept
+        FROM gaps JOIN input USING (doc_id) GROUP BY doc_id),
+    counts AS (SELECT doc_id, sum(stop - start)::BIGINT AS n_removed, count(*) AS n_spans FROM spans GROUP BY doc_id)
+    SELECT doc_id, (len(hexed) // 2)::BIGINT AS n_bytes, coalesce(n_removed, 0) AS n_removed,
+        coalesce(n_spans, 0) AS n_spans, sha256(unhex(coalesce(kept, hexed))) AS kept_sha256
+    FROM input LEFT JOIN counts USING (doc_id) LEFT JOIN kept USING (doc_id)"""
+
+WORDS_SQL = r"""
+    WITH input AS (
+        SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+    windows AS (
+        SELECT doc_id, unnest(range(1, len(ws) - 48)) AS place,
+            unnest(list_transform(range(1, len(ws) - 48), lambda i: array_to_string(ws[i:i + 49], ' '))) AS win
+        FROM input WHERE len(ws) >= 50),
+    firsts AS (SELECT win, min(doc_id) AS first_id FROM windows GROUP BY win HAVING min(doc_id) < max(doc_id)),
+    gone AS (
+        SELECT doc_id, list(DISTINCT place) AS places
+        FROM (SELECT doc_id, unnest(range(place, place + 50)) AS place
+            FROM windows JOIN firsts USING (win) WHERE doc_id > first_id) GROUP BY doc_id),
+    kept AS (
+        SELECT doc_id, ws, coalesce(len(places), 0) AS n_removed,
+            list_filter(ws, lambda w, i: NOT coalesce(list_contains(places, i), false)) AS left_over
+        FROM input LEFT JOIN gone USING (doc_id))
+    SELECT doc_id, len(ws) AS n_words, n_removed, sha256(array_to_string(left_over, ' ')) AS kept_sha256 FROM kept"""
+
+ORACLES["op4_suffix_array_dedup"] = BYTES_SQL
+ORACLES["op6_suffix_tree_dedup"] = WORDS_SQL
 ORACLES["op8_winnowing"] = f"WITH {contamination_sql()} SELECT * FROM judged"
 ORACLES["op7_minhash_near_dedup"] = f"WITH RECURSIVE {near_sql(4)} SELECT * FROM near"
 ORACLES["op10_exact_dedup"] = f"WITH {exact_sql()} SELECT * FROM exact"

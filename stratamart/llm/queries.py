@@ -16,6 +16,8 @@ from .near_dedup import near_duplicates
 from .oracles import ORACLES as ORACLES
 from .quality import quality_scores
 from .shared import table
+from .substring_dedup import remove_repeated_words
+from .suffix_dedup import remove_repeated_bytes
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -57,3 +59,13 @@ def op8_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
+
+
+@query
+def op4_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeated_bytes(table(spark, sf_dir, "documents"))
+
+
+@query
+def op6_suffix_tree_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeated_words(table(spark, sf_dir, "documents"))

@@ -42,3 +42,7 @@ def with_text_key(documents: DataFrame) -> DataFrame:
     """``doc_id, text, text_key``: the key tells rows apart that repeat a doc_id with other text."""
     rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     return rows.withColumn("text_key", F.xxhash64("doc_id", "text"))
+
+
+def shuffle_partitions(spark: SparkSession) -> int:
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))

@@ -136,17 +136,47 @@ def ranges(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
     return np.repeat(starts - before, counts) + np.arange(total)
 
 
+def run_values(values: np.ndarray, length: int) -> np.ndarray:
+    """Hashes of all runs of ``length`` values, by doubling; cheaper than ``run_hashes`` for long runs.
+
+    High bits depend on every value, low ones less so.
+    """
+    count = max(len(values) - length + 1, 0)
+    out, reach, power = values, 1, _FACTOR
+    while reach < length:
+        step = min(reach, length - reach)
+        size = len(out) - step
+        if size <= 0:
+            return np.zeros(0, np.uint64)
+        # A run of ``reach`` values and the same run ``step`` further on; the overlap, which
+        # only the last step has, is part of both.
+        out = out[:size] * np.uint64(power) + out[step : step + size]
+        power = power * power % (1 << 64)
+        reach += step
+    return out[:count]
+
+
+def token_run_hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of the values of each run; equal runs give equal hashes."""
+    up, down = _power_table(len(values) + 1)
+    sums = np.zeros(len(values) + 1, np.uint64)
+    np.cumsum(values * up[: len(values)], out=sums[1:])
+    return mix((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(np.uint64) * np.uint64(_FACTOR))
+
+
 def sliding_argmin(values: np.ndarray, width: int) -> np.ndarray:
-    """For each window of ``width`` values the position of its leftmost smallest one."""
+    """For each window of ``width`` values the position of its leftmost smallest one.
+
+    Values are compared by their high bits, as many as the positions leave free.
+    """
     count = len(values) - width + 1
     if count <= 0:
         return np.zeros(0, np.int64)
-    # Doubling: the best of 2, 4, ... values; the last step overlaps.
-    best = np.arange(len(values))
+    bits = np.uint64(max(len(values).bit_length(), 1))
+    best = (values >> bits << bits) | np.arange(len(values), dtype=np.uint64)
     reach = 1
     while reach < width:
         step = min(reach, width - reach)
-        left, right = best[:-step], best[step:]
-        best = np.where(values[left] <= values[right], left, right)
+        best = np.minimum(best[:-step], best[step:])
         reach += step
-    return best[:count]
+    return (best[:count] & ((np.uint64(1) << bits) - np.uint64(1))).astype(np.int64)
