@@ -99,8 +99,9 @@ class ByteBpe:
         self.token_sizes = np.array([len(token) for token in by_id], np.int64)
         self.token_starts = np.cumsum(self.token_sizes) - self.token_sizes
 
-    def encode_pieces(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    def encode_pieces(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """All ids, piece after piece, and the number of ids of each piece."""
+        pieces = [text.encode() for text in texts]
         counts = np.ones(len(pieces), np.int64)
         found: list[tuple[np.ndarray, np.ndarray]] = []  # piece numbers of ids, ids
         known = np.array([self.ranks.get(piece, -1) for piece in pieces], np.int32)
@@ -193,10 +194,14 @@ class _Pieces(dict):
 
 
 class TextEncoder:
-    """Encodes texts slice by slice with a bounded table of pieces."""
+    """Encodes texts slice by slice with a bounded table of pieces.
 
-    def __init__(self, bpe: ByteBpe):
-        self.bpe = bpe
+    ``split`` cuts a text into pieces, ``encode_pieces`` gives the ids of some pieces, one
+    after another, and how many each has.
+    """
+
+    def __init__(self, split, encode_pieces):
+        self.split, self.encode_pieces = split, encode_pieces
         self._forget()
 
     def _forget(self) -> None:
@@ -207,14 +212,14 @@ class TextEncoder:
         """All ids, text after text, and how many ids come before each text and in all."""
         if len(self.pieces) > KEPT_PIECES:
             self._forget()
-        number, split = self.pieces.__getitem__, self.bpe.pattern.findall
+        number, split = self.pieces.__getitem__, self.split
         numbers, sizes = [], []
         for text in texts:
             found = split(text)
             sizes.append(len(found))
             numbers.append(np.fromiter(map(number, found), np.int64, len(found)))
         if self.pieces.waiting:
-            ids, counts = self.bpe.encode_pieces([piece.encode() for piece in self.pieces.waiting])
+            ids, counts = self.encode_pieces(self.pieces.waiting)
             self.ids, self.counts = np.concatenate((self.ids, ids)), np.concatenate((self.counts, counts))
             self.pieces.waiting = []
         used = np.concatenate(numbers) if numbers else np.zeros(0, np.int64)
@@ -231,7 +236,7 @@ def tokenizer(path: str, pattern: str) -> ByteBpe:
 
 def encode_texts(batches: Iterator[pa.RecordBatch], path: str, pattern: str, with_ids: bool) -> Iterator[pa.RecordBatch]:
     bpe = tokenizer(path, pattern)
-    encoder = TextEncoder(bpe)
+    encoder = TextEncoder(bpe.pattern.findall, bpe.encode_pieces)
     for batch in batches:
         column = batch.column("text")
         for first, last, _, _ in sliced(column):

@@ -83,10 +83,14 @@ def contamination_sql(documents: str = "documents") -> str:
 
 BYTES_SQL = r"""
     WITH input AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS hexed FROM documents),
-    windows AS (
-        SELECT doc_id, unnest(range(0, len(hexed) // 2 - 49)) AS place,
-            unnest(list_transform(range(0, len(hexed) // 2 - 49), lambda i: md5_number(hexed[2 * i + 1:2 * i + 100]))) AS win
+    blocks AS (
+        SELECT doc_id, unnest(range(0, len(hexed) // 2 - 49, 64)) AS base,
+            unnest(list_transform(range(0, len(hexed) // 2 - 49, 64), lambda i: substring(hexed, 2 * i + 1, 226))) AS part
         FROM input WHERE len(hexed) >= 100),
+    windows AS (
+        SELECT doc_id, base + unnest(range(0, len(part) // 2 - 49)) AS place,
+            unnest(list_transform(range(0, len(part) // 2 - 49), lambda i: md5_number(substring(part, 2 * i + 1, 100)))) AS win
+        FROM blocks),
     firsts AS (SELECT win, min(doc_id) AS first_id FROM windows GROUP BY win HAVING min(doc_id) < max(doc_id)),
     gone AS (
         SELECT doc_id, place,

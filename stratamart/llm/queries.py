@@ -9,6 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from ..storage import shared_folder
+from . import token_store
 from .byte_bpe import encode_documents
 from .decontaminate import contamination
 from .exact_dedup import DigestIndex
@@ -69,3 +70,11 @@ def op4_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op6_suffix_tree_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeated_words(table(spark, sf_dir, "documents"))
+
+
+@query
+def op5_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vocabulary = token_store.Vocabulary(public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN, end_id=2)
+    path = shared_folder(spark, "token_store")
+    token_store.write(table(spark, sf_dir, "documents"), path, vocabulary)
+    return token_store.read(spark, path)
