@@ -13,6 +13,7 @@ from . import token_store
 from .byte_bpe import encode_documents
 from .decontaminate import contamination
 from .exact_dedup import DigestIndex
+from .licenses import license_matches
 from .near_dedup import near_duplicates
 from .oracles import ORACLES as ORACLES
 from .quality import quality_scores
@@ -78,3 +79,8 @@ def op5_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = shared_folder(spark, "token_store")
     token_store.write(table(spark, sf_dir, "documents"), path, vocabulary)
     return token_store.read(spark, path)
+
+
+@query
+def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_matches(table(spark, sf_dir, "documents"))
