@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from . import texts as tx
 from .shared import ship_code, stored, with_text_key
 
-SAMPLE_ROWS = 30_000
+SAMPLE_ROWS = 12_000
 BINS, PAIR_BINS = 32, 8
 ROUNDS, PAIR_ROUNDS, PAIRS = 150, 60, 8
 RATE = 0.15

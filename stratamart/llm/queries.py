@@ -20,6 +20,7 @@ from .quality import quality_scores
 from .shared import table
 from .substring_dedup import remove_repeated_words
 from .suffix_dedup import remove_repeated_bytes
+from .surrogates import pseudonymised
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -84,3 +85,8 @@ def op5_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_matches(table(spark, sf_dir, "documents"))
+
+
+@query
+def op9_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pseudonymised(table(spark, sf_dir, "documents"), key=b"registered query, not a secret")
