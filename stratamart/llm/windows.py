@@ -172,8 +172,9 @@ def shared_anchors(documents: DataFrame, unit: Unit, buckets: int) -> DataFrame:
     return found.groupBy("doc_id").agg(F.collect_list("place").alias("places"))
 
 
-WINDOW_ROWS = "bucket int, docs binary, places binary, sizes binary, contents binary"
-_SENT = pa.schema([("bucket", pa.int32()), *((name, pa.binary()) for name in ("docs", "places", "sizes", "contents"))])
+_PARTS = ("docs", "places", "sizes", "hashes", "anchors", "contents")
+WINDOW_ROWS = "bucket int, " + ", ".join(f"{name} binary" for name in _PARTS)
+_SENT = pa.schema([("bucket", pa.int32()), *((name, pa.binary()) for name in _PARTS)])
 
 
 def _send_windows(batches: Iterator[pa.RecordBatch], unit: Unit, buckets: int) -> Iterator[pa.RecordBatch]:
@@ -212,12 +213,15 @@ def _send_windows(batches: Iterator[pa.RecordBatch], unit: Unit, buckets: int) -
             later = docs > smallest
             out = {name: [] for name in _SENT.names}
 
+            mixed = tx.mix(grams[anchor])
+            key, short = mixed % np.uint64(buckets), (mixed >> np.uint64(32)).astype("<u4")
+
             def put(bucket, picked, contents, out=out):
-                entry = (bucket, pack(docs[picked]), pack((begin - first[owner])[picked]), pack(sizes[picked]), contents)
-                for name, value in zip(_SENT.names, entry, strict=True):
+                entry = [bucket, pack(docs[picked]), pack((begin - first[owner])[picked]), pack(sizes[picked])]
+                marks = [content[picked].tobytes(), short[picked].tobytes()] if contents else [b"", b""]
+                for name, value in zip(_SENT.names, [*entry, *marks, contents], strict=True):
                     out[name].append(value)
 
-            key = tx.mix(grams[anchor]) % np.uint64(buckets)
             if later.any():
                 put(int(key[0]), np.flatnonzero(later), b"")
             sent = np.flatnonzero(~later)
@@ -244,6 +248,7 @@ def _settle_windows(batches: Iterator[pa.RecordBatch], unit: Unit, width: int, j
     """Which tokens go: ``doc_id, start, stop`` spans."""
     schema = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("stop", pa.int64())])
     held: list[tuple] = []
+    packed: list[bytes] = []
 
     def spans(docs, places, sizes):
         """Windows of consecutive starts cover one span; spans of a document that touch are joined."""
@@ -257,47 +262,72 @@ def _settle_windows(batches: Iterator[pa.RecordBatch], unit: Unit, width: int, j
         return pa.RecordBatch.from_arrays([pa.array(docs), pa.array(start), pa.array(stop)], schema=schema)
 
     for batch in batches:
-        for _, docs, places, sizes, contents in zip(*(batch.column(name).to_pylist() for name in _SENT.names), strict=True):
+        for _, docs, places, sizes, hashes, short, contents in zip(*(batch.column(name).to_pylist() for name in _SENT.names), strict=True):
             docs, places, sizes = unpack(docs, np.int64), unpack(places, np.int64), unpack(sizes, np.int64)
             if not contents:
                 yield spans(docs, places, sizes)
             else:
-                held.append((docs, places, sizes, np.frombuffer(zstandard.decompress(contents), f"u{width}")))
+                held.append((docs, places, sizes, np.frombuffer(hashes, np.uint64), np.frombuffer(short, "<u4")))
+                packed.append(contents)
     if not held:
         return
-    docs, places, sizes, tokens = (np.concatenate(part) for part in zip(*held, strict=True))
+    entries = [len(part[0]) for part in held]
+    docs, places, sizes, content, short = (np.concatenate(part) for part in zip(*held, strict=True))
     held.clear()
-    lengths = sizes + unit.window - 1
-    before = np.cumsum(lengths) - lengths
-    values = tokens if width == 8 else tx.BYTE_VALUES[tokens]
-    content = tx.token_run_hashes(values, before, before + lengths)
     order = np.lexsort((docs, content))
     runs = _changes(content[order])
+    counts = np.diff(np.append(runs, len(order)))
     smallest = np.empty(len(docs), np.int64)
-    smallest[order] = np.repeat(docs[order][runs], np.diff(np.append(runs, len(order))))
+    smallest[order] = np.repeat(docs[order[runs]], counts)
     later = docs > smallest
     yield spans(docs[later], places[later], sizes[later])
 
-    # One entry for each content and, as ids repeat, each place of its first document.
-    picked = order[runs]
-    picked = picked[np.argsort(docs[picked], kind="stable")]
-    kept = lengths[picked]
-    unique = Runs(docs[picked], places[picked], sizes[picked], tokens[tx.ranges(before[picked], kept)], np.cumsum(kept) - kept)
-    repeated = judge(unique)
-    # Every place of a first document takes the result of its content.
-    number = np.full(len(docs), -1)
-    number[order] = np.repeat(np.arange(len(runs)), np.diff(np.append(runs, len(order))))
-    position = np.empty(len(runs), np.int64)
-    position[number[picked]] = np.arange(len(picked))
-    window_at = np.cumsum(unique.sizes) - unique.sizes
-    first_ones = np.flatnonzero(~later)
+    # One entry for each distinct run, and of these the ones whose anchor another one has too.
+    unique = order[runs]
+    by_anchor = np.argsort(short[unique], kind="stable")
+    groups = _changes(short[unique][by_anchor])
+    group_sizes = np.diff(np.append(groups, len(unique)))
+    unique = unique[by_anchor[np.repeat(group_sizes > 1, group_sizes)]]
+    if not len(unique):
+        return
+    unique = unique[np.argsort(docs[unique], kind="stable")]
+    tokens, before = _tokens_of(unique, packed, entries, sizes + unit.window - 1, width)
+    repeated = judge(Runs(docs[unique], places[unique], sizes[unique], tokens, before))
+    # Every place of a first document takes the result of its run.
+    number = np.empty(len(docs), np.int64)
+    number[order] = np.repeat(np.arange(len(runs)), counts)
+    position = np.full(len(runs), -1)
+    position[number[unique]] = np.arange(len(unique))
+    window_at = np.cumsum(sizes[unique]) - sizes[unique]
+    first_ones = np.flatnonzero(~later & (position[number] >= 0))
     source = position[number[first_ones]]
-    flags = repeated[tx.ranges(window_at[source], unique.sizes[source])]
+    flags = repeated[tx.ranges(window_at[source], sizes[first_ones])]
     owners = np.repeat(docs[first_ones], sizes[first_ones])
     starts = tx.ranges(places[first_ones], sizes[first_ones])
     yield spans(owners[flags], starts[flags], np.ones(int(flags.sum()), np.int64))
 
 
+def _tokens_of(picked: np.ndarray, packed: list[bytes], entries: list[int], lengths: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """The tokens of some entries in their order, and how many come before each.
+
+    One packed row is open at a time.
+    """
+    wanted = np.zeros(len(lengths), bool)
+    wanted[picked] = True
+    pool, first = [], 0
+    for contents, number in zip(packed, entries, strict=True):
+        own = lengths[first : first + number]
+        some = wanted[first : first + number]
+        if some.any():
+            tokens = np.frombuffer(zstandard.decompress(contents), f"u{width}")
+            pool.append(tokens[tx.ranges((np.cumsum(own) - own)[some], own[some])])
+        first += number
+    kept = np.where(wanted, lengths, 0)
+    at = (np.cumsum(kept) - kept)[picked]
+    sizes = lengths[picked]
+    return np.concatenate(pool)[tx.ranges(at, sizes)], np.cumsum(sizes) - sizes
+
+
 def repeated_spans(candidates: DataFrame, unit: Unit, width: int, buckets: int, judge: Callable[[Runs], np.ndarray]) -> DataFrame:
     """``doc_id, spans``: the tokens of each document in windows that a smaller id has too.
 
