@@ -8,7 +8,7 @@ moves up by one place, and finished rows leave the matrix. Pieces over ``LONGEST
 follow the same rule with a heap, whose work does not grow with the square of the length.
 
 A slice of texts encodes each distinct piece once; a bounded table of pieces is carried from
-slice to slice. Null counts as an empty text, which has no ids.
+slice to slice (``pieces``). Null counts as an empty text, which has no ids.
 """
 
 from __future__ import annotations
@@ -21,16 +21,15 @@ from functools import lru_cache, partial
 
 import numpy as np
 import pyarrow as pa
-import regex
 from pyspark.sql import DataFrame
 
+from .pieces import TextEncoder
 from .shared import ship_code
 from .texts import numbered, ranges, sliced
 
 NO_RANK = np.int32(2**31 - 1)
 WIDTHS = (2, 4, 8, 16, 32, 64, 128, 256)
 LONGEST_ROW = WIDTHS[-1]
-KEPT_PIECES = 300_000
 
 
 class PairTable:
@@ -78,10 +77,9 @@ class PairTable:
 class ByteBpe:
     """A tokenizer of a rank file, whose ids are the ranks."""
 
-    def __init__(self, path: str, pattern: str):
+    def __init__(self, path: str):
         with open(path, "rb") as lines:
             self.ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
-        self.pattern = regex.compile(pattern)
         self.byte_ids = np.array([self.ranks[bytes([byte])] for byte in range(256)], np.int32)
         self.pairs = {
             (self.ranks[token[:cut]], self.ranks[token[cut:]]): rank
@@ -181,67 +179,24 @@ class ByteBpe:
         return self.token_bytes[ranges(self.token_starts[ids], sizes)], np.concatenate(([0], np.cumsum(sizes)))
 
 
-class _Pieces(dict):
-    """Numbers of pieces; new ones wait for encoding."""
-
-    def __init__(self):
-        self.waiting: list[str] = []
-
-    def __missing__(self, piece: str) -> int:
-        self[piece] = number = len(self)
-        self.waiting.append(piece)
-        return number
-
-
-class TextEncoder:
-    """Encodes texts slice by slice with a bounded table of pieces.
-
-    ``split`` cuts a text into pieces, ``encode_pieces`` gives the ids of some pieces, one
-    after another, and how many each has.
-    """
-
-    def __init__(self, split, encode_pieces):
-        self.split, self.encode_pieces = split, encode_pieces
-        self._forget()
-
-    def _forget(self) -> None:
-        self.pieces = _Pieces()
-        self.ids, self.counts = np.zeros(0, np.int32), np.zeros(0, np.int64)
-
-    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """All ids, text after text, and how many ids come before each text and in all."""
-        if len(self.pieces) > KEPT_PIECES:
-            self._forget()
-        number, split = self.pieces.__getitem__, self.split
-        numbers, sizes = [], []
-        for text in texts:
-            found = split(text)
-            sizes.append(len(found))
-            numbers.append(np.fromiter(map(number, found), np.int64, len(found)))
-        if self.pieces.waiting:
-            ids, counts = self.encode_pieces(self.pieces.waiting)
-            self.ids, self.counts = np.concatenate((self.ids, ids)), np.concatenate((self.counts, counts))
-            self.pieces.waiting = []
-        used = np.concatenate(numbers) if numbers else np.zeros(0, np.int64)
-        counts = self.counts[used]
-        starts = (np.cumsum(self.counts) - self.counts)[used]
-        ends = np.concatenate(([0], np.cumsum(counts)))
-        return self.ids[ranges(starts, counts)], ends[np.concatenate(([0], np.cumsum(sizes))).astype(np.int64)]
+@lru_cache(maxsize=4)
+def tokenizer(path: str) -> ByteBpe:
+    return ByteBpe(path)
 
 
-@lru_cache(maxsize=4)
-def tokenizer(path: str, pattern: str) -> ByteBpe:
-    return ByteBpe(path, pattern)
+@lru_cache(maxsize=2)
+def encoder(path: str, pattern: str) -> TextEncoder:
+    """One encoder for all tasks of a worker, so that its table of pieces is used again."""
+    return TextEncoder(pattern, tokenizer(path).encode_pieces)
 
 
 def encode_texts(batches: Iterator[pa.RecordBatch], path: str, pattern: str, with_ids: bool) -> Iterator[pa.RecordBatch]:
-    bpe = tokenizer(path, pattern)
-    encoder = TextEncoder(bpe.pattern.findall, bpe.encode_pieces)
+    bpe = tokenizer(path)
     for batch in batches:
         column = batch.column("text")
         for first, last, _, _ in sliced(column):
             texts = [text or "" for text in column.slice(first, last - first).to_pylist()]
-            ids, at = encoder.encode(texts)
+            ids, at = encoder(path, pattern).encode(texts)
             raw, byte_at = bpe.decode(ids)
             encoded = memoryview(ids.astype("<u4").tobytes())
             decoded = memoryview(raw.tobytes())

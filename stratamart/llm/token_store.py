@@ -33,13 +33,12 @@ from functools import lru_cache, partial
 
 import numpy as np
 import pyarrow as pa
-import regex
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .byte_bpe import TextEncoder
+from .pieces import TextEncoder
 from .shared import ship_code, shuffle_partitions
 from .texts import sliced
 
@@ -72,11 +71,12 @@ def _encode_pieces(pieces: list[str], path: str) -> tuple[np.ndarray, np.ndarray
     return np.array([token for ids in found for token in ids], np.int32), counts
 
 
+@lru_cache(maxsize=2)
 def encoder(vocabulary: Vocabulary):
     """A function from texts to one array of ids for each, the end id included."""
     library = _library(vocabulary.path)
     added = [token.content for token in library.get_added_tokens_decoder().values()]
-    texts_to_ids = TextEncoder(regex.compile(vocabulary.pattern).findall, partial(_encode_pieces, path=vocabulary.path))
+    texts_to_ids = TextEncoder(vocabulary.pattern, partial(_encode_pieces, path=vocabulary.path))
 
     def encode(texts: list[str]) -> list[np.ndarray]:
         ids, at = texts_to_ids.encode(texts)
