@@ -18,12 +18,20 @@ def main(arguments: Sequence[str] | None = None) -> None:
     parser.add_argument("root", help="folder of the warehouse")
     parser.add_argument("--run-date", required=True, type=datetime.date.fromisoformat)
     parser.add_argument("--archive", help="folder for feed files that were taken over")
-    parser.add_argument("--id-type", choices=["int", "bigint"], default="int")
+    parser.add_argument("--id-type", choices=["int", "bigint"], default="bigint")
+    parser.add_argument(
+        "--whole-extracts", action="store_true", help="the files of a day are the whole feed"
+    )
+    parser.add_argument(
+        "--replay", action="store_true", help="repeat a day before the last one; then the later ones"
+    )
     chosen = parser.parse_args(arguments)
 
     spark = SparkSession.builder.appName("stratamart").getOrCreate()
-    warehouse = Warehouse(chosen.landing, chosen.root, chosen.archive, chosen.id_type)
-    print(json.dumps(run_daily(spark, warehouse, chosen.run_date)))
+    warehouse = Warehouse(
+        chosen.landing, chosen.root, chosen.archive, chosen.id_type, chosen.whole_extracts
+    )
+    print(json.dumps(run_daily(spark, warehouse, chosen.run_date, chosen.replay)))
 
 
 if __name__ == "__main__":

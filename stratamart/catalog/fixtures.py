@@ -4,14 +4,16 @@ from __future__ import annotations
 
 import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import conform
+from ..operators import conform, scd2_apply, scd2_bootstrap
 from ..operators.dimensions import versioned_input
-from ..schemas import RAW_COLUMNS
+from ..schemas import RAW_COLUMNS, VERSIONED_DIMENSIONS
 from ..sources import retail_feed
 
+# Before the first order.
+START = datetime.date(1992, 1, 1)
 FIRST_DAY = datetime.date(1998, 1, 1)
 SECOND_DAY = datetime.date(1998, 6, 1)
 
@@ -52,8 +54,9 @@ def existing_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def incoming_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Renamed, nulled, moved and new customers; one of seven does not come in."""
-    customers = spark.read.parquet(f"{sf_dir}/customer.parquet").where("c_custkey % 7 <> 0")
+    """Renamed, nulled, moved and new customers; one of seven known ones does not come in."""
+    customers = spark.read.parquet(f"{sf_dir}/customer.parquet")
+    customers = customers.where("c_custkey % 7 <> 0 OR c_custkey % 5 = 0")
     return customers.selectExpr(
         "c_custkey AS CustomerID",
         """CASE WHEN c_custkey % 3 = 0 THEN concat(c_name, ' Jr')
@@ -89,3 +92,31 @@ def write_malformed(spark: SparkSession, sf_dir: str, path: str) -> None:
     )
     # A tab as separator lets whole lines, header included, pass unquoted.
     lines.write.option("header", True).option("sep", "\t").csv(path)
+
+
+def write_uneven(spark: SparkSession, sf_dir: str, path: str) -> None:
+    """Feed files with rows of 3 fields (orders) and of 15, two of them surplus (suppliers)."""
+    orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
+    suppliers = spark.read.parquet(f"{sf_dir}/supplier.parquet")
+    too_short = [F.col("o_orderkey"), F.col("o_custkey"), F.col("o_orderpriority")]
+    values = {"OrderID": F.col("s_suppkey"), "TotalPrice": F.col("s_acctbal")}
+    too_long = [values.get(name, F.lit(name)) for name in RAW_COLUMNS] + [F.lit("surplus")] * 2
+    header = ",".join(RAW_COLUMNS)
+    lines = orders.select(F.concat_ws(",", *too_short).alias(header)).unionByName(
+        suppliers.select(F.concat_ws(",", *too_long).alias(header))
+    )
+    lines.write.option("header", True).option("sep", "\t").csv(path)
+
+
+def store_versions(rows: DataFrame) -> DataFrame:
+    """Stores as known before the first day and after it, when every ninth has moved."""
+    keys, attributes = VERSIONED_DIMENSIONS["store"]
+    before, after = dimension_days(rows, keys, attributes)
+    known = scd2_bootstrap(before, START)
+    return scd2_apply(known, after, keys, attributes, FIRST_DAY)
+
+
+def in_extract(number: int) -> Column:
+    """Whether a feed row is in the first or the second of two extracts, by its order."""
+    digits = F.regexp_extract("OrderID", "[0-9]+", 0).cast("bigint")
+    return digits % 2 == number

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 FEED = """
 SELECT
-  CASE WHEN l_orderkey % 101 = 0 THEN 'X' || l_orderkey::VARCHAR ELSE l_orderkey::VARCHAR
-    END AS OrderID,
+  CASE WHEN l_orderkey % 101 = 0 THEN 'X' || l_orderkey::VARCHAR
+    WHEN l_orderkey % 103 = 0 THEN (l_orderkey + 3000000000)::VARCHAR
+    ELSE l_orderkey::VARCHAR END AS OrderID,
   CASE WHEN l_orderkey % 97 = 0 THEN 'not-a-date'
     WHEN l_orderkey % 2 = 0 THEN strftime(o_orderdate::DATE, '%Y-%m-%d')
     ELSE strftime(o_orderdate::DATE, '%d-%m-%Y') END AS OrderDate,
@@ -34,7 +35,7 @@ TYPED = """
 SELECT *, strftime(OrderDate, '%d-%m-%Y') AS OrderDateStr
 FROM (
   SELECT
-    try_cast(OrderID AS INTEGER) AS OrderID,
+    try_cast(OrderID AS BIGINT) AS OrderID,
     coalesce(try_strptime(OrderDate, '%Y-%m-%d'), try_strptime(OrderDate, '%d-%m-%Y'))::DATE
       AS OrderDate,
     CustomerID, CustomerName, ProductID, ProductName, Category,
@@ -98,7 +99,7 @@ incoming AS (
     CASE WHEN c_custkey % 3 = 0 THEN c_name || ' Jr' WHEN c_custkey % 11 = 0 THEN NULL
       ELSE c_name END AS CustomerName,
     CASE WHEN c_custkey % 10 = 1 THEN 'RETAIL' ELSE c_mktsegment END AS Segment
-  FROM customer WHERE c_custkey % 7 <> 0)"""
+  FROM customer WHERE c_custkey % 7 <> 0 OR c_custkey % 5 = 0)"""
 
 FIRST_DAY = "DATE '1998-01-01'"
 SECOND_DAY = "DATE '1998-06-01'"
@@ -182,25 +183,98 @@ SUMMARY = " UNION ALL ".join(
     for name, with_tagged in TWO_DAYS.items()
 )
 
+REJECTS = f"""{SILVER},
+unread AS (
+  SELECT * REPLACE (NULL::BIGINT AS OrderID), OrderID AS RawOrderID FROM feed
+  WHERE try_cast(OrderID AS BIGINT) IS NULL)
+SELECT *,
+  CASE WHEN OrderDate IS NULL THEN 'OrderDate is missing'
+    WHEN CustomerID IS NULL THEN 'CustomerID is missing'
+    WHEN ProductID IS NULL THEN 'ProductID is missing'
+    WHEN Quantity IS NULL THEN 'Quantity is missing'
+    WHEN Quantity <= 0 THEN 'Quantity is not positive'
+    WHEN UnitPrice IS NULL THEN 'UnitPrice is missing'
+    WHEN TotalPrice IS NULL THEN 'TotalPrice is missing' END AS failed_rule,
+  OrderID::VARCHAR AS RawOrderID
+FROM deduped WHERE OrderID IS NOT NULL AND failed_rule IS NOT NULL
+UNION ALL BY NAME
+SELECT * REPLACE (
+    coalesce(try_strptime(OrderDate, '%Y-%m-%d'), try_strptime(OrderDate, '%d-%m-%Y'))::DATE
+      AS OrderDate,
+    try_cast(Quantity AS INTEGER) AS Quantity, try_cast(UnitPrice AS DOUBLE) AS UnitPrice,
+    try_cast(TotalPrice AS DOUBLE) AS TotalPrice),
+  strftime(coalesce(try_strptime(OrderDate, '%Y-%m-%d'), try_strptime(OrderDate, '%d-%m-%Y')),
+    '%d-%m-%Y') AS OrderDateStr,
+  CASE WHEN RawOrderID IS NULL THEN 'OrderID is missing' ELSE 'OrderID is unreadable' END
+    AS failed_rule
+FROM unread"""
+
+STORE_VERSIONS = f"""
+stores_before AS (
+  SELECT StoreID, min(StoreLocation) AS StoreLocation FROM clean
+  WHERE OrderDate < {FIRST_DAY} AND StoreID IS NOT NULL GROUP BY 1),
+stores_after AS (
+  SELECT StoreID, min(StoreLocation) || CASE WHEN substr(StoreID, 2)::BIGINT % 9 = 0 THEN ' v2'
+    ELSE '' END AS StoreLocation
+  FROM clean WHERE OrderDate >= {FIRST_DAY} AND StoreID IS NOT NULL GROUP BY 1)"""
+
+# The orders of the first and of the second of two extracts.
+EXTRACT = "(OrderID % 2 <> 0)::INTEGER"
+
+
+def _newest(key: str, attributes: list[str], extract: int) -> str:
+    """The attributes of a key's last order in an extract, the greatest ones on equal days."""
+    order = ", ".join(f"{name} DESC NULLS LAST" for name in ["OrderDate", *attributes])
+    return f"""
+  SELECT {", ".join([key, *attributes])} FROM clean WHERE {EXTRACT} = {extract} AND {key} IS NOT NULL
+  QUALIFY row_number() OVER (PARTITION BY {key} ORDER BY {order}) = 1"""
+
+
+def _daily_history(key: str, attributes: list[str]) -> str:
+    return f"""{SILVER},
+existing AS (
+  SELECT *, {FIRST_DAY} AS valid_from, NULL::DATE AS valid_to, true AS is_current
+  FROM ({_newest(key, attributes, 0)})),
+incoming AS ({_newest(key, attributes, 1)}),
+{_versions([key], attributes)}
+SELECT * EXCLUDE (change) FROM tagged"""
+
+
+DAILY_HISTORY = " UNION ALL BY NAME ".join(
+    f"SELECT * FROM ({_daily_history(key, attributes)})"
+    for key, attributes in (
+        ("CustomerID", ["CustomerName"]),
+        ("ProductID", ["ProductName", "Category"]),
+        ("StoreID", ["StoreLocation"]),
+    )
+)
+
+ASOF = f"""{TAGGED}
+SELECT o_orderkey, o_custkey, CustomerName, Segment, valid_from
+FROM orders LEFT JOIN tagged ON o_custkey = CustomerID AND o_orderdate::DATE >= valid_from
+  AND (valid_to IS NULL OR o_orderdate::DATE < valid_to)"""
+
 ORACLES = {
     "bronze_csv_scan": FEED,
-    "bronze_csv_infer": f"SELECT * REPLACE (TotalPrice::DOUBLE AS TotalPrice) FROM ({FEED})",
+    "bronze_csv_infer": f"""
+SELECT * REPLACE (TotalPrice::DOUBLE AS TotalPrice) FROM ({FEED})
+UNION ALL BY NAME
+SELECT o_orderkey::VARCHAR AS OrderID, o_custkey::VARCHAR AS OrderDate,
+  o_orderpriority AS CustomerID FROM orders
+UNION ALL BY NAME
+SELECT s_suppkey::VARCHAR AS OrderID, 'OrderDate' AS OrderDate, 'CustomerID' AS CustomerID,
+  'CustomerName' AS CustomerName, 'ProductID' AS ProductID, 'ProductName' AS ProductName,
+  'Category' AS Category, 'Quantity' AS Quantity, 'UnitPrice' AS UnitPrice,
+  s_acctbal AS TotalPrice, 'StoreID' AS StoreID, 'StoreLocation' AS StoreLocation,
+  'PaymentMethod' AS PaymentMethod FROM supplier""",
     "silver_partition_scan": f"""{SILVER} SELECT *, {SECOND_DAY} AS run_date FROM clean
 WHERE OrderDate >= {FIRST_DAY}""",
     "stream_ingest": FEED,
     "silver_typed": f"{SILVER} SELECT * FROM typed",
     "silver_dedupe": f"{SILVER} SELECT * FROM deduped",
     "silver_clean": f"{SILVER} SELECT * FROM clean",
-    "silver_rejects": f"""{SILVER} SELECT *,
-  CASE WHEN OrderID IS NULL THEN 'OrderID is missing'
-    WHEN OrderDate IS NULL THEN 'OrderDate is missing'
-    WHEN CustomerID IS NULL THEN 'CustomerID is missing'
-    WHEN ProductID IS NULL THEN 'ProductID is missing'
-    WHEN Quantity IS NULL THEN 'Quantity is missing'
-    WHEN Quantity <= 0 THEN 'Quantity is not positive'
-    WHEN UnitPrice IS NULL THEN 'UnitPrice is missing'
-    WHEN TotalPrice IS NULL THEN 'TotalPrice is missing' END AS failed_rule
-FROM deduped WHERE failed_rule IS NOT NULL""",
+    "silver_rejects": REJECTS,
+    "daily_rejects": REJECTS,
     "dim_customer": f"{SILVER} SELECT DISTINCT CustomerID, CustomerName FROM clean",
     "dim_product": f"{SILVER} SELECT DISTINCT ProductID, ProductName FROM clean",
     "dim_product_category": f"""{SILVER}
@@ -211,11 +285,29 @@ SELECT DISTINCT ProductID, ProductName, Category FROM clean""",
     "fact_yearmonth": f"""{SILVER}
 SELECT OrderDate, strftime(OrderDate, '%Y-%m') AS yearmonth FROM clean""",
     "kpi_monthly": f"{SILVER} {_kpi()} ORDER BY 1",
-    "regional_sales_trend": f"""{SILVER}
-SELECT StoreLocation, strftime(OrderDate, '%Y-%m') AS yearmonth,
+    "regional_sales_trend": f"""{SILVER},{STORE_VERSIONS}
+SELECT CASE WHEN OrderDate < {FIRST_DAY} THEN b.StoreLocation
+    ELSE coalesce(a.StoreLocation, b.StoreLocation) END AS StoreLocation,
+  strftime(OrderDate, '%Y-%m') AS yearmonth,
   round(fsum(TotalPrice), 2) AS TotalRevenue, sum(Quantity)::BIGINT AS UnitsSold
 FROM (SELECT * EXCLUDE (StoreLocation) FROM clean)
-LEFT JOIN (SELECT DISTINCT StoreID, StoreLocation FROM clean) USING (StoreID) GROUP BY 1, 2""",
+LEFT JOIN stores_before b USING (StoreID) LEFT JOIN stores_after a USING (StoreID)
+GROUP BY 1, 2""",
+    "kpi_monthly_lines": f"""{SILVER}
+SELECT strftime(OrderDate, '%Y-%m') AS yearmonth, round(fsum(TotalPrice)) AS TotalRevenue,
+  count(DISTINCT OrderID) AS TotalOrders,
+  round(fsum(TotalPrice) / count(DISTINCT OrderID)) AS AverageOrderValue,
+  count(DISTINCT CustomerID) AS UniqueCustomers
+FROM typed WHERE OrderDate IS NOT NULL AND TotalPrice IS NOT NULL GROUP BY 1""",
+    "table_exists": f"""{SILVER}, early AS (SELECT * FROM clean WHERE OrderDate < {FIRST_DAY})
+SELECT 'dim_customer' AS "Name", true AS "Found", count(*) AS "Rows"
+FROM (SELECT DISTINCT CustomerID, CustomerName FROM early)
+UNION ALL SELECT 'dim_product', true, count(*)
+FROM (SELECT DISTINCT ProductID, ProductName FROM early)
+UNION ALL SELECT 'dim_store', true, count(*)
+FROM (SELECT DISTINCT StoreID, StoreLocation FROM early)
+UNION ALL SELECT 'dim_date', true, count(DISTINCT OrderDate) FROM early
+UNION ALL SELECT 'fact_sales', false, 0""",
     "sink_append": f"{SILVER} SELECT *, {FIRST_DAY} AS run_date FROM typed",
     "sink_overwrite_partition": f"""{SILVER}
 SELECT *, {FIRST_DAY} AS run_date FROM typed WHERE (OrderDate >= {FIRST_DAY}) IS NOT TRUE
@@ -237,11 +329,23 @@ SELECT DISTINCT ProductID, ProductName, Category, {SECOND_DAY} FROM clean""",
 SELECT * FROM (SELECT DISTINCT ProductID, ProductName FROM clean)
 UNION ALL BY NAME
 SELECT * FROM (SELECT DISTINCT ProductID, ProductName, Category FROM clean)""",
-    "kpi_upsert_month": f"""{SILVER}
-SELECT * FROM ({_kpi("OrderID % 2 = 0")}) WHERE yearmonth < '1998-01'
-UNION ALL
-{_kpi(f"OrderDate >= {FIRST_DAY}")}""",
+    "kpi_upsert_month": f"{SILVER} {_kpi()}",
+    "kpi_append": f"""{SILVER}
+SELECT * FROM ({_kpi(f"OrderDate < {FIRST_DAY}")})
+UNION ALL SELECT * FROM ({_kpi(f"OrderDate >= {FIRST_DAY}")})
+UNION ALL SELECT * FROM ({_kpi(f"OrderDate >= {FIRST_DAY}")})""",
     "daily_run": f"{SILVER} {_kpi()}",
+    "daily_two_extracts": f"{SILVER} {_kpi()}",
+    "daily_fact": f"""{SILVER}
+SELECT row_number() OVER (ORDER BY {EXTRACT}, OrderID) - 1 AS SalesID, OrderID, OrderDate,
+  CustomerID, ProductID, StoreID, Quantity, UnitPrice, TotalPrice, PaymentMethod
+FROM clean""",
+    "daily_history": DAILY_HISTORY,
+    "daily_dimensions": f"""{SILVER}
+SELECT * FROM (SELECT DISTINCT CustomerID, CustomerName FROM clean)
+UNION ALL BY NAME SELECT * FROM (SELECT DISTINCT ProductID, ProductName FROM clean)
+UNION ALL BY NAME SELECT * FROM (SELECT DISTINCT StoreID, StoreLocation FROM clean)
+UNION ALL BY NAME SELECT * FROM ({DATES})""",
     "scd2_expired": _by_change("expired"),
     "scd2_new_versions": _by_change("new version"),
     "scd2_new_keys": _by_change("new key"),
@@ -284,8 +388,7 @@ SELECT CustomerID, CASE WHEN i.CustomerID IS NULL THEN e.CustomerName ELSE i.Cus
     AS CustomerName,
   CASE WHEN i.CustomerID IS NULL THEN e.Segment ELSE i.Segment END AS Segment
 FROM (SELECT * FROM existing WHERE is_current) e FULL JOIN incoming i USING (CustomerID)""",
-    "asof_fact_dim": f"""{TAGGED}
-SELECT o_orderkey, o_custkey, CustomerName, Segment, valid_from
-FROM orders LEFT JOIN tagged ON o_custkey = CustomerID AND o_orderdate::DATE >= valid_from
-  AND (valid_to IS NULL OR o_orderdate::DATE < valid_to)""",
+    "asof_fact_dim": ASOF,
+    "asof_fact_dim_split": ASOF,
+    "asof_fact_dim_month": ASOF,
 }

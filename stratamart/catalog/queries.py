@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import datetime
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,13 +12,21 @@ from pyspark.sql import functions as F
 from .. import operators as ops
 from ..operators import versions
 from ..operators.conform import deduplicate
-from ..plans.daily import Warehouse, run_daily, star_schema
+from ..plans.daily import (
+    PLAIN_DIMENSIONS,
+    Warehouse,
+    read_rejects,
+    run_daily,
+    star_schema,
+)
 from ..plans.measures import monthly_kpi, regional_sales_trend
 from ..schemas import FACT_COLUMNS, VERSIONED_DIMENSIONS
 from ..sinks import (
     VersionStore,
+    append_months,
     append_run,
     publish,
+    read_published,
     replace_months,
     replace_run,
     replace_runs,
@@ -40,9 +50,12 @@ from .fixtures import (
     clean,
     dimension_days,
     existing_customers,
+    in_extract,
     incoming_customers,
+    store_versions,
     stored,
     write_malformed,
+    write_uneven,
 )
 
 # The columns of the stored monthly measures.
@@ -78,8 +91,9 @@ def bronze_csv_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def bronze_csv_infer(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = shared_folder(spark, "bronze_csv_infer")
-    retail_feed(spark, sf_dir).write.option("header", True).csv(folder)
-    return read_feed_inferred(spark, folder)
+    retail_feed(spark, sf_dir).write.option("header", True).csv(f"{folder}/even")
+    write_uneven(spark, sf_dir, f"{folder}/uneven")
+    return read_feed_inferred(spark, [f"{folder}/even", f"{folder}/uneven"])
 
 
 @query
@@ -179,11 +193,18 @@ def kpi_monthly(spark: SparkSession, sf_dir: str) -> DataFrame:
     return monthly_kpi(fact, one_row_per_order=True)
 
 
+@query
+def kpi_monthly_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The measures of all lines with a date and a price, whose orders repeat."""
+    lines = ops.type_rows(retail_feed(spark, sf_dir))
+    return monthly_kpi(lines.where("OrderDate IS NOT NULL AND TotalPrice IS NOT NULL"))
+
+
 @query
 def regional_sales_trend_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sales by where their store was, every ninth store having moved on the first day."""
     rows = clean(spark, sf_dir)
-    stores = ops.dimension(rows, "StoreID", ["StoreLocation"])
-    return regional_sales_trend(rows.select(*FACT_COLUMNS), stores)
+    return regional_sales_trend(rows.select(*FACT_COLUMNS), store_versions(rows))
 
 
 # Sinks
@@ -221,17 +242,39 @@ def sink_overwrite_table(spark: SparkSession, sf_dir: str) -> DataFrame:
         for name, table in star_schema(rows).items():
             publish(table, f"{folder}/{name}", table=f"{name}_{suffix}")
 
-    def table(name: str) -> DataFrame:
-        return spark.table(f"{name}_{suffix}")
+    def dimension(name: str, key: str) -> DataFrame:
+        # Distinct rows can have a key twice; a sale is to meet it once.
+        return ops.one_row_per_key(spark.table(f"{name}_{suffix}"), [key])
 
-    dates = table("dim_date").withColumnRenamed("OrderDateParsed", "OrderDate")
-    return (
-        table("fact_sales")
-        .join(table("dim_customer"), "CustomerID")
-        .join(table("dim_product"), "ProductID")
-        .join(table("dim_store"), "StoreID")
+    dates = spark.table(f"dim_date_{suffix}").withColumnRenamed("OrderDateParsed", "OrderDate")
+    star = (
+        spark.table(f"fact_sales_{suffix}")
+        .join(dimension("dim_customer", "CustomerID"), "CustomerID")
+        .join(dimension("dim_product", "ProductID"), "ProductID")
+        .join(dimension("dim_store", "StoreID"), "StoreID")
         .join(dates, "OrderDate")
     )
+    # The files stay; only the names go, which the plan no longer needs.
+    for name in (*PLAIN_DIMENSIONS, "dim_date", "fact_sales"):
+        spark.sql(f"DROP TABLE {name}_{suffix}")
+    return star
+
+
+@query
+def table_exists_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Which tables are found after the dimensions of the earlier orders were published."""
+    folder = shared_folder(spark, "table_exists")
+    rows = stored(spark, clean(spark, sf_dir), f"{folder}/silver")
+    tables = star_schema(rows.where(F.col("OrderDate") < F.lit(FIRST_DAY)))
+    sizes = []
+    for name, table in tables.items():
+        if name.startswith("dim_"):
+            publish(table, f"{folder}/{name}")
+        found = table_exists(spark, f"{folder}/{name}")
+        count = F.count(F.lit(1)).alias("Rows")
+        size = read_published(spark, f"{folder}/{name}") if found else rows.limit(0)
+        sizes.append(size.agg(count).select(F.lit(name).alias("Name"), F.lit(found).alias("Found"), "Rows"))
+    return reduce(DataFrame.unionByName, sizes)
 
 
 @query
@@ -254,15 +297,27 @@ def union_schema_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def kpi_upsert_month(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Months written from every other order, then those from 1998 on again from all orders."""
+    """Months written up to a day inside one, then that month and the later ones as a whole."""
     folder = shared_folder(spark, "kpi_upsert_month")
     fact = stored(spark, clean(spark, sf_dir).select(*FACT_COLUMNS), f"{folder}/fact")
-    half, later = fact.where("OrderID % 2 = 0"), fact.where(F.col("OrderDate") >= F.lit(FIRST_DAY))
-    for sales in (half, later):
+    until_inside = fact.where(F.col("OrderDate") <= F.lit(FIRST_DAY + datetime.timedelta(days=14)))
+    later = fact.where(F.col("OrderDate") >= F.lit(FIRST_DAY))
+    for sales in (until_inside, later):
         replace_months(monthly_kpi(sales, one_row_per_order=True), f"{folder}/kpi")
     return spark.read.schema(KPI_COLUMNS).parquet(f"{folder}/kpi")
 
 
+@query
+def kpi_append(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Months added by two loads, the second of which is repeated and so counts twice."""
+    folder = shared_folder(spark, "kpi_append")
+    fact = stored(spark, clean(spark, sf_dir).select(*FACT_COLUMNS), f"{folder}/fact")
+    is_later = F.col("OrderDate") >= F.lit(FIRST_DAY)
+    for sales in (fact.where(~is_later), fact.where(is_later), fact.where(is_later)):
+        append_months(monthly_kpi(sales, one_row_per_order=True), f"{folder}/kpi")
+    return spark.read.schema(KPI_COLUMNS).parquet(f"{folder}/kpi")
+
+
 @query
 def daily_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The monthly measures after feed files went through the whole day twice."""
@@ -271,7 +326,52 @@ def daily_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     warehouse = Warehouse(f"{folder}/landing", f"{folder}/warehouse")
     for _ in range(2):
         run_daily(spark, warehouse, SECOND_DAY)
-    return spark.read.schema(KPI_COLUMNS).parquet(warehouse.gold("monthly_kpi"))
+    return warehouse.snapshot(spark, "monthly_kpi").read()
+
+
+def _two_extracts(spark: SparkSession, sf_dir: str, name: str) -> Warehouse:
+    """A warehouse after two daily runs, each with half of the orders of every month."""
+    folder = shared_folder(spark, name)
+    warehouse = Warehouse(f"{folder}/landing", f"{folder}/warehouse")
+    feed = stored(spark, retail_feed(spark, sf_dir), f"{folder}/feed")
+    for number, day in enumerate((FIRST_DAY, SECOND_DAY)):
+        extract = feed.where(in_extract(number))
+        extract.write.mode("append").option("header", True).csv(warehouse.landing)
+        run_daily(spark, warehouse, day)
+    return warehouse
+
+
+@query
+def daily_two_extracts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _two_extracts(spark, sf_dir, "daily_two_extracts").snapshot(spark, "monthly_kpi").read()
+
+
+@query
+def daily_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _two_extracts(spark, sf_dir, "daily_fact").fact(spark).read()
+
+
+@query
+def daily_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All versions of the three dimensions, keys and attributes side by side."""
+    warehouse = _two_extracts(spark, sf_dir, "daily_history")
+    versions_of = (warehouse.versions(spark, name).read() for name in VERSIONED_DIMENSIONS)
+    return reduce(union_evolved, versions_of)
+
+
+@query
+def daily_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    warehouse = _two_extracts(spark, sf_dir, "daily_rejects")
+    days = (read_rejects(spark, warehouse.silver, day) for day in (FIRST_DAY, SECOND_DAY))
+    return reduce(DataFrame.unionByName, days)
+
+
+@query
+def daily_dimensions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The plain dimensions of both extracts, side by side."""
+    warehouse = _two_extracts(spark, sf_dir, "daily_dimensions")
+    names = (*PLAIN_DIMENSIONS, "dim_date")
+    return reduce(union_evolved, (warehouse.snapshot(spark, name).read() for name in names))
 
 
 # Versioned dimensions
@@ -419,8 +519,7 @@ def scd1_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ops.scd1_upsert(current, incoming_customers(spark, sf_dir), KEYS, ATTRIBUTES)
 
 
-@query
-def asof_fact_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _orders_with_versions(spark: SparkSession, sf_dir: str, **how) -> DataFrame:
     orders = spark.read.parquet(f"{sf_dir}/orders.parquet").select(
         "o_orderkey", "o_custkey", F.col("o_orderdate").cast("date").alias("o_orderdate")
     )
@@ -430,4 +529,20 @@ def asof_fact_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
         keys={"o_custkey": "CustomerID"},
         date_column="o_orderdate",
         columns=[*ATTRIBUTES, "valid_from"],
+        **how,
     ).drop("o_orderdate")
+
+
+@query
+def asof_fact_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _orders_with_versions(spark, sf_dir)
+
+
+@query
+def asof_fact_dim_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _orders_with_versions(spark, sf_dir, splits=8)
+
+
+@query
+def asof_fact_dim_month(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _orders_with_versions(spark, sf_dir, by_month=True)

@@ -7,9 +7,15 @@ from decimal import Decimal
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Amounts are added in units of a ten-thousandth, split into two parts of 2**20 and less.
-UNITS = 10_000
-LOW_BITS = 20
+# Amounts are added in millionths; those of a size that a bigint cannot hold are refused.
+MILLION = 1_000_000
+TOO_LARGE = 1e15
+
+
+def is_amount(name: str) -> Column:
+    """Whether a number can be added up: finite and of a realistic size. True of null."""
+    value = F.col(name)
+    return value.isNull() | (F.abs(value) < TOO_LARGE)
 
 
 def exact_sum(name: str) -> Column:
@@ -17,17 +23,17 @@ def exact_sum(name: str) -> Column:
 
     Adding doubles rounds at each step, so the last digits of a distributed sum depend on
     which task finishes first, and a sum that is rounded afterwards can flip by a whole
-    unit between two runs. Amounts with up to four decimal places are therefore added as
-    whole numbers, in a high and a low part so that no realistic number of rows overflows.
-    That costs hardly more than adding doubles, whereas decimals cost several times as much.
-    If the group has any other value (NaN, infinity, more places, too large), the plain
-    double sum is returned.
+    unit between two runs. Every amount is therefore taken to its nearest millionth and added
+    in two whole numbers, the units and the millionths, neither of which a realistic number
+    of rows overflows. That costs hardly more than adding doubles, whereas decimals cost
+    several times as much. An amount that is not finite or not below 1e15 is an error that
+    names it.
     """
     value = F.col(name)
-    units = F.rint(value * UNITS).try_cast("bigint")
-    lossless = (units.cast("double") / UNITS).eqNullSafe(value)
-    high = F.try_sum(F.shiftright(units, LOW_BITS)).cast("decimal(19,0)")
-    low = F.try_sum(units.bitwiseAND(F.lit((1 << LOW_BITS) - 1))).cast("decimal(19,0)")
-    total = (high * F.lit(Decimal(1 << LOW_BITS)) + low) * F.lit(Decimal(1) / UNITS)
-    exact = F.when(F.count_if(~lossless) == 0, total.cast("double"))
-    return F.coalesce(exact, F.sum(value))
+    problem = F.concat(F.lit(f"{name} is not an amount: "), value.cast("string"))
+    amount = F.when(is_amount(name), value).otherwise(F.raise_error(problem).cast("double"))
+    units = F.floor(amount)
+    rest = F.rint((amount - units) * MILLION).cast("bigint")
+    high, low = (F.sum(part).cast("decimal(19,0)") for part in (units, rest))
+    total = (high * F.lit(Decimal(MILLION)) + low) * F.lit(Decimal(1) / MILLION)
+    return total.cast("double")

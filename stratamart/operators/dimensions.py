@@ -44,18 +44,33 @@ def versioned_input(
     map can do; choosing among structs has to sort, but then only has a few rows left. Plain
     ``min`` in place of ``min_by`` would let Spark merge both steps into one big sort.
     """
-    identified = rows.where(none_null(keys))
+    if newest_by is not None:
+        return newest_attributes(attribute_sets(rows, keys, attributes, newest_by), keys, attributes)
+    sets = rows.where(none_null(keys)).select(*keys, *attributes).distinct()
     attribute_set = F.struct(*attributes)
-    if newest_by is None:
-        sets = identified.select(*keys, *attributes).distinct()
-        chosen = F.min_by(attribute_set, attribute_set)
-    else:
-        grouped = identified.groupBy(*keys, *attributes)
-        sets = grouped.agg(F.max(newest_by).alias("newest"))
-        chosen = F.max_by(attribute_set, F.struct("newest", *attributes))
+    chosen = F.min_by(attribute_set, attribute_set)
     return sets.groupBy(*keys).agg(chosen.alias("chosen")).select(*keys, "chosen.*")
 
 
+def attribute_sets(
+    rows: DataFrame, keys: Sequence[str], attributes: Sequence[str], newest_by: str
+) -> DataFrame:
+    """The different keys and attributes, null keys included, each with its ``newest`` date.
+
+    It is all that both kinds of dimension need of the rows.
+    """
+    return rows.groupBy(*keys, *attributes).agg(F.max(newest_by).alias("newest"))
+
+
+def newest_attributes(
+    sets: DataFrame, keys: Sequence[str], attributes: Sequence[str]
+) -> DataFrame:
+    """The newest attributes of each key that is not null, the attributes breaking ties."""
+    chosen = F.max_by(F.struct(*attributes), F.struct("newest", *attributes))
+    picked = sets.where(none_null(keys)).groupBy(*keys).agg(chosen.alias("chosen"))
+    return picked.select(*keys, "chosen.*")
+
+
 def rejected_keys(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
     """The rows that ``versioned_input`` refuses because a part of their key is null."""
     return rows.where(~none_null(keys))

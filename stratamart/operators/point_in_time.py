@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -15,6 +17,7 @@ def as_of_join(
     date_column: str,
     columns: Sequence[str],
     splits: int = 1,
+    by_month: bool = False,
 ) -> DataFrame:
     """Every fact with ``columns`` of its dimension version, or nulls if there is none.
 
@@ -25,7 +28,14 @@ def as_of_join(
     Adaptive execution splits a key with very many facts by itself. Where it cannot (another
     step needs the same partitioning, or it is off), ``splits`` spreads the facts of each
     key over that many tasks and copies the versions to each, which keeps the result as is.
+
+    ``by_month`` suits dimensions with many versions per key, such as stock that changes every
+    day: closed versions are joined by key and month, so a fact meets a month of them instead
+    of all; of open versions a key has one at most. Long-lived versions are copied into each of
+    their months, so it does not suit dimensions that rarely change.
     """
+    if by_month:
+        return _by_month(facts, versions, keys, date_column, columns)
     dim_columns = list(dict.fromkeys([*columns, *keys.values(), "valid_from", "valid_to"]))
     dim = versions.select(*(F.col(name).alias(f"dim_{name}") for name in dim_columns))
     left = facts
@@ -47,3 +57,36 @@ def as_of_join(
     return joined.select(
         *facts.columns, *(F.col(f"dim_{name}").alias(name) for name in columns)
     )
+
+
+def _by_month(
+    facts: DataFrame,
+    versions: DataFrame,
+    keys: dict[str, str],
+    date_column: str,
+    columns: Sequence[str],
+) -> DataFrame:
+    date = F.col(date_column).cast("date")
+    own = F.struct(*columns).alias("version")
+
+    def dim(rows: DataFrame, prefix: str, *more) -> DataFrame:
+        named = [F.col(name).alias(f"{prefix}_{name}") for name in keys.values()]
+        dates = [F.col(name).alias(f"{prefix}_{name}") for name in ("valid_from", "valid_to")]
+        return rows.select(*named, *dates, own.alias(f"{prefix}_version"), *more)
+
+    def same_key(prefix: str):
+        return reduce(and_, (F.col(a) == F.col(f"{prefix}_{b}") for a, b in keys.items()))
+
+    last_day = F.date_sub("valid_to", 1)
+    lasting = versions.where("valid_to > valid_from")
+    months = F.sequence(
+        F.trunc("valid_from", "month"), F.trunc(last_day, "month"), F.expr("INTERVAL 1 MONTH")
+    )
+    closed = dim(lasting, "closed", F.explode(months).alias("closed_month"))
+    open_ones = dim(versions.where("valid_to IS NULL"), "open")
+    in_closed = same_key("closed") & (F.trunc(date, "month") == F.col("closed_month"))
+    in_closed &= (date >= F.col("closed_valid_from")) & (date < F.col("closed_valid_to"))
+    in_open = same_key("open") & (date >= F.col("open_valid_from"))
+    joined = facts.join(closed, in_closed, "left").join(open_ones, in_open, "left")
+    found = F.coalesce("closed_version", "open_version")
+    return joined.select(*facts.columns, *(found[name].alias(name) for name in columns))

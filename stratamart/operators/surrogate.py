@@ -58,7 +58,8 @@ def _offsets(sizes: DataFrame, digits: int) -> DataFrame:
     )
     parents = sizes.groupBy(parent.alias("block")).agg(F.sum("size").alias("size"))
     upper = _offsets(parents, digits - 1).withColumnsRenamed(
-        {"block": "parent", "preceding": "upper"}
+        {"block": "upper_parent", "preceding": "upper"}
     )
     total = (F.col("upper") + F.col("local")).alias("preceding")
-    return local.join(upper, "parent").select("block", total)
+    same_parent = F.col("parent").eqNullSafe(F.col("upper_parent"))
+    return local.join(upper, same_parent).select("block", total)

@@ -10,22 +10,38 @@ from pyspark.sql import functions as F
 
 from ..functions import none_null
 from ..operators import date_dimension, dimension, judge, sales_fact
-from ..operators.dimensions import versioned_input
+from ..operators.conform import RAW_KEY
+from ..operators.dimensions import attribute_sets, newest_attributes
 from ..schemas import VERSIONED_DIMENSIONS
-from ..sinks import VersionStore, publish, replace_months, replace_run
+from ..sinks import FactStore, SnapshotStore, VersionStore, replace_run
+from ..sinks.runs import DAY
 from ..sources import read_run
 from ..streaming import has_bronze, ingest_available, read_bronze
 from .measures import monthly_kpi
 
+# The plain dimensions that show columns of the versioned ones.
+PLAIN_DIMENSIONS = {
+    "dim_customer": ("customer", ["CustomerID", "CustomerName"]),
+    "dim_product": ("product", ["ProductID", "ProductName"]),
+    "dim_store": ("store", ["StoreID", "StoreLocation"]),
+}
+
 
 @dataclass(frozen=True)
 class Warehouse:
-    """Where things are. All paths have to be reachable from every executor."""
+    """Where things are. All paths have to be reachable from every executor.
+
+    The files of a day are one extract. By default an extract has the orders that are new or
+    have changed, and the warehouse accumulates them; with ``whole_extracts`` each one is the
+    whole feed and takes the place of what was there. Versioned dimensions have history in
+    either case.
+    """
 
     landing: str
     root: str
     archive: str | None = None
-    id_type: str = "int"
+    id_type: str = "bigint"
+    whole_extracts: bool = False
 
     @property
     def bronze(self) -> str:
@@ -42,6 +58,16 @@ class Warehouse:
     def gold(self, table: str) -> str:
         return f"{self.root}/gold/{table}"
 
+    def fact(self, spark: SparkSession) -> FactStore:
+        return FactStore(spark, self.gold("fact_sales"), self.id_type)
+
+    def snapshot(self, spark: SparkSession, table: str) -> SnapshotStore:
+        """The store of a plain dimension or of ``monthly_kpi``."""
+        return SnapshotStore(spark, self.gold(table))
+
+    def versions(self, spark: SparkSession, name: str) -> VersionStore:
+        return VersionStore(spark, self.gold(f"dim_{name}_scd2"))
+
 
 def star_schema(silver: DataFrame) -> dict[str, DataFrame]:
     """The four dimensions and the fact of one silver table."""
@@ -54,40 +80,59 @@ def star_schema(silver: DataFrame) -> dict[str, DataFrame]:
     }
 
 
-def write_silver(judged: DataFrame, path: str, run_date: datetime.date) -> dict[str, int]:
-    """Accepted and rejected rows of a day, apart but from one pass over the feed.
+def write_silver(judged: DataFrame, path: str, run_date: datetime.date) -> dict[str, dict[str, int]]:
+    """Accepted and rejected rows of a day in one table, told apart by ``failed_rule``.
 
-    Returns how many there are of each, counted while they are written.
+    Returns how many there are of each, and how many accepted rows lack a key of a versioned
+    dimension, all counted while they are written.
     """
     accepted = F.col("failed_rule").isNull()
-    status = F.when(accepted, F.lit("accepted")).otherwise(F.lit("rejected"))
+    missing = {
+        name: F.count_if(accepted & ~none_null(keys)).alias(name)
+        for name, (keys, _) in VERSIONED_DIMENSIONS.items()
+    }
     counts = Observation(f"silver {run_date}")
     observed = judged.observe(
-        counts, F.count_if(accepted).alias("Accepted"), F.count_if(~accepted).alias("Rejected")
+        counts,
+        F.count_if(accepted).alias("Accepted"),
+        F.count_if(~accepted).alias("Rejected"),
+        *missing.values(),
     )
-    replace_run(observed.withColumn("status", status), path, run_date, partition_by=["status"])
-    return counts.get
+    replace_run(observed, path, run_date)
+    found = counts.get
+    return {
+        "silver": {name: found[name] for name in ("Accepted", "Rejected")},
+        "null keys": {name: found[name] for name in missing},
+    }
 
 
 def read_silver(spark: SparkSession, path: str, run_date: datetime.date) -> DataFrame:
-    rows = read_run(spark, path, run_date).where("status = 'accepted'")
-    return rows.drop("run_date", "status", "failed_rule")
+    rows = read_run(spark, path, run_date).where("failed_rule IS NULL")
+    return rows.drop("run_date", "failed_rule", RAW_KEY)
 
 
 def read_rejects(spark: SparkSession, path: str, run_date: datetime.date) -> DataFrame:
-    rows = read_run(spark, path, run_date).where("status = 'rejected'")
-    return rows.drop("run_date", "status")
+    """The rejected rows of a day with their rule and the order id as text."""
+    rows = read_run(spark, path, run_date).where("failed_rule IS NOT NULL").drop("run_date")
+    return rows.withColumn(RAW_KEY, F.coalesce(RAW_KEY, F.col("OrderID").cast("string")))
 
 
 def run_daily(
-    spark: SparkSession, warehouse: Warehouse, run_date: datetime.date
+    spark: SparkSession, warehouse: Warehouse, run_date: datetime.date, replay: bool = False
 ) -> dict[str, dict[str, int]]:
-    """Run every step for one day; repeating a day leaves the same tables.
+    """Run every step for one day; repeating the last day leaves the same tables.
 
-    The files of a day make up one extract: the star schema shows that extract, and the
-    months in it replace those of earlier extracts. Returns the counts of silver and of each
-    versioned dimension. A day without feed rows leaves the gold tables as they are.
+    A day before the last one is refused before anything is touched, unless ``replay`` is set;
+    the days after it then have to be repeated too, in order, as each builds on the one before.
+    Returns the counts of silver and of each versioned dimension. A day without feed rows
+    leaves the gold tables as they are.
     """
+    fact, kpi = warehouse.fact(spark), warehouse.snapshot(spark, "monthly_kpi")
+    plain = {name: warehouse.snapshot(spark, name) for name in [*PLAIN_DIMENSIONS, "dim_date"]}
+    versioned = {name: warehouse.versions(spark, name) for name in VERSIONED_DIMENSIONS}
+    for store in (fact, kpi, *plain.values(), *versioned.values()):
+        store.check_order(run_date, replay)
+
     ingest_available(
         spark,
         warehouse.landing,
@@ -99,35 +144,47 @@ def run_daily(
     if not has_bronze(spark, warehouse.bronze, run_date):
         return {}
     raw = read_bronze(spark, warehouse.bronze, run_date)
-    judged = judge(raw, warehouse.id_type)
-    counts = {"silver": write_silver(judged, warehouse.silver, run_date)}
-
+    counts = write_silver(judge(raw, warehouse.id_type), warehouse.silver, run_date)
+    null_keys = counts.pop("null keys")
     silver = read_silver(spark, warehouse.silver, run_date)
-    for name, table in star_schema(silver).items():
-        publish(table, warehouse.gold(name))
-    fact = spark.read.parquet(warehouse.gold("fact_sales"))
-    kpi = monthly_kpi(fact, one_row_per_order=True)
-    replace_months(kpi, warehouse.gold("monthly_kpi"))
-    return counts | record_versions(spark, warehouse, silver, run_date)
-
-
-def record_versions(
-    spark: SparkSession, warehouse: Warehouse, silver: DataFrame, run_date: datetime.date
-) -> dict[str, dict[str, int]]:
-    """Bring the versioned dimensions up to date, the latest order of a key telling its state.
 
-    ``NullKeys`` counts the rows that could not take part.
-    """
-    null_keys = silver.agg(
-        *(
-            F.count_if(~none_null(keys)).alias(name)
-            for name, (keys, _) in VERSIONED_DIMENSIONS.items()
-        )
-    ).first()
-    counts = {}
+    fact.upsert(silver, run_date, replay, whole=warehouse.whole_extracts)
+    record_months(fact, kpi, run_date, replay)
+    dates = date_dimension(silver, "OrderDate")
+    accumulate(plain["dim_date"], dates, run_date, replay, warehouse.whole_extracts)
+    # One aggregation of silver serves the plain and the versioned form of a dimension.
+    sets = {}
+    for name, (keys, attributes) in VERSIONED_DIMENSIONS.items():
+        folder = f"{warehouse.root}/attributes/{name}"
+        replace_run(attribute_sets(silver, keys, attributes, "OrderDate"), folder, run_date)
+        sets[name] = read_run(spark, folder, run_date).drop("run_date")
+    for name, (source, columns) in PLAIN_DIMENSIONS.items():
+        rows = sets[source].select(*columns).distinct()
+        accumulate(plain[name], rows, run_date, replay, warehouse.whole_extracts)
     for name, (keys, attributes) in VERSIONED_DIMENSIONS.items():
-        incoming = versioned_input(silver, keys, attributes, newest_by="OrderDate")
-        store = VersionStore(spark, warehouse.gold(f"dim_{name}_scd2"))
-        changes = store.apply(incoming, keys, attributes, run_date)
+        incoming = newest_attributes(sets[name], keys, attributes)
+        changes = versioned[name].apply(incoming, keys, attributes, run_date, replay=replay)
         counts[name] = {**changes, "NullKeys": null_keys[name]}
     return counts
+
+
+def accumulate(
+    store: SnapshotStore, rows: DataFrame, run_date: datetime.date, replay: bool, whole: bool
+) -> None:
+    """Add distinct rows to those of the run before, or replace them."""
+    previous = store.latest(run_date - DAY)
+    if previous is not None and not whole:
+        rows = store.read(previous).unionByName(rows).distinct()
+    store.publish(rows, run_date, replay)
+
+
+def record_months(
+    fact: FactStore, kpi: SnapshotStore, run_date: datetime.date, replay: bool
+) -> None:
+    """Measure the months that a run of the fact has touched again, and keep all others."""
+    measured = monthly_kpi(fact.read_months(run_date), one_row_per_order=True)
+    previous = kpi.latest(run_date - DAY)
+    if previous is not None:
+        others = ~F.col("yearmonth").isin(fact.months(run_date))
+        measured = measured.unionByName(kpi.read(previous).where(others))
+    kpi.publish(measured.coalesce(1), run_date, replay)

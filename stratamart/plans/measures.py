@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import exact_sum
+from ..operators import as_of_join
 from ..operators.facts import year_month
 
 
@@ -39,15 +40,17 @@ def monthly_kpi(fact: DataFrame, one_row_per_order: bool = False) -> DataFrame:
 def regional_sales_trend(fact: DataFrame, stores: DataFrame) -> DataFrame:
     """Revenue and units by store location and month.
 
-    Sales are added up per store and month before they meet the store dimension, so the join
-    sees a row per store and month instead of a row per sale, whichever store sells most.
+    ``stores`` is the versioned store dimension. A sale counts for the location that its store
+    had on its day, and once, however often the store has moved or been renamed; sales before
+    the first version of their store have no location. Sales are added up per store and day
+    before they meet the dimension, whichever store sells most.
     """
-    per_store = fact.groupBy("StoreID", month_start()).agg(
+    per_store = fact.groupBy("StoreID", "OrderDate").agg(
         exact_sum("TotalPrice").alias("TotalPrice"), F.sum("Quantity").alias("Quantity")
     )
+    placed = as_of_join(per_store, stores, {"StoreID": "StoreID"}, "OrderDate", ["StoreLocation"])
     return (
-        per_store.join(stores, "StoreID", "left")
-        .groupBy("StoreLocation", year_month("month"))
+        placed.groupBy("StoreLocation", year_month("OrderDate"))
         .agg(
             F.round(exact_sum("TotalPrice"), 2).alias("TotalRevenue"),
             F.sum("Quantity").alias("UnitsSold"),

@@ -1,12 +1,29 @@
 """Writers."""
 
-from .tables import append_run, publish, replace_months, replace_run, replace_runs, union_evolved
+from .fact_store import FactStore
+from .snapshots import SnapshotStore
+from .tables import (
+    append_months,
+    append_run,
+    publish,
+    published_version,
+    read_published,
+    replace_months,
+    replace_run,
+    replace_runs,
+    union_evolved,
+)
 from .version_store import VersionStore
 
 __all__ = [
+    "FactStore",
+    "SnapshotStore",
     "VersionStore",
+    "append_months",
     "append_run",
     "publish",
+    "published_version",
+    "read_published",
     "replace_months",
     "replace_run",
     "replace_runs",

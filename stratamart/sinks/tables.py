@@ -5,7 +5,9 @@ from __future__ import annotations
 import datetime
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+
+from .. import storage
 
 
 def append_run(df: DataFrame, path: str, run_date: datetime.date) -> None:
@@ -44,13 +46,54 @@ def publish(
 ) -> None:
     """Create or replace a table at a path, and in the catalog if a name is given.
 
+    The rows go to a new folder ``version=N`` below the path, which counts once it is complete;
+    until then readers see the version before, which is kept for those that have begun.
     ``file_format`` can be any installed source, ``delta`` for one.
     """
-    writer = df.write.format(file_format).mode("overwrite")
-    if table is None:
-        writer.save(path)
-    else:
-        writer.option("path", path).saveAsTable(table)
+    spark, path = df.sparkSession, path.rstrip("/")
+    numbers = _versions(spark, path)
+    current = published_version(spark, path)
+    folder = f"{path}/version={max(numbers, default=0) + 1}"
+    df.write.format(file_format).save(folder)
+    storage.write_text(spark, f"{folder}/_manifest", file_format)
+    if table is not None:
+        _point(spark, table, folder, file_format)
+    for number in numbers:
+        if number != current:
+            storage.remove(spark, f"{path}/version={number}")
+
+
+def published_version(spark: SparkSession, path: str) -> int | None:
+    """The number of the last complete version of a published table."""
+    for number in reversed(_versions(spark, path)):
+        if storage.exists(spark, f"{path.rstrip('/')}/version={number}/_manifest"):
+            return number
+    return None
+
+
+def read_published(spark: SparkSession, path: str) -> DataFrame:
+    number = published_version(spark, path)
+    if number is None:
+        raise LookupError(f"{path} has no complete version")
+    folder = f"{path.rstrip('/')}/version={number}"
+    return spark.read.format(storage.read_text(spark, f"{folder}/_manifest")).load(folder)
+
+
+def _versions(spark: SparkSession, path: str) -> list[int]:
+    fields = (name.partition("=") for name in storage.child_names(spark, path))
+    return sorted(int(number) for key, _, number in fields if key == "version")
+
+
+def _point(spark: SparkSession, table: str, folder: str, file_format: str) -> None:
+    """Let a name of the catalog stand for a folder, without touching any other folder."""
+    columns = spark.read.format(file_format).load(folder).schema
+    if spark.catalog.tableExists(table):
+        if spark.table(table).schema == columns:
+            spark.sql(f"ALTER TABLE {table} SET LOCATION '{folder}'")
+            spark.catalog.refreshTable(table)
+            return
+        spark.sql(f"DROP TABLE {table}")
+    spark.catalog.createTable(table, path=folder, source=file_format)
 
 
 def replace_months(df: DataFrame, path: str) -> None:
@@ -61,6 +104,11 @@ def replace_months(df: DataFrame, path: str) -> None:
     _replace_partitions(df.repartition("yearmonth"), path, "yearmonth")
 
 
+def append_months(df: DataFrame, path: str) -> None:
+    """Add the months that occur in the rows, whether or not they are there already."""
+    df.repartition("yearmonth").write.mode("append").partitionBy("yearmonth").parquet(path)
+
+
 def union_evolved(older: DataFrame, newer: DataFrame) -> DataFrame:
     """Both frames under the columns of either; a column that one lacks is null there."""
     return older.unionByName(newer, allowMissingColumns=True)

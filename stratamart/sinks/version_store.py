@@ -6,10 +6,9 @@ Each run writes one folder, in one job::
     <path>/run_date=2024-05-01/state=closed/    the versions that this run closed
 
 History is only ever added to: a run reads and rewrites the open versions, and the closed
-ones of earlier runs stay where they are. The table as of a day consists of the open
-versions of the last run up to it and of the closed ones of all runs up to it. A run counts
-once its folder has the marker that Spark's committer leaves behind; one that died is
-ignored and simply repeated. Repeating a run starts again from the run before it.
+ones of earlier runs stay where they are. The manifest of a run names the runs that closed
+versions up to it, so the table as of a day is found without looking into other folders.
+Repeating a run starts again from the run before it.
 """
 
 from __future__ import annotations
@@ -17,7 +16,7 @@ from __future__ import annotations
 import datetime
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from .. import storage
@@ -30,29 +29,16 @@ from ..operators.versions import (
     scd2_step,
 )
 from ..schemas import VERSION_COLUMNS
+from .runs import DAY, RunFolders
 from .tables import replace_folder
 
 
-class VersionStore:
-    def __init__(self, spark: SparkSession, path: str):
-        self.spark = spark
-        self.path = path.rstrip("/")
-
-    def runs(self) -> list[datetime.date]:
-        """Days of the finished runs, oldest first."""
-        return [day for day in self._days() if self._is_finished(day)]
-
-    def latest(self, as_of: datetime.date | None = None) -> datetime.date | None:
-        """The last finished run up to a day. Looks into as few folders as possible."""
-        days = (day for day in reversed(self._days()) if as_of is None or day <= as_of)
-        return next((day for day in days if self._is_finished(day)), None)
-
+class VersionStore(RunFolders):
     def read(self, as_of: datetime.date | None = None) -> DataFrame:
         """All versions as they were known after the last run up to ``as_of``."""
         last = self._require(as_of)
-        runs = [run for run in self.runs() if run <= last]
-        closed = [self._folder(run, "closed") for run in runs]
-        return self._load([*filter(None, closed), self._open_folder(last)], last)
+        closed = [f"{self._run(run)}/state=closed" for run in self._manifest(last)["closed"]]
+        return self._load([*closed, self._open_folder(last)], last)
 
     def current(self, as_of: datetime.date | None = None) -> DataFrame:
         """The versions in force after the last run up to ``as_of``; history is not opened."""
@@ -66,7 +52,7 @@ class VersionStore:
         if versions.where("is_current").isEmpty():
             raise ValueError("a table to load needs at least one version in force")
         change = F.when(F.col("is_current"), F.lit(NEW_KEY)).otherwise(F.lit(HISTORY))
-        return self._write(versions.withColumn("change", change), run_date)
+        return self._write(versions.withColumn("change", change), run_date, None)
 
     def apply(
         self,
@@ -82,23 +68,22 @@ class VersionStore:
         Runs go forward in time. To repeat a day in the past, set ``replay`` and then
         repeat the days after it too, in order, since each builds on the one before.
         """
+        self.check_order(run_date, replay)
         last = self.latest()
-        if last and run_date < last and not replay:
-            raise ValueError(f"{self.path} has a run of {last}, later than {run_date}")
-        previous = self.latest(run_date - datetime.timedelta(days=1))
+        previous = self.latest(run_date - DAY)
         if previous is None:
             if last and self._is_start_of_other_rows(run_date):
                 raise ValueError(f"{self.path} starts with its table of {self.runs()[0]}")
             identified = incoming.select(*keys, *attributes).where(none_null(keys))
             first = scd2_bootstrap(identified, run_date)
-            return self._write(first.withColumn("change", F.lit(NEW_KEY)), run_date)
+            return self._write(first.withColumn("change", F.lit(NEW_KEY)), run_date, None)
         current = self.current(as_of=previous)
         for name in attributes:
             if name not in current.columns:
                 kind = incoming.schema[name].dataType
                 current = current.withColumn(name, F.lit(None).cast(kind))
         stepped = scd2_step(current, incoming, keys, attributes, run_date, null_safe)
-        return self._write(stepped, run_date)
+        return self._write(stepped, run_date, previous)
 
     def forget_snapshots(self, before: datetime.date) -> list[datetime.date]:
         """Remove the open versions as they were after runs before a day; returns the days.
@@ -110,24 +95,9 @@ class VersionStore:
         old = [run for run in self.runs() if run < before and run != last]
         forgotten = [run for run in old if self._folder(run, "open")]
         for run in forgotten:
-            storage.remove(self.spark, f"{self.path}/run_date={run}/state=open")
+            storage.remove(self.spark, f"{self._run(run)}/state=open")
         return forgotten
 
-    def _days(self) -> list[datetime.date]:
-        names = storage.child_names(self.spark, self.path)
-        fields = (name.partition("=") for name in names)
-        return [datetime.date.fromisoformat(day) for key, _, day in fields if key == "run_date"]
-
-    def _is_finished(self, day: datetime.date) -> bool:
-        entries = storage.child_names(self.spark, f"{self.path}/run_date={day}")
-        return "_SUCCESS" in entries and len(entries) > 1
-
-    def _require(self, as_of: datetime.date | None) -> datetime.date:
-        last = self.latest(as_of)
-        if last is None:
-            raise LookupError(f"{self.path} has no finished run up to {as_of or 'now'}")
-        return last
-
     def _is_start_of_other_rows(self, run_date: datetime.date) -> bool:
         """Whether the first run is not simply a bootstrap on this day, to be done again."""
         first = self.runs()[0]
@@ -137,7 +107,7 @@ class VersionStore:
         return not self.current(as_of=first).where(older).isEmpty()
 
     def _folder(self, run: datetime.date, state: str) -> str | None:
-        folder = f"{self.path}/run_date={run}/state={state}"
+        folder = f"{self._run(run)}/state={state}"
         return folder if storage.exists(self.spark, folder) else None
 
     def _open_folder(self, run: datetime.date) -> str:
@@ -154,9 +124,18 @@ class VersionStore:
         names = [name for name in versions.columns if name not in VERSION_COLUMNS]
         return versions.select(*names, *VERSION_COLUMNS)
 
-    def _write(self, tagged: DataFrame, run_date: datetime.date) -> dict[str, int]:
+    def _write(
+        self, tagged: DataFrame, run_date: datetime.date, previous: datetime.date | None
+    ) -> dict[str, int]:
+        """Write a run that builds on the previous one; without any version it is no run."""
+        closed = [] if previous is None else self._manifest(previous)["closed"]
+        self._begin(run_date)
         state = F.when(F.col("is_current"), F.lit("open")).otherwise(F.lit("closed"))
         counts = Observation(f"versions {run_date}")
         rows = tagged.observe(counts, *metric_columns()).withColumn("state", state)
-        replace_folder(rows.drop("change"), f"{self.path}/run_date={run_date}", ["state"])
-        return counts.get
+        replace_folder(rows.drop("change"), self._run(run_date), ["state"])
+        found = counts.get
+        if found["Total"]:
+            closed = closed + [str(run_date)] * bool(found["Historical"])
+            self._finish(run_date, {"closed": closed})
+        return found

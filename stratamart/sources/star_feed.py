@@ -1,7 +1,7 @@
 """The raw sales feed, composed from normalised order tables.
 
-The order tables are clean, so defects are put in by key arithmetic: unreadable order ids,
-dates, quantities and prices, two date formats, missing customers and zero quantities.
+The order tables are clean, so defects are put in by key arithmetic: order ids that are unreadable or need
+64 bits, unreadable dates, quantities and prices, two date formats, missing customers and zero quantities.
 Orders have several lines, so order ids repeat.
 """
 
@@ -48,9 +48,9 @@ def retail_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     order, line = F.col("l_orderkey"), F.col("l_orderkey") + F.col("l_linenumber")
     day = F.col("o_orderdate").cast("date")
     columns = {
-        "OrderID": F.when(order % 101 == 0, F.concat(F.lit("X"), text("l_orderkey"))).otherwise(
-            text("l_orderkey")
-        ),
+        "OrderID": F.when(order % 101 == 0, F.concat(F.lit("X"), text("l_orderkey")))
+        .when(order % 103 == 0, (order + 3_000_000_000).cast("string"))
+        .otherwise(text("l_orderkey")),
         "OrderDate": F.when(order % 97 == 0, F.lit("not-a-date"))
         .when(order % 2 == 0, F.date_format(day, "yyyy-MM-dd"))
         .otherwise(F.date_format(day, "dd-MM-yyyy")),

@@ -34,11 +34,13 @@ def read_evolving(
 
 
 def table_exists(spark: SparkSession, name: str) -> bool:
-    """Whether a path holds a finished table or the catalog knows the name.
+    """Whether a path holds a finished or published table or the catalog knows the name.
 
     Anything else that goes wrong is raised, so that an unreachable table is never taken
     for a missing one and replaced.
     """
     if "/" in name:
-        return storage.exists(spark, f"{name.rstrip('/')}/_SUCCESS")
+        path = name.rstrip("/")
+        complete = storage.matches(spark, f"{path}/version=*/_manifest")
+        return complete or storage.exists(spark, f"{path}/_SUCCESS")
     return spark.catalog.tableExists(name)

@@ -2,12 +2,23 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import SparkSession
 
 
+@cache
+def _own_folder() -> str:
+    """A folder of this process, for local sessions without a shared one."""
+    path = tempfile.mkdtemp(prefix="stratamart-")
+    atexit.register(shutil.rmtree, path, ignore_errors=True)
+    return path
+
+
 def _resolve(spark: SparkSession, path: str):
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
     return target.getFileSystem(spark._jsc.hadoopConfiguration()), target
@@ -26,8 +37,13 @@ def remove(spark: SparkSession, path: str) -> None:
 
 def matches(spark: SparkSession, pattern: str) -> bool:
     """Whether any path matches a glob pattern."""
+    return bool(matching(spark, pattern))
+
+
+def matching(spark: SparkSession, pattern: str) -> list[str]:
+    """The paths that match a glob pattern."""
     fs, target = _resolve(spark, pattern)
-    return bool(fs.globStatus(target))
+    return [status.getPath().toString() for status in fs.globStatus(target) or []]
 
 
 def child_names(spark: SparkSession, path: str) -> list[str]:
@@ -38,11 +54,34 @@ def child_names(spark: SparkSession, path: str) -> list[str]:
     return sorted(status.getPath().getName() for status in fs.listStatus(target))
 
 
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small file that is there as a whole or not at all."""
+    fs, target = _resolve(spark, path)
+    _, part = _resolve(spark, f"{path}.part")
+    stream = fs.create(part, True)
+    stream.write(bytearray(text.encode()))
+    stream.close()
+    fs.delete(target, False)
+    fs.rename(part, target)
+
+
+def read_text(spark: SparkSession, path: str) -> str | None:
+    """What a small file holds, or nothing if there is none."""
+    fs, target = _resolve(spark, path)
+    if not fs.exists(target):
+        return None
+    stream = fs.open(target)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
 def shared_folder(spark: SparkSession, name: str) -> str:
     """A fresh path below the folder that all executors of the session can reach."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("spark.checkpoint.dir must name a folder shared by all executors")
-        base = tempfile.mkdtemp(prefix="stratamart-")
+        base = _own_folder()
     return f"{base.rstrip('/')}/stratamart/{name}-{uuid.uuid4().hex}"

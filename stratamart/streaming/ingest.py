@@ -5,7 +5,6 @@ from __future__ import annotations
 import datetime
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, IntegerType, StructField, StructType
 
 from .. import storage
@@ -42,8 +41,11 @@ def ingest_available(
         reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive)
 
     def store(batch: DataFrame, batch_id: int) -> None:
-        rows = batch.withColumn("run_date", F.lit(run_date))
-        replace_folder(rows, f"{bronze}/batch_id={batch_id}", ["run_date"])
+        # A batch that died on another day has left its folder there.
+        for other in storage.matching(spark, f"{bronze}/run_date=*/batch_id={batch_id}"):
+            if f"run_date={run_date}/" not in other:
+                storage.remove(spark, other)
+        replace_folder(batch, f"{bronze}/run_date={run_date}/batch_id={batch_id}")
 
     query = (
         reader.csv(landing)
@@ -57,7 +59,7 @@ def ingest_available(
 
 def has_bronze(spark: SparkSession, bronze: str, run_date: datetime.date) -> bool:
     """Whether any row was taken over on a run day."""
-    return storage.matches(spark, _day_folders(bronze, run_date))
+    return storage.matches(spark, f"{bronze}/run_date={run_date}/batch_id=*/part-*")
 
 
 def read_bronze(
@@ -67,11 +69,7 @@ def read_bronze(
     schema: StructType = RAW_FEED,
 ) -> DataFrame:
     """The rows taken over so far, or only those of one run day, listing only its files."""
-    folders = [StructField("batch_id", IntegerType()), StructField("run_date", DateType())]
+    folders = [StructField("run_date", DateType()), StructField("batch_id", IntegerType())]
     reader = spark.read.schema(StructType([*schema.fields, *folders]))
-    path = bronze if run_date is None else _day_folders(bronze, run_date)
+    path = bronze if run_date is None else f"{bronze}/run_date={run_date}"
     return reader.option("basePath", bronze).parquet(path).select(*schema.names)
-
-
-def _day_folders(bronze: str, run_date: datetime.date) -> str:
-    return f"{bronze}/batch_id=*/run_date={run_date}"

@@ -42,11 +42,14 @@ def test_the_pattern_of_numbers_leaves_the_cast_as_it_is(spark):
 
 
 def test_more_orders_than_an_int_can_number(spark):
-    raw = raw_rows(spark, {"OrderID": "99999999999"}, {"OrderID": "-7"})
-    assert conform(raw).count() == 1
-    numbered = sales_fact(conform(raw, id_type="bigint")).select("SalesID", "OrderID")
-    assert rows_of(numbered) == [(0, -7), (1, 99999999999)]
-    assert quarantine(raw, id_type="bigint").count() == 0
+    raw = raw_rows(spark, {"OrderID": "99999999999"}, {"OrderID": "-7"}, {"OrderID": "3000000000"})
+    numbered = sales_fact(conform(raw)).select("SalesID", "OrderID")
+    assert rows_of(numbered) == [(0, -7), (1, 3000000000), (2, 99999999999)]
+    assert quarantine(raw).count() == 0
+    assert [row.OrderID for row in conform(raw, id_type="int").collect()] == [-7]
+    refused = quarantine(raw, id_type="int").select("OrderID", "RawOrderID", "failed_rule")
+    rule = "OrderID is out of range"
+    assert rows_of(refused) == [(None, "3000000000", rule), (None, "99999999999", rule)]
 
 
 def test_decimal_numbers(spark):
@@ -57,7 +60,12 @@ def test_decimal_numbers(spark):
 @pytest.mark.parametrize(
     ("change", "rule"),
     [
-        ({"OrderID": "X"}, "OrderID is missing"),
+        ({"OrderID": "X"}, "OrderID is unreadable"),
+        ({"OrderID": None}, "OrderID is missing"),
+        ({"OrderID": " "}, "OrderID is missing"),
+        ({"OrderID": "9" * 30}, "OrderID is out of range"),
+        ({"UnitPrice": "NaN"}, "UnitPrice is not an amount"),
+        ({"TotalPrice": "1e15"}, "TotalPrice is not an amount"),
         ({"OrderDate": "?"}, "OrderDate is missing"),
         ({"CustomerID": None, "Quantity": "0"}, "CustomerID is missing"),
         ({"ProductID": None}, "ProductID is missing"),
@@ -90,10 +98,17 @@ def test_duplicates_go_before_invalid_rows(spark):
     assert quarantine(raw).count() == 1
 
 
-def test_unreadable_order_ids_are_one_group(spark):
-    raw = raw_rows(spark, {"OrderID": "X1"}, {"OrderID": "X2"}, {"OrderID": None}, {})
-    assert quarantine(raw).count() == 1
+def test_every_row_without_a_readable_id_is_rejected_by_itself(spark):
+    raw = raw_rows(spark, {"OrderID": "X1"}, {"OrderID": "X1"}, {"OrderID": None}, {}, {"OrderID": "7", "Quantity": "0"})
+    found = quarantine(raw).select("OrderID", "RawOrderID", "failed_rule")
+    assert rows_of(found) == [
+        (7, "7", "Quantity is not positive"),
+        (None, "X1", "OrderID is unreadable"),
+        (None, "X1", "OrderID is unreadable"),
+        (None, None, "OrderID is missing"),
+    ]
     assert conform(raw).count() == 1
+    assert deduplicate(type_rows(raw)).where("OrderID IS NULL").count() == 1
 
 
 def test_the_smallest_row_stays_wherever_it_lies(spark):

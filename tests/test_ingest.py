@@ -6,6 +6,7 @@ import os
 
 from helpers import GOOD, rows_of
 
+from stratamart import storage
 from stratamart.schemas import RAW_COLUMNS
 from stratamart.streaming import has_bronze, ingest_available, read_bronze
 
@@ -68,7 +69,7 @@ def test_batches_are_bounded(spark, folder):
     for number in range(5):
         drop(folder, f"f{number}", str(number))
     ingest(spark, folder, D1, files_per_batch=2)
-    assert len(glob.glob(f"{folder}/bronze/batch_id=*")) == 3
+    assert len(glob.glob(f"{folder}/bronze/run_date=*/batch_id=*")) == 3
     assert orders(spark, folder) == ["0", "1", "2", "3", "4"]
 
 
@@ -93,6 +94,20 @@ def test_days_without_files(spark, folder):
     assert not has_bronze(spark, f"{folder}/bronze", D2)
 
 
+def test_a_day_is_read_without_listing_the_others(spark, folder, monkeypatch):
+    for number in range(50):
+        os.makedirs(f"{folder}/bronze/run_date=2023-01-{number % 28 + 1:02d}/batch_id={1000 + number}")
+    drop(folder, "a", "1")
+    ingest(spark, folder, D1)
+    asked = []
+    plain = storage.matching
+    monkeypatch.setattr(storage, "matching", lambda session, path: asked.append(path) or plain(session, path))
+    assert has_bronze(spark, f"{folder}/bronze", D1)
+    assert all(f"run_date={D1}/" in path for path in asked)
+    files = read_bronze(spark, f"{folder}/bronze", D1).inputFiles()
+    assert files and all(f"run_date={D1}/batch_id=0/" in path for path in files)
+
+
 def test_all_columns_arrive(spark, folder):
     drop(folder, "a", "1")
     ingest(spark, folder, D1)

@@ -35,8 +35,8 @@ def inputs(spark):
     )
 
 
-@pytest.mark.parametrize("splits", [1, 4])
-def test_brute_force(spark, splits):
+@pytest.mark.parametrize("how", [{}, {"splits": 4}, {"by_month": True}])
+def test_brute_force(spark, how):
     facts, versions, fact_frame, version_frame = inputs(spark)
     expected = []
     for number, key, date in facts:
@@ -47,7 +47,7 @@ def test_brute_force(spark, splits):
         ]
         assert len(found) <= 1
         expected.append((number, key, date, found[0] if found else None))
-    joined = as_of_join(fact_frame, version_frame, {"k": "k"}, "d", ["a"], splits=splits)
+    joined = as_of_join(fact_frame, version_frame, {"k": "k"}, "d", ["a"], **how)
     assert joined.columns == ["id", "k", "d", "a"]
     assert rows_of(joined) == sorted(expected, key=repr)
 

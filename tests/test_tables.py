@@ -3,13 +3,17 @@ from __future__ import annotations
 import datetime
 import os
 
+import pytest
 from helpers import plan_of, rows_of
 from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
 from stratamart import storage
 from stratamart.sinks import (
+    SnapshotStore,
+    append_months,
     append_run,
     publish,
+    read_published,
     replace_months,
     replace_run,
     replace_runs,
@@ -70,7 +74,7 @@ def test_publish_replaces_paths_and_tables(spark, folder):
     for values in ([1, 2], [3]):
         publish(numbers(spark, *values), f"{folder}/plain")
         publish(numbers(spark, *values), f"{folder}/named", table="published_numbers")
-    assert rows_of(spark.read.parquet(f"{folder}/plain")) == [(3,)]
+    assert rows_of(read_published(spark, f"{folder}/plain")) == [(3,)]
     assert rows_of(spark.table("published_numbers")) == [(3,)]
     assert table_exists(spark, "published_numbers")
     assert table_exists(spark, f"{folder}/plain")
@@ -80,8 +84,41 @@ def test_publish_replaces_paths_and_tables(spark, folder):
 
 def test_a_path_without_marker_is_no_table(spark, folder):
     publish(numbers(spark, 1), f"{folder}/plain")
-    os.remove(f"{folder}/plain/_SUCCESS")
+    os.remove(f"{folder}/plain/version=1/_manifest")
     assert not table_exists(spark, f"{folder}/plain")
+    with pytest.raises(LookupError):
+        read_published(spark, f"{folder}/plain")
+
+
+def test_a_dying_publish_leaves_the_old_table(spark, folder):
+    publish(numbers(spark, 1), f"{folder}/t", table="dying_numbers")
+    broken = numbers(spark, 1, 2).selectExpr("if(v = 2, raise_error('lost'), v) AS v")
+    with pytest.raises(Exception, match="lost"):
+        publish(broken, f"{folder}/t", table="dying_numbers")
+    assert rows_of(read_published(spark, f"{folder}/t")) == [(1,)]
+    assert rows_of(spark.table("dying_numbers")) == [(1,)]
+    publish(spark.createDataFrame([("x",)], "w string"), f"{folder}/t", table="dying_numbers")
+    assert rows_of(spark.table("dying_numbers")) == rows_of(read_published(spark, f"{folder}/t")) == [("x",)]
+    assert storage.child_names(spark, f"{folder}/t") == ["version=1", "version=3"]
+
+
+def test_snapshots(spark, folder):
+    store = SnapshotStore(spark, folder)
+    for day, values in ((D1, [1]), (D3, [2, 3])):
+        store.publish(numbers(spark, *values), day)
+    assert rows_of(store.read()) == [(2,), (3,)]
+    assert rows_of(store.read(as_of=D2)) == [(1,)]
+    with pytest.raises(ValueError, match="later than"):
+        store.publish(numbers(spark, 9), D2)
+    os.remove(f"{folder}/run_date={D3}/_manifest")
+    assert rows_of(store.read()) == [(1,)]
+
+
+def test_months_are_appended(spark, folder):
+    rows = spark.createDataFrame([("2024-01", 1)], "yearmonth string, v int")
+    for _ in range(2):
+        append_months(rows, folder)
+    assert spark.read.parquet(folder).count() == 2
 
 
 def test_months_are_replaced(spark, folder):

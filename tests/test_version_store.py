@@ -6,6 +6,7 @@ import os
 import pytest
 from helpers import plan_of, rows_of
 
+from stratamart import storage
 from stratamart.operators import scd2_apply, scd2_bootstrap
 from stratamart.sinks import VersionStore
 
@@ -99,13 +100,30 @@ def test_first_day_can_be_repeated_but_not_preceded(spark, folder):
 
 def test_a_run_that_died_is_ignored(spark, folder):
     store, _ = filled(spark, folder)
-    os.remove(f"{folder}/run_date={D3}/_SUCCESS")
+    os.remove(f"{folder}/run_date={D3}/_manifest")
     assert store.runs() == [D1, D2]
     assert rows_of(store.read()) == in_memory(spark, D2)
     store.apply(frame(spark, DAYS[D3]), ["k"], ["a"], D3)
     assert rows_of(store.read()) == in_memory(spark, D3)
 
 
+def test_reading_looks_into_one_run(spark, folder, monkeypatch):
+    store = VersionStore(spark, folder)
+    first = datetime.date(2024, 1, 1)
+    for number in range(12):
+        store.apply(frame(spark, [(1, str(number))]), ["k"], ["a"], first + datetime.timedelta(days=number))
+    for number in range(50):
+        os.makedirs(f"{folder}/run_date={datetime.date(2023, 1, 1) + datetime.timedelta(days=number)}")
+    asked = []
+    for name in ("exists", "child_names", "read_text"):
+        plain = getattr(storage, name)
+        monkeypatch.setattr(
+            storage, name, lambda session, path, plain=plain: asked.append(path) or plain(session, path)
+        )
+    assert store.read().count() == 12
+    assert len(asked) == 5
+
+
 def test_loaded_history_is_kept(spark, folder):
     store = VersionStore(spark, folder)
     table = scd2_apply(
