@@ -15,7 +15,7 @@ minima of a large window are those of the smaller ones in it, so all sizes cost
 Retrieved pairs are verified by exact containment.
 
 Null and empty texts match nothing. A template without words matches nothing, one shorter than
-a shingle is one shingle. The number of templates is bounded by ``MOST_TEMPLATES``.
+a shingle only matches texts that are nothing else. The number of templates is bounded by ``MOST_TEMPLATES``.
 """
 
 from __future__ import annotations

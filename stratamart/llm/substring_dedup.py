@@ -70,8 +70,10 @@ def prefix_groups(tokens: np.ndarray, starts: np.ndarray, most: int = GROUP_SUFF
         prefix_of[members] = classes
         waiting = members[~small]
     for members, classes in sets:
+        if not len(members):
+            continue
         # Whole classes together, up to the size of a set.
-        cuts = np.flatnonzero(np.concatenate(([True], classes[1:] != classes[:-1]))) if len(classes) else []
+        cuts = np.flatnonzero(np.concatenate(([True], classes[1:] != classes[:-1])))
         begin = 0
         for cut, end in zip(cuts, [*cuts[1:], len(classes)], strict=True):
             if end - begin > most and cut > begin:

@@ -1,0 +1,76 @@
+from __future__ import annotations
+
+from cases import by_repr, frame, odd_documents, plain_words, prose, sha
+
+from stratamart.llm.decontaminate import contamination
+
+ITEMS = [
+    ("b1", prose(1, 20, 500)),
+    ("b2", prose(2, 13, 500)),
+    ("a3", f"{prose(1, 20, 500)} {prose(3, 30, 500)}"),
+    ("c4", "Rare little item"),
+    ("c5", "w1"),
+    ("d6", ""),
+    ("d7", None),
+    ("b2", prose(2, 13, 500)),
+    (None, prose(9, 15, 500)),
+    ("e8", "ha " * 40),
+]
+
+
+def plain(rows, items):
+    windows = {}
+    for item, text in items:
+        words = plain_words(text)
+        size = min(len(words), 13)
+        for at in range(len(words) - size + 1 if words else 0):
+            windows.setdefault(tuple(words[at : at + size]), set()).add(item)
+    sizes = {len(window) for window in windows}
+    out = []
+    for doc_id, text in rows:
+        words, hit, found = plain_words(text), set(), set()
+        for size in sizes:
+            for at in range(len(words) - size + 1):
+                if (items_of := windows.get(tuple(words[at : at + size]))) is not None:
+                    hit |= set(range(at, at + size))
+                    found |= items_of - {None}
+        out.append((doc_id, len(words), len(hit), len(found), sha(",".join(sorted(found)).encode()), bool(hit) and 20 * len(hit) >= len(words)))
+    return out
+
+
+def test_odd_documents(spark):
+    words = prose(1, 20, 500).split()
+    rows = odd_documents() + [
+        (200, f"{prose(20, 300, 900)} {' '.join(words[2:16]).upper()} {prose(21, 9, 900)}"),
+        (201, ", ".join(words)),
+        (202, " ".join(words[:12])),
+        (203, f"{prose(22, 300, 900)} {prose(2, 13, 500)} {prose(1, 20, 500)}"),
+        (204, "a RARE--little item, again rare little item"),
+        (205, "ha " * 12),
+        (206, "ha " * 200),
+        (207, prose(9, 15, 500)),
+        (207, prose(9, 14, 500)),
+        (207, prose(9, 14, 500)),
+    ]
+    benchmark = spark.createDataFrame([(*item, 1) for item in ITEMS], "item_id string, text string, doc_id int")
+    found = contamination(frame(spark, rows), benchmark).collect()
+    assert by_repr(tuple(row)[:6] for row in found) == by_repr(plain(rows, ITEMS))
+
+
+def test_the_shuffled_join_gives_the_same(spark):
+    benchmark = spark.createDataFrame(ITEMS, "item_id string, text string")
+    rows = frame(spark, odd_documents())
+    wanted = by_repr(contamination(rows, benchmark).collect())
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert by_repr(contamination(rows, benchmark).collect()) == wanted
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_empty_tables(spark):
+    none = spark.createDataFrame([], "item_id string, text string")
+    assert contamination(frame(spark, []), none).collect() == []
+    found = contamination(frame(spark, odd_documents()), none).collect()
+    assert len(found) == len(odd_documents()) and not any(row.contaminated for row in found)

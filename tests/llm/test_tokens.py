@@ -1,0 +1,112 @@
+from __future__ import annotations
+
+import base64
+import random
+import zlib
+
+import numpy as np
+import public_tokenizers
+import pytest
+import regex
+import tiktoken
+from cases import by_repr, frame, odd_documents, prose, sha
+from tokenizers import Tokenizer
+
+from stratamart.llm import byte_bpe, pieces, token_store
+
+RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+LIBRARY = public_tokenizers.path("byte_bpe_50k.json")
+SIGNS = "abst'  \n\t.,!09²é漢🙂 revmldTS　Ᲊ "
+
+
+def texts(number, count=300, most=40):
+    pick = random.Random(number)
+    return ["".join(pick.choice(SIGNS) for _ in range(pick.randrange(most))) for _ in range(count)]
+
+
+@pytest.fixture(scope="module")
+def reference():
+    with open(RANKS, "rb") as lines:
+        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
+    return tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+
+
+def test_pieces_are_those_of_the_pattern():
+    assert pieces.PATTERN == public_tokenizers.PATTERN
+    plain = regex.compile(pieces.PATTERN)
+    some = [t for t in texts(1, 4000, 14) if "Ᲊ" not in t]
+    whole, sizes = "".join(some), np.array([len(t) for t in some])
+    codes = np.frombuffer(whole.encode("utf-32-le"), np.uint32)
+    starts = pieces.piece_starts(codes, (np.cumsum(sizes) - sizes)[sizes > 0]).tolist()
+    found = [whole[a:b] for a, b in zip(starts, [*starts[1:], len(whole)], strict=True)]
+    assert found == [piece for text in some for piece in plain.findall(text)]
+
+
+def test_ids_are_those_of_the_library_for_any_piece(reference):
+    hard = ["a" * 700, "ab" * 300 + "é" * 200, "\n" * 500, "".join(random.Random(2).choice("abcdefgh") for _ in range(3000))]
+    some = texts(3) + hard + [prose(5, 400)]
+    for encoder in (byte_bpe.encoder(RANKS, public_tokenizers.PATTERN), pieces.TextEncoder(r"\S+|\s+", byte_bpe.tokenizer(RANKS).encode_pieces)):
+        ids, at = encoder.encode(some)
+        if encoder.pattern is None:
+            assert [ids[a:b].tolist() for a, b in zip(at, at[1:], strict=False)] == [reference.encode_ordinary(t) for t in some]
+        raw, before = byte_bpe.tokenizer(RANKS).decode(ids)
+        assert [raw[before[a] : before[b]].tobytes().decode() for a, b in zip(at, at[1:], strict=False)] == some
+
+
+def test_a_full_table_of_pieces_starts_again(reference, monkeypatch):
+    monkeypatch.setattr(pieces, "KEPT_PIECES", 20)
+    encoder = pieces.TextEncoder(public_tokenizers.PATTERN, byte_bpe.tokenizer(RANKS).encode_pieces)
+    for text in texts(4, 30):
+        ids, _ = encoder.encode([text])
+        assert ids.tolist() == reference.encode_ordinary(text)
+
+
+def test_byte_bpe_of_odd_documents(spark, reference):
+    rows = odd_documents()
+    found = byte_bpe.encode_documents(frame(spark, rows), RANKS, public_tokenizers.PATTERN, with_ids=True).collect()
+    wanted = []
+    for doc_id, text in rows:
+        ids = reference.encode_ordinary(text or "")
+        wanted.append((doc_id, len(ids), sha(np.array(ids, "<u4").tobytes()), sha((text or "").encode()), ids))
+    assert by_repr(map(tuple, found)) == by_repr(wanted)
+    assert byte_bpe.encode_documents(frame(spark, []), RANKS, public_tokenizers.PATTERN).collect() == []
+
+
+VOCABULARY = token_store.Vocabulary(LIBRARY, public_tokenizers.PATTERN, end_id=2)
+
+
+def test_token_store_of_odd_documents(spark, folder, monkeypatch):
+    rows = odd_documents() + [(300, "before<|endoftext|>after"), (301, "Ᲊᲊ it's")]
+    library = Tokenizer.from_file(LIBRARY)
+    token_store.write(frame(spark, rows), folder, VOCABULARY)
+    found = token_store.read(spark, folder, with_ids=True).orderBy("start").collect()
+    encoded = {}
+    start = 0
+    order = sorted(rows, key=lambda row: (row[0] is not None, row[0] or 0, row[1] is not None, row[1] or ""))
+    for (doc_id, text), row in zip(order, found, strict=True):
+        ids = library.encode(text or "", add_special_tokens=False).ids + [2]
+        crc = zlib.crc32(np.array(ids, "<u4").tobytes())
+        assert (row.doc_id, row.start, row.n_tokens, row.ids_crc32, row.ids) == (doc_id, start, len(ids), crc, ids)
+        encoded[doc_id] = (start, ids)
+        start += len(ids)
+    picked = token_store.fetch(spark, folder, [4, 23, 300, 999]).collect()
+    assert {row.doc_id: (row.start, row.ids) for row in picked} == {i: encoded[i] for i in (4, 23, 300)}
+
+
+def test_frames_are_small_by_the_shared_dictionary_and_refuse_another(spark, folder):
+    rows = [(at, prose(at, 30, 60)) for at in range(3000)]
+    token_store.write(frame(spark, rows), f"{folder}/store", VOCABULARY, shards=3)
+    blocks = spark.read.parquet(f"{folder}/store/blocks")
+    own = spark.read.parquet(f"{folder}/store/dictionary").first()
+    assert len(own["raw"]) > 1000 and {row.dictionary for row in blocks.collect()} == {own["dictionary"]}
+    plain = sum(2 * row.n_tokens for row in blocks.collect())
+    assert sum(len(row.frames) for row in blocks.collect()) < 0.5 * plain
+    other = spark.createDataFrame([("x", 2, bytearray(b""))], "dictionary string, width int, raw binary")
+    other.write.mode("overwrite").parquet(f"{folder}/store/dictionary")
+    with pytest.raises(Exception, match="frames need dictionary"):
+        token_store.read(spark, f"{folder}/store").collect()
+
+
+def test_empty_token_store(spark, folder):
+    token_store.write(frame(spark, []), folder, VOCABULARY)
+    assert token_store.read(spark, folder).collect() == []
