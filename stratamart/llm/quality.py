@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import texts as tx
-from .shared import ship_code, stored, with_text_key
+from .shared import hashed_sample, ship_code, stored, with_text_key
 
 SAMPLE_ROWS = 12_000
 BINS, PAIR_BINS = 32, 8
@@ -285,7 +285,8 @@ def quality_scores(documents: DataFrame, labels: DataFrame, sample_rows: int = S
     described = stored(rows.mapInArrow(describe, "doc_id long, text_key long, numbers array<double>"), "quality_numbers")
     known = labels.where("doc_id IS NOT NULL AND quality IS NOT NULL").select(F.col("doc_id").cast("long").alias("doc_id"), "quality")
     known = known.where(~held_out()).groupBy("doc_id").agg((F.avg("quality") >= 0.5).cast("double").alias("label"))
-    sample = described.join(known, "doc_id").orderBy(F.xxhash64("doc_id"), "doc_id", "numbers").limit(sample_rows)
+    known = stored(known, "quality_labels")
+    sample = hashed_sample(described.join(known, "doc_id"), sample_rows, known.count(), ["numbers"])
     found = sample.select("label", "numbers").toPandas()
     values = np.stack(found["numbers"].to_list()) if len(found) else np.zeros((0, 0))
     model = fit(values, found["label"].to_numpy(float))

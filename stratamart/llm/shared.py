@@ -46,3 +46,16 @@ def with_text_key(documents: DataFrame) -> DataFrame:
 
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def hashed_sample(rows: DataFrame, size: int, total: int, tie_breakers: list[str]) -> DataFrame:
+    """At most ``size`` rows, those with the smallest hashes of their doc_id.
+
+    ``total`` is about how many rows there are. Rows that are certainly not among them are left
+    out first, so that tasks send on about ``size`` rows between them and not each.
+    """
+    key = F.xxhash64("doc_id")
+    share = min(1.0, (1.3 * size + 100) / max(total, 1))
+    low = -(2**63)
+    near = rows if share >= 1 else rows.where(key <= low + int(share * 2**64))
+    return near.orderBy(key, "doc_id", *tie_breakers).limit(size)

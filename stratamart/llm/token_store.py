@@ -39,7 +39,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .pieces import TextEncoder
-from .shared import ship_code, shuffle_partitions
+from .shared import hashed_sample, ship_code, shuffle_partitions
 from .texts import sliced
 
 SAMPLE_DOCUMENTS, SAMPLE_BYTES = 2000, 1 << 16
@@ -101,10 +101,10 @@ def _encoded_sample(batches: Iterator[pa.RecordBatch], vocabulary: Vocabulary, w
 def train(documents: DataFrame, vocabulary: Vocabulary, width: int) -> bytes:
     """The dictionary; empty where there is too little to train on.
 
-    The sample are the documents of up to ``SAMPLE_BYTES`` whose ids have the smallest hashes.
+    The sample are the documents of up to ``SAMPLE_BYTES`` with the smallest hashes of their ids.
     """
     short = documents.where(F.octet_length("text") <= SAMPLE_BYTES)
-    sample = short.orderBy(F.xxhash64("doc_id"), "doc_id", F.xxhash64("text")).limit(SAMPLE_DOCUMENTS)
+    sample = hashed_sample(short, SAMPLE_DOCUMENTS, documents.count(), ["text"])
     rows = sample.select("text").mapInArrow(partial(_encoded_sample, vocabulary=vocabulary, width=width), "ids binary").collect()
     try:
         return zstandard.train_dictionary(DICTIONARY_BYTES, [bytes(row["ids"]) for row in rows]).as_bytes()
