@@ -118,5 +118,9 @@ def store_versions(rows: DataFrame) -> DataFrame:
 
 def in_extract(number: int) -> Column:
     """Whether a feed row is in the first or the second of two extracts, by its order."""
-    digits = F.regexp_extract("OrderID", "[0-9]+", 0).cast("bigint")
-    return digits % 2 == number
+    return order_number() % 2 == number
+
+
+def order_number() -> Column:
+    """The digits of a raw order id, readable or not."""
+    return F.regexp_extract("OrderID", "[0-9]+", 0).cast("bigint")

@@ -270,6 +270,8 @@ SELECT s_suppkey::VARCHAR AS OrderID, 'OrderDate' AS OrderDate, 'CustomerID' AS
     "silver_partition_scan": f"""{SILVER} SELECT *, {SECOND_DAY} AS run_date FROM clean
 WHERE OrderDate >= {FIRST_DAY}""",
     "stream_ingest": FEED,
+    "ingest_archive": f"""
+SELECT * FROM ({FEED}) WHERE regexp_extract(OrderID, '[0-9]+')::BIGINT % 4 < 3""",
     "silver_typed": f"{SILVER} SELECT * FROM typed",
     "silver_dedupe": f"{SILVER} SELECT * FROM deduped",
     "silver_clean": f"{SILVER} SELECT * FROM clean",

@@ -52,6 +52,7 @@ from .fixtures import (
     existing_customers,
     in_extract,
     incoming_customers,
+    order_number,
     store_versions,
     stored,
     write_malformed,
@@ -121,6 +122,28 @@ def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_bronze(spark, f"{folder}/bronze", SECOND_DAY)
 
 
+@query
+def ingest_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What lies in the archive after each of four runs took a quarter of the orders.
+
+    A run that takes new files archives those of the run before it, so the last ones are not there.
+    """
+    folder = shared_folder(spark, "ingest_archive")
+    feed = stored(spark, retail_feed(spark, sf_dir), f"{folder}/feed")
+    for drop in range(4):
+        extract = feed.where(order_number() % 4 == drop)
+        extract.write.mode("append").option("header", True).csv(f"{folder}/landing")
+        ingest_available(
+            spark,
+            f"{folder}/landing",
+            f"{folder}/bronze",
+            f"{folder}/checkpoint",
+            SECOND_DAY,
+            archive=f"{folder}/archive",
+        )
+    return read_feed(spark, f"{folder}/archive", recursive=True)
+
+
 # Silver
 
 

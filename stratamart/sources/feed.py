@@ -17,20 +17,28 @@ FEED_OPTIONS = {
 }
 
 
-def header_schema(spark: SparkSession, path: str | list[str]) -> StructType:
+def header_schema(
+    spark: SparkSession, path: str | list[str], recursive: bool = False
+) -> StructType:
     """Column names from the header line, all text. Reads the first line only."""
-    return spark.read.option("header", True).csv(path).schema
+    reader = spark.read.option("header", True).option("recursiveFileLookup", recursive)
+    return reader.csv(path).schema
 
 
 def read_feed(
-    spark: SparkSession, path: str | list[str], schema: StructType | None = None
+    spark: SparkSession,
+    path: str | list[str],
+    schema: StructType | None = None,
+    recursive: bool = False,
 ) -> DataFrame:
     """Rows of a feed as text; rows with too few or too many fields are dropped.
 
     Without a schema the header names the columns, in whatever order the file has them.
+    ``recursive`` reads the folders below as well, such as those of an archive.
     """
-    columns = schema or header_schema(spark, path)
-    return spark.read.schema(columns).options(**FEED_OPTIONS).csv(path)
+    columns = schema or header_schema(spark, path, recursive)
+    reader = spark.read.schema(columns).options(**FEED_OPTIONS)
+    return reader.option("recursiveFileLookup", recursive).csv(path)
 
 
 def read_feed_inferred(spark: SparkSession, path: str | list[str]) -> DataFrame:
