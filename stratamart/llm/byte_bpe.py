@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from .pieces import TextEncoder
-from .shared import ship_code
+from .shared import prepare_workers
 from .texts import numbered, ranges, sliced
 
 NO_RANK = np.int32(2**31 - 1)
@@ -220,7 +220,7 @@ def encode_documents(documents: DataFrame, path: str, pattern: str, with_ids: bo
     ``path`` names a rank file that every executor has, ``pattern`` how it splits texts. The
     decoded digest is taken from the bytes that the ids decode to.
     """
-    ship_code(documents.sparkSession)
+    prepare_workers(documents.sparkSession)
     schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * with_ids
     rows = documents.selectExpr("CAST(doc_id AS LONG) AS doc_id", "text")
     return rows.mapInArrow(partial(encode_texts, path=path, pattern=pattern, with_ids=with_ids), schema)

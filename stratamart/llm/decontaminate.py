@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import texts as tx
-from .shared import ship_code, stored, with_text_key
+from .shared import prepare_workers, stored, with_text_key
 
 WINDOW, GRAM = 13, 5
 SPAN = WINDOW - GRAM + 1
@@ -160,7 +160,7 @@ def _union_size(spans: str):
 def contamination(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     """``doc_id, n_words, n_hit, n_items, items_sha256, contaminated, items, text_key`` for every row."""
     spark = documents.sparkSession
-    ship_code(spark)
+    prepare_workers(spark)
     items = benchmark.select(F.col("item_id").cast("string").alias("item_id"), "text")
     made = stored(items.mapInArrow(item_windows, "item_id string, size int, hash long, is_window boolean"), "items")
     windows = stored(

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import texts as tx
-from .shared import ship_code
+from .shared import prepare_workers
 
 SHINGLE = 2
 CONTAINED, SHORT = 0.8, 10
@@ -188,7 +188,7 @@ def license_matches(documents: DataFrame, templates: Mapping[str, str] = TEMPLAT
     and the first word of the first such window; ``licenses`` are their names, sorted and
     comma-joined.
     """
-    ship_code(documents.sparkSession)
+    prepare_workers(documents.sparkSession)
     rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     schema = "doc_id long, matches array<struct<license: string, containment: double, first_word: long>>"
     found = rows.mapInArrow(partial(_scan, templates=Templates(templates)), schema)

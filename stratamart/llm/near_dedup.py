@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 
 from . import texts as tx
 from .graph import components
-from .shared import ship_code, stored
+from .shared import prepare_workers, stored
 
 BOUND_PERCENT = 80
 BANDS, ROWS = 24, 4
@@ -166,7 +166,7 @@ def _confirmed(pairs: DataFrame, texts: DataFrame, length: int) -> DataFrame:
 
 def near_duplicates(documents: DataFrame, length: int = 5) -> DataFrame:
     """``doc_id, n_shingles, component_id, kept`` for every row of ``documents``."""
-    ship_code(documents.sparkSession)
+    prepare_workers(documents.sparkSession)
     docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     schema = "doc_id long, n_shingles long, digest binary, bands array<long>"
     sketches = stored(docs.mapInArrow(partial(sketch, length=length), schema), "near_sketches")

@@ -109,7 +109,7 @@ class TextEncoder:
         self._forget()
 
     def _forget(self) -> None:
-        self.numbers: dict[int, int] = {}
+        self.hashes, self.numbers = np.zeros(0, np.uint64), np.zeros(0, np.int64)  # by hash
         self.ids, self.counts = np.zeros(0, np.int32), np.zeros(0, np.int64)
 
     def _pieces(self, codes: np.ndarray, texts: list[str], sizes: np.ndarray) -> np.ndarray:
@@ -135,17 +135,20 @@ class TextEncoder:
         which = np.empty(len(order), np.int64)
         which[order] = np.repeat(np.arange(len(fresh)), np.diff(np.append(fresh, len(order))))
 
-        if len(self.numbers) > KEPT_PIECES:
+        if len(self.hashes) > KEPT_PIECES:
             self._forget()
-        numbers = self.numbers
-        known = [numbers.get(key, -1) for key in hashes[distinct].tolist()]
-        number_of = np.array(known, np.int64)
-        new = np.flatnonzero(number_of < 0)
+        wanted = hashes[distinct]
+        places = np.searchsorted(self.hashes, wanted)
+        known = np.append(self.hashes, np.uint64(0))[places] == wanted
+        known &= places < len(self.hashes)
+        number_of = np.append(self.numbers, -1)[places]
+        new = np.flatnonzero(~known)
         if len(new):
             cuts = zip(starts[distinct[new]].tolist(), ends[distinct[new]].tolist(), strict=True)
             ids, counts = self.encode_pieces([whole[a:b] for a, b in cuts])
-            number_of[new] = np.arange(len(numbers), len(numbers) + len(new))
-            numbers.update(zip(hashes[distinct[new]].tolist(), number_of[new].tolist(), strict=True))
+            number_of[new] = np.arange(len(self.hashes), len(self.hashes) + len(new))
+            self.numbers = np.insert(self.numbers, places[new], number_of[new])
+            self.hashes = np.insert(self.hashes, places[new], wanted[new])
             self.ids, self.counts = np.concatenate((self.ids, ids)), np.concatenate((self.counts, counts))
 
         own_counts = self.counts[number_of]

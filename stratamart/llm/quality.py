@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import texts as tx
-from .shared import hashed_sample, ship_code, stored, with_text_key
+from .shared import hashed_sample, prepare_workers, stored, with_text_key
 
 SAMPLE_ROWS = 12_000
 BINS, PAIR_BINS = 32, 8
@@ -280,7 +280,7 @@ def quality_scores(documents: DataFrame, labels: DataFrame, sample_rows: int = S
 
     Labels of held-out ids are never learnt.
     """
-    ship_code(documents.sparkSession)
+    prepare_workers(documents.sparkSession)
     rows = with_text_key(documents)
     described = stored(rows.mapInArrow(describe, "doc_id long, text_key long, numbers array<double>"), "quality_numbers")
     known = labels.where("doc_id IS NOT NULL AND quality IS NOT NULL").select(F.col("doc_id").cast("long").alias("doc_id"), "quality")

@@ -13,10 +13,18 @@ from ..storage import shared_folder
 
 _ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 _shipped: set[str] = set()
+_BATCH_SETTING = "spark.sql.execution.arrow.maxRecordsPerBatch"
+BATCH_ROWS = 1000
 
 
-def ship_code(spark: SparkSession) -> None:
-    """Let Python workers import this library where it is not on their path already."""
+def prepare_workers(spark: SparkSession) -> None:
+    """Let Python workers import this library, and hand them rows in batches of a few megabytes.
+
+    Whole texts make batches of the usual ten thousand rows large, on both sides of the pipe to
+    each worker; a session that asks for smaller ones than ``BATCH_ROWS`` keeps them.
+    """
+    if int(spark.conf.get(_BATCH_SETTING)) > BATCH_ROWS:
+        spark.conf.set(_BATCH_SETTING, str(BATCH_ROWS))
     if _ROOT in os.environ.get("PYTHONPATH", "").split(os.pathsep):
         return
     context = spark.sparkContext

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import texts as tx
-from .shared import shuffle_partitions, ship_code, stored, with_text_key
+from .shared import shuffle_partitions, prepare_workers, stored, with_text_key
 from .suffix_dedup import remaining
 from .windows import WORDS, Runs, repeated_spans, shared_anchors
 
@@ -150,7 +150,7 @@ def remove_repeated_words(documents: DataFrame, buckets: int | None = None, with
     partitions.
     """
     spark = documents.sparkSession
-    ship_code(spark)
+    prepare_workers(spark)
     buckets = buckets or shuffle_partitions(spark)
     rows = with_text_key(documents)
     named = rows.where("doc_id IS NOT NULL")

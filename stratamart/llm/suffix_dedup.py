@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import texts as tx
-from .shared import shuffle_partitions, ship_code, stored, with_text_key
+from .shared import shuffle_partitions, prepare_workers, stored, with_text_key
 from .windows import BYTES, Runs, repeated_spans, shared_anchors
 
 WINDOW = BYTES.window
@@ -157,7 +157,7 @@ def remove_repeated_bytes(documents: DataFrame, buckets: int | None = None, with
     partitions; a task holds about the shared text divided by it, four times over.
     """
     spark = documents.sparkSession
-    ship_code(spark)
+    prepare_workers(spark)
     buckets = buckets or shuffle_partitions(spark)
     rows = with_text_key(documents)
     named = rows.where("doc_id IS NOT NULL")

@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import ship_code, stored, with_text_key
+from .shared import prepare_workers, stored, with_text_key
 
 WIDEN_AFTER = 8
 
@@ -283,7 +283,7 @@ def _rewrite(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def pseudonymised(documents: DataFrame, key: bytes) -> DataFrame:
     """``doc_id, text, n_entities, kinds`` for every row of ``documents``, the text rewritten."""
-    ship_code(documents.sparkSession)
+    prepare_workers(documents.sparkSession)
     rows = with_text_key(documents)
     found = stored(
         rows.mapInArrow(

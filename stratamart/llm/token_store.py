@@ -30,6 +30,7 @@ import zlib
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 from functools import lru_cache, partial
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -39,7 +40,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .pieces import TextEncoder
-from .shared import hashed_sample, ship_code, shuffle_partitions
+from .shared import hashed_sample, prepare_workers, shuffle_partitions
 from .texts import sliced
 
 SAMPLE_DOCUMENTS, SAMPLE_BYTES = 2000, 1 << 16
@@ -67,8 +68,8 @@ def _library(path: str):
 
 def _encode_pieces(pieces: list[str], path: str) -> tuple[np.ndarray, np.ndarray]:
     found = [encoding.ids for encoding in _library(path).encode_batch_fast(pieces, add_special_tokens=False)]
-    counts = np.array([len(ids) for ids in found], np.int64)
-    return np.array([token for ids in found for token in ids], np.int32), counts
+    counts = np.fromiter(map(len, found), np.int64, len(found))
+    return np.fromiter(chain.from_iterable(found), np.int32, int(counts.sum())), counts
 
 
 @lru_cache(maxsize=2)
@@ -131,7 +132,9 @@ def _blocks(batches: Iterator[pa.RecordBatch], vocabulary: Vocabulary, width: in
     def block():
         index = np.array(rows, INDEX)
         ids = [row[0] for row in rows if row[1]]
-        values = [shard, min(ids, default=None), max(ids, default=None), len(rows), int(index["tokens"].sum()), name, width, index.tobytes(), b"".join(frames)]
+        span = [min(ids, default=None), max(ids, default=None)]
+        sums = [len(rows), int(index["tokens"].sum())]
+        values = [shard, *span, *sums, name, width, index.tobytes(), b"".join(frames)]
         return pa.RecordBatch.from_pylist([dict(zip(_BLOCK_NAMES, values, strict=True))], schema=_ARROW_BLOCKS)
 
     for batch in batches:
@@ -166,7 +169,7 @@ _ARROW_BLOCKS = pa.schema(
 def write(documents: DataFrame, path: str, vocabulary: Vocabulary, shards: int | None = None) -> None:
     """Write all documents to a new folder; ``shards`` tasks do, by default as many as shuffle partitions."""
     spark = documents.sparkSession
-    ship_code(spark)
+    prepare_workers(spark)
     rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     width = 2 if _library(vocabulary.path).get_vocab_size() <= 1 << 16 and vocabulary.end_id < 1 << 16 else 4
     raw = train(rows, vocabulary, width)
@@ -205,7 +208,7 @@ def _decoded(batches: Iterator[pa.RecordBatch], raw: bytes, wanted: Sequence[int
 
 
 def _read(spark: SparkSession, path: str, blocks: DataFrame, wanted: Sequence[int] | None, with_ids: bool) -> DataFrame:
-    ship_code(spark)
+    prepare_workers(spark)
     # One row of at most DICTIONARY_BYTES.
     raw = bytes(spark.read.parquet(f"{path}/dictionary").first()["raw"])
     placed = blocks.join(spark.read.parquet(f"{path}/shards"), "shard")
