@@ -27,11 +27,10 @@ ORACLE_SQL = None
 
 def without(docs: DataFrame, rejected: DataFrame) -> DataFrame:
     """The rows of ``docs`` that ``rejected`` does not name by doc_id and text."""
-    named = rejected.select(F.col("doc_id").alias("rejected_id"), F.col("text_key").alias("rejected_key")).distinct()
-    same = (F.col("doc_id").cast("long") == F.col("rejected_id")) & (
-        F.xxhash64(F.col("doc_id").cast("long"), "text") == F.col("rejected_key")
-    )
-    return docs.join(named, same, "left_anti")
+    named = rejected.select("doc_id", "text_key").distinct()
+    doc_id = F.col("docs.doc_id").cast("long")
+    same = (doc_id == F.col("named.doc_id")) & (F.xxhash64(doc_id, "docs.text") == F.col("named.text_key"))
+    return docs.alias("docs").join(named.alias("named"), same, "left_anti")
 
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -50,8 +49,9 @@ def once_exactly(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def once_nearly(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    copies = near_duplicates(docs).where("NOT kept").select(F.col("doc_id").alias("rejected_id")).distinct()
-    return docs.join(copies, F.col("doc_id").cast("long") == F.col("rejected_id"), "left_anti")
+    copies = near_duplicates(docs).where("NOT kept").select("doc_id").distinct()
+    same = F.col("docs.doc_id").cast("long") == F.col("copies.doc_id")
+    return docs.alias("docs").join(copies.alias("copies"), same, "left_anti")
 
 
 def free_of_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
