@@ -8,20 +8,23 @@ times as long as the template.
 
 A template matches where a window has ``CONTAINED`` of its shingles, or all of them if they are
 fewer than ``SHORT`` (notices of that size differ from others by a word). Such a window has at least
-``J = 0.8 t / (w + 0.2 t) >= 0.19`` of their union in common with it. Bands of one minimum each
-collide with probability ``1 - (1 - J) ** 64 >= 0.999998``; rows of more minima would lose more
+``J = 0.8 t / (w + 0.2 t) >= 0.19`` of their union in common with it, where no shingle of the
+template repeats; the long texts repeat so many that J is 0.125 at worst. Bands of one minimum each
+collide with probability ``1 - (1 - J) ** 64 >= 0.999998``, for these texts 0.9998; rows of more minima would lose more
 of these windows than they save, because a chance collision already takes a shared shingle. The
 minima of a large window are those of the smaller ones in it, so all sizes cost one pass.
 Retrieved pairs are verified by exact containment.
 
 Null and empty texts match nothing. A template without words matches nothing, one shorter than
-a shingle only matches texts that are nothing else. The number of templates is bounded by ``MOST_TEMPLATES``.
+a shingle only matches texts that are nothing else. Window sizes go on doubling up to the longest
+template. Templates travel in the function of the tasks, which Spark broadcasts by its measured size.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Mapping
+from collections.abc import Iterator, Mapping, Sequence
 from functools import partial
+from importlib import resources
 
 import numpy as np
 import pyarrow as pa
@@ -34,10 +37,14 @@ from .shared import prepare_workers
 SHINGLE = 2
 CONTAINED, SHORT = 0.8, 10
 BANDS = 64
+#: The bounds of ``Templates`` by itself; ``license_matches`` sets none.
 SIZES = (8, 16, 32, 64, 128, 256, 512)
 MOST_TEMPLATES = 1000
+#: Up to so many minima are compared one by one, more are looked up.
+FEW = 16
 
-# Notices by their SPDX identifiers, or a word where there is none.
+# Phrases, headers and openings by their SPDX identifiers, or a word where there is none.
+# Whole texts and notices lie in ``license_texts``.
 TEMPLATES = {
     "Apache-2.0": "Licensed under the Apache License, Version 2.0",
     "Apache-2.0-header": """Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file
@@ -73,16 +80,26 @@ TEMPLATES = {
 }
 
 
+def whole_texts() -> dict[str, str]:
+    """The texts and notices of ``license_texts``, whole, by file name."""
+    files = resources.files(__package__).joinpath("license_texts").iterdir()
+    return {file.name[: -len(".txt")]: file.read_text("utf-8") for file in files if file.name.endswith(".txt")}
+
+
 def _shingles(hashes: np.ndarray) -> np.ndarray:
     return tx.run_hashes(hashes, min(SHINGLE, max(len(hashes), 1)))
 
 
 class Templates:
-    """Templates by window size: their shingles, and for each band the minima that lead to them."""
+    """Templates by window size: their shingles, and for each band the minima that lead to them.
+
+    Without ``sizes`` these go on doubling up to the longest template, without ``most`` there
+    may be any number.
+    """
 
-    def __init__(self, templates: Mapping[str, str]):
-        if len(templates) > MOST_TEMPLATES:
-            raise ValueError(f"more than {MOST_TEMPLATES} templates")
+    def __init__(self, templates: Mapping[str, str], sizes: Sequence[int] | None = SIZES, most: int | None = MOST_TEMPLATES):
+        if most is not None and len(templates) > most:
+            raise ValueError(f"more than {most} templates")
         self.factors = tx.numbered(9000, BANDS) | np.uint64(1)
         self.names = sorted(templates)
         self.sets: dict[str, np.ndarray] = {}
@@ -93,15 +110,18 @@ class Templates:
             starts, ends, _ = tx.words(lower, offsets, tx.PLAIN_WORD)
             if not len(starts):
                 continue
-            size = next((size for size in SIZES if size >= 2 * len(starts)), None)
-            if size is None:
-                raise ValueError(f"template {name} has more than {SIZES[-1] // 2} words")
+            if sizes is None:
+                size = max(SIZES[0], 1 << (2 * len(starts) - 1).bit_length())
+            elif (size := next((size for size in sizes if size >= 2 * len(starts)), None)) is None:
+                raise ValueError(f"template {name} has more than {sizes[-1] // 2} words")
             self.sets[name] = np.unique(_shingles(tx.span_hashes(lower, starts, ends)))
             self.by_size.setdefault(size, []).append(name)
         self.keys = {
             size: np.array([[(self.sets[name] * factor).min() for name in names] for factor in self.factors])
             for size, names in self.by_size.items()
         }
+        self.order = {size: np.argsort(keys, axis=1) for size, keys in self.keys.items()}
+        self.largest = max(self.by_size, default=SIZES[0])
 
 
 def _values(hashes: np.ndarray, first: np.ndarray) -> np.ndarray:
@@ -115,11 +135,11 @@ def _values(hashes: np.ndarray, first: np.ndarray) -> np.ndarray:
     return out
 
 
-def _levels(first: np.ndarray) -> list[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
+def _levels(first: np.ndarray, largest: int) -> list[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
     """For each half size where blocks begin in those of the level below, where in the words, and which have a next one in their text."""
     half = SIZES[0] // 2
     out, below, step = [], first, half
-    while half <= SIZES[-1] // 2:
+    while half <= largest // 2:
         counts = -(-np.diff(below) // step)
         begins = tx.ranges(np.zeros(len(counts), np.int64), counts) * step + np.repeat(below[:-1], counts)
         at = tx.ranges(np.zeros(len(counts), np.int64), counts) * half + np.repeat(first[:-1], counts)
@@ -131,10 +151,23 @@ def _levels(first: np.ndarray) -> list[tuple[int, np.ndarray, np.ndarray, np.nda
     return out
 
 
+def _collisions(windows: np.ndarray, keys: np.ndarray, order: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Window and template numbers of equal minima; ``order`` sorts the keys."""
+    if len(keys) <= FEW:
+        for number, key in enumerate(keys):
+            yield from ((window, number) for window in np.flatnonzero(windows == key))
+        return
+    ordered = keys[order]
+    low, high = np.searchsorted(ordered, windows, "left"), np.searchsorted(ordered, windows, "right")
+    hits = np.flatnonzero(high > low)
+    counts = (high - low)[hits]
+    yield from zip(np.repeat(hits, counts), order[tx.ranges(low[hits], counts)], strict=True)
+
+
 def _retrieved(values: np.ndarray, first: np.ndarray, templates: Templates) -> set[tuple[int, int, int]]:
     """Window size, first word and template number, where a band collides."""
     out: set[tuple[int, int, int]] = set()
-    levels = _levels(first)
+    levels = _levels(first, templates.largest)
     for band, factor in enumerate(templates.factors):
         blocks = values * factor
         for half, begins, at, followed in levels:
@@ -145,8 +178,8 @@ def _retrieved(values: np.ndarray, first: np.ndarray, templates: Templates) -> s
             # A window is two neighbouring blocks; the last block of a text is one by itself.
             windows = blocks.copy()
             np.minimum(blocks[:-1], blocks[1:], out=windows[:-1], where=followed[:-1])
-            for number, key in enumerate(keys[band]):
-                out.update((2 * half, int(at[window]), number) for window in np.flatnonzero(windows == key))
+            found = _collisions(windows, keys[band], templates.order[2 * half][band])
+            out.update((2 * half, int(at[window]), int(number)) for window, number in found)
     return out
 
 
@@ -181,17 +214,19 @@ def _scan(batches: Iterator[pa.RecordBatch], templates: Templates) -> Iterator[p
             yield pa.RecordBatch.from_arrays([rows, pa.array(matches, kind)], names=["doc_id", "matches"])
 
 
-def license_matches(documents: DataFrame, templates: Mapping[str, str] = TEMPLATES) -> DataFrame:
+def license_matches(documents: DataFrame, templates: Mapping[str, str] | None = None) -> DataFrame:
     """``doc_id, n_licenses, licenses, matches`` for every row of ``documents``.
 
     ``matches`` has each license with the largest share of its shingles that a window contains
     and the first word of the first such window; ``licenses`` are their names, sorted and
-    comma-joined.
+    comma-joined. Without ``templates`` these are ``TEMPLATES`` and ``whole_texts()``.
     """
+    if templates is None:
+        templates = TEMPLATES | whole_texts()
     prepare_workers(documents.sparkSession)
     rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     schema = "doc_id long, matches array<struct<license: string, containment: double, first_word: long>>"
-    found = rows.mapInArrow(partial(_scan, templates=Templates(templates)), schema)
+    found = rows.mapInArrow(partial(_scan, templates=Templates(templates, sizes=None, most=None)), schema)
     return found.select(
         "doc_id", F.size("matches").cast("long").alias("n_licenses"), F.concat_ws(",", "matches.license").alias("licenses"), "matches"
     )

@@ -56,5 +56,24 @@ def test_bounds():
         licenses.Templates({"long": "word " * 300})
 
 
+def test_whole_texts(spark):
+    texts = licenses.whole_texts()
+    assert {"Apache-2.0-text", "GPL-3.0-text", "LGPL-2.1-text", "MPL-2.0-text", "Unlicense-text", "ISC-whole-text"} <= set(texts)
+    names = sorted(texts)
+    rows = [(at, f"{prose(at, 137 * at)} {texts[name]} {prose(at, 50)}") for at, name in enumerate(names)]
+    rows += [(100 + at, " ".join(texts[name].split()[len(texts[name].split()) // 2 :])) for at, name in enumerate(names)]
+    found = {r.doc_id: r for r in licenses.license_matches(frame(spark, rows)).collect()}
+    for at, name in enumerate(names):
+        assert {m.license: m.containment for m in found[at].matches}[name] == 1
+        assert name not in found[100 + at].licenses.split(",")
+
+
+def test_any_number_of_templates(spark):
+    templates = {f"t{at}": f"a{at} b{at} c{at} d{at}" for at in range(licenses.MOST_TEMPLATES + 500)}
+    rows = [(at, f"{prose(at, 30)} {templates[f't{at}']} {prose(at, 9)} {templates['t3']}") for at in range(0, 1500, 100)]
+    for row in licenses.license_matches(frame(spark, rows), templates).collect():
+        assert set(row.licenses.split(",")) == {f"t{row.doc_id}", "t3"}
+
+
 def test_empty_table(spark):
     assert licenses.license_matches(frame(spark, [])).collect() == []
