@@ -1,8 +1,10 @@
 """Personal data replaced by keyed surrogates (operator 9).
 
-Detected: e-mail addresses, telephone numbers, IPv4 and IPv6 addresses, account and card numbers
+Detected: e-mail addresses, telephone numbers (with a country code, in the US shape, or national
+ones that begin with 0), IPv4 and IPv6 addresses, compressed ones too, account and card numbers
 (13 to 19 digits), US social security numbers, IBANs, access keys and values of secrets, and
-names of persons after a title or with a known first name.
+names of persons: all capitalised words after a title or a known first name, and wherever else
+the same document has a family name found so. The README lists what is not detected.
 
 A surrogate is a keyed permutation of the values that look like the original, so that different
 originals cannot share one:
@@ -10,7 +12,7 @@ originals cannot share one:
 - letters become letters of the same script, case and kind (vowel or not), digits digits, and
   everything else stays, which keeps formats;
 - card numbers and IBANs keep valid check digits, IP addresses stay IP addresses, telephone
-  numbers keep their country code, e-mail addresses their top-level domain;
+  numbers keep their country code or leading 0, e-mail addresses their top-level domain;
 - access keys keep the prefix that tells their kind, hexadecimal secrets stay hexadecimal;
 - first names come from the list of the same gender and script. Names are mapped part by part,
   so that ``Ms. Weber`` and ``Anna Weber`` stay one family, whatever the document.
@@ -18,7 +20,7 @@ originals cannot share one:
 The mapping is global: distinct values of all documents are collected in a table. A surrogate
 that is itself an original of the corpus, or that two originals have, is made again under the
 next tweak of the key until no collision is left; after ``WIDEN_AFTER`` rounds letters are
-appended. (First names only have to stay distinct, as their lists are closed.) Texts are then rewritten by a join with that table.
+appended. (First names and initials only have to stay distinct, as their lists are closed.) Texts are then rewritten by a join with that table.
 
 Null texts stay null; rows without doc_id are treated like others. ``key`` is a secret: who has
 it can undo the mapping.
@@ -27,7 +29,9 @@ it can undo the mapping.
 from __future__ import annotations
 
 import hashlib
+import ipaddress
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 from functools import partial
 
@@ -70,12 +74,17 @@ FIRST_NAMES = {
 GENDER_OF = {name: group for group, names in FIRST_NAMES.items() for name in names}
 
 _WORD = r"[^\W\d_]"
-_CAPITAL = r"(?=[A-ZÀ-ÖØ-ÞА-ЯΑ-Ω])" + _WORD + r"[\w'’-]*"
+_UPPER = "[A-ZÀ-ÖØ-ÞА-ЯΑ-Ω]"
+_CAPITAL = rf"(?={_UPPER})" + _WORD + r"[\w'’-]*"
+# Capitalised words; a point may follow an initial.
+_MORE = rf"(?:(?:(?<=\W{_UPPER})\.)? {_CAPITAL})"
 _KNOWN = "|".join(sorted(GENDER_OF, key=lambda name: (-len(name), name)))
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1?\d?\d)"
+_GROUP = "[0-9a-fA-F]{1,4}"
 _SECRET_WORDS = ("password", "passwd", "pwd", "secret", "token", "key")
 _KEY_STARTS = ("AKIA", "ASIA", "ghp_", "gho_", "ghu_", "ghs_", "ghr_", "sk-", "eyJ")
 _TITLES = ("Mr", "Mrs", "Ms", "Miss", "Dr", "Prof", "Herr", "Frau", "Mme", "Sr", "Sra")
+_GROUPED = re.compile(r"\+\d{1,3}[ .-]?(?:\(\d{1,4}\)[ .-]?)?\d{2,4}(?:[ .-]?\d{2,4}){1,4}")
 #: Kind, pattern, and what a text must have one of; "0" stands for two digits in a row. Tried in
 #: this order; a match takes its characters from the patterns after it.
 PATTERNS = [
@@ -83,26 +92,53 @@ PATTERNS = [
     ("secret", re.compile(r"(?i:\b(?:password|passwd|pwd|secret|token|api[_-]?key))\s*[=:]\s*[\"']?([^\s\"'<>,;]{6,})"), _SECRET_WORDS),
     ("secret", re.compile(r"(?<!\w)((?:AKIA|ASIA)[0-9A-Z]{16}|gh[pousr]_\w{20,}|sk-[\w-]{20,}|eyJ[\w-]{8,}\.[\w-]{8,}\.[\w-]+)(?![\w-])"), _KEY_STARTS),
     ("iban", re.compile(r"(?<!\w)([A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?)(?!\w)"), ("0",)),
-    ("ipv6", re.compile(r"(?<![\w:])((?:[0-9a-fA-F]{1,4}:){7}[0-9a-fA-F]{1,4})(?![\w:])"), (":",)),
+    ("ipv6", re.compile(rf"(?<![\w:])((?:{_GROUP}:){{6}}(?:{_GROUP}:{_GROUP}|{_OCTET}(?:\.{_OCTET}){{3}}))(?!\w|:[\w:]|\.\d)"), (":",)),
+    ("ipv6", re.compile(rf"(?<![\w:])((?:{_GROUP}(?::{_GROUP}){{0,6}})?::(?:(?:{_GROUP}:){{0,5}}{_OCTET}(?:\.{_OCTET}){{3}}|{_GROUP}(?::{_GROUP}){{0,6}})?)(?!\w|:[\w:]|\.\d)"), ("::",)),
     ("ipv4", re.compile(rf"(?<![\w.])({_OCTET}(?:\.{_OCTET}){{3}})(?![\w]|\.\d)"), ("0",)),
     ("account", re.compile(r"(?<![\w.+-])(\d(?:[ -]?\d){12,18})(?![\w-]|\.\d)"), ("0",)),
     ("ssn", re.compile(r"(?<![\w-])(\d{3}-\d{2}-\d{4})(?![\w-])"), ("0",)),
-    ("phone", re.compile(r"(?<![\w+])(\+\d{1,3}[ .-]?(?:\(\d{1,4}\)[ .-]?)?\d{2,4}(?:[ .-]?\d{2,4}){1,4})(?!\w)"), ("+",)),
-    ("phone", re.compile(r"(?<![\w+-])(\(\d{3}\) ?\d{3}[ .-]\d{4}|\d{3}[.-]\d{3}[.-]\d{4})(?![\w-])"), ("0",)),
+    ("phone", re.compile(rf"(?<![\w+])({_GROUPED.pattern})(?!\w)"), ("+",)),
+    ("phone", re.compile(r"(?<![\w+])(\+\d{1,3}(?:[ ./-]?\(?\d{1,4}\)?){2,7})(?!\w)"), ("+",)),
+    ("phone", re.compile(r"(?<![\w+-])((?:1[ .-])?(?:\(\d{3}\) ?|\d{3}[ .-])\d{3}[ .-]\d{4})(?![\w-])"), ("0",)),
+    ("phone", re.compile(r"(?<![\w+.,/-])(\(0\d{1,4}\) ?\d{2,8}(?:[ ./-]\d{2,8}){0,4}|0\d{1,4}(?:(?: ?[./-] ?| )\d{2,8}){1,5}|0[1-9]\d{8,10})(?![\w-]|[.,/]\d)"), ("0",)),
     # Without a look behind, which would make these patterns try every place of a text.
-    ("name", re.compile(rf"(?:{'|'.join(_TITLES)})\.? ({_CAPITAL}(?: {_CAPITAL})?)"), _TITLES),
-    ("name", re.compile(rf"((?:{_KNOWN}) {_CAPITAL})"), ()),
+    ("name", re.compile(rf"(?:(?:{'|'.join(_TITLES)})\.? )+({_CAPITAL}{_MORE}*)"), _TITLES),
+    ("name", re.compile(rf"((?:{_KNOWN}){_MORE}+)"), ()),
 ]
 _TWO_DIGITS = re.compile(r"\d{2}")
 _PART = re.compile(r"\S+")
+_INITIAL = re.compile(rf"{_UPPER}\.?")
+_POSSESSIVE = re.compile(r"['’]s?$")
+_MENTION = re.compile(rf"(?<!\w){_CAPITAL}")
+_LETTERS = re.compile(r"\w+")
+_DATE = re.compile(r"\d\d\D\d\d\D\d{4}")
+# Words that a run of capitalised words may take in from a sentence or heading.
+_COMMON = set("""The An And Or But In On At Of To For From With By As If So He She It They We You His Her Its Their This That Then
+    There When Where Who What How Is Was Are Were Has Had Not No Der Die Das Den Dem Des Ein Eine Und Oder Aber Im Am Zu Von Mit Er Sie
+    Es Wir Ihr Ist War Hat Le La Les Un Une Et Ou Mais Dans De Du Au Il Elle Nous Vous El Los Las Una Pero En Del Al Con Por""".split())
+_NATIONAL = re.compile(r"\(?0|1[ .-]|")
 _KEY_PREFIX = re.compile(r"AKIA|ASIA|gh[pousr]_|sk-|eyJ|")
 _HEXADECIMAL = re.compile(r"[0-9a-f]+|[0-9A-F]+")
 
 
 def _valid(kind: str, value: str) -> bool:
+    if kind == "ipv6":
+        return _is_ipv6(value)
+    if kind == "phone" and value[0] in "+0(":
+        # The second pattern for country codes asks for more digits than the first, which is strict in groups.
+        return bool(_GROUPED.fullmatch(value)) or 8 <= sum(map(str.isdigit, value)) <= 15 and not _DATE.fullmatch(value)
     return kind != "iban" or _iban_rest(value) == 1
 
 
+def _is_ipv6(value: str) -> bool:
+    """Whether it is an address; short forms such as ``1::2`` in ranges that nobody has been given are not taken for one."""
+    try:
+        address = ipaddress.IPv6Address(value)
+    except ValueError:
+        return False
+    return "::" not in value or "." in value or not (address.is_reserved or address.is_loopback or address.is_unspecified)
+
+
 def _iban_rest(value: str) -> int:
     plain = value.replace(" ", "")
     return int("".join(str(int(sign, 36)) for sign in plain[4:] + plain[:4])) % 97
@@ -129,8 +165,38 @@ def entities(text: str) -> list[tuple[int, int, str]]:
             if kind != "name":
                 taken.append((begin, end, kind))
             for part in _PART.finditer(text, begin, end) if kind == "name" else ():
-                taken.append((*part.span(), "first name" if part[0] in GENDER_OF else "family name"))
-    return sorted(taken)
+                taken.append(_name(*part.span(), text))
+    return _with_mentions(text, sorted(taken))
+
+
+def _without_possessive(begin: int, end: int, text: str) -> int:
+    """The end of the word without its possessive."""
+    found = _POSSESSIVE.search(text[begin:end])
+    return begin + found.start() if found and found.start() else end
+
+
+def _name(begin: int, end: int, text: str) -> tuple[int, int, str]:
+    if _INITIAL.fullmatch(text, begin, end):
+        return begin, end, "initial"
+    end = _without_possessive(begin, end, text)
+    return begin, end, "first name" if text[begin:end] in GENDER_OF else "family name"
+
+
+def _with_mentions(text: str, taken: list[tuple[int, int, str]]) -> list[tuple[int, int, str]]:
+    """Also the other places of the family names among ``taken``, which is sorted."""
+    names = {text[a:b] for a, b, kind in taken if kind == "family name"} - _COMMON
+    if not names:
+        return taken
+    begins = [a for a, _, _ in taken]
+    more = []
+    for word in _MENTION.finditer(text):
+        begin, end = word.start(), _without_possessive(*word.span(), text)
+        spans = [(begin, end)] if text[begin:end] in names else [p.span() for p in _LETTERS.finditer(text, begin, end) if p[0] in names]
+        for a, b in spans:
+            before = bisect_left(begins, b) - 1
+            if before < 0 or taken[before][1] <= a:
+                more.append((a, b, "family name"))
+    return sorted(taken + more)
 
 
 def _number(key: bytes, *parts) -> int:
@@ -208,11 +274,14 @@ def surrogate(kind: str, value: str, key: bytes, tweak: int) -> str:
         number = int.from_bytes(bytes(map(int, value.split("."))), "big")
         new = ".".join(map(str, permuted(number, 1 << 32, key, kind).to_bytes(4, "big")))
     elif kind == "ipv6":
-        number = permuted(int("".join(part.zfill(4) for part in value.split(":")), 16), 1 << 128, key, kind)
+        number = permuted(int(ipaddress.IPv6Address(value)), 1 << 128, key, kind)
         new = ":".join(f"{number:032x}"[at : at + 4] for at in range(0, 32, 4))
     elif kind == "phone" and value.startswith("+"):
         country = re.match(r"\+\d{1,3}(?=\D)|\+\d", value)[0]
         new = country + same_shape(value[len(country) :], key, kind)
+    elif kind == "phone":
+        country = _NATIONAL.match(value)[0]
+        new = country + same_shape(value[len(country) :], key, kind)
     elif kind == "first name":
         names = FIRST_NAMES[GENDER_OF[value]]
         new = names[permuted(names.index(value), len(names), key, GENDER_OF[value])]
@@ -256,7 +325,7 @@ def mapping(values: DataFrame, key: bytes) -> DataFrame:
     originals = values.select(F.col("kind").alias("known_kind"), F.col("value").alias("known"))
     while True:
         is_original = (F.col("kind") == F.col("known_kind")) & (F.col("surrogate") == F.col("known"))
-        taken = table.where("kind <> 'first name'").join(originals, is_original, "left_semi").select("kind", "value")
+        taken = table.where("kind NOT IN ('first name', 'initial')").join(originals, is_original, "left_semi").select("kind", "value")
         owners = table.groupBy("kind", "surrogate").agg(F.min("value").alias("owner"), F.max("value").alias("last")).where("owner <> last")
         shared = table.join(owners, ["kind", "surrogate"]).where("value <> owner").select("kind", "value")
         clashing = stored(taken.union(shared).distinct(), "surrogate_clashes")

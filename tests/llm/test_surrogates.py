@@ -34,6 +34,43 @@ def test_clean_texts_stay(text):
     assert sg.entities(text) == []
 
 
+@pytest.mark.parametrize(
+    "text, wanted",
+    [
+        ("from 2001:db8::1, fe80::1: and ::ffff:10.2.3.4", [("ipv6", "2001:db8::1"), ("ipv6", "fe80::1"), ("ipv6", "::ffff:10.2.3.4")]),
+        ("x[::2] and x[1::2], std::sort, a::b, 12:30:45 and 1:2:3::4::5", []),
+        ("2001:DB8:0:0:8:800:200C:417A.", [("ipv6", "2001:DB8:0:0:8:800:200C:417A")]),
+        ("call 555 123 4567, 1-800-555-1234 or 030 1234567", [("phone", n) for n in ("555 123 4567", "1-800-555-1234", "030 1234567")]),
+        ("(030) 123 45 67; 020 7946 0958; 030/1234567; 01712345678", [("phone", n) for n in ("(030) 123 45 67", "020 7946 0958", "030/1234567", "01712345678")]),
+        ("+33 6 12 34 56 78 and 06 12 34 56 78.", [("phone", "+33 6 12 34 56 78"), ("phone", "06 12 34 56 78")]),
+        ("on 01.05.2024, 01-05-2024, 05/06/2024 and 0.12345678, 03 of 12", []),
+        ("Anna Maria Weber left", [("first name", "Anna"), ("first name", "Maria"), ("family name", "Weber")]),
+        ("Dr. Hans Peter Weber left", [("first name", "Hans"), ("first name", "Peter"), ("family name", "Weber")]),
+        ("Prof. Dr. J. Weber left", [("initial", "J."), ("family name", "Weber")]),
+        ("John F. Kennedy left", [("first name", "John"), ("initial", "F."), ("family name", "Kennedy")]),
+        ("Ms. Weber's. Then Weber, the Webers and Weber-Klein met", [("family name", "Weber")] * 3),
+        ("Ms. Weber The Boss. The other", [("family name", n) for n in ("Weber", "The", "Boss")]),
+    ],
+)
+def test_more_shapes(text, wanted):
+    assert [(kind, text[a:b]) for a, b, kind in sg.entities(text)] == wanted
+
+
+def test_surrogates_of_more_shapes():
+    assert re.fullmatch(r"1-\d{3}-\d{3}-\d{4}", sg.surrogate("phone", "1-800-555-1234", KEY, 0))
+    assert re.fullmatch(r"\(0\d\d\) \d{7}", sg.surrogate("phone", "(030) 1234567", KEY, 0))
+    assert re.fullmatch(r"[0-9a-f]{4}(:[0-9a-f]{4}){7}", sg.surrogate("ipv6", "2001:db8::1", KEY, 0))
+    assert len({sg.surrogate("initial", f"{letter}.", KEY, 0) for letter in "ABCDEFGHIJKLMNOPQRSTUVWXYZ"}) == 26
+
+
+def test_later_mentions_get_the_same_surrogate(spark):
+    text = "Ms. Weber called. Weber's office (Dr. Hans Peter Weber) is at 030 1234567."
+    row = sg.pseudonymised(frame(spark, [(1, text)]), KEY).first()
+    names = re.search(r"Ms\. (\w+) called\. (\w+)'s office \(Dr\. \w+ \w+ (\w+)\)", row.text).groups()
+    assert len(set(names)) == 1 and "Weber" not in row.text and "1234567" not in row.text
+    assert row.n_entities == 6
+
+
 def test_surrogates_are_like_their_originals():
     def luhn(digits):
         return sg._luhn(digits[:-1]) == digits[-1]
