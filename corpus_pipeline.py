@@ -3,8 +3,8 @@
 Each stage works on what the one before has kept, written as Parquet and read again. All but
 the last return the columns of ``documents``. A stage removes rows by an anti join with those
 it rejects, so rows that it cannot name (without doc_id) stay. Rows that repeat a doc_id with
-other text are judged one by one, but by near duplicates as one document; rows that repeat a
-doc_id with the same text become one in the exact stage.
+other text are judged one by one; rows that repeat a doc_id with the same text become one in
+the exact stage.
 """
 
 from __future__ import annotations
@@ -49,9 +49,7 @@ def once_exactly(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def once_nearly(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    copies = near_duplicates(docs).where("NOT kept").select("doc_id").distinct()
-    same = F.col("docs.doc_id").cast("long") == F.col("copies.doc_id")
-    return docs.alias("docs").join(copies.alias("copies"), same, "left_anti")
+    return without(docs, near_duplicates(docs).where("NOT kept"))
 
 
 def free_of_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -20,9 +20,12 @@ without words has none. Documents are linked when ``100 * intersection >= 80 * u
 A link at 0.8 shares no band with probability below 4e-6 and is estimated below 0.719 with
 probability below 1e-5 (4.4 standard deviations); every other link of different texts is found.
 
-Null and empty texts have no shingles, are kept and linked with nothing. Rows repeating a
-doc_id count as one document: it is linked with whatever one of them is linked with. Rows
-without doc_id take part in no link, are kept and have no component.
+Null and empty texts have no shingles, are kept and linked with nothing. Rows that repeat a
+doc_id with other text are judged one by one: each is linked by its own text only, so rows of
+one doc_id can be in different components. Of a component the smallest doc_id is kept, and of
+its rows in that component those with the smallest ``text_key``. Rows repeating doc_id and text
+are one document, kept or not together. Rows without doc_id take part in no link, are kept and
+have no component.
 """
 
 from __future__ import annotations
@@ -38,7 +41,7 @@ from pyspark.sql import functions as F
 
 from . import texts as tx
 from .graph import components
-from .shared import prepare_workers, stored
+from .shared import prepare_workers, stored, with_text_key
 
 BOUND_PERCENT = 80
 BANDS, ROWS = 24, 4
@@ -102,11 +105,12 @@ def sketch(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.Record
             yield pa.RecordBatch.from_arrays(
                 [
                     part.column("doc_id"),
+                    part.column("text_key"),
                     pa.array([len(found) for found in sets], pa.int64()),
                     pa.array([hashlib.blake2b(f.tobytes(), digest_size=16).digest() if len(f) else None for f in sets], pa.binary()),
                     pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(keys.reshape(-1))),
                 ],
-                names=["doc_id", "n_shingles", "digest", "bands"],
+                names=["doc_id", "text_key", "n_shingles", "digest", "bands"],
             )
 
 
@@ -122,7 +126,7 @@ def sign(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordBa
             packed = packed_bits(minima([sets[i] for i in full], SIGNATURE))
             sizes = pa.array([len(sets[i]) for i in full], pa.int64())
             yield pa.RecordBatch.from_arrays(
-                [part.column("doc_id").take(pa.array(full)), sizes, *map(pa.array, packed.T.copy())], names=["node", "n_shingles", *PACKED]
+                [part.column("node").take(pa.array(full)), sizes, *map(pa.array, packed.T.copy())], names=["node", "n_shingles", *PACKED]
             )
 
 
@@ -158,24 +162,26 @@ def similar_enough(left: str, right: str):
 
 
 def _confirmed(pairs: DataFrame, texts: DataFrame, length: int) -> DataFrame:
-    left = texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a")).hint("merge")
-    right = texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b")).hint("merge")
+    left = texts.select(F.col("node").alias("a"), F.col("text").alias("text_a")).hint("merge")
+    right = texts.select(F.col("node").alias("b"), F.col("text").alias("text_b")).hint("merge")
     both = pairs.join(left, "a").join(right, "b").select("a", "b", "text_a", "text_b")
     return stored(both.mapInArrow(partial(confirm, length=length), "a long, b long"), "near_links")
 
 
 def near_duplicates(documents: DataFrame, length: int = 5) -> DataFrame:
-    """``doc_id, n_shingles, component_id, kept`` for every row of ``documents``."""
+    """``doc_id, n_shingles, component_id, kept, text_key`` for every row of ``documents``."""
     prepare_workers(documents.sparkSession)
-    docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    schema = "doc_id long, n_shingles long, digest binary, bands array<long>"
+    docs = with_text_key(documents)
+    schema = "doc_id long, text_key long, n_shingles long, digest binary, bands array<long>"
     sketches = stored(docs.mapInArrow(partial(sketch, length=length), schema), "near_sketches")
 
     named = sketches.where("doc_id IS NOT NULL AND digest IS NOT NULL")
-    classes = stored(named.groupBy("digest").agg(F.min("doc_id").alias("node")), "near_classes")
-    nodes = stored(
-        named.join(classes, "digest").where("doc_id = node").select("node", "bands").distinct(), "near_nodes"
-    )
+    # Classes get numbers of their own, as several can have one doc_id. The numbers follow the
+    # smallest rows of the classes, so the smallest number of a component is that of its smallest row.
+    first = named.groupBy("digest").agg(F.min(F.struct("doc_id", "text_key")).alias("first"))
+    ordered = first.select("digest", "first.*").orderBy("doc_id", "text_key", "digest")
+    classes = stored(ordered.withColumn("node", F.monotonically_increasing_id()), "near_classes")
+    nodes = stored(named.join(classes, ["digest", "doc_id", "text_key"]).select("node", "bands").distinct(), "near_nodes")
 
     bands = nodes.select("node", F.explode("bands").alias("band"))
     buckets = stored(
@@ -185,8 +191,9 @@ def near_duplicates(documents: DataFrame, length: int = 5) -> DataFrame:
     members = stored(bands.join(buckets, "band"), "near_members")
 
     # The joins with texts ask for a merge, so that small tables take the plan of large ones.
-    active = members.select(F.col("node").alias("doc_id")).distinct().hint("merge")
-    texts = stored(docs.join(active, "doc_id", "left_semi").distinct(), "near_texts")
+    active = classes.select("doc_id", "text_key", "node").join(members.select("node").distinct(), "node", "left_semi")
+    named_texts = docs.join(active.hint("merge"), ["doc_id", "text_key"]).dropDuplicates(["doc_id", "text_key"])
+    texts = stored(named_texts.select("node", "text"), "near_texts")
     schema = f"node long, n_shingles long, {', '.join(f'{name} long' for name in PACKED)}"
     signed = stored(texts.mapInArrow(partial(sign, length=length), schema), "near_signed")
 
@@ -210,9 +217,15 @@ def near_duplicates(documents: DataFrame, length: int = 5) -> DataFrame:
     if not more.isEmpty():
         labels = components(links.unionByName(more))
 
-    grouped = sketches.select("doc_id", "n_shingles", "digest").join(classes, "digest", "left").join(labels, "node", "left")
-    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "node", "doc_id"))
-    own = grouped.select("doc_id", "n_shingles", component.alias("component_id"))
-    return own.select(
-        "doc_id", "n_shingles", "component_id", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept")
+    # The smallest row of each component, for its classes; other classes have their own.
+    owners = classes.select(F.col("node").alias("component"), F.struct("doc_id", "text_key").alias("owner"))
+    owned = labels.join(owners, "component").select("node", "owner")
+    own = F.coalesce("owner", F.struct("doc_id", "text_key")).alias("owner")
+    judged = classes.join(owned, "node", "left").select("digest", own)
+    grouped = sketches.select("doc_id", "text_key", "n_shingles", "digest").join(judged, "digest", "left")
+    named_row = F.col("doc_id").isNotNull()
+    component = F.when(named_row, F.coalesce("owner.doc_id", "doc_id"))
+    kept = F.when(named_row, (F.col("doc_id") == F.col("owner.doc_id")) & (F.col("text_key") == F.col("owner.text_key")))
+    return grouped.select(
+        "doc_id", "n_shingles", component.alias("component_id"), F.coalesce(kept, F.lit(True)).alias("kept"), "text_key"
     )

@@ -33,7 +33,7 @@ def query(function: Query) -> Query:
 
 @query
 def op7_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_duplicates(table(spark, sf_dir, "documents"), length=4)
+    return near_duplicates(table(spark, sf_dir, "documents"), length=4).drop("text_key")
 
 
 @query

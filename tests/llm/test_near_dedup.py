@@ -38,6 +38,34 @@ def test_chains_and_groups_of_loose_copies(spark):
     check(spark, rows, 4)
 
 
+def test_texts_of_one_id_are_judged_one_by_one(spark):
+    a, b, c = prose(1, 90, 500), prose(2, 90, 500), prose(3, 90, 500)
+    rows = [(3, a), (50, f"{a} more"), (50, b), (40, f"{c} more"), (50, c), (60, f"{b} more"), (70, c), (70, f"{c} end"), (70, f"{c} end")]
+    found = near_dedup.near_duplicates(frame(spark, rows), 4).collect()
+    text_of = {r.text_key: r.text for r in near_dedup.with_text_key(frame(spark, rows)).collect()}
+    judged = sorted({(r.doc_id, text_of[r.text_key], r.component_id, r.kept) for r in found})
+    assert len(found) == len(rows)
+    assert judged == sorted(
+        [
+            (3, a, 3, True),
+            (50, f"{a} more", 3, False),
+            (50, b, 50, True),
+            (60, f"{b} more", 50, False),
+            (40, f"{c} more", 40, True),
+            (50, c, 40, False),
+            (70, c, 40, False),
+            (70, f"{c} end", 40, False),
+        ]
+    )
+
+
+def test_of_near_copies_with_one_id_one_stays(spark):
+    text = prose(1, 90, 500)
+    found = near_dedup.near_duplicates(frame(spark, [(5, text), (5, f"{text} more"), (5, f"{text} more"), (6, text)]), 4).collect()
+    assert {r.component_id for r in found} == {5}
+    assert len({r.text_key for r in found if r.kept}) == 1 and not [r for r in found if r.kept and r.doc_id == 6]
+
+
 def test_empty_table(spark):
     assert near_dedup.near_duplicates(frame(spark, [])).collect() == []
 

@@ -75,6 +75,12 @@ def test_near(spark, documents, sf_dir):
     assert by_repr(kept) == by_repr(row for row in rows if row[0] is None or component[row[0]] == row[0])
 
 
+def test_near_keeps_other_texts_of_an_id(spark, sf_dir):
+    a, b = prose(41, 90, 500), prose(42, 90, 500)
+    rows = frame(spark, [(3, a), (50, f"{a} more"), (50, b)])
+    assert by_repr(pairs(cp.once_nearly(spark, rows, sf_dir))) == by_repr([(3, a), (50, b)])
+
+
 def test_contamination(spark, documents, sf_dir):
     rows = pairs(documents)
     clean = [row for row, judged in zip(rows, plain(rows, ITEMS), strict=True) if row[0] is None or not judged[-1]]
