@@ -130,6 +130,96 @@ WORDS_SQL = r"""
         FROM input LEFT JOIN gone USING (doc_id))
     SELECT doc_id, len(ws) AS n_words, n_removed, sha256(array_to_string(left_over, ' ')) AS kept_sha256 FROM kept"""
 
+
+
+def _encoded(value: str) -> str:
+    return f"coalesce(strlen({value}::VARCHAR) || ':' || {value}::VARCHAR, '-')"
+
+
+def _leaf(text: str) -> str:
+    return f"sha256({' || '.join(map(_encoded, ('doc_id', 'source', 'lang', 'n_chars', text)))})"
+
+
+# The checksum of a text in ASCII, bit by bit.
+_CRC32 = """xor(4294967295, list_reduce(
+    list_prepend(4294967295::BIGINT, list_transform(string_split({text}, ''), lambda sign: ascii(sign)::BIGINT)),
+    lambda crc, byte: list_reduce(list_prepend(xor(crc, byte), range(8)), lambda c, i: xor(c >> 1, 3988292384 * (c & 1)))))"""
+
+MERKLE_SQL = rf"""
+    WITH RECURSIVE leaves AS (
+        SELECT doc_id, source, row_number() OVER (PARTITION BY source ORDER BY doc_id) - 1 AS place, {_leaf("text")} AS leaf,
+            CASE WHEN {_CRC32.format(text="doc_id::VARCHAR")} % 2 = 0
+            THEN {_leaf("replace(text, chr(10), '')")} ELSE {_leaf("text")} END AS claimed
+        FROM documents),
+    levels AS (
+        SELECT source, 0 AS h, place, leaf AS digest, count(*) OVER (PARTITION BY source) AS n FROM leaves
+        UNION ALL
+        SELECT source, h + 1, place // 3, sha256(string_agg(digest, '' ORDER BY place)), (n + 2) // 3
+        FROM levels WHERE n > 1 GROUP BY source, h, place // 3, n),
+    subroots AS (
+        SELECT source, digest, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS place, count(*) OVER () AS n
+        FROM levels WHERE n = 1),
+    tops AS (
+        SELECT 0 AS h, place, digest, n FROM subroots
+        UNION ALL
+        SELECT h + 1, place // 3, sha256(string_agg(digest, '' ORDER BY place)), (n + 2) // 3
+        FROM tops WHERE n > 1 GROUP BY h, place // 3, n),
+    runs AS (
+        SELECT s.place AS tree, h, l.place // 3 AS run, list(l.digest ORDER BY l.place) AS kids, (l.n + 2) // 3 AS above
+        FROM levels l JOIN subroots s ON s.source IS NOT DISTINCT FROM l.source WHERE l.n > 1 GROUP BY s.place, h, l.place // 3, l.n
+        UNION ALL
+        SELECT -1, h, place // 3, list(digest ORDER BY place), (n + 2) // 3 FROM tops WHERE n > 1 GROUP BY h, place // 3, n),
+    climb AS (
+        SELECT doc_id, s.place AS own, 0 AS step, CASE WHEN l.n > 1 THEN s.place ELSE -1 END AS tree, 0 AS h,
+            CASE WHEN l.n > 1 THEN l.place ELSE s.place END AS place, claimed AS folded, '' AS siblings
+        FROM (SELECT *, count(*) OVER (PARTITION BY source) AS n FROM leaves) l
+        JOIN subroots s ON s.source IS NOT DISTINCT FROM l.source
+        UNION ALL
+        SELECT doc_id, own, step + 1, CASE WHEN above = 1 THEN -1 ELSE c.tree END,
+            CASE WHEN above = 1 AND c.tree >= 0 THEN 0 ELSE c.h + 1 END,
+            CASE WHEN above = 1 AND c.tree >= 0 THEN own ELSE c.place // 3 END,
+            sha256(array_to_string(list_transform(kids, lambda k, i: CASE WHEN i - 1 = c.place % 3 THEN folded ELSE k END), '')),
+            siblings || array_to_string(list_filter(kids, lambda k, i: i - 1 <> c.place % 3), '')
+        FROM climb c JOIN runs r ON r.tree = c.tree AND r.h = c.h AND r.run = c.place // 3),
+    ways AS (
+        SELECT doc_id, own, arg_max(folded, step) AS folded_root, arg_max(siblings, step) AS siblings
+        FROM climb GROUP BY doc_id, own)
+    SELECT doc_id, leaf, s.digest AS subroot, t.digest AS root, sha256(siblings) AS proof_sha256, folded_root,
+        folded_root = t.digest AS verified
+    FROM ways JOIN leaves USING (doc_id) JOIN subroots s ON s.place = own, (SELECT digest FROM tops WHERE n = 1) t"""
+
+PHRASES_SQL = rf"""
+    WITH pieces AS (
+        SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array({_LOWERED}, '[.,;:!?
+-]')) AS piece
+        FROM documents),
+    parts AS (SELECT lang, regexp_extract_all(piece, '[^ 	]+') AS ws FROM pieces),
+    grams AS (
+        SELECT lang, k, unnest(list_transform(range(1, len(ws) - k + 2), lambda i: array_to_string(ws[i:i + k - 1], ' '))) AS phrase
+        FROM parts, (VALUES (1), (2), (3)) lengths(k)),
+    f AS (SELECT lang, k, phrase, count(*) AS a FROM grams GROUP BY ALL),
+    sizes AS (SELECT lang, sum(a)::BIGINT AS n FROM f WHERE k = 1 GROUP BY lang),
+    candidates AS (SELECT *, string_split(phrase, ' ') AS ws FROM f WHERE k > 1 AND a >= 10),
+    cuts AS (
+        SELECT lang, phrase, k, a, cut, array_to_string(ws[:cut], ' ') AS lhs, array_to_string(ws[cut + 1:], ' ') AS rhs
+        FROM candidates, (VALUES (1), (2)) places(cut) WHERE cut < k),
+    judged AS (
+        SELECT c.lang, c.phrase, c.a, cut, x.a AS l, y.a AS r,
+            ((1000000::HUGEINT * c.a * c.a) // (x.a::HUGEINT * y.a))::BIGINT AS score
+        FROM cuts c JOIN f x ON x.lang = c.lang AND x.phrase = lhs JOIN f y ON y.lang = c.lang AND y.phrase = rhs
+        QUALIFY row_number() OVER (PARTITION BY c.lang, c.phrase ORDER BY score, cut) = 1),
+    longer AS (
+        SELECT lang, phrase, max(a) AS a FROM (
+            SELECT lang, a, unnest([array_to_string(ws[1:2], ' '), array_to_string(ws[2:3], ' ')]) AS phrase
+            FROM candidates WHERE k = 3) GROUP BY lang, phrase)
+    SELECT j.lang, row_number() OVER (PARTITION BY j.lang ORDER BY score DESC, j.a DESC, j.phrase) AS rank,
+        j.phrase, j.a, l, r, n, score
+    FROM judged j JOIN sizes USING (lang) LEFT JOIN longer o ON o.lang = j.lang AND o.phrase = j.phrase
+    WHERE o.a IS NULL OR 100 * o.a < 50 * j.a
+    QUALIFY rank <= 2000"""
+
+ORACLES["op11_merkle_manifest"] = MERKLE_SQL
+ORACLES["op12_collocations"] = PHRASES_SQL
 ORACLES["op4_suffix_array_dedup"] = BYTES_SQL
 ORACLES["op6_suffix_tree_dedup"] = WORDS_SQL
 ORACLES["op8_winnowing"] = f"WITH {contamination_sql()} SELECT * FROM judged"

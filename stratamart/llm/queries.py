@@ -11,9 +11,11 @@ from pyspark.sql import DataFrame, SparkSession
 from ..storage import shared_folder
 from . import token_store
 from .byte_bpe import encode_documents
+from .collocations import collocations
 from .decontaminate import contamination
 from .exact_dedup import DigestIndex
 from .licenses import license_matches
+from .merkle import audited
 from .near_dedup import near_duplicates
 from .oracles import ORACLES as ORACLES
 from .quality import quality_scores
@@ -21,6 +23,7 @@ from .shared import table
 from .substring_dedup import remove_repeated_words
 from .suffix_dedup import remove_repeated_bytes
 from .surrogates import pseudonymised
+from .token_counts import token_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -90,3 +93,18 @@ def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op9_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pseudonymised(table(spark, sf_dir, "documents"), key=b"registered query, not a secret")
+
+
+@query
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audited(table(spark, sf_dir, "documents"))
+
+
+@query
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(table(spark, sf_dir, "documents"))
+
+
+@query
+def op13_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
