@@ -112,5 +112,6 @@ def test_a_changed_leaf_is_found_and_only_that(spark):
     manifest = merkle.build(rows.select("doc_id", "source", merkle.leaf_digest(columns).alias("leaf")), "source", "doc_id")
     claimed = F.when(F.col("doc_id") == 7, merkle.digest(F.lit("other"))).otherwise(F.col("leaf"))
     ways = merkle.climb(manifest, claimed).join(manifest.leaves.select("leaf_no", "doc_id"), "leaf_no")
-    assert [row.doc_id for row in ways.where("folded_root <> root").collect()] == [7]
+    assert [row.doc_id for row in ways.where(F.col("folded_root") != F.lit(manifest.root)).collect()] == [7]
+    assert all(len(row.siblings) == 4 for row in ways.collect())
     assert spark.conf.get("spark.sql.cteRecursionRowLimit") != "-1"
