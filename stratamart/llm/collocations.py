@@ -45,7 +45,7 @@ BLOCK_BYTES = 4 << 20
 #: Phrases that a range of hashes holds on average when added up, at some 30 bytes each.
 RANGE_PHRASES = 1 << 21
 HASH_BITS = 48
-_COUNT_SALTS = 64
+_SALTS = 16
 
 # What ends a piece, and what lies between its words.
 PIECE_ENDS = b".,;:!?\n\v\f\r"
@@ -85,7 +85,7 @@ def _gathered(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[n
 
 
 def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """``lang, chunk`` for each chunk of the parse; its words stand one blank apart."""
+    """``lang, chunk`` for each chunk of the parse: a line of words that stand one blank apart."""
     for batch in batches:
         langs = batch.column("lang")
         for first_row, _, data, offsets in tx.sliced(batch.column("text")):
@@ -102,8 +102,10 @@ def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             at = np.cumsum(lengths) - lengths
             spaced = np.full(int(lengths.sum()), BLANK, np.uint8)
             spaced[tx.ranges(at, lengths - 1)] = lower[tx.ranges(starts, lengths - 1)]
-            stops = at[lasts - 1] + lengths[lasts - 1] - ~ends_piece
-            chunks, begins = _gathered(spaced, at[firsts], stops)
+            stops = at[lasts - 1] + lengths[lasts - 1] + ends_piece
+            # A line end after each, in place of the blank or of the byte after it.
+            chunks, begins = _gathered(np.append(spaced, np.uint8(LINE_END)), at[firsts], stops)
+            chunks[begins[1:] - 1] = LINE_END
             row = np.searchsorted(before, firsts, "right") - 1 + first_row
             column = pa.LargeBinaryArray.from_buffers(
                 pa.large_binary(), len(firsts), [None, pa.py_buffer(begins.astype(np.int64)), pa.py_buffer(chunks)]
@@ -121,18 +123,21 @@ def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     sizes: dict[str, int] = {}
 
     def block(lang: str) -> pa.RecordBatch:
-        rows = pa.Table.from_batches(waiting.pop(lang))
+        rows = pa.Table.from_batches(waiting.pop(lang)).combine_chunks()
         sizes.pop(lang)
-        lines = b"\n".join(rows.column("chunk").to_pylist()) + b"\n"
+        chunks = rows.column("chunk").cast(pa.large_binary()).combine_chunks()
+        data, offsets = tx.utf8(chunks)
         frequencies = rows.column("frequency").to_numpy().astype(np.int64)
-        phrases = Phrases(lines, frequencies)
+        # A blank for each word, but for the last one of a chunk that goes on; two words of that are the next one's.
+        blanks = np.add.reduceat((data == BLANK).astype(np.int64), offsets[:-1])
+        goes_on = data[offsets[1:] - 2] != BLANK
         return pa.RecordBatch.from_arrays(
             [
                 pa.array([lang]),
-                pa.array([lines], pa.binary()),
+                pa.array([data.tobytes()], pa.binary()),
                 pa.array([frequencies.tobytes()], pa.binary()),
-                pa.array([int(phrases.weights[phrases.owned].sum())], pa.int64()),
-                pa.array([len(phrases.words) * LONGEST], pa.int64()),
+                pa.array([int((frequencies * (blanks - goes_on)).sum())], pa.int64()),
+                pa.array([int(blanks.sum()) * LONGEST], pa.int64()),
             ],
             names=["lang", "chunks", "frequencies", "n", "phrases"],
         )
@@ -179,7 +184,7 @@ class Phrases:
 
 def _summed(keys: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Distinct keys in order, the sum of their weights, and a place of each."""
-    order = np.argsort(keys, kind="stable")
+    order = np.argsort(keys)
     keys, weights = keys[order], weights[order]
     starts = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1]))) if len(keys) else np.zeros(0, np.int64)
     sums = np.add.reduceat(weights, starts) if len(keys) else weights
@@ -212,11 +217,8 @@ def sieve(batches: Iterator[pa.RecordBatch], range_bits: int) -> Iterator[pa.Rec
                 keys.append(_short(hashes, row["lang"]))
                 weights.append(phrases.weights[places])
             keys, sums, _ = _summed(np.concatenate(keys), np.concatenate(weights))
-            # Ranges follow the low bits, as blocks keep their hashes sorted by the others.
-            ranges = (keys & np.uint64((1 << range_bits) - 1)).astype(np.int64)
-            order = np.argsort(ranges, kind="stable")
-            found, begins = np.unique(ranges[order], return_index=True)
-            parts = [order[a:b] for a, b in zip(begins, [*begins[1:], len(order)], strict=True)]
+            found, begins = np.unique((keys >> np.uint64(HASH_BITS - range_bits)).astype(np.int64), return_index=True)
+            parts = [slice(a, b) for a, b in zip(begins, [*begins[1:], len(keys)], strict=True)]
             for at in range(0, len(parts), 256):
                 some = parts[at : at + 256]
                 yield pa.RecordBatch.from_arrays(
@@ -230,6 +232,19 @@ def sieve(batches: Iterator[pa.RecordBatch], range_bits: int) -> Iterator[pa.Rec
                 )
 
 
+def _among(values: np.ndarray, wanted: np.ndarray) -> np.ndarray:
+    """Which values are among the wanted ones, which are sorted."""
+    marks = np.zeros(1 << 20, bool)
+    low = np.uint64(len(marks) - 1)
+    marks[wanted & low] = True
+    found = marks[values & low]
+    if len(wanted):
+        near = np.flatnonzero(found)
+        at = np.searchsorted(wanted, values[near])
+        found[near] = wanted[np.minimum(at, len(wanted) - 1)] == values[near]
+    return found
+
+
 def add_up(rows: pa.Table, least: int) -> pa.Table:
     """``block, hashes``: for each block those of its hashes in a range that are frequent in all."""
     blocks = rows.column("block").to_numpy()
@@ -237,7 +252,7 @@ def add_up(rows: pa.Table, least: int) -> pa.Table:
     counts = np.concatenate([_from_planes(packed, np.int64) for packed in rows.column("counts").to_pylist()])
     keys, sums, _ = _summed(np.concatenate(parts), counts)
     frequent = keys[sums >= least]
-    wanted = [part[np.isin(part, frequent, assume_unique=True)] for part in parts]
+    wanted = [part[_among(part, frequent)] for part in parts]
     full = [at for at, part in enumerate(wanted) if len(part)]
     hashes = pa.array([_planes(wanted[at]) for at in full], pa.binary())
     return pa.Table.from_arrays([pa.array(blocks[full], pa.int64()), hashes], names=["block", "hashes"])
@@ -249,10 +264,10 @@ def count_again(blocks: pa.Table, wanted: pa.Table) -> pa.Table:
     frequent = [_from_planes(packed, np.uint64) for packed in wanted.column("hashes").to_pylist()]
     for row in blocks.to_pylist() if frequent else []:
         phrases = Phrases(row["chunks"], np.frombuffer(row["frequencies"], np.int64))
-        hashes = np.concatenate(frequent)
+        hashes = np.sort(np.concatenate(frequent))
         for length in range(1, LONGEST + 1):
             places, full = phrases.of(length)
-            here = np.isin(_short(full, row["lang"]), hashes)
+            here = _among(_short(full, row["lang"]), hashes)
             _, weights, first = _summed(full[here], phrases.weights[places[here]])
             chosen = places[here][first]
             found, begins = _gathered(phrases.data, phrases.starts[chosen], phrases.stops[chosen + length - 1])
@@ -261,18 +276,11 @@ def count_again(blocks: pa.Table, wanted: pa.Table) -> pa.Table:
                     pa.large_binary(), len(chosen), [None, pa.py_buffer(begins.astype(np.int64)), pa.py_buffer(found)]
                 ).cast(pa.string())
             )
-            langs += [row["lang"]] * len(chosen)
-            lengths += [length] * len(chosen)
+            langs.append(pa.repeat(pa.scalar(row["lang"], pa.string()), len(chosen)))
+            lengths.append(pa.repeat(pa.scalar(length, pa.int32()), len(chosen)))
             sums.append(pa.array(weights, pa.int64()))
-    return pa.Table.from_arrays(
-        [
-            pa.array(langs, pa.string()),
-            pa.array(lengths, pa.int32()),
-            pa.concat_arrays(texts) if texts else pa.array([], pa.string()),
-            pa.concat_arrays(sums) if sums else pa.array([], pa.int64()),
-        ],
-        names=["lang", "length", "phrase", "a"],
-    )
+    columns = {"lang": (langs, pa.string()), "length": (lengths, pa.int32()), "phrase": (texts, pa.string()), "a": (sums, pa.int64())}
+    return pa.table({name: pa.chunked_array(parts, kind) for name, (parts, kind) in columns.items()})
 
 
 def dictionary(documents: DataFrame) -> DataFrame:
@@ -353,7 +361,7 @@ def collocations(documents: DataFrame, least: int = 10, share_percent: int = 50,
     found = found.where(F.coalesce(100 * F.col("longer") < share_percent * F.col("a"), F.lit(True))).drop("longer")
 
     order = [F.desc("score"), F.desc("a"), F.asc("phrase")]
-    salt = F.pmod(F.xxhash64("phrase"), F.lit(_COUNT_SALTS))
+    salt = F.pmod(F.xxhash64("phrase"), F.lit(_SALTS))
     part = Window.partitionBy("lang", "salt").orderBy(*order)
     best = found.withColumn("salt", salt).withColumn("rank", F.row_number().over(part)).where(F.col("rank") <= most)
     rank = F.row_number().over(Window.partitionBy("lang").orderBy(*order))
