@@ -342,6 +342,15 @@ UNION ALL SELECT * FROM ({_kpi(f"OrderDate >= {FIRST_DAY}")})""",
 SELECT row_number() OVER (ORDER BY {EXTRACT}, OrderID) - 1 AS SalesID, OrderID, OrderDate,
   CustomerID, ProductID, StoreID, Quantity, UnitPrice, TotalPrice, PaymentMethod
 FROM clean""",
+    "daily_after_lost_day": f"""{SILVER}
+SELECT row_number() OVER (ORDER BY OrderID % 3, OrderID) - 1 AS SalesID, OrderID, OrderDate,
+  CustomerID, ProductID, StoreID, Quantity, UnitPrice, TotalPrice, PaymentMethod
+FROM clean""",
+    "fact_order_index": f"""{SILVER}
+SELECT row_number() OVER (ORDER BY (OrderID % 3 = 0)::INTEGER, OrderID) - 1 AS SalesID, OrderID,
+  strftime(OrderDate, '%Y-%m') AS yearmonth
+FROM clean""",
+    "kpi_incremental": f"{SILVER} {_kpi()}",
     "daily_history": DAILY_HISTORY,
     "daily_dimensions": f"""{SILVER}
 SELECT * FROM (SELECT DISTINCT CustomerID, CustomerName FROM clean)
@@ -357,6 +366,12 @@ UNION ALL BY NAME SELECT * FROM ({DATES})""",
 SELECT *, {SECOND_DAY} AS valid_from, NULL::DATE AS valid_to, true AS is_current FROM incoming""",
     "scd2_current": f"{TAGGED} SELECT * EXCLUDE (change) FROM tagged WHERE is_current",
     "scd2_store_replay": f"{TAGGED} SELECT * EXCLUDE (change) FROM tagged",
+    "scd2_store_buckets": f"""{TAGGED}
+SELECT * EXCLUDE (change) REPLACE (
+    CASE WHEN change IN ('new version', 'new key') AND CustomerID % 2 = 0 THEN {FIRST_DAY} + 1 ELSE valid_from
+      END::DATE AS valid_from,
+    CASE WHEN change = 'expired' AND CustomerID % 2 = 0 THEN {FIRST_DAY} + 1 ELSE valid_to END::DATE AS valid_to)
+FROM tagged""",
     "scd2_changed": _changed(null_safe=False),
     "scd2_changed_nullsafe": _changed(null_safe=True),
     "scd2_apply": f"{TAGGED} SELECT * EXCLUDE (change) FROM tagged",

@@ -22,6 +22,8 @@ from ..plans.daily import (
 from ..plans.measures import monthly_kpi, regional_sales_trend
 from ..schemas import FACT_COLUMNS, VERSIONED_DIMENSIONS
 from ..sinks import (
+    FactStore,
+    KpiStore,
     VersionStore,
     append_months,
     append_run,
@@ -65,7 +67,6 @@ KPI_COLUMNS = """TotalRevenue double, TotalOrders bigint, AverageOrderValue doub
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
-_WAREHOUSES: dict[tuple[str, str], Warehouse] = {}
 
 
 def query(function: Query) -> Query:
@@ -354,17 +355,7 @@ def daily_run(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _two_extracts(spark: SparkSession, sf_dir: str) -> Warehouse:
-    """A warehouse after two daily runs, each with half of the orders of every month.
-
-    The queries on it look at different tables of it, so a session runs it once for each folder.
-    """
-    known = (spark.sparkContext.applicationId, sf_dir)
-    if known not in _WAREHOUSES:
-        _WAREHOUSES[known] = _run_two_extracts(spark, sf_dir)
-    return _WAREHOUSES[known]
-
-
-def _run_two_extracts(spark: SparkSession, sf_dir: str) -> Warehouse:
+    """A warehouse after two daily runs, each with half of the orders of every month."""
     folder = shared_folder(spark, "two_extracts")
     warehouse = Warehouse(f"{folder}/landing", f"{folder}/warehouse")
     feed = stored(spark, retail_feed(spark, sf_dir), f"{folder}/feed")
@@ -408,6 +399,56 @@ def daily_dimensions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reduce(union_evolved, (warehouse.snapshot(spark, name).read() for name in names))
 
 
+@query
+def daily_after_lost_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fact after three days with a third of the orders each.
+
+    The second day dies when its files are taken over and is not repeated; the third makes it up.
+    """
+    folder = shared_folder(spark, "daily_after_lost_day")
+    warehouse = Warehouse(f"{folder}/landing", f"{folder}/warehouse")
+    feed = stored(spark, retail_feed(spark, sf_dir), f"{folder}/feed")
+    for number, day in enumerate((FIRST_DAY, FIRST_DAY + datetime.timedelta(days=1), SECOND_DAY)):
+        extract = feed.where(order_number() % 3 == number)
+        extract.write.mode("append").option("header", True).csv(warehouse.landing)
+        if number == 1:
+            ingest_available(spark, warehouse.landing, warehouse.bronze, warehouse.checkpoint, day)
+        else:
+            run_daily(spark, warehouse, day)
+    return warehouse.fact(spark).read()
+
+
+def _corrected_fact(spark: SparkSession, folder: str, rows: DataFrame) -> FactStore:
+    """A fact in which every fifth order moved on by 40 days, and every third one is new."""
+    fact = FactStore(spark, f"{folder}/fact")
+    number = F.col("OrderID")
+    earlier = F.when(number % 5 == 0, F.date_sub("OrderDate", 40)).otherwise(F.col("OrderDate"))
+    other = F.when(number % 5 == 0, F.lit("C0")).otherwise(F.col("CustomerID"))
+    first = rows.where(number % 3 != 0).withColumns({"OrderDate": earlier, "CustomerID": other})
+    fact.upsert(first, FIRST_DAY)
+    fact.upsert(rows.where((number % 3 == 0) | (number % 5 == 0)), SECOND_DAY)
+    return fact
+
+
+@query
+def fact_order_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Where each order is after some have moved to other months."""
+    folder = shared_folder(spark, "fact_order_index")
+    rows = stored(spark, clean(spark, sf_dir), f"{folder}/silver")
+    return _corrected_fact(spark, folder, rows).read_index()
+
+
+@query
+def kpi_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The monthly measures, kept up by what was added to the fact and taken out of it."""
+    folder = shared_folder(spark, "kpi_incremental")
+    rows = stored(spark, clean(spark, sf_dir), f"{folder}/silver")
+    fact, measures = _corrected_fact(spark, folder, rows), KpiStore(spark, f"{folder}/kpi")
+    for day in fact.runs():
+        measures.apply(fact.read_changes(day), day)
+    return measures.read()
+
+
 # Versioned dimensions
 
 
@@ -449,7 +490,7 @@ def scd2_bootstrap(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def scd2_current(spark: SparkSession, sf_dir: str) -> DataFrame:
     store = VersionStore(spark, shared_folder(spark, "scd2_current"))
-    store.load(existing_customers(spark, sf_dir), FIRST_DAY)
+    store.load(existing_customers(spark, sf_dir), FIRST_DAY, KEYS)
     store.apply(incoming_customers(spark, sf_dir), KEYS, ATTRIBUTES, SECOND_DAY)
     return store.current()
 
@@ -458,12 +499,23 @@ def scd2_current(spark: SparkSession, sf_dir: str) -> DataFrame:
 def scd2_store_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole table after its second day was run twice."""
     store = VersionStore(spark, shared_folder(spark, "scd2_store_replay"))
-    store.load(existing_customers(spark, sf_dir), FIRST_DAY)
+    store.load(existing_customers(spark, sf_dir), FIRST_DAY, KEYS)
     for _ in range(2):
         store.apply(incoming_customers(spark, sf_dir), KEYS, ATTRIBUTES, SECOND_DAY)
     return store.read()
 
 
+@query
+def scd2_store_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole table after a second day that came in over two runs, with many buckets."""
+    store = VersionStore(spark, shared_folder(spark, "scd2_store_buckets"), buckets=128)
+    store.load(existing_customers(spark, sf_dir), FIRST_DAY, KEYS)
+    incoming = incoming_customers(spark, sf_dir)
+    store.apply(incoming.where("CustomerID % 2 = 0"), KEYS, ATTRIBUTES, FIRST_DAY + datetime.timedelta(days=1))
+    store.apply(incoming.where("CustomerID % 2 = 1"), KEYS, ATTRIBUTES, SECOND_DAY)
+    return store.read()
+
+
 @query
 def scd2_changed(spark: SparkSession, sf_dir: str) -> DataFrame:
     existing, incoming = existing_customers(spark, sf_dir), incoming_customers(spark, sf_dir)

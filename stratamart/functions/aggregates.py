@@ -29,11 +29,21 @@ def exact_sum(name: str) -> Column:
     several times as much. An amount that is not finite or not below 1e15 is an error that
     names it.
     """
+    units, rest = amount_parts(name)
+    return joined_amount(F.sum(units), F.sum(rest))
+
+
+def amount_parts(name: str) -> tuple[Column, Column]:
+    """An amount as whole units and whole millionths, which can be added and taken away exactly."""
     value = F.col(name)
     problem = F.concat(F.lit(f"{name} is not an amount: "), value.cast("string"))
     amount = F.when(is_amount(name), value).otherwise(F.raise_error(problem).cast("double"))
     units = F.floor(amount)
-    rest = F.rint((amount - units) * MILLION).cast("bigint")
-    high, low = (F.sum(part).cast("decimal(19,0)") for part in (units, rest))
+    return units, F.rint((amount - units) * MILLION).cast("bigint")
+
+
+def joined_amount(units: Column, rest: Column) -> Column:
+    """The amount of which these are the sums of the parts."""
+    high, low = (part.cast("decimal(19,0)") for part in (units, rest))
     total = (high * F.lit(Decimal(MILLION)) + low) * F.lit(Decimal(1) / MILLION)
     return total.cast("double")

@@ -13,11 +13,10 @@ from ..operators import date_dimension, dimension, judge, sales_fact
 from ..operators.conform import RAW_KEY
 from ..operators.dimensions import attribute_sets, newest_attributes
 from ..schemas import VERSIONED_DIMENSIONS
-from ..sinks import FactStore, SnapshotStore, VersionStore, replace_run
-from ..sinks.runs import DAY
+from ..sinks import BatchLedger, FactStore, KpiStore, SnapshotStore, VersionStore, replace_run
+from ..sinks.runs import DAY, RunFolders
 from ..sources import read_run
-from ..streaming import has_bronze, ingest_available, read_bronze
-from .measures import monthly_kpi
+from ..streaming import bronze_batches, bronze_days, has_bronze, ingest_available, read_bronze
 
 # The plain dimensions that show columns of the versioned ones.
 PLAIN_DIMENSIONS = {
@@ -61,6 +60,13 @@ class Warehouse:
     def fact(self, spark: SparkSession) -> FactStore:
         return FactStore(spark, self.gold("fact_sales"), self.id_type)
 
+    def measures(self, spark: SparkSession) -> KpiStore:
+        """What ``monthly_kpi`` is made from."""
+        return KpiStore(spark, self.gold("kpi_state"))
+
+    def ledger(self, spark: SparkSession) -> BatchLedger:
+        return BatchLedger(spark, f"{self.root}/ledger")
+
     def snapshot(self, spark: SparkSession, table: str) -> SnapshotStore:
         """The store of a plain dimension or of ``monthly_kpi``."""
         return SnapshotStore(spark, self.gold(table))
@@ -68,6 +74,11 @@ class Warehouse:
     def versions(self, spark: SparkSession, name: str) -> VersionStore:
         return VersionStore(spark, self.gold(f"dim_{name}_scd2"))
 
+    def stores(self, spark: SparkSession) -> list[RunFolders]:
+        """The stores of all gold tables."""
+        small = [self.snapshot(spark, name) for name in [*PLAIN_DIMENSIONS, "dim_date", "monthly_kpi"]]
+        return [self.fact(spark), self.measures(spark), *small, *(self.versions(spark, name) for name in VERSIONED_DIMENSIONS)]
+
 
 def star_schema(silver: DataFrame) -> dict[str, DataFrame]:
     """The four dimensions and the fact of one silver table."""
@@ -122,17 +133,21 @@ def run_daily(
 ) -> dict[str, dict[str, int]]:
     """Run every step for one day; repeating the last day leaves the same tables.
 
+    A day whose run died before all its tables were finished is made up first, whether or not it
+    was repeated by itself: the ledger, written last, has no entry for it. Made-up days are run
+    one after another as the days they are, so the tables are those of a warehouse in which
+    nothing died.
+
     A day before the last one is refused before anything is touched, unless ``replay`` is set;
-    the days after it then have to be repeated too, in order, as each builds on the one before.
-    Returns the counts of silver and of each versioned dimension. A day without feed rows
-    leaves the gold tables as they are.
+    the days after it then have no entry either, and are repeated by the next run, if not before.
+    Returns the counts of silver and of each versioned dimension, and the accepted and rejected
+    rows of days made up. A day without feed rows leaves the gold tables as they are.
     """
-    fact, kpi = warehouse.fact(spark), warehouse.snapshot(spark, "monthly_kpi")
-    plain = {name: warehouse.snapshot(spark, name) for name in [*PLAIN_DIMENSIONS, "dim_date"]}
-    versioned = {name: warehouse.versions(spark, name) for name in VERSIONED_DIMENSIONS}
-    for store in (fact, kpi, *plain.values(), *versioned.values()):
+    ledger, stores = warehouse.ledger(spark), warehouse.stores(spark)
+    for store in (ledger, *stores):
         store.check_order(run_date, replay)
-
+    # From here on the day counts as unfinished.
+    ledger.reopen(run_date)
     ingest_available(
         spark,
         warehouse.landing,
@@ -141,7 +156,25 @@ def run_daily(
         run_date,
         archive=warehouse.archive,
     )
+    made_up = {}
+    # Making up a day takes back the entries of the days after it, so these are asked for anew.
+    while lost := ledger.unfinished(bronze_days(spark, warehouse.bronze), before=run_date):
+        day = lost[0]
+        later = [last for last in (store.latest() for store in stores) if last and last > day]
+        if later and not replay:
+            raise ValueError(f"bronze of {day} is not in all tables, some of which have a run of {max(later)}; repeat it with replay")
+        made_up[f"made up {day}"] = _run_day(spark, warehouse, day, replay).get("silver", {})
+    return _run_day(spark, warehouse, run_date, replay) | made_up
+
+
+def _run_day(spark: SparkSession, warehouse: Warehouse, run_date: datetime.date, replay: bool) -> dict[str, dict[str, int]]:
+    """Bring the bronze of one day into all tables, and enter it in the ledger."""
+    fact, kpi = warehouse.fact(spark), warehouse.snapshot(spark, "monthly_kpi")
+    plain = {name: warehouse.snapshot(spark, name) for name in [*PLAIN_DIMENSIONS, "dim_date"]}
+    batches = bronze_batches(spark, warehouse.bronze, run_date)
     if not has_bronze(spark, warehouse.bronze, run_date):
+        if run_date in bronze_days(spark, warehouse.bronze):
+            warehouse.ledger(spark).record(run_date, batches)
         return {}
     raw = read_bronze(spark, warehouse.bronze, run_date)
     counts = write_silver(judge(raw, warehouse.id_type), warehouse.silver, run_date)
@@ -149,7 +182,9 @@ def run_daily(
     silver = read_silver(spark, warehouse.silver, run_date)
 
     fact.upsert(silver, run_date, replay, whole=warehouse.whole_extracts)
-    record_months(fact, kpi, run_date, replay)
+    measures = warehouse.measures(spark)
+    record_changes(fact, measures, run_date, replay, warehouse.whole_extracts)
+    kpi.publish(measures.read(run_date).coalesce(1), run_date, replay)
     dates = date_dimension(silver, "OrderDate")
     accumulate(plain["dim_date"], dates, run_date, replay, warehouse.whole_extracts)
     # One aggregation of silver serves the plain and the versioned form of a dimension.
@@ -163,8 +198,9 @@ def run_daily(
         accumulate(plain[name], rows, run_date, replay, warehouse.whole_extracts)
     for name, (keys, attributes) in VERSIONED_DIMENSIONS.items():
         incoming = newest_attributes(sets[name], keys, attributes)
-        changes = versioned[name].apply(incoming, keys, attributes, run_date, replay=replay)
+        changes = warehouse.versions(spark, name).apply(incoming, keys, attributes, run_date, replay=replay)
         counts[name] = {**changes, "NullKeys": null_keys[name]}
+    warehouse.ledger(spark).record(run_date, batches)
     return counts
 
 
@@ -178,13 +214,12 @@ def accumulate(
     store.publish(rows, run_date, replay)
 
 
-def record_months(
-    fact: FactStore, kpi: SnapshotStore, run_date: datetime.date, replay: bool
+def record_changes(
+    fact: FactStore, measures: KpiStore, run_date: datetime.date, replay: bool, whole: bool
 ) -> None:
-    """Measure the months that a run of the fact has touched again, and keep all others."""
-    measured = monthly_kpi(fact.read_months(run_date), one_row_per_order=True)
-    previous = kpi.latest(run_date - DAY)
-    if previous is not None:
-        others = ~F.col("yearmonth").isin(fact.months(run_date))
-        measured = measured.unionByName(kpi.read(previous).where(others))
-    kpi.publish(measured.coalesce(1), run_date, replay)
+    """Count the orders that a run of the fact has added and taken out."""
+    changes = fact.read_changes(run_date)
+    if not whole and measures.latest(run_date - DAY) is None and fact.latest(run_date - DAY) is not None:
+        # A fact from before there were measures of this kind: all its orders count as added.
+        changes, whole = fact.read(run_date).withColumn("Sign", F.lit(1)), True
+    measures.apply(changes, run_date, replay, whole)

@@ -1,6 +1,8 @@
 """Writers."""
 
 from .fact_store import FactStore
+from .kpi_store import KpiStore
+from .ledger import BatchLedger
 from .snapshots import SnapshotStore
 from .tables import (
     append_months,
@@ -16,7 +18,9 @@ from .tables import (
 from .version_store import VersionStore
 
 __all__ = [
+    "BatchLedger",
     "FactStore",
+    "KpiStore",
     "SnapshotStore",
     "VersionStore",
     "append_months",

@@ -62,6 +62,18 @@ def has_bronze(spark: SparkSession, bronze: str, run_date: datetime.date) -> boo
     return storage.matches(spark, f"{bronze}/run_date={run_date}/batch_id=*/part-*")
 
 
+def bronze_days(spark: SparkSession, bronze: str) -> list[datetime.date]:
+    """The run days that have taken files over."""
+    fields = (name.partition("=") for name in storage.child_names(spark, bronze))
+    return [datetime.date.fromisoformat(day) for key, _, day in fields if key == "run_date"]
+
+
+def bronze_batches(spark: SparkSession, bronze: str, run_date: datetime.date) -> list[int]:
+    """The numbers of the batches of a run day."""
+    fields = (name.partition("=") for name in storage.child_names(spark, f"{bronze}/run_date={run_date}"))
+    return [int(number) for key, _, number in fields if key == "batch_id"]
+
+
 def read_bronze(
     spark: SparkSession,
     bronze: str,
