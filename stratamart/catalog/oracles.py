@@ -254,6 +254,53 @@ SELECT o_orderkey, o_custkey, CustomerName, Segment, valid_from
 FROM orders LEFT JOIN tagged ON o_custkey = CustomerID AND o_orderdate::DATE >= valid_from
   AND (valid_to IS NULL OR o_orderdate::DATE < valid_to)"""
 
+# The lines of write_malformed and write_uneven, as text.
+MALFORMED = f"""
+SELECT concat_ws(',', o_orderkey, o_custkey, o_orderpriority) AS MalformedLine, 3 AS "Fields",
+  'too few fields' AS Reason, unnest(['malformed', 'uneven']) AS "Folder" FROM orders
+UNION ALL
+SELECT s_suppkey::VARCHAR || repeat(',surplus', 19), 20, 'too many fields', 'malformed' FROM supplier
+UNION ALL
+SELECT concat_ws(',', s_suppkey, 'OrderDate', 'CustomerID', 'CustomerName', 'ProductID', 'ProductName', 'Category',
+  'Quantity', 'UnitPrice', s_acctbal, 'StoreID', 'StoreLocation', 'PaymentMethod', 'surplus', 'surplus'),
+  15, 'too many fields', 'uneven' FROM supplier"""
+
+MIXED = f"""{CUSTOMERS},
+moved AS (
+  SELECT CustomerID FROM existing e JOIN incoming i USING (CustomerID)
+  WHERE is_current AND e.Segment IS DISTINCT FROM i.Segment),
+lasted AS (
+  SELECT e.CustomerID, e.CustomerName, e.Segment, e.valid_from,
+    CASE WHEN is_current AND m.CustomerID IS NOT NULL THEN {SECOND_DAY} ELSE valid_to END AS valid_to
+  FROM existing e LEFT JOIN moved m USING (CustomerID)
+  UNION ALL
+  SELECT CustomerID, CustomerName, Segment, {SECOND_DAY}, NULL FROM incoming
+  WHERE CustomerID IN (FROM moved) OR CustomerID NOT IN (SELECT CustomerID FROM existing)),
+valued AS (
+  SELECT l.CustomerID, CASE WHEN i.CustomerID IS NULL THEN l.CustomerName ELSE i.CustomerName END AS CustomerName,
+    l.Segment, valid_from, valid_to, i.CustomerID IS NOT NULL AS came_in
+  FROM lasted l LEFT JOIN incoming i USING (CustomerID)),
+marked AS (
+  SELECT *, (came_in AND lag(valid_to) OVER w = valid_from AND lag(Segment) OVER w IS NOT DISTINCT FROM Segment
+    AND lag(CustomerName) OVER w IS NOT DISTINCT FROM CustomerName) IS TRUE AS goes_on
+  FROM valued WINDOW w AS (PARTITION BY CustomerID ORDER BY valid_from)),
+runs AS (
+  SELECT *, sum((NOT goes_on)::INTEGER) OVER (PARTITION BY CustomerID ORDER BY valid_from) AS run FROM marked)
+SELECT CustomerID, any_value(CustomerName) AS CustomerName, any_value(Segment) AS Segment, min(valid_from)::DATE AS valid_from,
+  CASE WHEN bool_or(valid_to IS NULL) THEN NULL ELSE max(valid_to) END::DATE AS valid_to, bool_or(valid_to IS NULL) AS is_current
+FROM runs GROUP BY CustomerID, run"""
+
+HISTORY = f"""{SILVER},
+daily AS (
+  SELECT StoreID, ProductID, OrderDate, sum(Quantity)::BIGINT AS Units FROM clean
+  WHERE StoreID IS NOT NULL GROUP BY ALL),
+changes AS (
+  SELECT * FROM daily
+  QUALIFY lag(Units) OVER (PARTITION BY StoreID, ProductID ORDER BY OrderDate) IS DISTINCT FROM Units)
+SELECT StoreID, ProductID, Units, OrderDate AS valid_from,
+  lead(OrderDate) OVER (PARTITION BY StoreID, ProductID ORDER BY OrderDate) AS valid_to, valid_to IS NULL AS is_current
+FROM changes"""
+
 ORACLES = {
     "bronze_csv_scan": FEED,
     "bronze_csv_infer": f"""
@@ -267,6 +314,11 @@ SELECT s_suppkey::VARCHAR AS OrderID, 'OrderDate' AS OrderDate, 'CustomerID' AS
   'Category' AS Category, 'Quantity' AS Quantity, 'UnitPrice' AS UnitPrice,
   s_acctbal AS TotalPrice, 'StoreID' AS StoreID, 'StoreLocation' AS StoreLocation,
   'PaymentMethod' AS PaymentMethod FROM supplier""",
+    "bronze_malformed": MALFORMED,
+    "stream_malformed": f"""
+SELECT 'good' AS "Folder", NULL::VARCHAR AS Reason, count(*) AS "Lines" FROM ({FEED})
+UNION ALL
+SELECT "Folder", Reason, count(*) FROM ({MALFORMED}) WHERE "Folder" = 'malformed' GROUP BY 1, 2""",
     "silver_partition_scan": f"""{SILVER} SELECT *, {SECOND_DAY} AS run_date FROM clean
 WHERE OrderDate >= {FIRST_DAY}""",
     "stream_ingest": FEED,
@@ -326,6 +378,11 @@ JOIN dates ON OrderDate = OrderDateParsed""",
 SELECT DISTINCT ProductID, ProductName, NULL::VARCHAR AS Category, {FIRST_DAY} AS run_date
 FROM clean
 UNION ALL
+SELECT DISTINCT ProductID, ProductName, Category, {SECOND_DAY} FROM clean""",
+    "sink_schema_log": f"""{SILVER}
+SELECT DISTINCT ProductID, ProductName, NULL::VARCHAR AS Category, {FIRST_DAY} AS run_date
+FROM clean
+UNION ALL
 SELECT DISTINCT ProductID, ProductName, Category, {SECOND_DAY} FROM clean""",
     "union_schema_merge": f"""{SILVER}
 SELECT * FROM (SELECT DISTINCT ProductID, ProductName FROM clean)
@@ -399,6 +456,8 @@ incoming AS (
   FROM clean WHERE OrderDate >= {FIRST_DAY} GROUP BY 1, 2),
 {_versions(["StoreID", "ProductID"], ["Units"])}
 SELECT * EXCLUDE (change) FROM tagged""",
+    "scd2_from_history": HISTORY,
+    "scd_mixed_types": MIXED,
     "scd2_summary": SUMMARY,
     "scd1_upsert": f"""{CUSTOMERS}
 SELECT CustomerID, CASE WHEN i.CustomerID IS NULL THEN e.CustomerName ELSE i.CustomerName END
@@ -408,4 +467,5 @@ FROM (SELECT * FROM existing WHERE is_current) e FULL JOIN incoming i USING (Cus
     "asof_fact_dim": ASOF,
     "asof_fact_dim_split": ASOF,
     "asof_fact_dim_month": ASOF,
+    "asof_carry_forward": ASOF,
 }

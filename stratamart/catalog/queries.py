@@ -20,8 +20,9 @@ from ..plans.daily import (
     star_schema,
 )
 from ..plans.measures import monthly_kpi, regional_sales_trend
-from ..schemas import FACT_COLUMNS, VERSIONED_DIMENSIONS
+from ..schemas import FACT_COLUMNS, RAW_FEED, VERSIONED_DIMENSIONS
 from ..sinks import (
+    EvolvingTable,
     FactStore,
     KpiStore,
     VersionStore,
@@ -36,14 +37,16 @@ from ..sinks import (
 from ..sinks.tables import union_evolved
 from ..sources import (
     read_evolving,
+    malformed,
     read_feed,
+    read_feed_audited,
     read_feed_inferred,
     read_run,
     retail_feed,
     table_exists,
 )
 from ..storage import shared_folder
-from ..streaming import ingest_available, read_bronze
+from ..streaming import ingest_available, read_bronze, read_malformed
 from .fixtures import (
     ATTRIBUTES,
     FIRST_DAY,
@@ -99,6 +102,38 @@ def bronze_csv_infer(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_feed_inferred(spark, [f"{folder}/even", f"{folder}/uneven"])
 
 
+def _folder_name() -> Column:
+    """The folder of a line's file, which unlike its path is the same on every run."""
+    return F.element_at(F.split("SourceFile", "/"), -2).alias("Folder")
+
+
+@query
+def bronze_malformed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The lines of three folders that are no rows of the feed, with the reason."""
+    folder = shared_folder(spark, "bronze_malformed")
+    retail_feed(spark, sf_dir).write.option("header", True).csv(f"{folder}/good")
+    write_malformed(spark, sf_dir, f"{folder}/malformed")
+    write_uneven(spark, sf_dir, f"{folder}/uneven")
+    lines = read_feed_audited(spark, [f"{folder}/{name}" for name in ("good", "malformed", "uneven")])
+    return malformed(lines, len(RAW_FEED)).select("MalformedLine", "Fields", "Reason", _folder_name())
+
+
+@query
+def stream_malformed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many rows and malformed lines two runs of the stream have taken over, by folder and reason."""
+    folder = shared_folder(spark, "stream_malformed")
+    feed = stored(spark, retail_feed(spark, sf_dir), f"{folder}/feed")
+    paths = (f"{folder}/landing", f"{folder}/bronze", f"{folder}/checkpoint")
+    feed.where(order_number() % 2 == 0).write.option("header", True).csv(f"{paths[0]}/good")
+    write_malformed(spark, sf_dir, f"{paths[0]}/malformed")
+    ingest_available(spark, f"{paths[0]}/*", *paths[1:], FIRST_DAY)
+    feed.where(order_number() % 2 == 1).write.mode("append").option("header", True).csv(f"{paths[0]}/good")
+    ingest_available(spark, f"{paths[0]}/*", *paths[1:], SECOND_DAY)
+    rows = read_bronze(spark, paths[1]).select(F.lit("good").alias("Folder"), F.lit(None).cast("string").alias("Reason"))
+    lines = rows.unionByName(read_malformed(spark, paths[1]).select(_folder_name(), "Reason"))
+    return lines.groupBy("Folder", "Reason").agg(F.count(F.lit(1)).alias("Lines"))
+
+
 @query
 def silver_partition_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = shared_folder(spark, "silver_partition_scan")
@@ -313,6 +348,21 @@ def sink_schema_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_evolving(spark, f"{folder}/products")
 
 
+@query
+def sink_schema_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Products of two runs, the later with one more column; one with another type is refused."""
+    table = EvolvingTable(spark, shared_folder(spark, "sink_schema_log"))
+    rows = stored(spark, clean(spark, sf_dir), f"{table.path}-silver")
+    table.write(ops.dimension(rows, "ProductID", ["ProductName"]), FIRST_DAY)
+    wider = ops.dimension(rows, "ProductID", ["ProductName", "Category"])
+    table.write(wider, SECOND_DAY)
+    try:
+        table.write(wider.withColumn("Category", F.length("Category")), SECOND_DAY + datetime.timedelta(days=1))
+    except ValueError:
+        return table.read()
+    raise AssertionError("a changed type was written")
+
+
 @query
 def union_schema_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = clean(spark, sf_dir)
@@ -589,6 +639,21 @@ def scd2_composite_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ops.scd2_apply(existing, incoming, keys, ["Units"], SECOND_DAY)
 
 
+@query
+def scd2_from_history_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Units ordered per store and product as they stood after each day, built at once."""
+    keys, rows = ["StoreID", "ProductID"], clean(spark, sf_dir)
+    daily = rows.groupBy(*keys, "OrderDate").agg(F.sum("Quantity").alias("Units"))
+    return ops.scd2_from_history(daily, keys, ["Units"], "OrderDate")
+
+
+@query
+def scd_mixed_types(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers whose names are corrected everywhere and whose segments have history."""
+    existing, incoming = existing_customers(spark, sf_dir), incoming_customers(spark, sf_dir)
+    return ops.scd_mixed_apply(existing, incoming, KEYS, ["CustomerName"], ["Segment"], SECOND_DAY)
+
+
 @query
 def scd2_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = shared_folder(spark, "scd2_summary")
@@ -609,7 +674,8 @@ def _orders_with_versions(spark: SparkSession, sf_dir: str, **how) -> DataFrame:
     orders = spark.read.parquet(f"{sf_dir}/orders.parquet").select(
         "o_orderkey", "o_custkey", F.col("o_orderdate").cast("date").alias("o_orderdate")
     )
-    return ops.as_of_join(
+    join = how.pop("join", ops.as_of_join)
+    return join(
         orders,
         scd2_apply(spark, sf_dir),
         keys={"o_custkey": "CustomerID"},
@@ -632,3 +698,8 @@ def asof_fact_dim_split(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def asof_fact_dim_month(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _orders_with_versions(spark, sf_dir, by_month=True)
+
+
+@query
+def asof_carry_forward(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _orders_with_versions(spark, sf_dir, join=ops.as_of_carry_forward)

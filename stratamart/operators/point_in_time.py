@@ -6,9 +6,11 @@ from collections.abc import Sequence
 from functools import reduce
 from operator import and_
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions import none_null
+
 
 def as_of_join(
     facts: DataFrame,
@@ -90,3 +92,48 @@ def _by_month(
     joined = facts.join(closed, in_closed, "left").join(open_ones, in_open, "left")
     found = F.coalesce("closed_version", "open_version")
     return joined.select(*facts.columns, *(found[name].alias(name) for name in columns))
+
+
+def as_of_carry_forward(
+    facts: DataFrame,
+    versions: DataFrame,
+    keys: dict[str, str],
+    date_column: str,
+    columns: Sequence[str],
+) -> DataFrame:
+    """``as_of_join`` without a fact meeting more than one version, whatever the dimension is like.
+
+    The facts of a key and day are a slice: all of them have the same version. Slices and versions
+    are put in order by key and date, and the last version is carried forward from slice to slice;
+    then each fact takes the one of its slice. A key has a slice a day at most, into which each task
+    reduces its facts before the shuffle, so neither a key with a third of all facts nor one with
+    a thousand versions makes a long group, no version is copied, and the facts of a hot key are
+    dealt out by day.
+
+    Versions of a key must not overlap, which those of this library never do.
+    """
+    day = F.col(date_column).cast("date")
+    named = [F.col(name).alias(f"slice_{at}") for at, name in enumerate(keys)]
+    own = [f"slice_{at}" for at in range(len(keys))]
+    found = none_null([*own, "slice_day"])
+    slices = facts.select(*named, day.alias("slice_day")).where(found).distinct()
+    # A version that ends on the day it begins was never in force.
+    lasting = versions.where("valid_to IS NULL OR valid_to > valid_from")
+    begins = lasting.select(
+        *(F.col(name).alias(f"slice_{at}") for at, name in enumerate(keys.values())),
+        F.col("valid_from").alias("slice_day"),
+        F.struct(F.col("valid_to").alias("until"), F.struct(*columns).alias("columns")).alias("version"),
+    )
+    no_version = F.lit(None).cast(begins.schema["version"].dataType)
+    both = slices.withColumns({"version": no_version, "asked": F.lit(True)}).unionByName(
+        begins.where(found).withColumn("asked", F.lit(False))
+    )
+    # One row for a key and day, be it a slice, the begin of a version, or both.
+    both = both.groupBy(*own, "slice_day").agg(F.first("version", ignorenulls=True).alias("version"), F.max("asked").alias("asked"))
+    so_far = Window.partitionBy(*own).orderBy("slice_day").rowsBetween(Window.unboundedPreceding, 0)
+    carried = both.withColumn("version", F.last("version", ignorenulls=True).over(so_far)).where("asked")
+    in_force = F.col("version.until").isNull() | (F.col("slice_day") < F.col("version.until"))
+    valid = carried.select(*own, "slice_day", F.when(in_force, F.col("version.columns")).alias("found_columns"))
+    same = reduce(and_, (F.col(name) == F.col(f"slice_{at}") for at, name in enumerate(keys)))
+    joined = facts.join(valid, same & (day == F.col("slice_day")), "left")
+    return joined.select(*facts.columns, *(F.col(f"found_columns.{name}").alias(name) for name in columns))

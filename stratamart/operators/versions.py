@@ -60,12 +60,13 @@ def scd2_step(
     attributes: Sequence[str],
     run_date: datetime.date,
     null_safe: bool = True,
+    compared: Sequence[str] | None = None,
 ) -> DataFrame:
     """What the current versions become: open ones and those closed now, tagged in ``change``.
 
     Each key meets its incoming row in one full outer join and then yields one or two rows,
     so both frames are read once and shuffled once. Closed versions from earlier runs take
-    no part in it.
+    no part in it. ``compared`` are the attributes whose change makes a version, all by default.
     """
     old = current.select(*keys, F.struct(*attributes, "valid_from", "valid_to").alias("old"))
     new = incoming.where(none_null(keys)).select(*keys, F.struct(*attributes).alias("new"))
@@ -89,7 +90,7 @@ def scd2_step(
     added = version("new", today, never, True, NEW_KEY)
 
     is_new = F.col("old").isNull()
-    is_changed = F.col("new").isNotNull() & any_changed("old", "new", attributes, null_safe)
+    is_changed = F.col("new").isNotNull() & any_changed("old", "new", compared or attributes, null_safe)
     rows = (
         F.when(is_new, F.array(added))
         .when(is_changed, F.array(closed, opened))
@@ -105,11 +106,12 @@ def scd2_tagged(
     attributes: Sequence[str],
     run_date: datetime.date,
     null_safe: bool = True,
+    compared: Sequence[str] | None = None,
 ) -> DataFrame:
     """All versions after a run, with a ``change`` column that tells where each came from."""
     columns = [*keys, *attributes, *VERSION_COLUMNS, "change"]
     stepped = scd2_step(
-        existing.where("is_current"), incoming, keys, attributes, run_date, null_safe
+        existing.where("is_current"), incoming, keys, attributes, run_date, null_safe, compared
     )
     history = existing.where("NOT is_current").withColumn("change", F.lit(HISTORY))
     return stepped.select(*columns).unionByName(history.select(*columns))

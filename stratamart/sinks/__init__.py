@@ -3,6 +3,7 @@
 from .fact_store import FactStore
 from .kpi_store import KpiStore
 from .ledger import BatchLedger
+from .schema_log import EvolvingTable
 from .snapshots import SnapshotStore
 from .tables import (
     append_months,
@@ -19,6 +20,7 @@ from .version_store import VersionStore
 
 __all__ = [
     "BatchLedger",
+    "EvolvingTable",
     "FactStore",
     "KpiStore",
     "SnapshotStore",

@@ -5,12 +5,13 @@ from __future__ import annotations
 import datetime
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import DateType, IntegerType, StructField, StructType
+from pyspark.sql import functions as F
+from pyspark.sql.types import DateType, IntegerType, StringType, StructField, StructType
 
 from .. import storage
 from ..schemas import RAW_FEED
 from ..sinks.tables import replace_folder
-from ..sources.feed import FEED_OPTIONS
+from ..sources.feed import AUDIT_OPTIONS, MALFORMED, SOURCE_FILE, malformed, source_file, with_malformed
 
 
 def ingest_available(
@@ -29,12 +30,14 @@ def ingest_available(
     its old number, and as its folder is overwritten its rows never count twice; ``bronze``
     and ``checkpoint`` belong together and are only ever removed together.
 
+    Malformed lines are kept beside the rows, with their text and file (``read_malformed``).
+
     With ``archive``, files of finished batches are moved there by a later run that finds
     new files. The archive has to lie outside ``landing``.
     """
     reader = (
-        spark.readStream.schema(schema)
-        .options(**FEED_OPTIONS)
+        spark.readStream.schema(with_malformed(schema))
+        .options(**AUDIT_OPTIONS)
         .option("maxFilesPerTrigger", files_per_batch)
     )
     if archive is not None:
@@ -49,6 +52,7 @@ def ingest_available(
 
     query = (
         reader.csv(landing)
+        .select(*schema.names, MALFORMED, source_file())
         .writeStream.foreachBatch(store)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
@@ -81,7 +85,23 @@ def read_bronze(
     schema: StructType = RAW_FEED,
 ) -> DataFrame:
     """The rows taken over so far, or only those of one run day, listing only its files."""
+    return _lines(spark, bronze, run_date, schema).where(F.col(MALFORMED).isNull()).select(*schema.names)
+
+
+def read_malformed(
+    spark: SparkSession,
+    bronze: str,
+    run_date: datetime.date | None = None,
+    schema: StructType = RAW_FEED,
+) -> DataFrame:
+    """``MalformedLine, Fields, Reason, SourceFile`` of the lines that were no rows."""
+    return malformed(_lines(spark, bronze, run_date, schema), len(schema))
+
+
+def _lines(spark: SparkSession, bronze: str, run_date: datetime.date | None, schema: StructType) -> DataFrame:
+    """What was taken over; rows from before malformed lines were kept have null for them."""
+    more = [StructField(name, StringType()) for name in (MALFORMED, SOURCE_FILE)]
     folders = [StructField("run_date", DateType()), StructField("batch_id", IntegerType())]
-    reader = spark.read.schema(StructType([*schema.fields, *folders]))
+    reader = spark.read.schema(StructType([*schema.fields, *more, *folders]))
     path = bronze if run_date is None else f"{bronze}/run_date={run_date}"
-    return reader.option("basePath", bronze).parquet(path).select(*schema.names)
+    return reader.option("basePath", bronze).parquet(path)
