@@ -13,9 +13,14 @@ without words has none. Documents are linked when ``100 * intersection >= 80 * u
 3. A band bucket pairs every class with the smallest class of the bucket, which is one row per
    class and band however large the bucket is. Pairs estimated far below the bound are left
    out, the rest are confirmed on full sets.
-4. Pairs of a bucket whose classes are not connected yet are then estimated with each other,
-   each pair in the first band they share; those that can reach the bound are confirmed too.
-   Pairs inside one component change nothing and are never formed.
+4. Classes of buckets with several components are left. Their shingles are put in order, those in
+   fewest classes first; two sets that are similar enough share one of the first
+   ``n - ceil(0.8 n) + 1`` of either, at places that leave room for all others they must share, and
+   shingles of one class only cannot be it. So classes that share much text but not enough, such as
+   pages of one template, mostly do not meet at all. Those that do, in other components, are
+   estimated and confirmed as before. A
+   shingle that many classes have in front is joined block by block. Pairs inside one component
+   change nothing and are never formed.
 
 A link at 0.8 shares no band with probability below 4e-6 and is estimated below 0.719 with
 probability below 1e-5 (4.4 standard deviations); every other link of different texts is found.
@@ -50,6 +55,7 @@ SIGNATURE = 512
 BITS = 4
 PACKED = [f"s{at}" for at in range(SIGNATURE * BITS // 64)]
 ESTIMATE_AT_LEAST = 0.719
+BLOCK_CLASSES = 1000
 
 
 def shingle_sets(column: pa.Array, length: int) -> Iterator[np.ndarray]:
@@ -143,6 +149,69 @@ def confirm(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.Recor
             yield pa.RecordBatch.from_arrays([part.column("a"), part.column("b")], names=["a", "b"]).filter(pa.array(linked, pa.bool_()))
 
 
+def list_shingles(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
+    """A row for each shingle of each text."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, 100):
+            part = batch.slice(at, 100)
+            sets = list(shingle_sets(part.column("text"), length))
+            sizes = np.array([len(found) for found in sets], np.int64)
+            nodes = np.repeat(part.column("node").to_numpy(), sizes)
+            shingles = np.concatenate(sets).view(np.int64) if sets else np.zeros(0, np.int64)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(nodes), pa.array(np.repeat(sizes, sizes)), pa.array(shingles)], names=["node", "n_shingles", "shingle"]
+            )
+
+
+def _front(texts: DataFrame, length: int) -> DataFrame:
+    """``place, shingle, node, n_shingles``: the rarest shingles of each class that others have too.
+
+    As many as are needed for two sets over the bound to share one, with their places in the order,
+    from 0. A class is one row of its shingles while they are put in order.
+    """
+    own = stored(texts.mapInArrow(partial(list_shingles, length=length), "node long, n_shingles long, shingle long"), "near_shingles")
+    shared = own.groupBy("shingle").agg(F.count(F.lit(1)).alias("classes")).where("classes > 1")
+    ordered = F.array_sort(F.collect_list(F.struct("classes", "shingle")))
+    listed = own.join(shared, "shingle").groupBy("node", "n_shingles").agg(ordered.alias("shared"))
+    # Shingles of no other class come first in the order, and are not listed.
+    needed = F.col("n_shingles") - F.ceil(F.col("n_shingles") * BOUND_PERCENT / 100) + 1
+    alone = F.col("n_shingles") - F.size("shared")
+    left = F.greatest(F.lit(0), needed - alone).cast("int")
+    front = F.posexplode(F.slice("shared", F.lit(1), left)["shingle"]).alias("place", "shingle")
+    return listed.select("node", "n_shingles", alone.alias("alone"), front).withColumn("place", F.col("place") + F.col("alone")).drop("alone")
+
+
+def _meeting(front: DataFrame) -> DataFrame:
+    """``a, b``: classes of different components that share a shingle early enough in both.
+
+    Sets over the bound share ``80 (n + m) / 180`` shingles or more, none of which comes before the
+    first shared one, so that one is not behind the ``n`` less so many others, on either side.
+    ``front`` has ``place, shingle, node, n_shingles, component``. A shingle with many classes is
+    dealt into blocks, and each pair of blocks is a key of its own.
+    """
+    groups = front.groupBy("shingle").agg(
+        F.min("component").alias("low"), F.max("component").alias("high"), F.count(F.lit(1)).alias("classes")
+    )
+    blocks = F.ceil(F.col("classes") / BLOCK_CLASSES).cast("int")
+    rows = front.join(groups.where("low <> high").select("shingle", blocks.alias("blocks")), "shingle")
+    block, other = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
+    left = rows.withColumn("l_block", block).withColumn("r_block", other).alias("l")
+    right = rows.withColumn("r_block", block).withColumn("l_block", other).alias("r")
+    common = F.ceil(BOUND_PERCENT * (F.col("l.n_shingles") + F.col("r.n_shingles")) / (100 + BOUND_PERCENT))
+    early = [F.col(f"{side}.place") + common <= F.col(f"{side}.n_shingles") for side in "lr"]
+    wanted = (F.col("l.node") < F.col("r.node")) & (F.col("l.component") != F.col("r.component")) & early[0] & early[1]
+    for name in ("shingle", "l_block", "r_block"):
+        wanted &= F.col(f"l.{name}") == F.col(f"r.{name}")
+    return left.join(right, wanted).select(F.col("l.node").alias("a"), F.col("r.node").alias("b")).distinct()
+
+
+def _estimated(pairs: DataFrame, signed: DataFrame) -> DataFrame:
+    """Of pairs of classes those whose signatures are similar enough."""
+    found = pairs.join(signed.alias("l"), F.col("a") == F.col("l.node"))
+    found = found.join(signed.alias("r"), (F.col("b") == F.col("r.node")) & similar_enough("l", "r"))
+    return found.select("a", "b")
+
+
 def estimate(left: str, right: str):
     """Similarity from the packed bits, corrected for bits that agree by chance."""
     differing = F.lit(0)
@@ -198,24 +267,21 @@ def near_duplicates(documents: DataFrame, length: int = 5) -> DataFrame:
     signed = stored(texts.mapInArrow(partial(sign, length=length), schema), "near_signed")
 
     stars = members.where("node <> pivot").select(F.col("pivot").alias("a"), F.col("node").alias("b")).distinct()
-    stars = stars.join(signed.alias("l"), F.col("a") == F.col("l.node"))
-    stars = stars.join(signed.alias("r"), (F.col("b") == F.col("r.node")) & similar_enough("l", "r"))
-    stars = stored(stars.select("a", "b").distinct(), "near_stars")
+    stars = stored(_estimated(stars, signed), "near_stars")
     links = _confirmed(stars, texts, length)
     labels = components(links)
 
-    # What is left: pairs of different components within a bucket, each in its first band.
+    # What is left: classes of different components within a bucket.
     placed = members.join(labels, "node", "left").select("band", "node", F.coalesce("component", "node").alias("component"))
     mixed = placed.groupBy("band").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("band")
-    rows = stored(placed.join(mixed, "band").join(nodes, "node").join(signed, "node"), "near_mixed")
-    first_shared = F.array_position(F.zip_with("l.bands", "r.bands", lambda x, y: x == y), True)
-    wanted = (F.col("l.component") != F.col("r.component")) & (F.col("l.node") < F.col("r.node")) & similar_enough("l", "r")
-    wanted &= F.element_at("l.bands", first_shared.cast("int")) == F.col("l.band")
-    rest = rows.alias("l").join(rows.alias("r"), (F.col("l.band") == F.col("r.band")) & wanted)
-    rest = rest.select(F.col("l.node").alias("a"), F.col("r.node").alias("b")).join(stars, ["a", "b"], "left_anti")
-    more = _confirmed(stored(rest.distinct(), "near_rest"), texts, length)
-    if not more.isEmpty():
-        labels = components(links.unionByName(more))
+    open_ones = stored(placed.join(mixed, "band").select("node", "component").distinct(), "near_open")
+    if not open_ones.isEmpty():
+        front = _front(texts.join(open_ones.hint("merge"), "node", "left_semi"), length)
+        front = stored(front.join(open_ones, "node"), "near_front")
+        rest = stored(_meeting(front).join(stars, ["a", "b"], "left_anti"), "near_meeting")
+        more = _confirmed(stored(_estimated(rest, signed), "near_rest"), texts, length)
+        if not more.isEmpty():
+            labels = components(links.unionByName(more))
 
     # The smallest row of each component, for its classes; other classes have their own.
     owners = classes.select(F.col("node").alias("component"), F.struct("doc_id", "text_key").alias("owner"))

@@ -38,6 +38,61 @@ def test_chains_and_groups_of_loose_copies(spark):
     check(spark, rows, 4)
 
 
+def of_template(count, own=60):
+    """Documents that share 200 words and have 60 of their own, so that no two of them are linked."""
+    base = prose(7, 200, 3000)
+    return [(at, f"{base} " + " ".join(f"x{at}y{word}" for word in range(own))) for at in range(count)]
+
+
+def test_documents_of_one_template_do_not_meet(spark, monkeypatch):
+    """What is compared does not grow with the square of the group."""
+    compared = []
+    estimated = near_dedup._estimated
+    monkeypatch.setattr(near_dedup, "_estimated", lambda pairs, signed: compared.append(pairs.count()) or estimated(pairs, signed))
+    # Two of them differ in their last words only, in different places of the ids.
+    rows = of_template(4000)
+    rows += [(10_000, rows[1700][1] + " more"), (10_001, rows[30][1].replace("x30y5 ", "other "))]
+    found = {r.doc_id: r.component_id for r in near_dedup.near_duplicates(frame(spark, rows), 4).collect()}
+    assert found == {**{at: at for at in range(4000)}, 10_000: 1700, 10_001: 30}
+    # One pair per class and band with the smallest class at most, and hardly any after that.
+    assert len(compared) <= 2 and compared[0] <= 24 * 4002 and sum(compared[1:]) < 4002
+
+
+def test_groups_that_share_rare_shingles_are_joined_in_blocks(spark, monkeypatch):
+    monkeypatch.setattr(near_dedup, "BLOCK_CLASSES", 3)
+    pick = np.random.default_rng(5)
+    rows = [(at, int(pick.integers(0, 6)), int(pick.integers(8, 13)), at % 4, int(pick.integers(0, 3))) for at in range(60)]
+    front = spark.createDataFrame(rows, "node long, shingle long, n_shingles long, component long, place int")
+    wanted = {
+        (a, b)
+        for a, one, left, x, i in rows
+        for b, other, right, y, j in rows
+        if a < b and one == other and x != y and all(180 * (size - place) >= 80 * (left + right) for size, place in ((left, i), (right, j)))
+    }
+    assert wanted and sorted(map(tuple, near_dedup._meeting(front).collect())) == sorted(wanted)
+
+
+def test_every_pair_over_the_bound_meets(spark):
+    """Sets of few shingles that many classes share, in all sizes and overlaps."""
+    pick = np.random.default_rng(8)
+    texts = [(at, " ".join(f"w{word}" for word in pick.choice(13, pick.integers(1, 14), replace=False))) for at in range(150)]
+    front = near_dedup._front(spark.createDataFrame(texts, "node long, text string"), 1).selectExpr("*", "node AS component")
+    met = set(map(tuple, near_dedup._meeting(front).collect()))
+    sets = [(at, set(text.split())) for at, text in texts]
+    linked = {(a, b) for a, x in sets for b, y in sets if a < b and 100 * len(x & y) >= 80 * len(x | y)}
+    assert len(linked) > 20 and linked <= met and len(met) < 150 * 149 / 4
+
+
+def test_what_is_in_front(spark):
+    """Shingles of one class only come first and are left out; as many as needed stay."""
+    words = [f"w{at}" for at in range(30)]
+    texts = spark.createDataFrame([(1, " ".join(words)), (2, " ".join(words[:20] + ["a", "b"])), (3, " ".join(words[:12]))], "node long, text string")
+    found = near_dedup._front(texts, 1)
+    counts = {row.node: row["count"] for row in found.groupBy("node").count().collect()}
+    # 30 - 24 + 1 = 7, of which none is needed as 10 are alone; 22 - 18 + 1 = 5, less two; 12 - 10 + 1 = 3.
+    assert counts == {2: 3, 3: 3}
+
+
 def test_texts_of_one_id_are_judged_one_by_one(spark):
     a, b, c = prose(1, 90, 500), prose(2, 90, 500), prose(3, 90, 500)
     rows = [(3, a), (50, f"{a} more"), (50, b), (40, f"{c} more"), (50, c), (60, f"{b} more"), (70, c), (70, f"{c} end"), (70, f"{c} end")]
