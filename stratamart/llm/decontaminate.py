@@ -38,6 +38,7 @@ SPAN = WINDOW - GRAM + 1
 HIT_SHARE = 20
 #: A row that carries the number of words of a document through the semi join.
 WORD_COUNT = 0
+WORD_COUNT_KEYS = 4096
 
 
 def _words(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
@@ -90,7 +91,9 @@ def document_fingerprints(batches: Iterator[pa.RecordBatch], short: list[int]) -
             positions, grams = fingerprints(hashes, first)
             rows = np.arange(last_row - first_row)
             owners, sizes = [_owner(first, positions), rows], [np.full(len(positions), WINDOW), np.full(len(rows), WORD_COUNT)]
-            places, found = [positions - first[owners[0]], np.diff(first)], [grams, np.zeros(len(rows), np.uint64)]
+            # The word counts are dealt to many keys, as there is one for every document.
+            own_key = batch.column("text_key").slice(first_row, last_row - first_row).to_numpy().view(np.uint64) % np.uint64(WORD_COUNT_KEYS)
+            places, found = [positions - first[owners[0]], np.diff(first)], [grams, own_key]
             for size in short:
                 at = tx.run_starts(first, size)
                 owner = _owner(first, at)
@@ -166,7 +169,7 @@ def contamination(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     windows = stored(
         made.where("is_window").groupBy("size", "hash").agg(F.collect_set("item_id").alias("items")), "item_windows"
     )
-    marker = spark.range(1).selectExpr(f"{WORD_COUNT} AS size", "CAST(0 AS LONG) AS hash")
+    marker = spark.range(WORD_COUNT_KEYS).selectExpr(f"{WORD_COUNT} AS size", "id AS hash")
     grams = stored(made.where("NOT is_window").select("size", "hash").unionByName(marker).distinct(), "item_fingerprints")
     # At most WINDOW - 1 numbers.
     short = sorted(row["size"] for row in grams.where(f"size BETWEEN 1 AND {WINDOW - 1}").select("size").distinct().collect())

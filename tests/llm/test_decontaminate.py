@@ -74,3 +74,18 @@ def test_empty_tables(spark):
     assert contamination(frame(spark, []), none).collect() == []
     found = contamination(frame(spark, odd_documents()), none).collect()
     assert len(found) == len(odd_documents()) and not any(row.contaminated for row in found)
+
+
+def test_word_counts_are_dealt_to_many_keys(spark):
+    """There is one for every document, so a single key would hold them all."""
+    from functools import partial
+
+    from stratamart.llm.decontaminate import WORD_COUNT, document_fingerprints
+    from stratamart.llm.shared import prepare_workers, with_text_key
+
+    prepare_workers(spark)
+    rows = with_text_key(frame(spark, [(at, f"text {at}") for at in range(2000)]))
+    schema = "doc_id long, text_key long, size int, hash long, place long"
+    counts = rows.mapInArrow(partial(document_fingerprints, short=[]), schema).where(f"size = {WORD_COUNT}").groupBy("hash").count()
+    sizes = [row["count"] for row in counts.collect()]
+    assert sum(sizes) == 2000 and len(sizes) > 1000 and max(sizes) < 10
