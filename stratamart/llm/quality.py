@@ -286,9 +286,9 @@ def quality_scores(documents: DataFrame, labels: DataFrame, sample_rows: int = S
     known = labels.where("doc_id IS NOT NULL AND quality IS NOT NULL").select(F.col("doc_id").cast("long").alias("doc_id"), "quality")
     known = known.where(~held_out()).groupBy("doc_id").agg((F.avg("quality") >= 0.5).cast("double").alias("label"))
     known = stored(known, "quality_labels")
-    sample = hashed_sample(described.join(known, "doc_id"), sample_rows, known.count(), ["numbers"])
-    found = sample.select("label", "numbers").toPandas()
-    values = np.stack(found["numbers"].to_list()) if len(found) else np.zeros((0, 0))
-    model = fit(values, found["label"].to_numpy(float))
+    columns = ["label", "numbers"]
+    found = hashed_sample(described.join(known, "doc_id"), sample_rows, known.count(), ["numbers"], lambda sample: sample.select(columns))
+    values = np.array([row["numbers"] for row in found], float) if found else np.zeros((0, 0))
+    model = fit(values, np.array([row["label"] for row in found], float))
     scored = described.mapInArrow(partial(apply_model, model=model), "doc_id long, text_key long, score double")
     return scored.select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= ACCEPT_AT).cast("int").alias("predicted"), "text_key")

@@ -5,8 +5,9 @@ from __future__ import annotations
 import os
 import shutil
 import tempfile
+from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from ..storage import shared_folder
@@ -56,14 +57,25 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def hashed_sample(rows: DataFrame, size: int, total: int, tie_breakers: list[str]) -> DataFrame:
-    """At most ``size`` rows, those with the smallest hashes of their doc_id.
+def hashed_sample(
+    rows: DataFrame,
+    size: int,
+    total: int,
+    tie_breakers: list[str],
+    then: Callable[[DataFrame], DataFrame] = lambda sample: sample,
+) -> list[Row]:
+    """``size`` rows, those with the smallest hashes of their doc_id; all if there are fewer.
 
-    ``total`` is about how many rows there are. Rows that are certainly not among them are left
-    out first, so that tasks send on about ``size`` rows between them and not each.
+    ``total`` is a guess at how many rows there are. Rows that are most likely not among them are
+    left out first, so that tasks send on about ``size`` rows between them and not each; if the
+    guess was so wrong that too few are left, more are let through. ``then`` is applied before rows
+    come to the driver.
     """
-    key = F.xxhash64("doc_id")
+    key, low = F.xxhash64("doc_id"), -(2**63)
     share = min(1.0, (1.3 * size + 100) / max(total, 1))
-    low = -(2**63)
-    near = rows if share >= 1 else rows.where(key <= low + int(share * 2**64))
-    return near.orderBy(key, "doc_id", *tie_breakers).limit(size)
+    while True:
+        near = rows if share >= 1 else rows.where(key <= low + int(share * 2**64))
+        found = then(near.orderBy(key, "doc_id", *tie_breakers).limit(size)).collect()
+        if len(found) >= size or share >= 1:
+            return found
+        share = min(1.0, share * 16)

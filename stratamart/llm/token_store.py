@@ -100,19 +100,27 @@ def _encoded_sample(batches: Iterator[pa.RecordBatch], vocabulary: Vocabulary, w
 
 
 def train(documents: DataFrame, vocabulary: Vocabulary, width: int) -> bytes:
-    """The dictionary; empty where there is too little to train on.
+    """The dictionary; empty where there is too little to train on, which its name then says.
 
     The sample are the documents of up to ``SAMPLE_BYTES`` with the smallest hashes of their ids.
     """
     short = documents.where(F.octet_length("text") <= SAMPLE_BYTES)
-    sample = hashed_sample(short, SAMPLE_DOCUMENTS, documents.count(), ["text"])
-    rows = sample.select("text").mapInArrow(partial(_encoded_sample, vocabulary=vocabulary, width=width), "ids binary").collect()
+
+    def encoded(sample: DataFrame) -> DataFrame:
+        return sample.select("text").mapInArrow(partial(_encoded_sample, vocabulary=vocabulary, width=width), "ids binary")
+
+    rows = hashed_sample(short, SAMPLE_DOCUMENTS, documents.count(), ["text"], encoded)
     try:
         return zstandard.train_dictionary(DICTIONARY_BYTES, [bytes(row["ids"]) for row in rows]).as_bytes()
     except zstandard.ZstdError:
         return b""
 
 
+def dictionary_name(raw: bytes) -> str:
+    """The hash by which frames name their dictionary, or that they have none."""
+    return hashlib.sha256(raw).hexdigest() if raw else "none"
+
+
 def _dictionary(raw: bytes):
     return {"dict_data": zstandard.ZstdCompressionDict(raw)} if raw else {}
 
@@ -125,7 +133,7 @@ _BLOCK_NAMES = [part.split()[0] for part in BLOCKS.split(", ")]
 def _blocks(batches: Iterator[pa.RecordBatch], vocabulary: Vocabulary, width: int, raw: bytes) -> Iterator[pa.RecordBatch]:
     encode = encoder(vocabulary)
     compressor = zstandard.ZstdCompressor(level=LEVEL, write_content_size=True, **_dictionary(raw))
-    name = hashlib.sha256(raw).hexdigest()
+    name = dictionary_name(raw)
     shard = TaskContext.get().partitionId()
     rows, frames, size, start = [], [], 0, 0
 
@@ -173,7 +181,7 @@ def write(documents: DataFrame, path: str, vocabulary: Vocabulary, shards: int |
     rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     width = 2 if _library(vocabulary.path).get_vocab_size() <= 1 << 16 and vocabulary.end_id < 1 << 16 else 4
     raw = train(rows, vocabulary, width)
-    spark.createDataFrame([(hashlib.sha256(raw).hexdigest(), width, bytearray(raw))], "dictionary string, width int, raw binary").write.parquet(
+    spark.createDataFrame([(dictionary_name(raw), width, bytearray(raw))], "dictionary string, width int, raw binary").write.parquet(
         f"{path}/dictionary"
     )
     ordered = rows.repartitionByRange(shards or shuffle_partitions(spark), "doc_id").sortWithinPartitions("doc_id", "text")
@@ -185,7 +193,7 @@ def write(documents: DataFrame, path: str, vocabulary: Vocabulary, shards: int |
 
 def _decoded(batches: Iterator[pa.RecordBatch], raw: bytes, wanted: Sequence[int] | None, with_ids: bool) -> Iterator[pa.RecordBatch]:
     decompressor = zstandard.ZstdDecompressor(**_dictionary(raw))
-    name = hashlib.sha256(raw).hexdigest()
+    name = dictionary_name(raw)
     for batch in batches:
         for block in batch.to_pylist():
             if block["dictionary"] != name:

@@ -75,3 +75,14 @@ def test_the_sum_of_table_entries_is_the_score():
         for (a, b), table in zip(model.pairs, model.pair_tables, strict=True):
             total += table[sum(row[a] >= e for e in model.pair_edges[a])][sum(row[b] >= e for e in model.pair_edges[b])]
         assert abs(model.score(row[None])[0] - 1 / (1 + np.exp(-total))) < 1e-12
+
+
+def test_labels_without_documents_do_not_thin_the_sample(spark):
+    """Of a hundred times as many labels only few have documents, and these are all learnt from."""
+    from stratamart.llm.shared import hashed_sample
+
+    rows = spark.range(300).selectExpr("id AS doc_id", "CAST(id AS STRING) AS text")
+    found = hashed_sample(rows, 200, 1_000_000, ["text"])
+    assert [row.doc_id for row in found] == [row.doc_id for row in hashed_sample(rows, 200, 300, ["text"])]
+    assert len(found) == 200 and len(hashed_sample(rows, 500, 1_000_000, ["text"])) == 300
+    assert hashed_sample(rows.limit(0), 5, 1_000_000, ["text"]) == []

@@ -110,3 +110,13 @@ def test_frames_are_small_by_the_shared_dictionary_and_refuse_another(spark, fol
 def test_empty_token_store(spark, folder):
     token_store.write(frame(spark, []), folder, VOCABULARY)
     assert token_store.read(spark, folder).collect() == []
+
+
+def test_a_store_without_a_dictionary_says_so(spark, folder):
+    """Too few short texts to train on: frames are read as written, and name no dictionary."""
+    vocabulary = token_store.Vocabulary(LIBRARY, public_tokenizers.PATTERN, end_id=2)
+    token_store.write(frame(spark, [(1, "a"), (2, None)]), f"{folder}/small", vocabulary)
+    assert [tuple(row)[:2] for row in spark.read.parquet(f"{folder}/small/dictionary").collect()] == [("none", 2)]
+    assert sorted((r.doc_id, r.start, r.n_tokens) for r in token_store.read(spark, f"{folder}/small").collect()) == [(1, 0, 2), (2, 2, 1)]
+    token_store.write(frame(spark, [(at, prose(at, 80)) for at in range(300)]), f"{folder}/large", vocabulary)
+    assert len(spark.read.parquet(f"{folder}/large/dictionary").first().dictionary) == 64
