@@ -68,6 +68,15 @@ def test_exact(spark, documents, sf_dir):
         assert (-len(text or ""), doc_id) == min(equal)
 
 
+def test_exact_leaves_one_row_of_equal_texts(spark, sf_dir):
+    """White space, rows of one id, rows without, and a column that has no order."""
+    rows = [(7, "a b"), (7, "ab"), (7, "a  b"), (7, "a  b"), (9, "a  b"), (None, "x y"), (None, "xy"), (None, "x y"), (8, "q"), (None, "q"), (None, None)]
+    docs = frame(spark, rows, clashing=False).withColumn("more", F.create_map(F.lit("k"), F.rand(1)))
+    kept = cp.once_exactly(spark, docs, sf_dir)
+    assert kept.columns == ["doc_id", "text", "more"]
+    assert by_repr(pairs(kept)) == by_repr([(7, "a  b"), (None, "x y"), (8, "q"), (None, None)])
+
+
 def test_near(spark, documents, sf_dir):
     rows = pairs(documents)
     component = near_components(rows, 5)
