@@ -2,9 +2,9 @@
 
 Each stage works on what the one before has kept, written as Parquet and read again. All but
 the last return the columns of ``documents``. A stage removes rows by an anti join with those
-it rejects, so rows that it cannot name (without doc_id) stay. Rows that repeat a doc_id with
-other text are judged one by one; rows that repeat a doc_id with the same text become one in
-the exact stage.
+it rejects, so rows that it cannot name (without doc_id) stay; only the exact stage, which leaves
+one row of equal texts, names these by their text. Rows that repeat a doc_id with other text are
+judged one by one.
 """
 
 from __future__ import annotations
@@ -25,11 +25,13 @@ from stratamart.storage import shared_folder
 ORACLE_SQL = None
 
 
-def without(docs: DataFrame, rejected: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that ``rejected`` does not name by doc_id and text."""
+def without(docs: DataFrame, rejected: DataFrame, unnamed: bool = False) -> DataFrame:
+    """The rows of ``docs`` that ``rejected`` does not name by doc_id and text; with ``unnamed`` also
+    those without doc_id, by text."""
     named = rejected.select("doc_id", "text_key").distinct()
     doc_id = F.col("docs.doc_id").cast("long")
-    same = (doc_id == F.col("named.doc_id")) & (F.xxhash64(doc_id, "docs.text") == F.col("named.text_key"))
+    same_id = doc_id.eqNullSafe(F.col("named.doc_id")) if unnamed else doc_id == F.col("named.doc_id")
+    same = same_id & (F.xxhash64(doc_id, "docs.text") == F.col("named.text_key"))
     return docs.alias("docs").join(named.alias("named"), same, "left_anti")
 
 
@@ -40,11 +42,13 @@ def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def once_exactly(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     index = DigestIndex(spark, shared_folder(spark, "pipeline_index"))
-    unique = without(docs, index.add(docs).where("NOT kept"))
-    # Rows repeating both doc_id and text are left; each task reduces them before the shuffle.
+    # One row of a group is kept; those that repeat its doc_id and text cannot be told from it yet.
+    judged = index.add(docs).groupBy("doc_id", "text_key").agg(F.max("kept").alias("kept"))
+    unique = without(docs, judged.where("NOT kept"), unnamed=True)
+    # Each task reduces them before the shuffle. Columns of any type are put in order as JSON.
     others = [name for name in docs.columns if name not in ("doc_id", "text")]
-    key = F.xxhash64("text").alias("same_text")
-    reduced = unique.groupBy("doc_id", key).agg(F.min(F.struct("text", *others)).alias("row"))
+    key, order = F.xxhash64("text").alias("same_text"), F.to_json(F.struct(*others)) if others else F.lit("")
+    reduced = unique.groupBy("doc_id", key).agg(F.min_by(F.struct("text", *others), order).alias("row"))
     return reduced.select(*(name if name == "doc_id" else f"row.{name}" for name in docs.columns))
 
 
