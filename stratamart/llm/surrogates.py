@@ -19,8 +19,12 @@ originals cannot share one:
 
 The mapping is global: distinct values of all documents are collected in a table. A surrogate
 that is itself an original of the corpus, or that two originals have, is made again under the
-next tweak of the key until no collision is left; after ``WIDEN_AFTER`` rounds letters are
-appended. (First names and initials only have to stay distinct, as their lists are closed.) Texts are then rewritten by a join with that table.
+next tweak of the key until no collision is left. After ``WIDEN_AFTER`` rounds, where most values
+of a shape are originals, surrogates get longer within their kind: names by letters of their own
+script and case, numbers by digits, e-mail addresses before the ``@``; numbers with a check digit, IP
+addresses and hexadecimal secrets never do. First names and initials come from closed lists, in
+which every one may be an original: they stay distinct, and none stands for itself. Texts are then
+rewritten by a join with that table.
 
 Null texts stay null; rows without doc_id are treated like others. ``key`` is a secret: who has
 it can undo the mapping.
@@ -33,7 +37,7 @@ import ipaddress
 import re
 from bisect import bisect_left
 from collections.abc import Iterator
-from functools import partial
+from functools import lru_cache, partial
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -42,6 +46,11 @@ from pyspark.sql import functions as F
 from .shared import prepare_workers, stored, with_text_key
 
 WIDEN_AFTER = 8
+#: Lists of up to so many values are permuted by one cycle, longer ones by a cipher.
+SHORT_LIST = 256
+
+# The kinds whose surrogates have a fixed length or come from a list.
+CLOSED = ["account", "iban", "ipv4", "ipv6", "first name", "initial", "ssn"]
 
 # Alphabets whose letters may stand for each other.
 ALPHABETS = [
@@ -223,6 +232,13 @@ def permuted(value: int, size: int, key: bytes, label: str) -> int:
 _PLACE = {sign: (alphabet, at) for alphabet in ALPHABETS for at, sign in enumerate(alphabet)}
 
 
+@lru_cache(maxsize=4096)
+def _cycle(size: int, key: bytes, label: str) -> dict[int, int]:
+    """A permutation of a short list that leaves nothing in its place: one keyed cycle of all."""
+    order = sorted(range(size), key=lambda value: permuted(value, size, key, label))
+    return dict(zip(order, order[1:] + order[:1], strict=True))
+
+
 def same_shape(text: str, key: bytes, label: str) -> str:
     """Another text of the same shape; different texts of a shape get different ones."""
     spots = [(at, *_PLACE[sign]) for at, sign in enumerate(text) if sign in _PLACE]
@@ -231,7 +247,8 @@ def same_shape(text: str, key: bytes, label: str) -> str:
         value, size = value * len(alphabet) + place, size * len(alphabet)
     # Shapes are kept apart, so that one shape's permutation tells nothing about another's.
     shape = "".join(_PLACE[sign][0][0] if sign in _PLACE else sign for sign in text)
-    value = permuted(value, size, key, f"{label}\x1f{shape}")
+    label = f"{label}\x1f{shape}"
+    value = _cycle(size, key, label)[value] if size <= SHORT_LIST else permuted(value, size, key, label)
     out = list(text)
     for at, alphabet, _ in reversed(spots):
         value, place = divmod(value, len(alphabet))
@@ -284,7 +301,7 @@ def surrogate(kind: str, value: str, key: bytes, tweak: int) -> str:
         new = country + same_shape(value[len(country) :], key, kind)
     elif kind == "first name":
         names = FIRST_NAMES[GENDER_OF[value]]
-        new = names[permuted(names.index(value), len(names), key, GENDER_OF[value])]
+        new = names[_cycle(len(names), key, GENDER_OF[value])[names.index(value)]]
     elif kind == "secret" and _HEXADECIMAL.fullmatch(value):
         number = permuted(int(value, 16), 16 ** len(value), key, f"hexadecimal{len(value)}")
         new = f"{number:0{len(value)}x}"
@@ -294,9 +311,20 @@ def surrogate(kind: str, value: str, key: bytes, tweak: int) -> str:
         new = prefix + same_shape(value[len(prefix) :], key, kind + prefix)
     else:
         new = same_shape(value, key, kind)
-    if tweak > WIDEN_AFTER:
-        new += same_shape("k" * 8, key, f"{kind}\x1f{value}")
-    return new
+    return widened(kind, value, new, key) if tweak > WIDEN_AFTER else new
+
+
+def widened(kind: str, value: str, new: str, key: bytes) -> str:
+    """A surrogate made longer without losing its format; of kinds of a fixed length, itself."""
+    if kind in CLOSED or kind == "secret" and _HEXADECIMAL.fullmatch(value):
+        return new
+    letters = "".join(filter(str.isalpha, value.rpartition("@")[0] if kind == "email" else value)).lower()
+    seed = (letters or "0") * 8 if kind in ("email", "family name", "name") else "0" * 8
+    more = same_shape(seed[:8], key, f"{kind}\x1f{value}")
+    if kind == "email":
+        local, _, domain = new.rpartition("@")
+        return f"{local}{more}@{domain}"
+    return new + (more.upper() if kind != "email" and len(new) > 1 and new.isupper() else more)
 
 
 def _detect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

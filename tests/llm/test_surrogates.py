@@ -99,6 +99,38 @@ def test_permutations(size):
     assert sorted(sg.permuted(at, size, KEY, "x") for at in range(size)) == list(range(size))
 
 
+@pytest.mark.parametrize("key", [b"registered query, not a secret", KEY, b"a", b"b" * 64])
+def test_no_name_stands_for_itself(key):
+    """Closed lists too: every first name and initial, under any tweak, and all stay distinct."""
+    for tweak in (0, 1, 12):
+        for group, names in sg.FIRST_NAMES.items():
+            found = [sg.surrogate("first name", name, key, tweak) for name in names]
+            assert sorted(found) == sorted(names) and all(a != b for a, b in zip(found, names, strict=True)), group
+        for letters in sg.ALPHABETS:
+            found = [sg.surrogate("initial", sign, key, tweak) for sign in letters]
+            assert sorted(found) == sorted(letters) and all(a != b for a, b in zip(found, letters, strict=True))
+
+
+def test_longer_surrogates_keep_their_format():
+    late = sg.WIDEN_AFTER + 1
+    assert re.fullmatch(r"[B-Z][aeiou][b-z][aeiou][b-z][aeiou][b-z][aeiou][b-z][aeiou]", sg.surrogate("family name", "Ba", KEY, late))
+    assert re.fullmatch(r"[А-Я][а-я]{9}", sg.surrogate("family name", "Ли", KEY, late))
+    assert re.fullmatch(r"[a-z]{10}@[a-z]\.com", sg.surrogate("email", "ab@c.com", KEY, late))
+    assert re.fullmatch(r"\+1 \(\d{3}\) \d{3}-\d{12}", sg.surrogate("phone", "+1 (988) 555-2485", KEY, late))
+    assert re.fullmatch(r"[0-9a-f]{16}", sg.surrogate("secret", "0cab398dc11d1a2a", KEY, late))
+    for kind, value in (("ipv4", "10.1.2.3"), ("iban", "DE89 3704 0044 0532 0130 00"), ("account", "4111 1111 1111 1111")):
+        assert len(sg.surrogate(kind, value, KEY, late)) <= len(value) + 8 * (kind == "ipv4")
+
+
+def test_names_of_a_full_shape_stay_names(spark):
+    """All names of two letters are originals, so none is left for them."""
+    rows = [("family name", a + b) for a in "BCDFGHJKLMNPQRSTVWXYZ" for b in "aeiou"]
+    found = sg.mapping(spark.createDataFrame(rows, "kind string, value string"), KEY).collect()
+    assert len({row.surrogate for row in found}) == len(rows)
+    assert all(re.fullmatch(r"[B-Z]([aeiou][b-z])*[aeiou]", row.surrogate) for row in found)
+    assert not {("family name", row.surrogate) for row in found} & set(rows)
+
+
 def test_distinct_values_keep_distinct_surrogates_and_none_is_an_original(spark):
     rows = [("ssn", f"{at:03d}-00-0000") for at in range(1000)] + [("digit", str(at)) for at in range(10)]
     rows += [("first name", name) for name in sg.GENDER_OF]
