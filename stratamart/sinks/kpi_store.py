@@ -77,7 +77,8 @@ class KpiStore(RunFolders):
         orders = orders.groupBy("yearmonth", "CustomerID").agg(F.sum("Orders").alias("Orders"))
         problem = F.concat(F.lit("orders taken out that were never counted: "), "CustomerID", F.lit(" "), "yearmonth")
         kept = F.when(F.col("Orders") < 0, F.raise_error(problem).cast("boolean")).otherwise(F.col("Orders") > 0)
-        replace_folder(orders.where(kept), f"{path}/customers", ["yearmonth"])
+        # A file or a few per month, not one per month and task.
+        replace_folder(orders.where(kept).hint("rebalance", "yearmonth"), f"{path}/customers", ["yearmonth"])
 
         months = {month: run for month, run in before.items() if month not in touched}
         months |= dict.fromkeys(self._written(f"{path}/customers"), str(run_date))
