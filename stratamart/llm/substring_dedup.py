@@ -14,8 +14,8 @@ the suffixes that start with the same window, and all leaves but those of the sm
 lose it.
 
 Words are compared by 64-bit hashes. Null has no words. Rows without doc_id neither lose words
-nor make others lose them. Of rows that repeat a doc_id with different texts the one with the
-smallest hash of its text takes part, the others stay whole.
+nor make others lose them. Rows that repeat a doc_id take part each with its own text: they lose
+what smaller ids have and make larger ids lose what they have, but not one another.
 """
 
 from __future__ import annotations
@@ -30,9 +30,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import texts as tx
-from .shared import shuffle_partitions, prepare_workers, stored, with_text_key
+from .shared import prepare_workers, shuffle_partitions, with_text_key
 from .suffix_dedup import remaining
-from .windows import WORDS, Runs, repeated_spans, shared_anchors
+from .windows import WORDS, Runs, rows_with_repeats
 
 WINDOW = WORDS.window
 PREFIXES = (1, 2, 4, 8, 16, 32, WINDOW)
@@ -153,13 +153,7 @@ def remove_repeated_words(documents: DataFrame, buckets: int | None = None, with
     prepare_workers(spark)
     buckets = buckets or shuffle_partitions(spark)
     rows = with_text_key(documents)
-    named = rows.where("doc_id IS NOT NULL")
-    shared = shared_anchors(named, WORDS, buckets)
-    chosen = named.groupBy("doc_id").agg(F.min("text_key").alias("text_key"))
-    marked = shared.join(chosen.hint("merge"), "doc_id").hint("merge")
-    candidates = stored(named.join(marked, ["doc_id", "text_key"]).select("doc_id", "text_key", "text", "places"), "word_candidates")
-    spans = stored(repeated_spans(candidates, WORDS, 8, buckets, repeated_windows), "word_spans")
-    touched = candidates.select("doc_id", "text_key", "text").join(spans.hint("merge"), "doc_id")
+    touched = rows_with_repeats(rows, WORDS, 8, buckets, repeated_windows, "word")
     schema = "doc_id long, text_key long, n_removed long, kept_sha256 string" + ", kept string" * with_kept
     cleaned = touched.mapInArrow(partial(_remove, with_kept=with_kept), schema).dropDuplicates(["doc_id", "text_key"])
     base = rows.mapInArrow(_count, "doc_id long, text_key long, n_words long, whole_sha256 string")

@@ -12,8 +12,8 @@ belong to a smaller document give the longest earlier match of each suffix; wher
 as a window, the window goes.
 
 Null counts as an empty text; texts shorter than a window are left alone. Rows without doc_id
-neither lose bytes nor make others lose them. Of rows that repeat a doc_id with different texts
-the one with the smallest hash of its text takes part, the others stay whole.
+neither lose bytes nor make others lose them. Rows that repeat a doc_id take part each with its own
+text: they lose what smaller ids have and make larger ids lose what they have, but not one another.
 """
 
 from __future__ import annotations
@@ -28,8 +28,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import texts as tx
-from .shared import shuffle_partitions, prepare_workers, stored, with_text_key
-from .windows import BYTES, Runs, repeated_spans, shared_anchors
+from .shared import prepare_workers, shuffle_partitions, with_text_key
+from .windows import BYTES, Runs, rows_with_repeats
 
 WINDOW = BYTES.window
 #: Offsets of the eight-byte words that cover a window.
@@ -89,14 +89,14 @@ def suffix_order(tokens: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np
     return order, np.minimum(common, WINDOW)
 
 
-def longest_previous(common: np.ndarray, owners: np.ndarray, at_least: int) -> np.ndarray:
-    """For suffixes in order whether an earlier owner has a match of ``at_least``.
+def longest_previous(common: np.ndarray, owners: np.ndarray, at_least: int = 1) -> np.ndarray:
+    """For suffixes in order the length of the longest match in an earlier owner, 0 below ``at_least``.
 
     ``common`` is the prefix shared with the suffix before. Previous and next smaller owners
     are found by following pointers: what lies between a suffix and its pointer never has a
     smaller owner, so a pointer may be followed by that of its target.
     """
-    found = np.zeros(len(owners), bool)
+    longest = np.zeros(len(owners), np.int64)
     places = np.arange(len(owners))
     before = np.concatenate((common, [0]))
     for step, link in ((-1, before[:-1]), (1, before[1:])):
@@ -104,13 +104,14 @@ def longest_previous(common: np.ndarray, owners: np.ndarray, at_least: int) -> n
         live = places[shared >= at_least]
         while len(live):
             smaller = owners[pointer[live]] < owners[live]
-            found[live[smaller]] = True
+            settled = live[smaller]
+            longest[settled] = np.maximum(longest[settled], shared[settled])
             live = live[~smaller]
             target = pointer[live]
             shared[live] = np.minimum(shared[live], shared[target])
             pointer[live] = pointer[target]
             live = live[shared[live] >= at_least]
-    return found
+    return longest
 
 
 def repeated_windows(runs: Runs) -> np.ndarray:
@@ -119,7 +120,7 @@ def repeated_windows(runs: Runs) -> np.ndarray:
     owners = np.repeat(runs.docs, runs.sizes)
     order, common = suffix_order(runs.tokens, starts)
     out = np.zeros(len(starts), bool)
-    out[order] = longest_previous(common, owners[order], WINDOW)
+    out[order] = longest_previous(common, owners[order], WINDOW) == WINDOW
     return out
 
 
@@ -160,13 +161,7 @@ def remove_repeated_bytes(documents: DataFrame, buckets: int | None = None, with
     prepare_workers(spark)
     buckets = buckets or shuffle_partitions(spark)
     rows = with_text_key(documents)
-    named = rows.where("doc_id IS NOT NULL")
-    shared = shared_anchors(named, BYTES, buckets)
-    chosen = named.groupBy("doc_id").agg(F.min("text_key").alias("text_key"))
-    marked = shared.join(chosen.hint("merge"), "doc_id").hint("merge")
-    candidates = stored(named.join(marked, ["doc_id", "text_key"]).select("doc_id", "text_key", "text", "places"), "byte_candidates")
-    spans = stored(repeated_spans(candidates, BYTES, 1, buckets, repeated_windows), "byte_spans")
-    touched = candidates.select("doc_id", "text_key", "text").join(spans.hint("merge"), "doc_id")
+    touched = rows_with_repeats(rows, BYTES, 1, buckets, repeated_windows, "byte")
     schema = "doc_id long, text_key long, n_removed long, n_spans long, kept_sha256 string" + ", kept binary" * with_kept
     cleaned = touched.mapInArrow(partial(_remove, with_kept=with_kept), schema).dropDuplicates(["doc_id", "text_key"])
     text = F.coalesce("text", F.lit(""))

@@ -12,6 +12,11 @@ of these windows together by anchor, so that a task can compare all that can be
 Rows travel packed: one row per map slice and bucket holds many entries in binary columns, and
 what a slice can settle by itself does not travel. An anchor or a run of windows that many
 documents of a slice have is sent once for the slice, whichever share of all documents has it.
+
+Every row takes part. Rows that repeat a doc_id with other texts are told apart by ``text_key``:
+anchors carry a few bits of it (``tag``), which is enough where places too many do no harm, and
+windows a ``variant``, which is 0 but for such rows and so packs to nothing. Rows that repeat both
+are one row, of which a slice sends one.
 """
 
 from __future__ import annotations
@@ -27,10 +32,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import texts as tx
+from .shared import stored
 
 #: An entry that only says that documents of one slice share its hash.
 SHARED_ALREADY = -1
 _HASH_BYTES = 5
+TAG_BITS = 16
 
 
 @dataclass(frozen=True)
@@ -89,28 +96,35 @@ def _by_bucket(buckets: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
         yield int(buckets[order[a]]), order[a:b]
 
 
-def _doc_ids(batch: pa.RecordBatch, first_row: int, last_row: int) -> tuple[np.ndarray, np.ndarray]:
-    """Ids of the rows of a slice, and which rows have one."""
-    column = batch.column("doc_id").slice(first_row, last_row - first_row)
-    return column.fill_null(0).to_numpy(zero_copy_only=False), column.is_valid().to_numpy(zero_copy_only=False)
+def _numbers(batch: pa.RecordBatch, name: str, first_row: int, last_row: int) -> np.ndarray:
+    return batch.column(name).slice(first_row, last_row - first_row).to_numpy(zero_copy_only=False)
+
+
+def _once(keys: np.ndarray) -> np.ndarray:
+    """Which entries are the first with their key."""
+    out = np.zeros(len(keys), bool)
+    out[np.unique(keys, return_index=True)[1]] = True
+    return out
 
 
-ANCHOR_ROWS = "bucket int, hashes binary, docs binary, places binary"
-_FOUND = pa.schema([("bucket", pa.int32()), ("hashes", pa.binary()), ("docs", pa.binary()), ("places", pa.binary())])
+ANCHOR_ROWS = "bucket int, hashes binary, docs binary, tags binary, places binary"
+_FOUND = pa.schema([("bucket", pa.int32()), *((name, pa.binary()) for name in ("hashes", "docs", "tags", "places"))])
 
 
 def _send_anchors(batches: Iterator[pa.RecordBatch], unit: Unit, buckets: int) -> Iterator[pa.RecordBatch]:
     """Rows for the buckets, and rows without hashes for what a slice knows to be shared."""
     for batch in batches:
         for first_row, last_row, _, values, first in unit.read(batch.column("text")):
-            ids, valid = _doc_ids(batch, first_row, last_row)
+            ids, keys = (_numbers(batch, name, first_row, last_row) for name in ("doc_id", "text_key"))
+            once = _once(keys)
             starts, places, grams = anchors(unit, values, first)
             places = places[_changes(places)]
             rows = np.searchsorted(first, places, "right") - 1
-            places, rows = places[valid[rows]], rows[valid[rows]]
+            places, rows = places[once[rows]], rows[once[rows]]
             if not len(places):
                 continue
             hashes, docs, places = tx.mix(grams[places]), ids[rows], places - first[rows]
+            tags = (keys & ((1 << TAG_BITS) - 1)).astype(np.uint16)[rows]
             order = np.argsort(hashes, kind="stable")
             runs = _changes(hashes[order])
             lowest, highest = np.minimum.reduceat(docs[order], runs), np.maximum.reduceat(docs[order], runs)
@@ -119,60 +133,69 @@ def _send_anchors(batches: Iterator[pa.RecordBatch], unit: Unit, buckets: int) -
 
             out = {name: [] for name in _FOUND.names}
 
-            def put(bucket, hash_bytes, entry_docs, entry_places, out=out):
-                for name, value in zip(_FOUND.names, (bucket, hash_bytes, pack(entry_docs), pack(entry_places)), strict=True):
+            def put(bucket, hash_bytes, entries, entry_places, out=out):
+                row = (bucket, hash_bytes, pack(docs[entries]), pack(tags[entries]), pack(entry_places))
+                for name, value in zip(_FOUND.names, row, strict=True):
                     out[name].append(value)
 
             if shared.any():
                 # Dealt out by a number of the slice, as these rows need no company.
-                put(int(hashes[0] % np.uint64(buckets)), b"", docs[shared], places[shared].astype(np.int64))
+                put(int(hashes[0] % np.uint64(buckets)), b"", shared, places[shared].astype(np.int64))
             once = order[runs[lowest != highest]]
             alone = np.flatnonzero(~shared)
             sent = np.concatenate((alone, once))
             sent_places = np.concatenate((places[alone], np.full(len(once), SHARED_ALREADY))).astype(np.int64)
             for bucket, picked in _by_bucket((hashes[sent] % np.uint64(buckets)).astype(np.int64)):
                 high = (hashes[sent[picked]] >> np.uint64(64 - 8 * _HASH_BYTES)).astype("<u8")
-                put(bucket, high.view(np.uint8).reshape(-1, 8)[:, :_HASH_BYTES].tobytes(), docs[sent[picked]], sent_places[picked])
+                put(bucket, high.view(np.uint8).reshape(-1, 8)[:, :_HASH_BYTES].tobytes(), sent[picked], sent_places[picked])
             yield pa.RecordBatch.from_pydict(out, _FOUND)
 
 
 def _settle_anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The documents and places of all anchors that documents with different ids have."""
-    held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
-    schema = pa.schema([("doc_id", pa.int64()), ("place", pa.int64())])
+    held: list[tuple[np.ndarray, ...]] = []
+    schema = pa.schema([("doc_id", pa.int64()), ("tag", pa.int32()), ("place", pa.int64())])
+
+    def found(docs, tags, places):
+        return pa.RecordBatch.from_arrays([pa.array(docs), pa.array(tags.astype(np.int32)), pa.array(places)], schema=schema)
+
     for batch in batches:
-        for bucket, hashes, docs, places in zip(*(batch.column(name).to_pylist() for name in _FOUND.names), strict=True):
-            docs, places = unpack(docs, np.int64), unpack(places, np.int64)
+        for bucket, hashes, docs, tags, places in zip(*(batch.column(name).to_pylist() for name in _FOUND.names), strict=True):
+            docs, tags, places = unpack(docs, np.int64), unpack(tags, np.uint16), unpack(places, np.int64)
             if not hashes:
-                yield pa.RecordBatch.from_arrays([pa.array(docs), pa.array(places)], schema=schema)
+                yield found(docs, tags, places)
                 continue
             wide = np.zeros((len(docs), 8), np.uint8)
             wide[:, :_HASH_BYTES] = np.frombuffer(hashes, np.uint8).reshape(-1, _HASH_BYTES)
             wide[:, _HASH_BYTES : _HASH_BYTES + 2] = np.array([bucket & 0xFFFF], "<u2").view(np.uint8)
-            held.append((wide.view("<u8")[:, 0], docs, places))
+            held.append((wide.view("<u8")[:, 0], docs, tags, places))
     if not held:
         return
-    hashes, docs, places = (np.concatenate(part) for part in zip(*held, strict=True))
+    hashes, docs, tags, places = (np.concatenate(part) for part in zip(*held, strict=True))
     held.clear()
     order = np.argsort(hashes)
     runs = _changes(hashes[order])
     sizes = np.diff(np.append(runs, len(order)))
-    docs, places = docs[order], places[order]
+    docs, tags, places = docs[order], tags[order], places[order]
     shared = np.minimum.reduceat(docs, runs) != np.maximum.reduceat(docs, runs)
     shared |= np.minimum.reduceat(places, runs) == SHARED_ALREADY
     wanted = np.repeat(shared, sizes) & (places != SHARED_ALREADY)
-    yield pa.RecordBatch.from_arrays([pa.array(docs[wanted]), pa.array(places[wanted])], schema=schema)
+    yield found(docs[wanted], tags[wanted], places[wanted])
 
 
 def shared_anchors(documents: DataFrame, unit: Unit, buckets: int) -> DataFrame:
-    """``doc_id, places``: the places of each document's anchors that other documents have too."""
-    rows = documents.select("doc_id", "text").mapInArrow(partial(_send_anchors, unit=unit, buckets=buckets), ANCHOR_ROWS)
+    """``doc_id, tag, places``: the places of each row's anchors that other documents have too.
+
+    ``documents`` has ``doc_id, text, text_key``, none of the ids null. Sets of places, unlike lists,
+    do not grow with the number of times that a row is repeated.
+    """
+    rows = documents.select("doc_id", "text", "text_key").mapInArrow(partial(_send_anchors, unit=unit, buckets=buckets), ANCHOR_ROWS)
     dealt = rows.repartitionById(buckets, F.col("bucket"))
-    found = dealt.mapInArrow(_settle_anchors, "doc_id long, place long")
-    return found.groupBy("doc_id").agg(F.collect_list("place").alias("places"))
+    found = dealt.mapInArrow(_settle_anchors, "doc_id long, tag int, place long")
+    return found.groupBy("doc_id", "tag").agg(F.collect_set("place").alias("places"))
 
 
-_PARTS = ("docs", "places", "sizes", "hashes", "anchors", "contents")
+_PARTS = ("docs", "variants", "places", "sizes", "hashes", "anchors", "contents")
 WINDOW_ROWS = "bucket int, " + ", ".join(f"{name} binary" for name in _PARTS)
 _SENT = pa.schema([("bucket", pa.int32()), *((name, pa.binary()) for name in _PARTS)])
 
@@ -181,17 +204,18 @@ def _send_windows(batches: Iterator[pa.RecordBatch], unit: Unit, buckets: int) -
     """Runs of windows with one shared anchor, by the anchor's bucket.
 
     Where documents of one slice have the same run, the smallest id speaks for all: the others'
-    windows go out as settled, which are rows without contents.
+    windows go out as settled, which are rows without contents. Where rows of that id repeat a run,
+    its contents go out with the first of them.
     """
     for batch in batches:
         lists = batch.column("places")
         for first_row, last_row, tokens, values, first in unit.read(batch.column("text")):
-            ids, _ = _doc_ids(batch, first_row, last_row)
+            ids, variants, keys = (_numbers(batch, name, first_row, last_row) for name in ("doc_id", "variant", "text_key"))
             wanted = lists.slice(first_row, last_row - first_row)
             rows = np.repeat(np.arange(last_row - first_row), wanted.value_lengths().to_numpy(zero_copy_only=False))
             marked = np.zeros(len(tokens) + 1, bool)
-            spots = first[rows] + wanted.flatten().to_numpy(zero_copy_only=False)
-            # Rows that repeat an id have the places of all of them.
+            spots = (first[rows] + wanted.flatten().to_numpy(zero_copy_only=False))[_once(keys)[rows]]
+            # Rows of one id and tag have the places of all of them.
             marked[np.minimum(spots, len(tokens))] = True
             starts, places, grams = anchors(unit, values, first)
             keep = marked[places] if len(places) else np.zeros(0, bool)
@@ -217,7 +241,7 @@ def _send_windows(batches: Iterator[pa.RecordBatch], unit: Unit, buckets: int) -
             key, short = mixed % np.uint64(buckets), (mixed >> np.uint64(32)).astype("<u4")
 
             def put(bucket, picked, contents, out=out):
-                entry = [bucket, pack(docs[picked]), pack((begin - first[owner])[picked]), pack(sizes[picked])]
+                entry = [bucket, pack(docs[picked]), pack(variants[owner[picked]]), pack((begin - first[owner])[picked]), pack(sizes[picked])]
                 marks = [content[picked].tobytes(), short[picked].tobytes()] if contents else [b"", b""]
                 for name, value in zip(_SENT.names, [*entry, *marks, contents], strict=True):
                     out[name].append(value)
@@ -228,7 +252,8 @@ def _send_windows(batches: Iterator[pa.RecordBatch], unit: Unit, buckets: int) -
             raw, width = tokens.tobytes(), tokens.itemsize
             for bucket, picked in _by_bucket(key[sent].astype(np.int64)):
                 picked = sent[picked]
-                parts = [raw[a:b] for a, b in zip((begin[picked] * width).tolist(), (ends[picked] * width).tolist(), strict=True)]
+                full = picked[_once(content[picked])]
+                parts = [raw[a:b] for a, b in zip((begin[full] * width).tolist(), (ends[full] * width).tolist(), strict=True)]
                 put(bucket, picked, zstandard.compress(b"".join(parts), 1))
             yield pa.RecordBatch.from_pydict(out, _SENT)
 
@@ -245,44 +270,47 @@ class Runs:
 
 
 def _settle_windows(batches: Iterator[pa.RecordBatch], unit: Unit, width: int, judge: Callable[[Runs], np.ndarray]) -> Iterator[pa.RecordBatch]:
-    """Which tokens go: ``doc_id, start, stop`` spans."""
-    schema = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("stop", pa.int64())])
+    """Which tokens go: ``doc_id, variant, start, stop`` spans."""
+    schema = pa.schema([(name, pa.int64()) for name in ("doc_id", "variant", "start", "stop")])
     held: list[tuple] = []
     packed: list[bytes] = []
 
-    def spans(docs, places, sizes):
-        """Windows of consecutive starts cover one span; spans of a document that touch are joined."""
-        order = np.lexsort((places, docs))
-        docs, start, stop = docs[order], places[order], (places + sizes + unit.window - 1)[order]
+    def spans(docs, variants, places, sizes):
+        """Windows of consecutive starts cover one span; spans of a row that touch are joined."""
+        order = np.lexsort((places, variants, docs) if variants.any() else (places, docs))
+        docs, variants = docs[order], variants[order]
+        start, stop = places[order], (places + sizes + unit.window - 1)[order]
         if len(docs):
-            # Within a document, stops can only fall behind by repeated entries.
-            fresh = np.concatenate(([True], (docs[1:] != docs[:-1]) | (start[1:] > stop[:-1])))
+            # Within a row, stops can only fall behind by repeated entries.
+            fresh = np.concatenate(([True], (docs[1:] != docs[:-1]) | (variants[1:] != variants[:-1]) | (start[1:] > stop[:-1])))
             at = np.flatnonzero(fresh)
-            docs, start, stop = docs[at], start[at], np.maximum.reduceat(stop, at)
-        return pa.RecordBatch.from_arrays([pa.array(docs), pa.array(start), pa.array(stop)], schema=schema)
+            docs, variants, start, stop = docs[at], variants[at], start[at], np.maximum.reduceat(stop, at)
+        return pa.RecordBatch.from_arrays([pa.array(docs), pa.array(variants), pa.array(start), pa.array(stop)], schema=schema)
 
     for batch in batches:
-        for _, docs, places, sizes, hashes, short, contents in zip(*(batch.column(name).to_pylist() for name in _SENT.names), strict=True):
-            docs, places, sizes = unpack(docs, np.int64), unpack(places, np.int64), unpack(sizes, np.int64)
+        for _, *numbers, hashes, short, contents in zip(*(batch.column(name).to_pylist() for name in _SENT.names), strict=True):
+            entries = [unpack(values, np.int64) for values in numbers]
             if not contents:
-                yield spans(docs, places, sizes)
+                yield spans(*entries)
             else:
-                held.append((docs, places, sizes, np.frombuffer(hashes, np.uint64), np.frombuffer(short, "<u4")))
+                held.append((*entries, np.frombuffer(hashes, np.uint64), np.frombuffer(short, "<u4")))
                 packed.append(contents)
     if not held:
         return
-    entries = [len(part[0]) for part in held]
-    docs, places, sizes, content, short = (np.concatenate(part) for part in zip(*held, strict=True))
+    counts = [len(part[0]) for part in held]
+    first_of_row = np.concatenate([_once(part[4]) for part in held])
+    docs, variants, places, sizes, content, short = (np.concatenate(part) for part in zip(*held, strict=True))
     held.clear()
     order = np.lexsort((docs, content))
     runs = _changes(content[order])
-    counts = np.diff(np.append(runs, len(order)))
+    repeats = np.diff(np.append(runs, len(order)))
     smallest = np.empty(len(docs), np.int64)
-    smallest[order] = np.repeat(docs[order[runs]], counts)
+    smallest[order] = np.repeat(docs[order[runs]], repeats)
     later = docs > smallest
-    yield spans(docs[later], places[later], sizes[later])
+    yield spans(docs[later], variants[later], places[later], sizes[later])
 
-    # One entry for each distinct run, and of these the ones whose anchor another one has too.
+    # One entry for each distinct run, and of these the ones whose anchor another one has too. It is
+    # the first of its packed row, as equal entries keep their order, and so has contents.
     unique = order[runs]
     by_anchor = np.argsort(short[unique], kind="stable")
     groups = _changes(short[unique][by_anchor])
@@ -291,32 +319,35 @@ def _settle_windows(batches: Iterator[pa.RecordBatch], unit: Unit, width: int, j
     if not len(unique):
         return
     unique = unique[np.argsort(docs[unique], kind="stable")]
-    tokens, before = _tokens_of(unique, packed, entries, sizes + unit.window - 1, width)
+    lengths = sizes + unit.window - 1
+    tokens, before = _tokens_of(unique, packed, counts, lengths, np.where(first_of_row, lengths, 0), width)
     repeated = judge(Runs(docs[unique], places[unique], sizes[unique], tokens, before))
     # Every place of a first document takes the result of its run.
     number = np.empty(len(docs), np.int64)
-    number[order] = np.repeat(np.arange(len(runs)), counts)
+    number[order] = np.repeat(np.arange(len(runs)), repeats)
     position = np.full(len(runs), -1)
     position[number[unique]] = np.arange(len(unique))
     window_at = np.cumsum(sizes[unique]) - sizes[unique]
     first_ones = np.flatnonzero(~later & (position[number] >= 0))
     source = position[number[first_ones]]
     flags = repeated[tx.ranges(window_at[source], sizes[first_ones])]
-    owners = np.repeat(docs[first_ones], sizes[first_ones])
+    which = np.repeat(first_ones, sizes[first_ones])[flags]
     starts = tx.ranges(places[first_ones], sizes[first_ones])
-    yield spans(owners[flags], starts[flags], np.ones(int(flags.sum()), np.int64))
+    yield spans(docs[which], variants[which], starts[flags], np.ones(len(which), np.int64))
 
 
-def _tokens_of(picked: np.ndarray, packed: list[bytes], entries: list[int], lengths: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
+def _tokens_of(
+    picked: np.ndarray, packed: list[bytes], entries: list[int], lengths: np.ndarray, sent: np.ndarray, width: int
+) -> tuple[np.ndarray, np.ndarray]:
     """The tokens of some entries in their order, and how many come before each.
 
-    One packed row is open at a time.
+    Of ``lengths`` a packed row has ``sent``. One packed row is open at a time.
     """
     wanted = np.zeros(len(lengths), bool)
     wanted[picked] = True
     pool, first = [], 0
     for contents, number in zip(packed, entries, strict=True):
-        own = lengths[first : first + number]
+        own = sent[first : first + number]
         some = wanted[first : first + number]
         if some.any():
             tokens = np.frombuffer(zstandard.decompress(contents), f"u{width}")
@@ -329,13 +360,33 @@ def _tokens_of(picked: np.ndarray, packed: list[bytes], entries: list[int], leng
 
 
 def repeated_spans(candidates: DataFrame, unit: Unit, width: int, buckets: int, judge: Callable[[Runs], np.ndarray]) -> DataFrame:
-    """``doc_id, spans``: the tokens of each document in windows that a smaller id has too.
+    """``doc_id, variant, spans``: the tokens of each row in windows that a smaller id has too.
 
-    ``candidates`` has ``doc_id, text, places``; ``judge`` tells for every window of distinct
-    runs whether it is also in one of a smaller id.
+    ``candidates`` has ``doc_id, variant, text_key, text, places``; ``judge`` tells for every window of
+    distinct runs whether it is also in one of a smaller id.
     """
-    rows = candidates.select("doc_id", "text", "places").mapInArrow(partial(_send_windows, unit=unit, buckets=buckets), WINDOW_ROWS)
-    dealt = rows.repartitionById(buckets, F.col("bucket"))
+    rows = candidates.select("doc_id", "variant", "text_key", "text", "places")
+    sent = rows.mapInArrow(partial(_send_windows, unit=unit, buckets=buckets), WINDOW_ROWS)
+    dealt = sent.repartitionById(buckets, F.col("bucket"))
     settle = partial(_settle_windows, unit=unit, width=width, judge=judge)
-    found = dealt.mapInArrow(settle, "doc_id long, start long, stop long")
-    return found.groupBy("doc_id").agg(F.collect_list(F.struct("start", "stop")).alias("spans"))
+    found = dealt.mapInArrow(settle, "doc_id long, variant long, start long, stop long")
+    return found.groupBy("doc_id", "variant").agg(F.collect_set(F.struct("start", "stop")).alias("spans"))
+
+
+def rows_with_repeats(
+    documents: DataFrame, unit: Unit, width: int, buckets: int, judge: Callable[[Runs], np.ndarray], name: str
+) -> DataFrame:
+    """``doc_id, text_key, text, spans`` of the rows that have a window that a smaller id has too.
+
+    ``documents`` has ``doc_id, text, text_key``. Rows that repeat all of it come as often as they are.
+    """
+    named = documents.where("doc_id IS NOT NULL")
+    tag = F.col("text_key").bitwiseAND((1 << TAG_BITS) - 1).cast("int")
+    firsts = named.groupBy("doc_id").agg(F.min("text_key").alias("first_key"))
+    firsts = firsts.select("doc_id", "first_key", F.col("first_key").bitwiseAND((1 << TAG_BITS) - 1).cast("int").alias("tag"))
+    marked = shared_anchors(named, unit, buckets).join(firsts.hint("merge"), ["doc_id", "tag"], "left").hint("merge")
+    variant = F.when(F.col("text_key") == F.col("first_key"), F.lit(0)).otherwise(F.col("text_key"))
+    found = named.withColumn("tag", tag).join(marked, ["doc_id", "tag"])
+    candidates = stored(found.select("doc_id", variant.alias("variant"), "text_key", "text", "places"), f"{name}_candidates")
+    spans = stored(repeated_spans(candidates, unit, width, buckets, judge), f"{name}_spans")
+    return candidates.drop("places").join(spans.hint("merge"), ["doc_id", "variant"]).drop("variant")

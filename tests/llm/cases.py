@@ -96,7 +96,7 @@ def near_components(rows, length):
 
 
 def without_repeats(rows, tokens, window=50):
-    """Tokens, removed places and maximal runs of each row; ids repeat only with the same text."""
+    """Tokens, kept tokens and number of removed runs of each row."""
     first = {}
     for doc_id, text in rows:
         if doc_id is not None:

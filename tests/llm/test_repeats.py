@@ -5,8 +5,10 @@ import random
 import numpy as np
 import pytest
 from cases import by_repr, frame, odd_documents, prose, sha, spaced, without_repeats
+from pyspark.sql import functions as F
 
 from stratamart.llm import suffix_dedup, texts as tx, windows
+from stratamart.llm.shared import with_text_key
 from stratamart.llm.substring_dedup import deep_nodes, prefix_groups, remove_repeated_words
 from stratamart.llm.suffix_dedup import remove_repeated_bytes
 
@@ -15,13 +17,8 @@ def raw(text):
     return (text or "").encode()
 
 
-def once(rows):
-    """The rows without those that repeat id 50 with another text."""
-    return [row for row in rows if row[0] != 50]
-
-
-def passages(number):
-    """Documents that share passages of many lengths, cut anywhere."""
+def passages(number, ids=61):
+    """Documents that share passages of many lengths, cut anywhere; with few ids, each has many texts."""
     pick = random.Random(number)
     sources = [prose(number * 50 + at, 150, 3000) for at in range(6)]
     rows = []
@@ -31,18 +28,18 @@ def passages(number):
             source = pick.choice(sources)
             begin = pick.randrange(len(source) - 10)
             parts += [source[begin : begin + pick.randrange(20, 500)], prose(doc_id, pick.randrange(12), 3000)]
-        rows.append((doc_id * 7 % 61, pick.choice([" ", "", "\n"]).join(parts)))
+        rows.append((doc_id * 7 % ids, pick.choice([" ", "", "\n"]).join(parts)))
     return rows
 
 
-@pytest.mark.parametrize("rows", [once(odd_documents()), passages(1), passages(2)])
+@pytest.mark.parametrize("rows", [odd_documents(), passages(1), passages(2), passages(3, ids=5), passages(4, ids=2) * 2])
 def test_bytes(spark, rows):
     found = remove_repeated_bytes(frame(spark, rows), with_kept=True).collect()
     wanted = [(i, len(own), len(own) - len(kept), runs, sha(bytes(kept)), bytes(kept)) for i, own, kept, runs in without_repeats(rows, raw)]
     assert by_repr([(*tuple(row)[:5], bytes(row.kept)) for row in found]) == by_repr(wanted)
 
 
-@pytest.mark.parametrize("rows", [once(odd_documents()), passages(1), passages(2)])
+@pytest.mark.parametrize("rows", [odd_documents(), passages(1), passages(2), passages(3, ids=5), passages(4, ids=2) * 2])
 def test_words(spark, rows):
     found = remove_repeated_words(frame(spark, rows)).collect()
     wanted = [(i, len(own), len(own) - len(kept), sha(b" ".join(kept))) for i, own, kept, _ in without_repeats(rows, spaced)]
@@ -50,11 +47,22 @@ def test_words(spark, rows):
 
 
 def test_an_id_with_two_texts(spark):
-    text = prose(3, 100, 500)
-    rows = frame(spark, [(1, text), (2, text), (2, f"x {text}"), (3, text)])
+    """Both lose what a smaller id has, and what only one of them has goes from larger ids."""
+    text, other = prose(3, 100, 500), prose(8, 100, 500)
+    rows = frame(spark, [(1, text), (2, text), (2, f"x {text} {other}"), (3, other), (3, f"{text} y {other}"), (4, "short")])
     for found in (remove_repeated_bytes(rows), remove_repeated_words(rows)):
         removed = sorted((row.doc_id, row.n_removed > 0) for row in found.collect())
-        assert removed == [(1, False), (2, False), (2, True), (3, True)]
+        assert removed == [(1, False), (2, True), (2, True), (3, True), (3, True), (4, False)]
+
+
+def test_a_row_that_is_a_third_of_all(spark):
+    """Spans of rows that repeat doc_id and text do not pile up with their number."""
+    text = prose(3, 100, 500)
+    rows = frame(spark, [(1, text), *[(7, f"{text} {prose(8, 80, 500)}")] * 900, *((at, prose(at, 60, 500)) for at in range(10, 1800))])
+    named = with_text_key(rows).repartition(40)
+    found = windows.rows_with_repeats(named, windows.BYTES, 1, 8, suffix_dedup.repeated_windows, "third")
+    assert [(row.n, row.most < 30) for row in found.groupBy("doc_id").agg(F.count("*").alias("n"), F.max(F.size("spans")).alias("most")).collect()] == [(900, True)]
+    assert {row.n_removed for row in remove_repeated_bytes(rows).where("doc_id = 7").collect()} == {len(raw(text))}
 
 
 def test_empty_tables(spark):
@@ -77,9 +85,11 @@ def test_suffix_order_and_longest_matches():
 
     assert common[1:].tolist() == [shared(cut[a], cut[b]) for a, b in zip(order, order[1:], strict=False)]
     owners = starts // 90
-    earlier = np.zeros(len(starts), bool)
-    earlier[order] = suffix_dedup.longest_previous(common, owners[order], 50)
-    assert earlier.tolist() == [any(cut[t] == cut[s] and owners[t] < owners[s] for t in starts) for s in starts]
+    lengths = [max((shared(cut[t], cut[s]) for t in starts if owners[t] < owners[s]), default=0) for s in starts]
+    for at_least in (1, 20, 50):
+        longest = np.zeros(len(starts), np.int64)
+        longest[order] = suffix_dedup.longest_previous(common, owners[order], at_least)
+        assert longest.tolist() == [length if length >= at_least else 0 for length in lengths]
 
 
 @pytest.mark.parametrize("most", [4, 40, 10**6])
