@@ -8,10 +8,12 @@ doc_id is removed; windows are judged on the input and never cross documents.
 and deals the suffixes round them by these grams, which are the shortest of the prefixes that
 split them. In a task, suffixes fall into groups by a prefix that is lengthened until the group
 is small enough (or the prefix is a whole window, when the group is one repeat). Groups are
-taken together up to the same size, and a suffix tree is grown for each such set, level by
-level from the prefix on. Internal nodes as deep as a window are the repeats: their leaves are
-the suffixes that start with the same window, and all leaves but those of the smallest document
-lose it.
+taken together up to the same size, and the suffix tree of each such set is built: the leaves in
+order, and between neighbours the depth of the node that parts them. Internal nodes at least as
+deep as a window are repeats; those of which the leaves follow on different words are maximal
+ones. The leaves of a maximal repeat that belong to other documents than its smallest one lose
+all of its words. That covers every window: two places of a window, taken as far to the left and
+to the right as they agree, are leaves below a maximal repeat.
 
 Words are compared by 64-bit hashes. Null has no words. Rows without doc_id neither lose words
 nor make others lose them. Rows that repeat a doc_id take part each with its own text: they lose
@@ -83,37 +85,73 @@ def prefix_groups(tokens: np.ndarray, starts: np.ndarray, most: int = GROUP_SUFF
             yield members[begin:], classes[begin:]
 
 
-def deep_nodes(tokens: np.ndarray, starts: np.ndarray, classes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The leaves of all internal nodes at the depth of a window, and the node of each leaf.
+def suffix_tree(tokens: np.ndarray, starts: np.ndarray, ends: np.ndarray, classes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The leaves of the trees of all classes in order, and the depth of the node between each and the one before.
 
-    Nodes of one level branch by the words up to the next; a node with one leaf left is done.
+    The suffix of a leaf reaches from its start to its end. Neighbours that differ are settled;
+    the others are compared ``LEVEL`` words further.
     """
-    leaves, nodes = np.arange(len(starts)), classes
-    for depth in [*range(0, WINDOW, LEVEL), WINDOW]:
-        at = starts[leaves]
-        stop = min(depth + LEVEL, WINDOW)
-        order, nodes = _classes(nodes, tx.token_run_hashes(tokens, at + depth, at + stop))
-        leaves = leaves[order]
-        branching = (np.bincount(nodes) > 1)[nodes] if len(nodes) else np.zeros(0, bool)
-        leaves, nodes = leaves[branching], nodes[branching]
-        if stop == WINDOW or not len(leaves):
+    order = np.argsort(classes, kind="stable")
+    common, lengths = np.zeros(len(order), np.int64), ends - starts
+    tied = np.zeros(len(order), bool)
+    tied[1:] = classes[order][1:] == classes[order][:-1]
+    for depth in range(0, int(lengths.max(initial=0)), LEVEL):
+        member = tied.copy()
+        member[:-1] |= tied[1:]
+        slots = np.flatnonzero(member)
+        if not len(slots):
             break
-    return leaves, nodes
+        leaves, group = order[slots], np.cumsum(~tied)[slots]
+        at = starts[leaves][:, None] + np.arange(depth, depth + LEVEL)
+        words = np.where(at < ends[leaves][:, None], tokens[np.minimum(at, len(tokens) - 1)], np.uint64(0))
+        inside = np.lexsort((*words.T[::-1], group))
+        order[slots] = leaves[inside]
+        words = words[inside]
+        inner = np.flatnonzero(tied[slots])
+        same = np.logical_and.accumulate(words[inner] == words[inner - 1], axis=1).sum(axis=1)
+        common[slots[inner]] = depth + same
+        tied[slots[inner]] = same == LEVEL
+    common[1:] = np.minimum(common[1:], np.minimum(lengths[order][1:], lengths[order][:-1]))
+    return order, common
+
+
+def maximal_repeats(common: np.ndarray, left: np.ndarray, known: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """Depth, first and last leaf of the internal nodes that are maximal repeats as long as a window.
+
+    ``left`` is the word before each leaf, where it is ``known``; where it is not, it counts as
+    different from all others. Nodes come by depth, those of one depth together.
+    """
+    differs = np.ones(len(common), bool)
+    differs[1:] = (left[1:] != left[:-1]) | ~known[1:] | ~known[:-1]
+    places = np.flatnonzero(common >= WINDOW)
+    for depth in np.unique(common[places]):
+        places = places[common[places] >= depth]
+        cuts = np.flatnonzero(np.concatenate(([True], np.diff(places) > 1)))
+        node = (np.minimum.reduceat(common[places], cuts) == depth) & np.logical_or.reduceat(differs[places], cuts)
+        yield int(depth), places[cuts][node] - 1, places[np.append(cuts[1:], len(places)) - 1][node]
 
 
 def repeated_windows(runs: Runs) -> np.ndarray:
     """Which windows of the runs are also in one of a smaller document."""
     starts = tx.ranges(runs.before, runs.sizes)
+    ends = np.repeat(runs.before + runs.sizes + WINDOW - 1, runs.sizes)
     owners = np.repeat(runs.docs, runs.sizes)
-    out = np.zeros(len(starts), bool)
+    known = starts > np.repeat(runs.before, runs.sizes)
+    change = np.zeros(len(starts) + 1, np.int64)
     for members, classes in prefix_groups(runs.tokens, starts):
-        leaves, nodes = deep_nodes(runs.tokens, starts[members], classes)
-        if len(leaves):
-            own = owners[members[leaves]]
-            cuts = np.flatnonzero(np.concatenate(([True], nodes[1:] != nodes[:-1])))
-            smallest = np.repeat(np.minimum.reduceat(own, cuts), np.diff(np.append(cuts, len(own))))
-            out[members[leaves]] = own > smallest
-    return out
+        order, common = suffix_tree(runs.tokens, starts[members], ends[members], classes)
+        leaves = members[order]
+        for depth, first, last in maximal_repeats(common, runs.tokens[starts[leaves] - 1], known[leaves]):
+            if not len(first):
+                continue
+            sizes = last - first + 1
+            below = leaves[tx.ranges(first, sizes)]
+            smallest = np.repeat(np.minimum.reduceat(owners[below], np.cumsum(sizes) - sizes), sizes)
+            # Windows of a run are neighbours, and a repeat ends within the run.
+            lost = below[owners[below] > smallest]
+            np.add.at(change, lost, 1)
+            np.add.at(change, lost + (depth - WINDOW + 1), -1)
+    return np.cumsum(change[:-1]) > 0
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

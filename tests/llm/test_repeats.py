@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from stratamart.llm import suffix_dedup, texts as tx, windows
 from stratamart.llm.shared import with_text_key
-from stratamart.llm.substring_dedup import deep_nodes, prefix_groups, remove_repeated_words
+from stratamart.llm.substring_dedup import maximal_repeats, prefix_groups, remove_repeated_words, repeated_windows, suffix_tree
 from stratamart.llm.suffix_dedup import remove_repeated_bytes
 
 
@@ -92,21 +92,60 @@ def test_suffix_order_and_longest_matches():
         assert longest.tolist() == [length if length >= at_least else 0 for length in lengths]
 
 
+def word_runs(seed, number, letters):
+    """Runs cut from one block of few words, with the smallest documents first."""
+    pick = np.random.default_rng(seed)
+    block = tx.mix(pick.integers(1, letters + 1, 300).astype(np.uint64))
+    lengths = pick.integers(50, 90, number)
+    parts = [block[a : a + length] for a, length in zip(pick.integers(0, 180, number), lengths, strict=True)]
+    docs = np.sort(pick.integers(0, number // 2, number))
+    return windows.Runs(docs, np.zeros(number, np.int64), lengths - 49, np.concatenate(parts), np.cumsum(lengths) - lengths)
+
+
 @pytest.mark.parametrize("most", [4, 40, 10**6])
-def test_suffix_trees_of_prefix_groups(most):
-    pick = np.random.default_rng(5)
-    block = tx.mix(pick.integers(0, 3, 300).astype(np.uint64))
-    tokens = np.concatenate([block[a : a + 120] for a in pick.integers(0, 180, 12)])
-    starts = np.arange(len(tokens) - 50 + 1)
-    nodes = {}
-    for members, classes in prefix_groups(tokens, starts, most):
-        leaves, node = deep_nodes(tokens, starts[members], classes)
-        for leaf, number in zip(members[leaves], node, strict=True):
-            nodes.setdefault((members[0], int(number)), []).append(int(leaf))
-    by_window = {}
-    for s in starts:
-        by_window.setdefault(tokens[s : s + 50].tobytes(), []).append(int(s))
-    assert sorted(sorted(v) for v in nodes.values()) == sorted(v for v in by_window.values() if len(v) > 1)
+@pytest.mark.parametrize("letters", [1, 2, 1000])
+def test_maximal_repeats_of_prefix_groups(most, letters):
+    """Equal to the plain definition: all leaves that share a sequence that cannot be made longer on either side."""
+    runs = word_runs(5, 14, letters)
+    starts = tx.ranges(runs.before, runs.sizes)
+    ends = np.repeat(runs.before + runs.sizes + 49, runs.sizes)
+    begins = set(runs.before.tolist())
+    left = [None if s in begins else int(runs.tokens[s - 1]) for s in starts]
+    found = set()
+    for members, classes in prefix_groups(runs.tokens, starts, most):
+        order, common = suffix_tree(runs.tokens, starts[members], ends[members], classes)
+        leaves = members[order]
+        known = np.array([left[leaf] is not None for leaf in leaves])
+        for depth, first, last in maximal_repeats(common, runs.tokens[starts[leaves] - 1], known):
+            for a, b in zip(first, last, strict=True):
+                found.add((depth, frozenset(leaves[a : b + 1].tolist())))
+    by_sequence = {}
+    for at, (s, e) in enumerate(zip(starts, ends, strict=True)):
+        for length in range(50, e - s + 1):
+            by_sequence.setdefault((length, runs.tokens[s : s + length].tobytes()), []).append(at)
+    wanted = set()
+    for (length, _), places in by_sequence.items():
+        after = [None if starts[at] + length == ends[at] else int(runs.tokens[starts[at] + length]) for at in places]
+        before = [left[at] for at in places]
+        if len(places) > 1 and all(None in side or len(set(side)) > 1 for side in (after, before)):
+            wanted.add((length, frozenset(places)))
+    assert found == wanted and (letters == 1000 or found)
+
+
+@pytest.mark.parametrize("letters", [1, 2, 3, 1000])
+def test_repeated_windows_of_runs(letters):
+    for seed in range(6):
+        runs = word_runs(seed, 16, letters)
+        starts, owners = tx.ranges(runs.before, runs.sizes), np.repeat(runs.docs, runs.sizes)
+        cut = [runs.tokens[s : s + 50].tobytes() for s in starts]
+        first = {}
+        for window, owner in zip(cut, owners, strict=True):
+            first[window] = min(first.get(window, owner), owner)
+        wanted = [bool(first[window] < owner) for window, owner in zip(cut, owners, strict=True)]
+        assert repeated_windows(runs).tolist() == wanted
+        in_bytes = windows.Runs(runs.docs, runs.places, runs.sizes, (runs.tokens % np.uint64(251)).astype(np.uint8), runs.before)
+        if letters <= 3:
+            assert suffix_dedup.repeated_windows(in_bytes).tolist() == wanted
 
 
 def test_packing():
