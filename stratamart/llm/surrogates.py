@@ -18,7 +18,7 @@ originals cannot share one:
   so that ``Ms. Weber`` and ``Anna Weber`` stay one family, whatever the document.
 
 The mapping is global: distinct values of all documents are collected in a table. A surrogate
-that is itself an original of the corpus, or that two originals have, is made again under the
+that is itself an original of the corpus, or that two originals have, of whatever kinds, is made again under the
 next tweak of the key until no collision is left. After ``WIDEN_AFTER`` rounds, where most values
 of a shape are originals, surrogates get longer within their kind: names by letters of their own
 script and case, numbers by digits, e-mail addresses before the ``@``; numbers with a check digit, IP
@@ -52,6 +52,9 @@ SHORT_LIST = 256
 # The kinds whose surrogates have a fixed length or come from a list.
 CLOSED = ["account", "iban", "ipv4", "ipv6", "first name", "initial", "ssn"]
 
+# Kinds whose originals and surrogates are from one list.
+LISTED = ["first name", "initial"]
+
 # Alphabets whose letters may stand for each other.
 ALPHABETS = [
     "0123456789",
@@ -347,15 +350,19 @@ def _replace(batches: Iterator[pa.RecordBatch], key: bytes) -> Iterator[pa.Recor
 
 
 def mapping(values: DataFrame, key: bytes) -> DataFrame:
-    """``kind, value, surrogate`` for distinct ``kind, value``: no surrogate twice, none an original."""
+    """``kind, value, surrogate`` for distinct ``kind, value``: no surrogate twice, none an original of any kind.
+
+    Of values with the same surrogate one keeps it, a value from a closed list before others.
+    """
     schema = "kind string, value string, tweak int, surrogate string"
     table = stored(values.withColumn("tweak", F.lit(0)).mapInArrow(partial(_replace, key=key), schema), "surrogates")
-    originals = values.select(F.col("kind").alias("known_kind"), F.col("value").alias("known"))
+    originals = values.select(F.col("value").alias("known")).distinct()
+    from_list = F.col("kind").isin(LISTED)
+    claim = F.struct((~from_list).alias("later"), "kind", "value")
     while True:
-        is_original = (F.col("kind") == F.col("known_kind")) & (F.col("surrogate") == F.col("known"))
-        taken = table.where("kind NOT IN ('first name', 'initial')").join(originals, is_original, "left_semi").select("kind", "value")
-        owners = table.groupBy("kind", "surrogate").agg(F.min("value").alias("owner"), F.max("value").alias("last")).where("owner <> last")
-        shared = table.join(owners, ["kind", "surrogate"]).where("value <> owner").select("kind", "value")
+        taken = table.where(~from_list).join(originals, F.col("surrogate") == F.col("known"), "left_semi").select("kind", "value")
+        owners = table.groupBy("surrogate").agg(F.min(claim).alias("owner"), F.max(claim).alias("last")).where("owner <> last")
+        shared = table.join(owners, "surrogate").where(claim != F.col("owner")).select("kind", "value")
         clashing = stored(taken.union(shared).distinct(), "surrogate_clashes")
         if clashing.isEmpty():
             return table.select("kind", "value", "surrogate")

@@ -140,6 +140,51 @@ def test_distinct_values_keep_distinct_surrogates_and_none_is_an_original(spark)
     assert not {(row.kind, row.surrogate) for row in found if row.kind != "first name"} & set(rows)
 
 
+def plain_mapping(values, key):
+    """The rounds of the mapping over a dictionary."""
+    tweaks = dict.fromkeys(values, 0)
+    while True:
+        new = {entity: sg.surrogate(*entity, key, tweak) for entity, tweak in tweaks.items()}
+        owner = {}
+        for entity in sorted(new, key=lambda entity: (entity[0] not in sg.LISTED, entity)):
+            owner.setdefault(new[entity], entity)
+        originals = {value for _, value in values}
+        clashing = {e for e in new if owner[new[e]] != e or e[0] not in sg.LISTED and new[e] in originals}
+        if not clashing:
+            return new
+        for entity in clashing:
+            tweaks[entity] += 1
+
+
+def test_no_clashes_over_kinds(spark):
+    """A surrogate is no original of another kind, and two kinds never share one."""
+    first = [("family name", name) for name in ("Weber", "Karen", "Lopez", "Ba")]
+    rows = first + [("ticket", sg.surrogate(*entity, KEY, 0)) for entity in first]
+    rows += [("ticket", a + b) for a in "BCDFG" for b in "aeiou"] + [("family name", a + b) for a in "HJKLM" for b in "aeiou"]
+    rows += [("first name", name) for name in sg.GENDER_OF]
+    found = {(row.kind, row.value): row.surrogate for row in sg.mapping(spark.createDataFrame(rows, "kind string, value string"), KEY).collect()}
+    assert found == plain_mapping(rows, KEY) and len(set(found.values())) == len(rows)
+    originals = {value for _, value in rows}
+    assert not {new for (kind, _), new in found.items() if kind not in sg.LISTED} & originals
+
+
+def test_texts_equal_a_plain_rewrite(spark):
+    people = ["Ms. Weber", "Anna Weber", "Dr. J. Ba", "Herr Владимир Ли", "Emma Karen Lopez"]
+    rows = odd_documents() + [(500 + at, f"{who} and {who} on {at}: 030 12345{at:02d}, a{at}@b.org, 10.0.0.{at}, {at:03d}-45-6789") for at in range(40) for who in people]
+    rows += [(400, TEXT), (400, TEXT), (400, f"{TEXT} again"), (None, TEXT), (401, f"Weber is no name here, {TEXT}{TEXT}")]
+    values = sorted({(kind, text[a:b]) for _, text in rows if text for a, b, kind in sg.entities(text)})
+    new = plain_mapping(values, KEY)
+    wanted = []
+    for doc_id, text in rows:
+        spans = sg.entities(text) if text else []
+        plain = text
+        for a, b, kind in reversed(spans):
+            plain = plain[:a] + new[kind, text[a:b]] + plain[b:]
+        wanted.append((doc_id, plain, len(spans), ",".join(sorted({kind for _, _, kind in spans}))))
+    found = sg.pseudonymised(frame(spark, rows), KEY).collect()
+    assert sorted(map(repr, map(tuple, found))) == sorted(map(repr, wanted))
+
+
 def test_odd_documents(spark):
     rows = odd_documents() + [(400, TEXT), (401, f"{TEXT} {TEXT}"), (402, "Ms. Weber wrote to anna.w@mail8.example.com"), (None, TEXT), (400, TEXT)]
     found = sg.pseudonymised(frame(spark, rows), KEY).collect()
