@@ -22,7 +22,7 @@ template. Templates travel in the function of the tasks, which Spark broadcasts
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Mapping, Sequence
+from collections.abc import Iterator, Mapping
 from functools import partial
 from importlib import resources
 
@@ -37,9 +37,8 @@ from .shared import prepare_workers
 SHINGLE = 2
 CONTAINED, SHORT = 0.8, 10
 BANDS = 64
-#: The bounds of ``Templates`` by itself; ``license_matches`` sets none.
-SIZES = (8, 16, 32, 64, 128, 256, 512)
-MOST_TEMPLATES = 1000
+#: The smallest window; sizes double from there.
+SMALLEST = 8
 #: Up to so many minima are compared one by one, more are looked up.
 FEW = 16
 
@@ -91,15 +90,9 @@ def _shingles(hashes: np.ndarray) -> np.ndarray:
 
 
 class Templates:
-    """Templates by window size: their shingles, and for each band the minima that lead to them.
+    """Templates by window size: their shingles, and for each band the minima that lead to them."""
 
-    Without ``sizes`` these go on doubling up to the longest template, without ``most`` there
-    may be any number.
-    """
-
-    def __init__(self, templates: Mapping[str, str], sizes: Sequence[int] | None = SIZES, most: int | None = MOST_TEMPLATES):
-        if most is not None and len(templates) > most:
-            raise ValueError(f"more than {most} templates")
+    def __init__(self, templates: Mapping[str, str]):
         self.factors = tx.numbered(9000, BANDS) | np.uint64(1)
         self.names = sorted(templates)
         self.sets: dict[str, np.ndarray] = {}
@@ -110,10 +103,7 @@ class Templates:
             starts, ends, _ = tx.words(lower, offsets, tx.PLAIN_WORD)
             if not len(starts):
                 continue
-            if sizes is None:
-                size = max(SIZES[0], 1 << (2 * len(starts) - 1).bit_length())
-            elif (size := next((size for size in sizes if size >= 2 * len(starts)), None)) is None:
-                raise ValueError(f"template {name} has more than {sizes[-1] // 2} words")
+            size = max(SMALLEST, 1 << (2 * len(starts) - 1).bit_length())
             self.sets[name] = np.unique(_shingles(tx.span_hashes(lower, starts, ends)))
             self.by_size.setdefault(size, []).append(name)
         self.keys = {
@@ -121,7 +111,7 @@ class Templates:
             for size, names in self.by_size.items()
         }
         self.order = {size: np.argsort(keys, axis=1) for size, keys in self.keys.items()}
-        self.largest = max(self.by_size, default=SIZES[0])
+        self.largest = max(self.by_size, default=SMALLEST)
 
 
 def _values(hashes: np.ndarray, first: np.ndarray) -> np.ndarray:
@@ -137,7 +127,7 @@ def _values(hashes: np.ndarray, first: np.ndarray) -> np.ndarray:
 
 def _levels(first: np.ndarray, largest: int) -> list[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
     """For each half size where blocks begin in those of the level below, where in the words, and which have a next one in their text."""
-    half = SIZES[0] // 2
+    half = SMALLEST // 2
     out, below, step = [], first, half
     while half <= largest // 2:
         counts = -(-np.diff(below) // step)
@@ -226,7 +216,7 @@ def license_matches(documents: DataFrame, templates: Mapping[str, str] | None =
     prepare_workers(documents.sparkSession)
     rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     schema = "doc_id long, matches array<struct<license: string, containment: double, first_word: long>>"
-    found = rows.mapInArrow(partial(_scan, templates=Templates(templates, sizes=None, most=None)), schema)
+    found = rows.mapInArrow(partial(_scan, templates=Templates(templates)), schema)
     return found.select(
         "doc_id", F.size("matches").cast("long").alias("n_licenses"), F.concat_ws(",", "matches.license").alias("licenses"), "matches"
     )

@@ -1,6 +1,5 @@
 from __future__ import annotations
 
-import pytest
 from cases import frame, odd_documents, plain_words, prose
 
 from stratamart.llm import licenses
@@ -18,7 +17,9 @@ def plain(text, templates):
         shingles = {tuple(wanted[at : at + 2]) for at in range(len(wanted) - 1)} or {tuple(wanted)}
         if not wanted:
             continue
-        size = next(size for size in licenses.SIZES if size >= 2 * len(wanted))
+        size = licenses.SMALLEST
+        while size < 2 * len(wanted):
+            size *= 2
         for start in range(0, len(words), size // 2):
             share = len(shingles & set(pairs[start : start + size])) / len(shingles)
             if share >= (0.8 if len(shingles) >= 10 else 1) and share > best.get(name, (0, 0))[0]:
@@ -49,11 +50,19 @@ def test_bands_retrieve_what_windows_contain():
     assert 1 - (1 - smallest) ** licenses.BANDS > 0.999998
 
 
-def test_bounds():
-    with pytest.raises(ValueError, match="more than"):
-        licenses.Templates({str(at): "a b" for at in range(licenses.MOST_TEMPLATES + 1)})
-    with pytest.raises(ValueError, match="has more than"):
-        licenses.Templates({"long": "word " * 300})
+def test_whole_texts_equal_a_scan_of_all_windows(spark):
+    """Templates of up to thousands of words, cut so that more or less than the share asked for is left."""
+    texts = licenses.whole_texts()
+    rows = [(0, "\n".join(texts[name] for name in sorted(texts)))]
+    for at, name in enumerate(["GPL-3.0-text", "Apache-2.0-text", "MPL-2.0-text", "BSD-3-Clause-text", "LGPL-3.0-text"], 1):
+        words = texts[name].split()
+        for of, share in enumerate((0.7, 0.9)):
+            rows.append((10 * at + of, f"{prose(at, 211 * at)} {' '.join(words[: int(share * len(words))])} {prose(at, 40)}"))
+    found = licenses.license_matches(frame(spark, rows)).collect()
+    wanted = {i: [(name, round(share, 9), at) for name, share, at in plain(text, licenses.TEMPLATES | texts)] for i, text in rows}
+    assert {r.doc_id: [(m.license, round(m.containment, 9), m.first_word) for m in r.matches] for r in found} == wanted
+    by_id = {i: [name for name, _, _ in matches] for i, matches in wanted.items()}
+    assert set(texts) <= set(by_id[0]) and "GPL-3.0-text" in by_id[11] and "GPL-3.0-text" not in by_id[10]
 
 
 def test_whole_texts(spark):
@@ -69,7 +78,7 @@ def test_whole_texts(spark):
 
 
 def test_any_number_of_templates(spark):
-    templates = {f"t{at}": f"a{at} b{at} c{at} d{at}" for at in range(licenses.MOST_TEMPLATES + 500)}
+    templates = {f"t{at}": f"a{at} b{at} c{at} d{at}" for at in range(1500)}
     rows = [(at, f"{prose(at, 30)} {templates[f't{at}']} {prose(at, 9)} {templates['t3']}") for at in range(0, 1500, 100)]
     for row in licenses.license_matches(frame(spark, rows), templates).collect():
         assert set(row.licenses.split(",")) == {f"t{row.doc_id}", "t3"}
