@@ -7,9 +7,10 @@ import datetime
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .. import storage
 from ..operators import conform, scd2_apply, scd2_bootstrap
 from ..operators.dimensions import versioned_input
-from ..schemas import RAW_COLUMNS, VERSIONED_DIMENSIONS
+from ..schemas import RAW_COLUMNS, RAW_FEED, VERSIONED_DIMENSIONS
 from ..sources import retail_feed
 
 # Before the first order.
@@ -20,6 +21,8 @@ SECOND_DAY = datetime.date(1998, 6, 1)
 KEYS = ["CustomerID"]
 ATTRIBUTES = ["CustomerName", "Segment"]
 
+WRITERS = "spark.sql.maxConcurrentOutputFileWriters"
+
 
 def clean(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conform(retail_feed(spark, sf_dir))
@@ -116,9 +119,33 @@ def store_versions(rows: DataFrame) -> DataFrame:
     return scd2_apply(known, after, keys, attributes, FIRST_DAY)
 
 
-def in_extract(number: int) -> Column:
-    """Whether a feed row is in the first or the second of two extracts, by its order."""
-    return order_number() % 2 == number
+class Extracts:
+    """The feed as extracts of which each has the orders with another remainder, all made in one pass.
+
+    Their files wait beside ``landing``, in which ``land`` puts those of one extract.
+    """
+
+    def __init__(self, spark: SparkSession, sf_dir: str, folder: str, count: int):
+        self.spark, self.waiting = spark, f"{folder}/extracts"
+        dealt = retail_feed(spark, sf_dir).withColumn("extract", order_number() % count)
+        # A task keeps a file open for each extract, so its rows need no sorting.
+        before = spark.conf.get(WRITERS, None)
+        spark.conf.set(WRITERS, str(count + 1))
+        try:
+            dealt.write.option("header", True).partitionBy("extract").csv(self.waiting)
+        finally:
+            if before is None:
+                spark.conf.unset(WRITERS)
+            else:
+                spark.conf.set(WRITERS, before)
+
+    def land(self, number: int, landing: str) -> None:
+        names = storage.child_names(self.spark, f"{self.waiting}/extract={number}")
+        for name in names:
+            storage.move(self.spark, f"{self.waiting}/extract={number}/{name}", f"{landing}/{number}-{name}")
+        if not names:
+            none = self.spark.createDataFrame([], RAW_FEED)
+            none.write.mode("append").option("header", True).csv(landing)
 
 
 def order_number() -> Column:

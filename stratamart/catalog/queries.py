@@ -52,10 +52,10 @@ from .fixtures import (
     FIRST_DAY,
     KEYS,
     SECOND_DAY,
+    Extracts,
     clean,
     dimension_days,
     existing_customers,
-    in_extract,
     incoming_customers,
     order_number,
     store_versions,
@@ -408,10 +408,9 @@ def _two_extracts(spark: SparkSession, sf_dir: str) -> Warehouse:
     """A warehouse after two daily runs, each with half of the orders of every month."""
     folder = shared_folder(spark, "two_extracts")
     warehouse = Warehouse(f"{folder}/landing", f"{folder}/warehouse")
-    feed = stored(spark, retail_feed(spark, sf_dir), f"{folder}/feed")
+    extracts = Extracts(spark, sf_dir, folder, 2)
     for number, day in enumerate((FIRST_DAY, SECOND_DAY)):
-        extract = feed.where(in_extract(number))
-        extract.write.mode("append").option("header", True).csv(warehouse.landing)
+        extracts.land(number, warehouse.landing)
         run_daily(spark, warehouse, day)
     return warehouse
 
@@ -457,10 +456,9 @@ def daily_after_lost_day(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     folder = shared_folder(spark, "daily_after_lost_day")
     warehouse = Warehouse(f"{folder}/landing", f"{folder}/warehouse")
-    feed = stored(spark, retail_feed(spark, sf_dir), f"{folder}/feed")
+    extracts = Extracts(spark, sf_dir, folder, 3)
     for number, day in enumerate((FIRST_DAY, FIRST_DAY + datetime.timedelta(days=1), SECOND_DAY)):
-        extract = feed.where(order_number() % 3 == number)
-        extract.write.mode("append").option("header", True).csv(warehouse.landing)
+        extracts.land(number, warehouse.landing)
         if number == 1:
             ingest_available(spark, warehouse.landing, warehouse.bronze, warehouse.checkpoint, day)
         else:

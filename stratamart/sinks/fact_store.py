@@ -125,7 +125,9 @@ class FactStore(RunFolders):
         kept = affected.join(ids, "OrderID", "left_anti").withColumn("yearmonth", year_month("OrderDate"))
         rows = kept.unionByName(placed.drop("old_month"))
         data = f"{self._run(run_date)}/data"
-        replace_folder(rows.select("SalesID", *FACT_COLUMNS, "yearmonth"), data, ["yearmonth"])
+        # A file or a few per month, not one per month and task: every later run opens them all.
+        rows = rows.select("SalesID", *FACT_COLUMNS, "yearmonth").hint("rebalance", "yearmonth")
+        replace_folder(rows, data, ["yearmonth"])
 
         changes = placed.select(*CHANGE_COLUMNS, F.lit(1).alias("Sign"))
         if again:

@@ -30,8 +30,12 @@ def with_malformed(schema: StructType) -> StructType:
 
 
 def source_file() -> Column:
-    """The file a row was read from."""
-    return F.col("_metadata.file_path").alias(SOURCE_FILE)
+    """The file a row was read from, for a column beside those of the file, before anything is shuffled.
+
+    The metadata column has the same text, but takes a third of the time of reading a feed.
+    """
+    name = F.replace(F.input_file_name(), F.lit(":///"), F.lit(":/"))
+    return name.alias(SOURCE_FILE)
 
 
 def field_count(line: str) -> Column:

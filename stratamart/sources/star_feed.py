@@ -31,41 +31,52 @@ def retail_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
         # With its columns given, a table is not opened before the query runs.
         return spark.read.schema(STAR_COLUMNS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
-    # Orders grow with the lines and are never broadcast, so small data takes the same plan.
-    orders = table("orders").hint("shuffle_merge")
-    lines = (
-        table("lineitem")
-        .join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
-        .join(table("customer"), F.col("o_custkey") == F.col("c_custkey"))
-        .join(table("part"), F.col("l_partkey") == F.col("p_partkey"))
-        .join(table("supplier"), F.col("l_suppkey") == F.col("s_suppkey"))
-        .join(table("nation"), F.col("s_nationkey") == F.col("n_nationkey"))
-    )
-
     def text(name: str):
         return F.col(name).cast("string")
 
-    order, line = F.col("l_orderkey"), F.col("l_orderkey") + F.col("l_linenumber")
+    # What an order, a product or a store has is put into words once for it, not once for each of
+    # its lines, and lines are shuffled by order and by product, not by customer and nation too.
+    order = F.col("o_orderkey")
     day = F.col("o_orderdate").cast("date")
-    columns = {
-        "OrderID": F.when(order % 101 == 0, F.concat(F.lit("X"), text("l_orderkey")))
+    orders = table("orders").join(table("customer"), F.col("o_custkey") == F.col("c_custkey"))
+    orders = orders.select(
+        "o_orderkey",
+        F.when(order % 101 == 0, F.concat(F.lit("X"), text("o_orderkey")))
         .when(order % 103 == 0, (order + 3_000_000_000).cast("string"))
-        .otherwise(text("l_orderkey")),
-        "OrderDate": F.when(order % 97 == 0, F.lit("not-a-date"))
+        .otherwise(text("o_orderkey"))
+        .alias("OrderID"),
+        F.when(order % 97 == 0, F.lit("not-a-date"))
         .when(order % 2 == 0, F.date_format(day, "yyyy-MM-dd"))
-        .otherwise(F.date_format(day, "dd-MM-yyyy")),
-        "CustomerID": F.when(order % 73 != 0, F.concat(F.lit("C"), text("o_custkey"))),
-        "CustomerName": F.col("c_name"),
-        "ProductID": F.concat(F.lit("P"), text("l_partkey")),
-        "ProductName": F.col("p_name"),
-        "Category": F.col("p_type"),
+        .otherwise(F.date_format(day, "dd-MM-yyyy"))
+        .alias("OrderDate"),
+        F.when(order % 73 != 0, F.concat(F.lit("C"), text("o_custkey"))).alias("CustomerID"),
+        F.col("c_name").alias("CustomerName"),
+        F.col("o_orderpriority").alias("PaymentMethod"),
+    )
+    products = table("part").select(
+        "p_partkey",
+        F.concat(F.lit("P"), text("p_partkey")).alias("ProductID"),
+        F.col("p_name").alias("ProductName"),
+        F.col("p_type").alias("Category"),
+        text("p_retailprice").alias("ListPrice"),
+    )
+    stores = table("supplier").join(table("nation"), F.col("s_nationkey") == F.col("n_nationkey"))
+    stores = stores.select(
+        "s_suppkey", F.concat(F.lit("S"), text("s_suppkey")).alias("StoreID"), F.col("n_name").alias("StoreLocation")
+    )
+    # Orders grow with the lines and are never broadcast, so small data takes the same plan.
+    lines = (
+        table("lineitem")
+        .join(orders.hint("shuffle_merge"), F.col("l_orderkey") == F.col("o_orderkey"))
+        .join(products, F.col("l_partkey") == F.col("p_partkey"))
+        .join(stores, F.col("l_suppkey") == F.col("s_suppkey"))
+    )
+    line = F.col("l_orderkey") + F.col("l_linenumber")
+    columns = {
         "Quantity": F.when(line % 83 == 0, F.lit("0"))
         .when(line % 89 == 0, F.lit("abc"))
         .otherwise(F.col("l_quantity").cast("int").cast("string")),
-        "UnitPrice": F.when(line % 79 == 0, F.lit("N/A")).otherwise(text("p_retailprice")),
+        "UnitPrice": F.when(line % 79 == 0, F.lit("N/A")).otherwise(F.col("ListPrice")),
         "TotalPrice": text("l_extendedprice"),
-        "StoreID": F.concat(F.lit("S"), text("l_suppkey")),
-        "StoreLocation": F.col("n_name"),
-        "PaymentMethod": F.col("o_orderpriority"),
     }
-    return lines.select(*(columns[name].alias(name) for name in RAW_COLUMNS))
+    return lines.select(*(columns.get(name, F.col(name)).alias(name) for name in RAW_COLUMNS))

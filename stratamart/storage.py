@@ -54,6 +54,15 @@ def child_names(spark: SparkSession, path: str) -> list[str]:
     return sorted(status.getPath().getName() for status in fs.listStatus(target))
 
 
+def move(spark: SparkSession, path: str, target: str) -> None:
+    """Move a file to a place of the same file system where nothing is yet; folders are made."""
+    fs, source = _resolve(spark, path)
+    _, place = _resolve(spark, target)
+    fs.mkdirs(place.getParent())
+    if not fs.rename(source, place):
+        raise OSError(f"{path} could not be moved to {target}")
+
+
 def write_text(spark: SparkSession, path: str, text: str) -> None:
     """Write a small file that is there as a whole or not at all."""
     fs, target = _resolve(spark, path)
