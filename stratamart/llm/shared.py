@@ -10,13 +10,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
-from ..storage import shared_folder
+from ..storage import shared_folder, shuffles_end_with_job
 
 _ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 _shipped: set[str] = set()
 _BATCH_SETTING = "spark.sql.execution.arrow.maxRecordsPerBatch"
 BATCH_ROWS = 1000
-_CLEANUP_SETTING = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def prepare_workers(spark: SparkSession) -> None:
@@ -38,22 +37,11 @@ def prepare_workers(spark: SparkSession) -> None:
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
-    """The rows written to the shared folder and read again: computed once, lineage cut.
-
-    What was shuffled for them is of no more use then, and its files go with the end of the job. They
-    would otherwise stay until the driver happens to collect its garbage, beside those of later steps.
-    """
+    """The rows written to the shared folder and read again: computed once, lineage cut."""
     spark = df.sparkSession
     path = shared_folder(spark, name)
-    before = spark.conf.get(_CLEANUP_SETTING, None)
-    spark.conf.set(_CLEANUP_SETTING, "true")
-    try:
+    with shuffles_end_with_job(spark):
         df.write.parquet(path)
-    finally:
-        if before is None:
-            spark.conf.unset(_CLEANUP_SETTING)
-        else:
-            spark.conf.set(_CLEANUP_SETTING, before)
     return spark.read.schema(df.schema).parquet(path)
 
 

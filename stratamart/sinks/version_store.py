@@ -35,7 +35,7 @@ from ..operators.versions import (
 )
 from ..schemas import VERSION_COLUMNS
 from .runs import DAY, RunFolders
-from .tables import replace_folder
+from .tables import replace_folder, write_parquet
 
 MOST_BUCKETS = 1 << 15
 
@@ -235,4 +235,4 @@ class VersionStore(RunFolders):
         if counts is not None:
             dealt = dealt.observe(counts, *metric_columns())
         writer = dealt.drop("change").write.mode("append")
-        writer.partitionBy("state", "bucket").parquet(path)
+        write_parquet(dealt, writer.partitionBy("state", "bucket"), path)

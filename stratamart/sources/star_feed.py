@@ -34,8 +34,10 @@ def retail_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     def text(name: str):
         return F.col(name).cast("string")
 
-    # What an order, a product or a store has is put into words once for it, not once for each of
-    # its lines, and lines are shuffled by order and by product, not by customer and nation too.
+    # What an order or a product has is put into words once for it, not once for each of its lines.
+    # Lines meet stores, products and orders in this order: each shuffle has what the ones before it
+    # added, so the widest come last. The lines of an order end up side by side, where a task can
+    # reduce them to one before the next shuffle and files hold what they have in common once.
     order = F.col("o_orderkey")
     day = F.col("o_orderdate").cast("date")
     orders = table("orders").join(table("customer"), F.col("o_custkey") == F.col("c_custkey"))
@@ -55,24 +57,23 @@ def retail_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     products = table("part").select(
         "p_partkey",
-        F.concat(F.lit("P"), text("p_partkey")).alias("ProductID"),
         F.col("p_name").alias("ProductName"),
         F.col("p_type").alias("Category"),
         text("p_retailprice").alias("ListPrice"),
     )
     stores = table("supplier").join(table("nation"), F.col("s_nationkey") == F.col("n_nationkey"))
-    stores = stores.select(
-        "s_suppkey", F.concat(F.lit("S"), text("s_suppkey")).alias("StoreID"), F.col("n_name").alias("StoreLocation")
-    )
+    stores = stores.select("s_suppkey", F.col("n_name").alias("StoreLocation"))
     # Orders grow with the lines and are never broadcast, so small data takes the same plan.
     lines = (
         table("lineitem")
-        .join(orders.hint("shuffle_merge"), F.col("l_orderkey") == F.col("o_orderkey"))
-        .join(products, F.col("l_partkey") == F.col("p_partkey"))
         .join(stores, F.col("l_suppkey") == F.col("s_suppkey"))
+        .join(products, F.col("l_partkey") == F.col("p_partkey"))
+        .join(orders.hint("shuffle_merge"), F.col("l_orderkey") == F.col("o_orderkey"))
     )
     line = F.col("l_orderkey") + F.col("l_linenumber")
     columns = {
+        "ProductID": F.concat(F.lit("P"), text("l_partkey")),
+        "StoreID": F.concat(F.lit("S"), text("l_suppkey")),
         "Quantity": F.when(line % 83 == 0, F.lit("0"))
         .when(line % 89 == 0, F.lit("abc"))
         .otherwise(F.col("l_quantity").cast("int").cast("string")),

@@ -6,10 +6,32 @@ import atexit
 import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from functools import cache
 
 from pyspark.sql import SparkSession
 
+_CLEANUP_SETTING = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def shuffles_end_with_job(spark: SparkSession) -> Iterator[None]:
+    """What is shuffled for a table that is written meanwhile is of no more use when it is there.
+
+    The files would otherwise stay until the driver happens to collect its garbage, beside those of
+    later steps.
+    """
+    before = spark.conf.get(_CLEANUP_SETTING, None)
+    spark.conf.set(_CLEANUP_SETTING, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(_CLEANUP_SETTING)
+        else:
+            spark.conf.set(_CLEANUP_SETTING, before)
+
 
 @cache
 def _own_folder() -> str:

@@ -1,0 +1,69 @@
+"""What tables leave on disk beside themselves, and how little the feed's lines are shuffled with."""
+
+from __future__ import annotations
+
+import os
+import subprocess
+import sys
+
+from helpers import plan_of
+
+from stratamart.sources import retail_feed
+
+ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+RUN = """
+import datetime, glob, sys, time
+from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
+from stratamart.sinks import VersionStore, append_months, append_run, publish, replace_months, replace_run, replace_runs
+folder = sys.argv[1]
+spark = (
+    SparkSession.builder.master("local[2]").config("spark.ui.enabled", "false").config("spark.sql.shuffle.partitions", "2")
+    .config("spark.local.dir", f"{folder}/local").getOrCreate()
+)
+setting = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+rows = spark.range(1000).repartition(3, "id").groupBy((F.col("id") % 7).alias("k")).agg(F.max("id").alias("most"))
+day = datetime.date(2024, 1, 1)
+months = rows.withColumn("yearmonth", F.lit("2024-01"))
+writes = {
+    "run": lambda path: replace_run(rows, path, day),
+    "appended": lambda path: append_run(rows, path, day),
+    "days": lambda path: replace_runs(rows.withColumn("run_date", F.lit(day)), path),
+    "months": lambda path: replace_months(months, path),
+    "more months": lambda path: append_months(months, path),
+    "published": lambda path: publish(rows, path),
+    "versions": lambda path: VersionStore(spark, path).apply(rows, ["k"], ["most"], day),
+}
+for name, write in writes.items():
+    there = set(glob.glob(f"{folder}/local/**/shuffle_*.data", recursive=True))
+    write(f"{folder}/{name}")
+    for _ in range(20):
+        left = set(glob.glob(f"{folder}/local/**/shuffle_*.data", recursive=True)) - there
+        if not left:
+            break
+        time.sleep(0.2)
+    assert not left, (name, left)
+    assert spark.conf.get(setting, None) is None, name
+spark.stop()
+"""
+
+
+def test_shuffle_files_go_when_a_table_is_written(folder):
+    env = {**os.environ, "PYTHONPATH": ROOT}
+    done = subprocess.run([sys.executable, "-c", RUN, folder], env=env, capture_output=True, text=True, timeout=300)
+    assert done.returncode == 0, done.stderr[-2000:]
+
+
+def test_lines_meet_orders_last(spark, sf_dir):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = plan_of(retail_feed(spark, sf_dir)).splitlines()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    joins = [line for line in plan if "SortMergeJoin" in line]
+    keys = [next(key for key in ("l_orderkey", "l_partkey", "l_suppkey", "o_custkey", "s_nationkey") if f"[{key}#" in line) for line in joins]
+    assert [key for key in keys if key.startswith("l_")] == ["l_orderkey", "l_partkey", "l_suppkey"]
+    # Texts that follow from the keys of a line are made when all joins are done.
+    top = next(at for at, line in enumerate(plan) if "SortMergeJoin" in line)
+    assert not any("AS ProductID#" in line or "AS StoreID#" in line for line in plan[top:])
+
