@@ -11,6 +11,7 @@ from .. import storage
 from ..operators import conform, scd2_apply, scd2_bootstrap
 from ..operators.dimensions import versioned_input
 from ..schemas import RAW_COLUMNS, RAW_FEED, VERSIONED_DIMENSIONS
+from ..sinks.tables import write_parquet
 from ..sources import retail_feed
 
 # Before the first order.
@@ -30,7 +31,7 @@ def clean(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stored(spark: SparkSession, rows: DataFrame, path: str) -> DataFrame:
     """The rows as read back from a table, for queries that use them more than once."""
-    rows.write.parquet(path)
+    write_parquet(rows, rows.write, path)
     return spark.read.parquet(path)
 
 

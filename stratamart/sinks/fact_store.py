@@ -142,8 +142,7 @@ class FactStore(RunFolders):
         months |= dict.fromkeys(written, str(run_date))
         manifest = {"months": months, "touched": sorted(gone_months), "next_id": stored["next_id"] + fresh}
         self._finish(run_date, manifest | {"index": index, "buckets": stored["buckets"], "whole": whole})
-        for name in ("_staged", "_placed"):
-            storage.remove(self.spark, f"{self._run(run_date)}/{name}")
+        storage.remove(self.spark, f"{self._run(run_date)}/_placed")
 
     def _place(self, incoming: DataFrame, run_date: datetime.date, next_id: int) -> tuple[DataFrame, int, int]:
         """The orders of the day with their ids and months, how many are new, and how many not."""
@@ -156,6 +155,7 @@ class FactStore(RunFolders):
         numbered = with_surrogate_key(fresh, "SalesID", order_by="OrderID", start=next_id)
         replace_folder(staged.where("SalesID IS NOT NULL").unionByName(numbered), f"{path}/_placed")
         placed = self.spark.read.schema(staged.schema).parquet(f"{path}/_placed")
+        storage.remove(self.spark, f"{path}/_staged")
         return placed, counts.get["fresh"], counts.get["again"]
 
     def _candidates(self, slots: order_index.SlotFilter, manifest: Mapping[str, Any]) -> tuple[DataFrame, set[int]]:

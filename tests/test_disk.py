@@ -15,6 +15,7 @@ RUN = """
 import datetime, glob, sys, time
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
+from stratamart.catalog.fixtures import stored
 from stratamart.sinks import VersionStore, append_months, append_run, publish, replace_months, replace_run, replace_runs
 folder = sys.argv[1]
 spark = (
@@ -33,6 +34,7 @@ writes = {
     "more months": lambda path: append_months(months, path),
     "published": lambda path: publish(rows, path),
     "versions": lambda path: VersionStore(spark, path).apply(rows, ["k"], ["most"], day),
+    "stored": lambda path: stored(spark, rows, path),
 }
 for name, write in writes.items():
     there = set(glob.glob(f"{folder}/local/**/shuffle_*.data", recursive=True))
