@@ -60,6 +60,7 @@ from .fixtures import (
     order_number,
     store_versions,
     stored,
+    write_feed,
     write_malformed,
     write_uneven,
 )
@@ -397,7 +398,7 @@ def kpi_append(spark: SparkSession, sf_dir: str) -> DataFrame:
 def daily_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The monthly measures after feed files went through the whole day twice."""
     folder = shared_folder(spark, "daily_run")
-    retail_feed(spark, sf_dir).write.option("header", True).csv(f"{folder}/landing")
+    write_feed(retail_feed(spark, sf_dir), f"{folder}/landing")
     warehouse = Warehouse(f"{folder}/landing", f"{folder}/warehouse")
     for _ in range(2):
         run_daily(spark, warehouse, SECOND_DAY)

@@ -2,20 +2,22 @@
 
 from __future__ import annotations
 
+import glob
 import os
 import subprocess
 import sys
 
 from helpers import plan_of
 
-from stratamart.sources import retail_feed
+from stratamart.catalog.fixtures import write_feed
+from stratamart.sources import read_feed, retail_feed
 
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 RUN = """
 import datetime, glob, sys, time
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
-from stratamart.catalog.fixtures import stored
+from stratamart.catalog.fixtures import stored, write_feed
 from stratamart.sinks import VersionStore, append_months, append_run, publish, replace_months, replace_run, replace_runs
 folder = sys.argv[1]
 spark = (
@@ -35,6 +37,7 @@ writes = {
     "published": lambda path: publish(rows, path),
     "versions": lambda path: VersionStore(spark, path).apply(rows, ["k"], ["most"], day),
     "stored": lambda path: stored(spark, rows, path),
+    "feed": lambda path: write_feed(rows, path),
 }
 for name, write in writes.items():
     there = set(glob.glob(f"{folder}/local/**/shuffle_*.data", recursive=True))
@@ -69,3 +72,13 @@ def test_lines_meet_orders_last(spark, sf_dir):
     top = next(at for at, line in enumerate(plan) if "SortMergeJoin" in line)
     assert not any("AS ProductID#" in line or "AS StoreID#" in line for line in plan[top:])
 
+
+def test_feed_files_are_compressed_and_read_as_they_were(spark, sf_dir, folder):
+    feed = retail_feed(spark, sf_dir)
+    write_feed(feed, f"{folder}/feed")
+    feed.write.option("header", True).csv(f"{folder}/plain")
+    packed, plain = (sum(map(os.path.getsize, glob.glob(f"{folder}/{name}/part-*"))) for name in ("feed", "plain"))
+    assert packed < plain / 2
+    found, wanted = read_feed(spark, f"{folder}/feed"), feed
+    assert found.count() == wanted.count()
+    assert found.exceptAll(wanted).isEmpty()
