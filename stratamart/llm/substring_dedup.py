@@ -32,9 +32,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import texts as tx
-from .shared import prepare_workers, shuffle_partitions, with_text_key
+from .shared import prepare_workers, with_text_key
 from .suffix_dedup import remaining
-from .windows import WORDS, Runs, rows_with_repeats
+from .windows import WORDS, Runs, bucket_count, rows_with_repeats
 
 WINDOW = WORDS.window
 PREFIXES = (1, 2, 4, 8, 16, 32, WINDOW)
@@ -184,12 +184,11 @@ def remove_repeated_words(documents: DataFrame, buckets: int | None = None, with
     """``doc_id, n_words, n_removed, kept_sha256`` for every row.
 
     ``with_kept`` adds ``kept``, the words left joined by blanks, null where nothing was removed.
-    ``buckets`` is the number of tasks that compare windows, by default that of shuffle
-    partitions.
+    ``buckets`` is the number of tasks that compare windows, by default ``bucket_count``.
     """
     spark = documents.sparkSession
     prepare_workers(spark)
-    buckets = buckets or shuffle_partitions(spark)
+    buckets = buckets or bucket_count(documents)
     rows = with_text_key(documents)
     touched = rows_with_repeats(rows, WORDS, 8, buckets, repeated_windows, "word")
     schema = "doc_id long, text_key long, n_removed long, kept_sha256 string" + ", kept string" * with_kept

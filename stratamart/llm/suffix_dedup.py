@@ -28,8 +28,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import texts as tx
-from .shared import prepare_workers, shuffle_partitions, with_text_key
-from .windows import BYTES, Runs, rows_with_repeats
+from .shared import prepare_workers, with_text_key
+from .windows import BYTES, Runs, bucket_count, rows_with_repeats
 
 WINDOW = BYTES.window
 #: Offsets of the eight-byte words that cover a window.
@@ -154,12 +154,12 @@ def _remove(batches: Iterator[pa.RecordBatch], with_kept: bool) -> Iterator[pa.R
 def remove_repeated_bytes(documents: DataFrame, buckets: int | None = None, with_kept: bool = False) -> DataFrame:
     """``doc_id, n_bytes, n_removed, n_spans, kept_sha256`` for every row, and ``kept`` if wanted.
 
-    ``buckets`` is the number of tasks that compare windows, by default that of shuffle
-    partitions; a task holds about the shared text divided by it, four times over.
+    ``buckets`` is the number of tasks that compare windows, by default ``bucket_count``; a task
+    holds about the shared text divided by it, and compares it in parts of a fixed size.
     """
     spark = documents.sparkSession
     prepare_workers(spark)
-    buckets = buckets or shuffle_partitions(spark)
+    buckets = buckets or bucket_count(documents)
     rows = with_text_key(documents)
     touched = rows_with_repeats(rows, BYTES, 1, buckets, repeated_windows, "byte")
     schema = "doc_id long, text_key long, n_removed long, n_spans long, kept_sha256 string" + ", kept binary" * with_kept

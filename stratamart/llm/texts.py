@@ -150,7 +150,9 @@ def run_values(values: np.ndarray, length: int) -> np.ndarray:
             return np.zeros(0, np.uint64)
         # A run of ``reach`` values and the same run ``step`` further on; the overlap, which
         # only the last step has, is part of both.
-        out = out[:size] * np.uint64(power) + out[step : step + size]
+        shifted = out[step : step + size]
+        out = out[:size] * np.uint64(power)
+        out += shifted
         power = power * power % (1 << 64)
         reach += step
     return out[:count]
@@ -173,10 +175,13 @@ def sliding_argmin(values: np.ndarray, width: int) -> np.ndarray:
     if count <= 0:
         return np.zeros(0, np.int64)
     bits = np.uint64(max(len(values).bit_length(), 1))
-    best = (values >> bits << bits) | np.arange(len(values), dtype=np.uint64)
+    best = values >> bits
+    best <<= bits
+    best |= np.arange(len(values), dtype=np.uint64)
     reach = 1
     while reach < width:
         step = min(reach, width - reach)
         best = np.minimum(best[:-step], best[step:])
         reach += step
-    return (best[:count] & ((np.uint64(1) << bits) - np.uint64(1))).astype(np.int64)
+    best &= (np.uint64(1) << bits) - np.uint64(1)
+    return best[:count].view(np.int64)

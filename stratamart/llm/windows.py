@@ -32,12 +32,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import texts as tx
-from .shared import stored
+from .shared import shuffle_partitions, stored
 
 #: An entry that only says that documents of one slice share its hash.
 SHARED_ALREADY = -1
 _HASH_BYTES = 5
 TAG_BITS = 16
+#: A task judges windows in parts of about so many tokens, whatever the size of its bucket.
+PART_TOKENS = 1 << 20
+#: A bucket gets what is shared of about so much text.
+BUCKET_BYTES = 1 << 24
 
 
 @dataclass(frozen=True)
@@ -117,7 +121,8 @@ def _send_anchors(batches: Iterator[pa.RecordBatch], unit: Unit, buckets: int) -
         for first_row, last_row, _, values, first in unit.read(batch.column("text")):
             ids, keys = (_numbers(batch, name, first_row, last_row) for name in ("doc_id", "text_key"))
             once = _once(keys)
-            starts, places, grams = anchors(unit, values, first)
+            _, places, grams = anchors(unit, values, first)
+            del values
             places = places[_changes(places)]
             rows = np.searchsorted(first, places, "right") - 1
             places, rows = places[once[rows]], rows[once[rows]]
@@ -318,45 +323,66 @@ def _settle_windows(batches: Iterator[pa.RecordBatch], unit: Unit, width: int, j
     unique = unique[by_anchor[np.repeat(group_sizes > 1, group_sizes)]]
     if not len(unique):
         return
-    unique = unique[np.argsort(docs[unique], kind="stable")]
+    # Equal windows have equal anchors, so a part with all runs of its anchors is judged by itself.
     lengths = sizes + unit.window - 1
-    tokens, before = _tokens_of(unique, packed, counts, lengths, np.where(first_of_row, lengths, 0), width)
-    repeated = judge(Runs(docs[unique], places[unique], sizes[unique], tokens, before))
+    parts = _parts(short[unique], lengths[unique], PART_TOKENS)
+    by_part = np.lexsort((docs[unique], parts))
+    unique, parts = unique[by_part], parts[by_part]
     # Every place of a first document takes the result of its run.
     number = np.empty(len(docs), np.int64)
     number[order] = np.repeat(np.arange(len(runs)), repeats)
     position = np.full(len(runs), -1)
     position[number[unique]] = np.arange(len(unique))
-    window_at = np.cumsum(sizes[unique]) - sizes[unique]
-    first_ones = np.flatnonzero(~later & (position[number] >= 0))
-    source = position[number[first_ones]]
-    flags = repeated[tx.ranges(window_at[source], sizes[first_ones])]
-    which = np.repeat(first_ones, sizes[first_ones])[flags]
-    starts = tx.ranges(places[first_ones], sizes[first_ones])
-    yield spans(docs[which], variants[which], starts[flags], np.ones(len(which), np.int64))
-
-
-def _tokens_of(
+    source_of = position[number]
+    first_ones = np.flatnonzero(~later & (source_of >= 0))
+    first_ones = first_ones[np.argsort(parts[source_of[first_ones]], kind="stable")]
+    source_of = source_of[first_ones]
+    del content, short, order, runs, repeats, smallest, later, number, position, by_anchor, groups, group_sizes, by_part
+
+    pool, at = _contents_of(unique, packed, counts, lengths, np.where(first_of_row, lengths, 0), width)
+    cuts = _changes(parts)
+    served = np.searchsorted(parts[source_of], parts[cuts])
+    for begin, end, a, b in zip(cuts, [*cuts[1:], len(unique)], served, [*served[1:], len(first_ones)], strict=True):
+        own, mine, source = unique[begin:end], first_ones[a:b], source_of[a:b] - begin
+        tokens, before = pool[tx.ranges(at[begin:end], lengths[own])], np.cumsum(lengths[own]) - lengths[own]
+        repeated = judge(Runs(docs[own], places[own], sizes[own], tokens, before))
+        window_at = np.cumsum(sizes[own]) - sizes[own]
+        flags = repeated[tx.ranges(window_at[source], sizes[mine])]
+        which = np.repeat(mine, sizes[mine])[flags]
+        starts = tx.ranges(places[mine], sizes[mine])[flags]
+        yield spans(docs[which], variants[which], starts, np.ones(len(which), np.int64))
+
+
+def _parts(anchors: np.ndarray, tokens: np.ndarray, most: int) -> np.ndarray:
+    """A number for each entry of ascending anchors; equal ones share it, and about ``most`` tokens do."""
+    groups = _changes(anchors)
+    before = np.cumsum(tokens) - tokens
+    return np.repeat(before[groups] // most, np.diff(np.append(groups, len(anchors))))
+
+
+def _contents_of(
     picked: np.ndarray, packed: list[bytes], entries: list[int], lengths: np.ndarray, sent: np.ndarray, width: int
 ) -> tuple[np.ndarray, np.ndarray]:
-    """The tokens of some entries in their order, and how many come before each.
+    """The tokens of some entries, and where those of each begin.
 
-    Of ``lengths`` a packed row has ``sent``. One packed row is open at a time.
+    Of ``lengths`` a packed row has ``sent``. Packed rows are taken from their list one by one.
     """
     wanted = np.zeros(len(lengths), bool)
     wanted[picked] = True
-    pool, first = [], 0
-    for contents, number in zip(packed, entries, strict=True):
+    kept = np.where(wanted, lengths, 0)
+    pool, first, filled = np.empty(int(kept.sum()), f"u{width}"), 0, 0
+    packed.reverse()
+    for number in entries:
+        contents = packed.pop()
         own = sent[first : first + number]
         some = wanted[first : first + number]
         if some.any():
             tokens = np.frombuffer(zstandard.decompress(contents), f"u{width}")
-            pool.append(tokens[tx.ranges((np.cumsum(own) - own)[some], own[some])])
+            found = tokens[tx.ranges((np.cumsum(own) - own)[some], own[some])]
+            pool[filled : filled + len(found)] = found
+            filled += len(found)
         first += number
-    kept = np.where(wanted, lengths, 0)
-    at = (np.cumsum(kept) - kept)[picked]
-    sizes = lengths[picked]
-    return np.concatenate(pool)[tx.ranges(at, sizes)], np.cumsum(sizes) - sizes
+    return pool, (np.cumsum(kept) - kept)[picked]
 
 
 def repeated_spans(candidates: DataFrame, unit: Unit, width: int, buckets: int, judge: Callable[[Runs], np.ndarray]) -> DataFrame:
@@ -373,6 +399,15 @@ def repeated_spans(candidates: DataFrame, unit: Unit, width: int, buckets: int,
     return found.groupBy("doc_id", "variant").agg(F.collect_set(F.struct("start", "stop")).alias("spans"))
 
 
+def bucket_count(rows: DataFrame) -> int:
+    """As many buckets as shuffle partitions, or more where these would have over ``BUCKET_BYTES``.
+
+    A task holds the shared text of its bucket, so its memory is that of a bucket of this size.
+    """
+    total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    return max(shuffle_partitions(rows.sparkSession), -(-total // BUCKET_BYTES))
+
+
 def rows_with_repeats(
     documents: DataFrame, unit: Unit, width: int, buckets: int, judge: Callable[[Runs], np.ndarray], name: str
 ) -> DataFrame:

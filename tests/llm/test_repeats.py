@@ -3,6 +3,7 @@ from __future__ import annotations
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from cases import by_repr, frame, odd_documents, prose, sha, spaced, without_repeats
 from pyspark.sql import functions as F
@@ -151,3 +152,48 @@ def test_repeated_windows_of_runs(letters):
 def test_packing():
     values = np.array([5, -3, 10**15, 0], np.int64)
     assert windows.unpack(windows.pack(values), np.int64).tolist() == values.tolist()
+
+
+def sent_windows(texts):
+    """What a slice of documents sends to one bucket, all anchors counting as shared."""
+    first = np.cumsum([0, *(len(raw(text)) for text in texts)])
+    data = np.frombuffer(raw("".join(texts)), np.uint8)
+    _, places, _ = windows.anchors(windows.BYTES, tx.BYTE_VALUES[data], first)
+    lists = [sorted({int(at - first[row]) for at in places if first[row] <= at < first[row + 1]}) for row in range(len(texts))]
+    ids = pa.array(range(len(texts)), pa.int64())
+    columns = {"doc_id": ids, "variant": pa.array([0] * len(texts), pa.int64()), "text_key": ids, "text": pa.array(texts)}
+    batch = pa.RecordBatch.from_pydict({**columns, "places": pa.array(lists, pa.list_(pa.int64()))})
+    return [*windows._send_windows(iter([batch]), windows.BYTES, 1)]
+
+
+def test_windows_are_judged_in_parts(monkeypatch):
+    """A task compares what it has anchor by anchor, a bounded number of tokens at a time."""
+    common = [prose(at, 60, 3000) for at in range(6)]
+    texts = [f"{prose(50 + at, 20, 3000)} {common[at % 6]} {prose(80 + at, 20, 3000)} {common[(at + 1) % 6]}" for at in range(12)]
+    sent, found, largest = sent_windows(texts), {}, {}
+    for most in (1 << 40, 1000, 1):
+        monkeypatch.setattr(windows, "PART_TOKENS", most)
+        sizes = []
+
+        def judge(runs, sizes=sizes):
+            sizes.append(len(runs.tokens))
+            return suffix_dedup.repeated_windows(runs)
+
+        gone = [set() for _ in texts]
+        for part in windows._settle_windows(iter(sent), windows.BYTES, 1, judge):
+            for doc, _, start, stop in zip(*(column.to_pylist() for column in part.columns), strict=True):
+                gone[doc].update(range(start, stop))
+        found[most], largest[most] = gone, max(sizes)
+    wanted = without_repeats(list(enumerate(texts)), raw)
+    for gone in found.values():
+        assert [len(places) for places in gone] == [len(own) - len(kept) for _, own, kept, _ in wanted]
+    assert found[1000] == found[1 << 40] == found[1]
+    assert largest[1] <= largest[1000] < 2000 < largest[1 << 40]
+
+
+def test_buckets_follow_the_text(spark, monkeypatch):
+    rows = frame(spark, [(1, "ä" * 50), (2, None), (3, "b" * 900)])
+    assert windows.bucket_count(rows) == 8
+    assert windows.bucket_count(rows.limit(0)) == 8
+    monkeypatch.setattr(windows, "BUCKET_BYTES", 99)
+    assert windows.bucket_count(rows) == 11
